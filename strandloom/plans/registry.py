@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandloom.plans import problems
+from strandloom.plans import hit_queries, interval_queries, problems
 
-MODULES = (problems,)
+MODULES = (problems, interval_queries, hit_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
