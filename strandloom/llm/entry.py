@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strandloom.llm import corpus, hits
+from strandloom.llm import corpus, hits, makeup
 
-MODULES = (hits, corpus)
+MODULES = (hits, corpus, makeup)
 
 
 def queries() -> dict:
