@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +26,26 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     return spark
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the driver imported it from.
+
+    Where workers find it anyway (its folder is on PYTHONPATH, or is the working directory) nothing happens; otherwise the
+    sources go out once with the session, as ``--py-files`` would send them.
+    """
+    context, root = spark.sparkContext, Path(__file__).resolve().parent
+    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if getattr(context, "_strandloom_sent", False) or any(p and Path(p).resolve() == root.parent for p in found):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="strandloom-")) / "strandloom.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._strandloom_sent = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
