@@ -63,6 +63,8 @@ class Sentences:
 
 
 def sentences(texts: pa.Array) -> Sentences:
+    """Sentences end at . ! or ? before a blank, or at an empty line. Words that lost the blanks between them are parted at capitals."""
+    texts = pc.replace_substring_regex(texts.cast(pa.large_string()), r"([.!?,;:]|\p{Ll})(\p{Lu}\p{Ll})", r"\1 \2")
     marked = pc.replace_substring_regex(pc.replace_substring(folded(pc.fill_null(texts.cast(pa.large_string()), "")), "|", " "), SENTENCE_END, " | ")
     lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(with_bytes(marked, _TERM_BYTES)))
     counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
