@@ -111,10 +111,13 @@ def plan(counted: DataFrame, targets: DataFrame, source: str = "source", tempere
     NULL target_share counts as 0, NULL or negative max_repeats as 0. The bisection runs over the rows of ``targets`` (a
     dimension, one row for each source) in one task; documents reach it only as sums.
     """
-    sums = counted.groupBy(same_source(F.col(source)).alias("source")).agg(F.sum("n_tokens").alias("tokens"))
-    everything = sums.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("all_tokens"))
+    spelled = counted.select(same_source(F.col(source)).alias("source"), "n_tokens")
+    sums = spelled.rollup("source").agg(F.grouping("source").alias("whole"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens"))
     wanted = targets.select(same_source(F.col("source")).alias("source"), F.col("source").alias("written"), F.coalesce("target_share", F.lit(0.0)).alias("target_share"), F.greatest(F.coalesce("max_repeats", F.lit(0)), F.lit(0)).cast("bigint").alias("max_repeats"))
-    rows = F.broadcast(wanted.withColumn("n", F.lit(1))).join(everything.withColumn("n", F.lit(1)), "n").drop("n").join(sums, "source", "left").select("source", "written", "target_share", "max_repeats", F.coalesce("tokens", F.lit(0)).alias("tokens"), "all_tokens")
+    # One pass over the counts: each target meets the sum of its source and the sum of all.
+    meets = wanted.join(sums.withColumnRenamed("source", "has"), (F.col("whole") == 1) | (F.col("has") == F.col("source")), "left")
+    own = F.sum(F.when(F.col("whole") == 0, F.col("tokens")))
+    rows = meets.groupBy("source", "written", "target_share", "max_repeats").agg(F.coalesce(own, F.lit(0)).alias("tokens"), F.coalesce(F.max(F.when(F.col("whole") == 1, F.col("tokens"))), F.lit(0)).alias("all_tokens"))
 
     def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         d = pd.concat([*frames], ignore_index=True)
