@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandloom.plans import hit_queries, interval_queries, problems
+from strandloom.plans import hit_queries, interval_queries, problems, report_queries
 
-MODULES = (problems, interval_queries, hit_queries)
+MODULES = (problems, interval_queries, hit_queries, report_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return problems.p1_found(spark, sf_dir)
+    return report_queries.j8_fact_table(spark, sf_dir)
