@@ -72,11 +72,11 @@ def runs(df: DataFrame, entity: str, order: str, kind: Sequence[str | Column], f
     rows = df.select(
         F.col(entity).cast("string").alias("entity"), F.col(order).cast("bigint").alias("at"),
         *[(F.col(k) if isinstance(k, str) else k).cast("string").alias(n) for n, k in zip(kinds, kind, strict=True)],
-        *[F.col(f).cast("bigint").alias(f) for f in fields],
+        *[F.col(f).cast("bigint").alias(f"value_{f}") for f in fields],
     ).dropna()
     keys = ["entity", "at"]
     spread = rows.repartitionByRange(partitions, *keys) if partitions else rows.repartitionByRange(*keys)
-    spread = spread.sortWithinPartitions(*keys, *kinds, *fields)
+    spread = spread.sortWithinPartitions(*keys, *kinds, *[f"value_{f}" for f in fields])
     schema = T.StructType([
         T.StructField("entity", T.StringType()), *[T.StructField(k, T.StringType()) for k in kinds],
         *[T.StructField(c, T.LongType()) for c in ("first", "last", "n_events")], *[T.StructField(f"{p}_{f}", T.LongType()) for f in fields for p in ("lo", "hi", "begin", "end")],
@@ -101,7 +101,7 @@ def runs(df: DataFrame, entity: str, order: str, kind: Sequence[str | Column], f
             if copy.any():
                 t = t.filter(pa.array(~copy))
                 n, same_entity, at = t.num_rows, same_entity[~copy], t["at"].to_numpy()
-            values = [t[f].to_numpy() for f in fields]
+            values = [t[f"value_{f}"].to_numpy() for f in fields]
             together = same_entity
             for k in kinds:
                 together = together & _same(t[k].combine_chunks())

@@ -19,7 +19,8 @@ def top_n(df: DataFrame, group: Sequence[str], order: Sequence[tuple[str, bool]]
 
     ``order`` must end in a column that tells items apart: rows equal in the group and all order columns are one item and
     take one place (any one of them is returned). Rows with a NULL in the group or an order column, or NaN, are left out.
-    Fewer than n items give fewer rows; an empty table gives none. Columns other than these pass through.
+    Fewer than n items give fewer rows; an empty table gives none. Columns other than these pass
+    through; one named place is replaced.
     """
     for c in group:
         df = df.filter(F.col(c).isNotNull())
