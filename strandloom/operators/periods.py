@@ -34,21 +34,26 @@ def periods_and_gaps(intervals: DataFrame, keys: Sequence[str], lo: str = "lo",
     with lo >= hi, are left out; no rows give no rows. Ranks come from ``bucketed_rank``, so an entity that holds most of the
     rows is spread over value ranges, and all joins are on (entity, rank).
     """
-    there = intervals.select(*keys, F.col(lo).cast("bigint").alias("lo"), F.col(hi).cast("bigint").alias("hi")).filter("lo < hi")
-    for key in keys:
-        there = there.filter(F.col(key).isNotNull())
-    sides = there.select(*keys, F.explode(F.array(F.struct(F.lit("s").alias("side"), F.col("lo").alias("at")), F.struct(F.lit("e").alias("side"), F.col("hi").alias("at")))).alias("p")).select(*keys, "p.*")
-    ranked = bucketed_rank(sides, [*keys, "side"], "at", width)
-    starts = ranked.filter("side = 's'").select(*keys, (F.col("first_rank") - 1).alias("i"), F.col("at").alias("seg_end"))
-    ends = ranked.filter("side = 'e'").select(*keys, F.col("last_rank").alias("i"), F.col("at").alias("seg_start"))
-    gaps = ends.join(starts, [*keys, "i"]).filter("seg_end > seg_start").select(*keys, "seg_start", "seg_end")
-    extremes = there.groupBy(*keys).agg(F.min("lo").alias("first"), F.max("hi").alias("last"))
-    bounds = gaps.select(*keys, F.explode(F.array(F.struct(F.lit("e").alias("side"), F.col("seg_start").alias("at")), F.struct(F.lit("s").alias("side"), F.col("seg_end").alias("at")))).alias("p")).select(*keys, "p.*").unionByName(
-        extremes.select(*keys, F.explode(F.array(F.struct(F.lit("s").alias("side"), F.col("first").alias("at")), F.struct(F.lit("e").alias("side"), F.col("last").alias("at")))).alias("p")).select(*keys, "p.*")
-    )
-    order = bucketed_rank(bounds, [*keys, "side"], "at", width)
-    opened = order.filter("side = 's'").select(*keys, F.col("first_rank").alias("k"), F.col("at").alias("seg_start"))
-    closed = order.filter("side = 'e'").select(*keys, F.col("first_rank").alias("k"), F.col("at").alias("seg_end"))
-    periods = opened.join(closed, [*keys, "k"]).select(*keys, "seg_start", "seg_end")
-    out = [d.select(*keys, F.lit(kind).alias("kind"), "seg_start", "seg_end") for kind, d in (("period", periods), ("gap", gaps))]
+    names = [f"__key{i}" for i in range(len(keys))]
+    there = intervals.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(lo).cast("bigint").alias("lo"), F.col(hi).cast("bigint").alias("hi")).filter("lo < hi")
+    for n in names:
+        there = there.filter(F.col(n).isNotNull())
+    ranked = bucketed_rank(_sides(there, names, "lo", "hi"), [*names, "side"], "at", width)
+    starts = ranked.filter("side = 's'").select(*names, (F.col("first_rank") - 1).alias("i"), F.col("at").alias("seg_end"))
+    ends = ranked.filter("side = 'e'").select(*names, F.col("last_rank").alias("i"), F.col("at").alias("seg_start"))
+    gaps = ends.join(starts, [*names, "i"]).filter("seg_end > seg_start").select(*names, "seg_start", "seg_end")
+    extremes = there.groupBy(*names).agg(F.min("lo").alias("first"), F.max("hi").alias("last"))
+    # A gap begins where a period ends and ends where the next one begins.
+    bounds = _sides(gaps, names, "seg_end", "seg_start").unionByName(_sides(extremes, names, "first", "last"))
+    order = bucketed_rank(bounds, [*names, "side"], "at", width)
+    opened = order.filter("side = 's'").select(*names, F.col("first_rank").alias("i"), F.col("at").alias("seg_start"))
+    closed = order.filter("side = 'e'").select(*names, F.col("first_rank").alias("i"), F.col("at").alias("seg_end"))
+    periods = opened.join(closed, [*names, "i"]).select(*names, "seg_start", "seg_end")
+    out = [d.select(*[F.col(n).alias(k) for k, n in zip(keys, names, strict=True)], F.lit(kind).alias("kind"), "seg_start", "seg_end") for kind, d in (("period", periods), ("gap", gaps))]
     return out[0].unionByName(out[1])
+
+
+def _sides(df: DataFrame, names: Sequence[str], start: str, end: str) -> DataFrame:
+    """Both ends of each row on rows of their own: side s or e, and where (at)."""
+    parts = F.array(F.struct(F.lit("s").alias("side"), F.col(start).alias("at")), F.struct(F.lit("e").alias("side"), F.col(end).alias("at")))
+    return df.select(*names, F.explode(parts).alias("p")).select(*names, "p.side", "p.at")

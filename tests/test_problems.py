@@ -126,7 +126,7 @@ def test_fields_and_values_keep_their_parents(spark):
 
 def test_levels_of_a_known_record():
     found = shred.stripe([{"a": [{"b": [1, 2]}, {"b": [3]}, {}]}, {"a": []}, None])
-    assert found["a[].b[]"] == ([0, 2, 1, 1, 0, 0], [5, 5, 5, 2, 0, 0], ["1", "2", "3", None, None, None])
+    assert found["a[].b[]"] == ([0, 2, 1, 1, 0, 0], [4, 4, 4, 2, 0, 0], ["1", "2", "3", None, None, None])
     assert found["a[].#"][0] == [0, 1, 1, 0, 0]
 
 
