@@ -188,7 +188,7 @@ def corpus(n, rng):
 
 def test_areas(spark):
     docs, truth = corpus(300, random.Random(4))
-    docs += [(900, None, "en"), (901, "", None), (902, "Thanks to everyone who replied.", "en"), (None, docs[0][1], "en"), (903, docs[0][1].upper(), "xx"), (904, (docs[0][1] + " ") * 200, "en")]
+    docs += [(900, None, "en"), (901, "", None), (902, "Thanks to everyone who replied.", "en"), (None, docs[0][1], "en"), (903, docs[0][1].upper(), "xx"), (904, docs[0][1] + " Thanks to everyone who replied." * 5000, "en")]
     labels = [(d, s.upper() if d % 2 else f" {s} ") for d, ss in truth.items() for s in sorted(ss) if d < 150] + [(3, None), (4, "unheard of"), (99999, "law"), (None, "law")]
     df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
     lab = spark.createDataFrame(labels, "doc_id bigint, subject string")
