@@ -270,7 +270,7 @@ def j12_deletion_reads(spark, d):
 
 
 @query(sql("evidence") + """, c AS (SELECT DISTINCT chrom, pos, pos + 1 AS pos1, CASE WHEN op_len % 2 = 0 THEN 'L' ELSE 'R' END AS side, read_name, seq FROM evidence WHERE seq IS NOT NULL),
-reach AS (SELECT *, max(pos1) OVER (PARTITION BY chrom ORDER BY pos, pos1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM c), cl AS (SELECT *, sum(CASE WHEN reach IS NULL OR pos > reach + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY pos, pos1 ROWS UNBOUNDED PRECEDING) AS cl FROM reach)
+reach AS (SELECT *, max(pos1) OVER (PARTITION BY chrom ORDER BY pos, pos1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM c), cl AS (SELECT *, sum(CASE WHEN reach IS NULL OR pos > reach + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY pos, pos1) AS cl FROM reach)
 SELECT chrom, CAST(cl AS BIGINT) AS cluster, min(pos) AS "start", max(pos1) AS "end", arg_min(seq, {'l': -length(seq), 's': seq}) FILTER (side = 'L') AS best_l, arg_min(seq, {'l': -length(seq), 's': seq}) FILTER (side = 'R') AS best_r,
   count(DISTINCT read_name) FILTER (side = 'L') AS reads_l, count(DISTINCT read_name) FILTER (side = 'R') AS reads_r, count(DISTINCT read_name) AS n_reads FROM cl GROUP BY chrom, cl""")
 def a20_soft_clip_groups(spark, d):

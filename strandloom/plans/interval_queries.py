@@ -24,7 +24,7 @@ def query(text: str | None):
 
 def _clusters(view: str, keys: str, start: str, end: str, d: int) -> str:
     return f"""reach AS (SELECT *, max({end}) OVER (PARTITION BY {keys} ORDER BY {start}, {end} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {view}),
-clustered AS (SELECT *, sum(CASE WHEN reach IS NULL OR {start} > reach + {d} THEN 1 ELSE 0 END) OVER (PARTITION BY {keys} ORDER BY {start}, {end} ROWS UNBOUNDED PRECEDING) AS cl FROM reach)"""
+clustered AS (SELECT *, sum(CASE WHEN reach IS NULL OR {start} > reach + {d} THEN 1 ELSE 0 END) OVER (PARTITION BY {keys} ORDER BY {start}, {end}) AS cl FROM reach)"""
 
 
 @query(sql("sites") + """SELECT chrom, "start", "end", te, CAST(row_number() OVER (PARTITION BY chrom ORDER BY "start", "end", sv_id) AS BIGINT) AS rank FROM sites""")

@@ -103,7 +103,7 @@ _SEGMENTS = """WITH sides AS (
   SELECT 'r' AS axis, rid, qid, least(rstart, rend) AS lo, greatest(rstart, rend) AS hi FROM alignments WHERE rid IS NOT NULL AND qid IS NOT NULL AND rstart <> rend
   UNION ALL SELECT 'q', rid, qid, least(qstart, qend), greatest(qstart, qend) FROM alignments WHERE rid IS NOT NULL AND qid IS NOT NULL AND qstart <> qend),
 reach AS (SELECT *, max(hi) OVER (PARTITION BY axis, rid, qid ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM sides),
-numbered AS (SELECT *, sum(CASE WHEN before IS NULL OR lo > before THEN 1 ELSE 0 END) OVER (PARTITION BY axis, rid, qid ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS n FROM reach),
+numbered AS (SELECT *, sum(CASE WHEN before IS NULL OR lo > before THEN 1 ELSE 0 END) OVER (PARTITION BY axis, rid, qid ORDER BY lo, hi) AS n FROM reach),
 per AS (SELECT axis, rid, qid, min(lo) AS seg_start, max(hi) AS seg_end FROM numbered GROUP BY axis, rid, qid, n),
 segments AS (SELECT axis, 'period' AS kind, rid, qid, seg_start, seg_end FROM per UNION ALL
   SELECT axis, 'gap', rid, qid, seg_end, nxt FROM (SELECT *, lead(seg_start) OVER (PARTITION BY axis, rid, qid ORDER BY seg_start) AS nxt FROM per) WHERE nxt IS NOT NULL)

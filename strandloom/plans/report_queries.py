@@ -201,7 +201,7 @@ def a18_stacked_groups(spark, d):
     return report.stacked(long, ["INS", "DEL", "OTHER"])
 
 
-@query(sql("evidence") + """, e AS (SELECT chrom, pos, pos + 1 AS pos1, read_name, seq FROM evidence), r AS (SELECT *, max(pos1) OVER (PARTITION BY chrom ORDER BY pos, pos1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM e), c AS (SELECT *, sum(CASE WHEN reach IS NULL OR pos > reach + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY pos, pos1 ROWS UNBOUNDED PRECEDING) AS cl FROM r),
+@query(sql("evidence") + """, e AS (SELECT chrom, pos, pos + 1 AS pos1, read_name, seq FROM evidence), r AS (SELECT *, max(pos1) OVER (PARTITION BY chrom ORDER BY pos, pos1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM e), c AS (SELECT *, sum(CASE WHEN reach IS NULL OR pos > reach + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY pos, pos1) AS cl FROM r),
 o AS (SELECT chrom, cl, read_name, min(seq) AS seq FROM c WHERE seq IS NOT NULL GROUP BY chrom, cl, read_name)
 SELECT chrom, CAST(cl AS BIGINT) AS cluster, read_name, seq, row_number() OVER (PARTITION BY chrom, cl ORDER BY read_name) AS number, count(*) OVER (PARTITION BY chrom, cl) AS support FROM o""")
 def a19_cluster_members(spark, d):
@@ -261,7 +261,7 @@ def u2_priority_union(spark, d):
 
 
 _MERGE = """, s AS (SELECT DISTINCT chrom, te, "start" AS s, "end" AS e, sv_id, CASE WHEN regexp_matches(sv_id, 'SOFT') THEN 'SOFT' WHEN regexp_matches(sv_id, 'HARD') THEN 'HARD' WHEN split_part(ident, '.', 1) = 'snif' THEN 'CALLER' ELSE 'READS' END AS src FROM sites),
-r AS (SELECT *, max(e) OVER (PARTITION BY src, chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM s), c AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY src, chrom ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS cl FROM r),
+r AS (SELECT *, max(e) OVER (PARTITION BY src, chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM s), c AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY src, chrom ORDER BY s, e) AS cl FROM r),
 d AS (SELECT *, lag(te) OVER (PARTITION BY src, chrom, cl ORDER BY s, e, te, sv_id) AS b FROM c), k AS (SELECT chrom, te, s, e, sv_id, src FROM d WHERE b IS NULL OR b <> te),
 m1 AS (SELECT * FROM k WHERE src = 'CALLER'), m2 AS (SELECT * FROM m1 UNION ALL SELECT * FROM k WHERE src = 'READS' AND NOT EXISTS (SELECT 1 FROM m1 WHERE m1.chrom = k.chrom AND m1.te = k.te AND m1.s < k.e + 100000 AND m1.e > k.s - 100000)),
 m3 AS (SELECT * FROM m2 UNION ALL SELECT * FROM k WHERE src = 'SOFT' AND NOT EXISTS (SELECT 1 FROM m2 WHERE m2.chrom = k.chrom AND m2.te = k.te AND m2.s < k.e + 100000 AND m2.e > k.s - 100000)),
@@ -405,7 +405,7 @@ def k9_trend_filter(spark, d):
     return generations.keep_trends(generations.trends(_scatter(spark, d), MANIFEST), trend="~", least_generations=3, chrom="A1").select("name", "nb_gen")
 
 
-@query('WITH z AS (SELECT 1)' + _POINTS + """, r AS (SELECT *, max(x + 1) OVER (PARTITION BY chrom ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM pt), c AS (SELECT *, sum(CASE WHEN reach IS NULL OR x > reach + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY x ROWS UNBOUNDED PRECEDING) AS cl FROM r)
+@query('WITH z AS (SELECT 1)' + _POINTS + """, r AS (SELECT *, max(x + 1) OVER (PARTITION BY chrom ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM pt), c AS (SELECT *, sum(CASE WHEN reach IS NULL OR x > reach + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY x) AS cl FROM r)
 SELECT chrom, min(x) OVER (PARTITION BY chrom, cl) AS x, "group", id, chrom || ':' || min(x) OVER (PARTITION BY chrom, cl) || ':' || te AS name FROM c""")
 def generation_positions_merged(spark, d):
     """Points within 200 bases take one position (Q7)."""
