@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions.text import field, first_fields, size_percent, strand_of
-from strandloom.operators.ranks import bucketed_rank
 
 
 def known_elements(hits: DataFrame, sizes: DataFrame, element: str = "sseqid", name: str = "te_name") -> DataFrame:
@@ -17,7 +16,7 @@ def known_elements(hits: DataFrame, sizes: DataFrame, element: str = "sseqid", n
 def best_hits(hits: DataFrame, locus: Column) -> DataFrame:
     """The hit of the greatest bitscore of each locus, the first line on a tie (W1); a map-side aggregate, so heavy loci don't matter.
 
-    Rows with a NULL locus or bitscore are left out. Columns: locus and all of the hit.
+    Rows with a NULL locus or bitscore are left out. Columns: locus and all of the hit, so select what is needed first.
     """
     columns = hits.columns
     there = hits.withColumn("locus", locus).filter("locus is not null and bitscore is not null")
@@ -25,15 +24,25 @@ def best_hits(hits: DataFrame, locus: Column) -> DataFrame:
     return best.select("locus", "b.*")
 
 
-def file_runs(hits: DataFrame) -> DataFrame:
-    """Adds ``run``: hits that follow each other in the file with the same qseqid and sseqid have the same one (with those two).
+def file_runs(hits: DataFrame, width: int = 1 << 16) -> DataFrame:
+    """Rows of one line once, with ``run``: the line where the run of hits with the same qseqid and sseqid began that the hit is in.
 
-    The place of a hit among all hits minus its place among those of its own pair is constant within such a run and differs
-    between runs of a pair; both places are exact ranks in ranges of lines.
+    Hits are compared with the line before in ranges of lines; what one range hands to the next is one row. Only lines that are
+    there count, so a run goes on over lines that were filtered out before. NULL line numbers are left out.
     """
-    places = bucketed_rank(hits.withColumn("__one", F.lit(1)), ["__one"], "line_no").select("line_no", F.col("first_rank").alias("__place"))
-    own = bucketed_rank(hits, ["qseqid", "sseqid"], "line_no").select("qseqid", "sseqid", "line_no", F.col("first_rank").alias("__own"))
-    return hits.join(places, "line_no").join(own, ["qseqid", "sseqid", "line_no"]).withColumn("run", F.col("__place") - F.col("__own")).drop("__place", "__own")
+    ranged = hits.filter(F.col("line_no").isNotNull()).withColumn("__range", F.floor(F.col("line_no") / F.lit(width)).cast("bigint"))
+    line = Window.partitionBy("__range").orderBy("line_no", "qseqid", "sseqid")
+    pair = F.struct("qseqid", "sseqid")
+    seen = ranged.withColumn("__line", F.lag("line_no").over(line)).withColumn("__pair", F.lag(pair).over(line)).filter(F.col("__line").isNull() | (F.col("__line") != F.col("line_no")))
+    lasts = ranged.groupBy("__range").agg(F.max_by(pair, F.struct("line_no", "qseqid", "sseqid")).alias("__last"))
+    # One row for each range of lines.
+    handed = lasts.select("__range", F.lag("__last").over(Window.partitionBy(F.lit(0)).orderBy("__range")).alias("__handed"))
+    joined = seen.join(handed, "__range", "left").withColumn("__fresh", F.when(F.coalesce("__pair", "__handed").eqNullSafe(pair), F.lit(None).cast("bigint")).otherwise(F.col("line_no")))
+    up_to = Window.partitionBy("__range").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    begun = joined.withColumn("__begun", F.max("__fresh").over(up_to))
+    ends = joined.groupBy("__range").agg(F.max("__fresh").alias("__last_fresh"))
+    before = ends.select("__range", F.max("__last_fresh").over(Window.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)).alias("__before"))
+    return begun.join(before, "__range", "left").withColumn("run", F.coalesce("__begun", "__before")).select(*hits.columns, "run")
 
 
 def combine(hits: DataFrame, locus: Column) -> DataFrame:
@@ -44,9 +53,10 @@ def combine(hits: DataFrame, locus: Column) -> DataFrame:
     hit, sstart, send, qstart, qend as combined, and n_hits looked at. A run is what is gathered for the fold.
     """
     numbered = file_runs(hits)
-    best = best_hits(numbered, locus).select("locus", "qseqid", "sseqid", "run", "pident", F.col("line_no").alias("best_line"))
-    parts = numbered.select("qseqid", "sseqid", "run", "line_no", "sstart", "send", "qstart", "qend")
-    rows = best.join(parts, ["qseqid", "sseqid", "run"]).filter("line_no >= best_line")
+    slim = numbered.select("qseqid", "sseqid", "run", "pident", "line_no", "bitscore")
+    best = best_hits(slim, locus).select("locus", "qseqid", "sseqid", "run", "pident", F.col("line_no").alias("best_line"))
+    parts = numbered.select("run", "line_no", "sstart", "send", "qstart", "qend")
+    rows = best.join(parts, "run").filter("line_no >= best_line")
     listed = rows.groupBy("locus", "qseqid", "sseqid", "pident", "best_line").agg(F.array_sort(F.collect_list(F.struct("line_no", "sstart", "send", "qstart", "qend"))).alias("h"))
     first = F.get("h", F.lit(0))
     forward = first["sstart"] < first["send"]

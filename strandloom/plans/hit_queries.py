@@ -9,7 +9,7 @@ from strandloom.functions import text as tx
 from strandloom.operators import assembly
 from strandloom.operators import evidence as ev
 from strandloom.operators import hits as ht
-from strandloom.plans.views import aligned, evidence, hits, reads, sites, sql
+from strandloom.plans.views import aligned, evidence, hits, reads, sites, sql, stored_hits
 from strandloom.session import table
 
 QUERIES, SQL = {}, {}
@@ -94,7 +94,7 @@ _KNOWN = ", known AS (SELECT * FROM hits WHERE sseqid IN (SELECT te_name FROM te
 
 @query(sql("hits") + _KNOWN + _best(7) + "SELECT locus, line_no, sseqid, bitscore FROM best")
 def w1_best_hit(spark, d):
-    h = ht.known_elements(hits(spark, d), table(spark, d, "te_sizes"))
+    h = ht.known_elements(stored_hits(spark, d).select("line_no", "qseqid", "sseqid", "bitscore"), table(spark, d, "te_sizes"))
     return ht.best_hits(h, tx.first_fields(F.col("qseqid"), 7)).select("locus", "line_no", "sseqid", "bitscore")
 
 
@@ -106,9 +106,9 @@ _RUN = """, n AS (SELECT *, row_number() OVER (ORDER BY line_no) - row_number()
 SELECT b.locus, n.line_no FROM best b JOIN n ON b.qseqid = n.qseqid AND b.sseqid = n.sseqid AND b.run = n.run AND n.line_no >= b.line_no""")
 def w2_contiguous_run(spark, d):
     """The hits that continue the best hit of each locus in the file."""
-    n = ht.file_runs(ht.known_elements(hits(spark, d), table(spark, d, "te_sizes")))
-    best = ht.best_hits(n, tx.first_fields(F.col("qseqid"), 7)).select("locus", "qseqid", "sseqid", "run", F.col("line_no").alias("best_line"))
-    return best.join(n.select("qseqid", "sseqid", "run", "line_no"), ["qseqid", "sseqid", "run"]).filter("line_no >= best_line").select("locus", "line_no")
+    n = ht.file_runs(ht.known_elements(stored_hits(spark, d), table(spark, d, "te_sizes")))
+    best = ht.best_hits(n, tx.first_fields(F.col("qseqid"), 7)).select("locus", "run", F.col("line_no").alias("best_line"))
+    return best.join(n.select("run", "line_no"), "run").filter("line_no >= best_line").select("locus", "line_no")
 
 
 _FOLD = """, best AS (SELECT * FROM (SELECT *, {locus} AS locus, row_number() OVER (PARTITION BY {locus} ORDER BY bitscore DESC, line_no) AS r FROM n) WHERE r = 1),
@@ -122,7 +122,7 @@ folded AS (SELECT locus, qseqid, sseqid, pident, line_no, len(h) AS n_hits, list
 
 @query(sql("hits") + _KNOWN + _RUN + _FOLD.format(locus=_LOCUS.format(n=7)) + "SELECT locus, line_no, c.s AS sstart, c.e AS send, c.q AS qstart, c.r AS qend, CAST(n_hits AS BIGINT) AS n_hits FROM folded")
 def w3_combine_fragments(spark, d):
-    h = ht.known_elements(hits(spark, d), table(spark, d, "te_sizes"))
+    h = ht.known_elements(stored_hits(spark, d), table(spark, d, "te_sizes"))
     return ht.combine(h, tx.first_fields(F.col("qseqid"), 7)).select("locus", "line_no", "sstart", "send", "qstart", "qend", "n_hits")
 
 
@@ -130,7 +130,7 @@ def w3_combine_fragments(spark, d):
   WHERE split_part(qseqid, ':', 2) LIKE '%INS%' AND TRY_CAST(split_part(qseqid, ':', 6) AS BIGINT) >= 2 AND round(abs(c.r - c.q) / size_bp * 100, 2) >= 40 AND pident >= 85""")
 def detect_elements(spark, d):
     """The whole detection: dictionary, best hit, fold, floors."""
-    f = ht.detect(hits(spark, d), table(spark, d, "te_sizes"), least_support=2, least_pident=85.0, least_size=40.0)
+    f = ht.detect(stored_hits(spark, d), table(spark, d, "te_sizes"), least_support=2, least_pident=85.0, least_size=40.0)
     return f.select("locus", "sseqid", "line_no", "strand", "size_el", "size_per")
 
 

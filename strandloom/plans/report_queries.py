@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from strandloom.functions import sequence as sq
 from strandloom.functions import text as tx
-from strandloom.operators import eager, generations, genome, hits as ht, report, tsd, viewer
+from strandloom.operators import eager, generations, genome, report, tsd, viewer
 from strandloom.operators import intervals as iv
-from strandloom.plans.views import evidence, hits, sites, sql
+from strandloom.plans.views import evidence, hits, sites, sql, stored_hits
 from strandloom.session import table
 from strandloom.sources import formats
 
@@ -238,9 +238,13 @@ _ONE = ", one AS (SELECT ident, min({'chrom': chrom, 's': \"start\", 'te': te, '
 def _facts(spark, d):
     s = sites(spark, d)
     base = s.groupBy("ident").agg(F.min(F.struct("chrom", "start", "te", "strand")).alias("b"), F.max("sv_size").alias("sv_size"), F.min("freq").alias("f0"), F.min("freq_with_clipped").alias("f1"), F.min(F.when(F.col("tsd") != "NONE", F.col("tsd"))).alias("tsd")).select("ident", "b.*", "sv_size", "f0", "f1", "tsd")
-    h = hits(spark, d)
-    by = lambda types: ht.best_hits(h.filter(tx.field(F.col("qseqid"), 2).rlike(types)), tx.field(F.col("qseqid"), 5)).select(F.col("locus").alias("ident"), F.col("pident"), F.abs(F.col("qend") - F.col("qstart")).alias("size_te"))
-    joined = report.first_of(base, "ident", [by("INS"), by("DEL"), by(".")], ["pident", "size_te"])
+    # A source for each kind of variant: insertions before deletions before all others, the best hit in each.
+    kind = tx.field(F.col("qseqid"), 2)
+    rank = F.when(kind.rlike("INS"), 1).when(kind.rlike("DEL"), 2).otherwise(3)
+    size = F.abs(F.col("qend") - F.col("qstart"))
+    first = F.min(F.struct(rank.alias("r"), (-F.col("bitscore")).alias("b"), "line_no", "pident", size.alias("size_te")))
+    known = stored_hits(spark, d).groupBy(tx.field(F.col("qseqid"), 5).alias("ident")).agg(first.alias("v")).select("ident", "v.pident", "v.size_te")
+    joined = report.first_of(base, "ident", [known], ["pident", "size_te"])
     return joined.select("ident", "chrom", "start", (F.col("start") + 1).alias("end"), "te", "strand", "tsd", "pident", "size_te", F.when(F.col("f0") <= 100, F.col("f0")).otherwise(F.col("f1")).alias("freq"), "sv_size", tx.variant_type(F.col("ident")).alias("sv_type"))
 
 

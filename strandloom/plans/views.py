@@ -11,10 +11,15 @@ from strandloom.session import table
 HIT_COLUMNS = ("line_no", "qseqid", "sseqid", "pident", "aln_len", "mismatch", "gapopen", "qstart", "qend", "sstart", "send", "evalue", "bitscore")
 
 
+def stored_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole hits as stored, copies too; for operators that copies don't matter to."""
+    df = table(spark, sf_dir, "blast_hits").filter(present("qseqid") & present("sseqid")).filter("sstart is not null and send is not null and line_no is not null and bitscore >= 0 and not isnan(bitscore)")
+    return df.select(*HIT_COLUMNS)
+
+
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole hits, one row for each line of the hit file."""
-    df = table(spark, sf_dir, "blast_hits").filter(present("qseqid") & present("sseqid")).filter("sstart is not null and send is not null and line_no is not null and bitscore >= 0 and not isnan(bitscore)")
-    return df.select(*HIT_COLUMNS).dropDuplicates(["line_no"])
+    return stored_hits(spark, sf_dir).dropDuplicates(["line_no"])
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
