@@ -106,3 +106,15 @@ def pseudonyms(names: Sequence[str], prefix: str = "ELEMENT") -> dict[str, str]:
     import re
 
     return {n: f"{prefix}{i}" for i, n in enumerate(names, 1)} if any(re.search(ILLEGAL, n) for n in names) else {}
+
+
+def embedded_pieces(seq: Column) -> Column:
+    """Identifiers written into a sequence as digits before their piece: array<struct<id, piece, start>>, start 0-based."""
+    found = F.regexp_extract_all(seq, F.lit(r"(\d+[A-Za-z]+)"), F.lit(1))
+    return F.transform(found, lambda x: F.struct(F.regexp_extract(x, r"^\d+", 0).alias("id"), F.regexp_replace(x, r"^\d+", "").alias("piece"), (F.instr(seq, x) - 1).cast("bigint").alias("start")))
+
+
+def renamed(df, column: str, names):
+    """The rows with ``column`` as its original where ``names`` (original, pseudo) has it as a pseudonym, else unchanged."""
+    back = names.select(F.col("pseudo").alias(column), F.regexp_replace("original", r"\\", "_").alias("__original"))
+    return df.join(back, column, "left").withColumn(column, F.coalesce("__original", column)).drop("__original")

@@ -119,3 +119,32 @@ def pair_flanks(df: DataFrame, ident: str, chrom: str, start: str, end: str, sid
     near, crossed, left = same & gap.between(0, most), same & gap.between(-most, -1), F.col("L.v") >= F.col("R.v")
     pick = lambda a, b, c, e: F.when(near, a).when(crossed, b).when(~same & left, c).when(~same, e)
     return pair.select(ident, F.when(same | left, F.col("L.c")).otherwise(F.col("R.c")).alias("chrom"), pick(F.col("L.e"), F.col("R.s"), F.col("L.e"), F.col("R.s")).alias("start"), pick(F.col("R.s"), F.col("L.e"), F.col("L.e") + 1, F.col("R.s") + 1).alias("end"), F.when(near | crossed, "OK").otherwise("BAD").alias("state"))
+
+
+def project_positions(elements: DataFrame, variants: DataFrame, key: str = "qseqid", element: str = "sseqid") -> DataFrame:
+    """Elements found in assembly variants with the variant's place on the reference.
+
+    ``elements``: a packed assembly key and the element; ``variants``: asm_id, chrom, start, stop, sv_type, of which the first by
+    (chrom, start) counts for an id. An insertion is a point, anything else keeps its span. Elements of unknown ids are left out.
+    """
+    from strandloom.functions.text import assembly_key
+
+    first = variants.groupBy("asm_id").agg(F.min(F.struct("chrom", "start", "stop", "sv_type")).alias("v"))
+    e = elements.withColumn("asm_id", assembly_key(F.col(key)).getField("asm_id"))
+    j = e.join(first, "asm_id")
+    stop = F.when(F.col("v.sv_type") == "Insertion", F.col("v.start") + 1).otherwise(F.col("v.stop"))
+    return j.select(key, F.concat_ws("|", element, "asm_id").alias("label"), F.col("v.chrom").alias("chrom"), F.col("v.start").alias("start"), stop.alias("stop"))
+
+
+def pair_regions(df: DataFrame, ident: str, region: str, near: int = 100, long: int = 500) -> DataFrame:
+    """The place of an element between the hits of its left and right region (J14), one hit for each side (the first line).
+
+    Kept if the hits meet within ``near`` on the subject or one of them is longer than ``long`` on the query; the place is the end
+    of the left hit if that one is long, else the start of the right one.
+    """
+    side = lambda s: F.min(F.when(F.col(region) == s, F.struct("line_no", "sseqid", "sstart", "send", "qstart", "qend")))
+    p = df.groupBy(ident).agg(side("LEFT").alias("l"), side("RIGHT").alias("r")).filter("l is not null and r is not null")
+    size = lambda x: F.abs(F.col(f"{x}.qend") - F.col(f"{x}.qstart"))
+    kept = p.filter((F.abs(F.col("l.send") - F.col("r.sstart")) <= near) | (size("l") > long) | (size("r") > long))
+    left = size("l") > long
+    return kept.select(ident, F.when(left, F.col("l.sseqid")).otherwise(F.col("r.sseqid")).alias("chrom"), F.when(left, F.col("l.send")).otherwise(F.col("r.sstart")).alias("position"))

@@ -24,4 +24,4 @@ def test_query(spark, con, name):
 
 
 def test_only_what_sql_cannot_say_has_none():
-    assert set(registry.queries()) - set(SQL) == {"f10_chain_id"}
+    assert set(registry.queries()) - set(SQL) == {"f10_chain_id", "f14_clips_to_insertions"}
