@@ -11,13 +11,13 @@ from strandloom.operators.eager import present
 from strandloom.session import table
 
 
-def _stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stretches(spark: SparkSession, sf_dir: str, least: int = 1) -> DataFrame:
     hits = table(spark, sf_dir, "blast_hits").filter(present("qseqid") & present("sseqid"))
-    return runs(hits, "qseqid", "line_no", ["sseqid", F.col("sstart") <= F.col("send")], ["sstart", "send"], penalty=10)
+    return runs(hits, "qseqid", "line_no", ["sseqid", F.col("sstart") <= F.col("send")], ["sstart", "send"], penalty=10, least=least)
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stretches(spark, sf_dir).filter("n_events > 1").select(F.col("entity").alias("qseqid"), F.col("first").alias("first_line_no"), F.col("last").alias("last_line_no"))
+    return _stretches(spark, sf_dir, least=2).select(F.col("entity").alias("qseqid"), F.col("first").alias("first_line_no"), F.col("last").alias("last_line_no"))
 
 
 def p2_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,13 +60,14 @@ def _same(column: pa.Array) -> np.ndarray:
     return out
 
 
-def runs(df: DataFrame, entity: str, order: str, kind: Sequence[str | Column], fields: Sequence[str], penalty: int = 10, partitions: int | None = None) -> DataFrame:
+def runs(df: DataFrame, entity: str, order: str, kind: Sequence[str | Column], fields: Sequence[str], penalty: int = 10, partitions: int | None = None, least: int = 1) -> DataFrame:
     """One row per run: entity, kind columns (``kind0``...), first_/last_ of ``order``, n_events, and lo_/hi_ of each field.
 
     ``kind`` must be equal within a run; ``fields`` are integers whose largest difference to the event before is the
     dissimilarity, and ``penalty`` the price of a boundary: neighbours that differ by at most the penalty stay together.
     Rows with a NULL in any of these columns are left out first. Rows of one entity and order value are one event; should such
-    copies differ, the least by (kind, fields) counts. An empty table gives no row; other columns are dropped.
+    copies differ, the least by (kind, fields) counts. An empty table gives no row; other columns are dropped. Only runs of at
+    least ``least`` events are returned; shorter ones don't leave their partition, unless they may go on in the next.
     """
     kinds = [f"kind{i}" for i in range(len(kind))]
     rows = df.select(
@@ -123,7 +124,8 @@ def runs(df: DataFrame, entity: str, order: str, kind: Sequence[str | Column], f
                 head = np.zeros(len(begins) - 1, bool)
                 head[0] = first_batch
                 first_batch = False
-                yield pa.RecordBatch.from_arrays([c.slice(0, len(head)) for c in out] + [pa.array(head), pa.array(np.zeros(len(head), bool))], schema=arrow)
+                closed = pa.RecordBatch.from_arrays([c.slice(0, len(head)) for c in out] + [pa.array(head), pa.array(np.zeros(len(head), bool))], schema=arrow)
+                yield closed if least < 2 else closed.filter(pa.array(head | (extra["n_events"][: len(head)] >= least)))
             last = [c.slice(len(begins) - 1) for c in out]
         if held is not None:
             yield pa.RecordBatch.from_arrays([*last, pa.array([first_batch]), pa.array([True])], schema=arrow)
@@ -142,7 +144,7 @@ def runs(df: DataFrame, entity: str, order: str, kind: Sequence[str | Column], f
         F.min("entity").alias("entity"), *[F.min(k).alias(k) for k in kinds],
         F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n_events").alias("n_events"),
         *[g(f"{p}_{f}").alias(f"{p}_{f}") for f in fields for p, g in (("lo", F.min), ("hi", F.max))],
-    ).drop("__part", "__run")
+    ).drop("__part", "__run").filter(F.col("n_events") >= least)
 
 
 def _collapse(t: pa.Table, begins: np.ndarray, values, kinds, fields, carried):

@@ -63,6 +63,8 @@ def test_runs_however_they_are_cut(spark, partitions):
     df = spark.createDataFrame([(*r, "x", 1) for r in data], "q string, n bigint, s string, a bigint, b bigint, entity string, first int")
     got = runs(df, "q", "n", ["s", F.col("a") <= F.col("b")], ["a", "b"], partitions=partitions)
     assert rows(got.select("entity", "first", "last", "n_events")) == brute_runs(data)
+    long = runs(df, "q", "n", ["s", F.col("a") <= F.col("b")], ["a", "b"], partitions=partitions, least=3)
+    assert rows(long.select("entity", "first", "last", "n_events")) == [r for r in brute_runs(data) if r[3] >= 3]
     assert rows(runs(df.limit(0), "q", "n", ["s"], ["a"])) == []
 
 
