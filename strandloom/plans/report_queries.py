@@ -328,7 +328,7 @@ def f19_genome_layout(spark, d):
 
 _PIXELS = """, g AS (SELECT line_no, sstart > send AS down, size_bp AS sz, 4000 + line_no % 5000 AS ql, least(sstart, send) AS s, greatest(sstart, send) AS e, least(qstart, qend) AS q FROM hits JOIN te_sizes ON sseqid = te_name),
 r AS (SELECT *, (200 * CASE WHEN down THEN sz - e ELSE s - 1 END + sz) // (2 * sz) AS lead, (200 * (e - s) + sz) // (2 * sz) AS share, (200 * (q - 1) + ql) // (2 * ql) AS place FROM g WHERE s >= 1 AND e <= sz AND q >= 1)
-SELECT line_no, CASE WHEN down THEN -1 ELSE 1 END AS strand, 500 * lead // 100 AS lead0, 500 * sz * lead // (100 * ql) AS lead1, 500 * place // 100 - 500 * lead // 100 AS posq0, 500 * place // 100 - 500 * sz * lead // (100 * ql) AS posq1, 500 * share // 100 AS size0, 500 * sz * share // (100 * ql) AS size1 FROM r"""
+SELECT line_no, CAST(CASE WHEN down THEN -1 ELSE 1 END AS BIGINT) AS strand, 500 * lead // 100 AS lead0, 500 * sz * lead // (100 * ql) AS lead1, 500 * place // 100 - 500 * lead // 100 AS posq0, 500 * place // 100 - 500 * sz * lead // (100 * ql) AS posq1, 500 * share // 100 AS size0, 500 * sz * share // (100 * ql) AS size1 FROM r"""
 
 
 @query(sql("hits") + _PIXELS)

@@ -58,7 +58,7 @@ SQL = {
     "evidence": "evidence AS (SELECT DISTINCT chrom, pos, pos1, read_name, seq, count_read, count_read_real, op_len FROM ins_evidence WHERE chrom NOT IN ('.', 'NONE') AND pos IS NOT NULL AND op_len IS NOT NULL AND read_name IS NOT NULL)",
     "aligned": "aligned AS (SELECT DISTINCT * FROM alignments WHERE rstart IS NOT NULL AND rend IS NOT NULL AND qstart IS NOT NULL AND qend IS NOT NULL AND rid IS NOT NULL AND qid IS NOT NULL)",
 }
-SQL["reads"] = SQL["evidence"] + """, reads AS (SELECT DISTINCT chrom AS rname, pos, read_name AS qname, CASE count_read % 7 WHEN 0 THEN 4 WHEN 1 THEN 2048 WHEN 2 THEN 16 ELSE 0 END AS flag, op_len % 60 AS mapq,
+SQL["reads"] = SQL["evidence"] + """, reads AS (SELECT DISTINCT chrom AS rname, pos, read_name AS qname, CAST(CASE count_read % 7 WHEN 0 THEN 4 WHEN 1 THEN 2048 WHEN 2 THEN 16 ELSE 0 END AS BIGINT) AS flag, op_len % 60 AS mapq,
   concat(count_read % 90 + 10, 'S', pos % 400 + 100, 'M', op_len, CASE WHEN op_len % 2 = 0 THEN 'I' ELSE 'D' END, count_read % 300 + 50, 'M', CASE WHEN op_len % 3 = 0 THEN concat(pos % 500 + 50, 'H') ELSE '' END) AS cigar, seq FROM evidence)"""
 
 
