@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.operators.ranks import bucketed_rank
+from strandloom.session import checkpointed
 
 
 def axis_intervals(df: DataFrame, keys: Sequence[str], axes: dict[str, tuple[str, str]]) -> DataFrame:
@@ -41,7 +42,8 @@ def periods_and_gaps(intervals: DataFrame, keys: Sequence[str], lo: str = "lo",
     ranked = bucketed_rank(_sides(there, names, "lo", "hi"), [*names, "side"], "at", width)
     starts = ranked.filter("side = 's'").select(*names, (F.col("first_rank") - 1).alias("i"), F.col("at").alias("seg_end"))
     ends = ranked.filter("side = 'e'").select(*names, F.col("last_rank").alias("i"), F.col("at").alias("seg_start"))
-    gaps = ends.join(starts, [*names, "i"]).filter("seg_end > seg_start").select(*names, "seg_start", "seg_end")
+    # The gaps are both a result and where the periods come from; without a checkpoint all of the above would run again.
+    gaps = checkpointed(ends.join(starts, [*names, "i"]).filter("seg_end > seg_start").select(*names, "seg_start", "seg_end"))
     extremes = there.groupBy(*names).agg(F.min("lo").alias("first"), F.max("hi").alias("last"))
     # A gap begins where a period ends and ends where the next one begins.
     bounds = _sides(gaps, names, "seg_end", "seg_start").unionByName(_sides(extremes, names, "first", "last"))

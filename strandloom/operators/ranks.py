@@ -22,15 +22,15 @@ def bucketed_rank(points: DataFrame, keys: Sequence[str], value: str, width: int
     there = there.withColumn("__range", F.floor(F.col(value) / F.lit(width)).cast("bigint"))
     runs = there.groupBy(*keys, "__range", value).agg(F.count(F.lit(1)).alias("__n"))
     in_range = Window.partitionBy(*keys, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    runs = runs.withColumn("__upto", F.sum("__n").over(in_range))
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        there.groupBy(*keys, "__range").agg(F.count(F.lit(1)).alias("__n"))
+        runs.groupBy(*keys, "__range").agg(F.sum("__n").alias("__n"))
         .withColumn("__shift", F.sum("__n").over(before))
         .filter(F.col("__shift") > 0)
         .drop("__n")
     )
-    return runs.join(shifts, [*keys, "__range"], "left").select(
+    placed = runs.withColumn("__upto", F.sum("__n").over(in_range))
+    return placed.join(shifts, [*keys, "__range"], "left").select(
         *keys,
         value,
         (F.coalesce("__shift", F.lit(0)) + F.col("__upto") - F.col("__n") + 1).alias("first_rank"),
