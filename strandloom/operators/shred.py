@@ -57,11 +57,15 @@ def _refuse(token: str):
     raise ValueError(token)
 
 
+def _integer(digits: str):
+    return int(digits) if len(digits) < 4000 else float(digits)  # longer ones Python won't read
+
+
 def parse(text):
     """The JSON value of a text, through strings that hold JSON; None where it is no complete JSON."""
     try:
         while isinstance(text, str):
-            text = json.loads(text, parse_constant=_refuse)
+            text = json.loads(text, parse_constant=_refuse, parse_int=_integer)
     except (ValueError, RecursionError):
         return None
     return text
@@ -74,8 +78,9 @@ def _elements(value):
     if isinstance(value, dict):
         if not value:
             return None
-        if all(k.isascii() and k.isdigit() for k in value):
-            return Placed(sorted((int(k), v) for k, v in value.items())) if len({int(k) for k in value}) == len(value) else Placed(sorted({int(k): v for k, v in value.items()}.items()))
+        if all(k.isascii() and k.isdigit() and len(k) <= 18 for k in value):
+            by_place = {int(k): v for k, v in value.items()}  # of "1" and "01" the last counts
+            return Placed([(k, by_place[k]) for k in sorted(by_place)])
         return [value]
     return value if isinstance(value, list) and value else None
 

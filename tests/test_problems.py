@@ -100,9 +100,11 @@ BODIES = [
     ({"data": [{"positions": json.dumps([H, H])}]}, [(0, 0), (0, 1)]),
     (json.dumps({"data": [{"positions": [H]}]}), [(0, 0)]),
     ({"data": [[1], 5, "x", {"positions": [5, "y", [H], {}]}]}, [(3, 3)]),
+    ({"data": [{"positions": {"1": {"a": 1}, "01": {}, "0": [1]}}]}, [(0, 1)]),
+    ({"data": [{"positions": {"9" * 30: {}}}]}, [(0, 0)]),
     ({"data": []}, []), ({}, []), ([1], []), (5, []),
 ]
-RAW = [None, "", "  ", '{"data": [{"positions": [{"a": 1}', "[" * 100_000, '{"data": [{"positions": [{"a": NaN}]}]}', "nonsense"]
+RAW = [None, "", "  ", '{"data": [{"positions": [{"a": 1}', "[" * 100_000, "7" * 5000, '{"data": [{"positions": [{"a": NaN}]}]}', "nonsense"]
 
 
 def test_every_shape(spark):
