@@ -114,8 +114,10 @@ def plan(counted: DataFrame, targets: DataFrame, source: str = "source", tempere
     spelled = counted.select(same_source(F.col(source)).alias("source"), "n_tokens")
     sums = spelled.rollup("source").agg(F.grouping("source").alias("whole"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens"))
     wanted = targets.select(same_source(F.col("source")).alias("source"), F.col("source").alias("written"), F.coalesce("target_share", F.lit(0.0)).alias("target_share"), F.greatest(F.coalesce("max_repeats", F.lit(0)), F.lit(0)).cast("bigint").alias("max_repeats"))
-    # One pass over the counts: each target meets the sum of its source and the sum of all.
-    meets = wanted.join(sums.withColumnRenamed("source", "has"), (F.col("whole") == 1) | (F.col("has") == F.col("source")), "left")
+    # One pass over the counts: each target meets the sum of its source and, under a key of its own, the sum of all.
+    both = F.array(F.struct(F.col("source").alias("has"), F.lit(0).cast("tinyint").alias("whole")), F.struct(F.lit("").alias("has"), F.lit(1).cast("tinyint").alias("whole")))
+    keyed = wanted.withColumn("__p", F.explode(both)).select("source", "written", "target_share", "max_repeats", "__p.has", "__p.whole")
+    meets = keyed.join(sums.select(F.when(F.col("whole") == 1, "").otherwise(F.col("source")).alias("has"), "whole", "tokens"), ["has", "whole"], "left")
     own = F.sum(F.when(F.col("whole") == 0, F.col("tokens")))
     rows = meets.groupBy("source", "written", "target_share", "max_repeats").agg(F.coalesce(own, F.lit(0)).alias("tokens"), F.coalesce(F.max(F.when(F.col("whole") == 1, F.col("tokens"))), F.lit(0)).alias("all_tokens"))
 
