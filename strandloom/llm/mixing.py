@@ -122,9 +122,10 @@ def plan(counted: DataFrame, targets: DataFrame, source: str = "source", tempere
     rows = meets.groupBy("source", "written", "target_share", "max_repeats").agg(F.coalesce(own, F.lit(0)).alias("tokens"), F.coalesce(F.max(F.when(F.col("whole") == 1, F.col("tokens"))), F.lit(0)).alias("all_tokens"))
 
     def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        d = pd.concat([*frames], ignore_index=True)
-        if not len(d):
+        some = [f for f in frames if len(f)]
+        if not some:
             return
+        d = pd.concat(some, ignore_index=True)
         d = d.sort_values(["source", "written"], ignore_index=True)
         t, n, r = d.target_share.tolist(), d.tokens.tolist(), d.max_repeats.tolist()
         total, mixed = int(d.all_tokens.iloc[0]), sum(n)
