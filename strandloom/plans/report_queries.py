@@ -143,12 +143,12 @@ def sc14_attributes(spark, d):
     return a.select("attributes", *[tx.attribute(F.col("attributes"), k).alias(n) for k, n in (("ID", "ident"), ("NAME", "te"), ("SIDE", "side"))])
 
 
-@query("SELECT te_name AS name, 'ELEMENT' || row_number() OVER (ORDER BY te_name) AS pseudo FROM te_sizes WHERE EXISTS (SELECT 1 FROM te_sizes WHERE regexp_matches(te_name, '[:/\\\\|;!?\"''&]')) UNION ALL SELECT te_name, te_name FROM te_sizes WHERE NOT EXISTS (SELECT 1 FROM te_sizes WHERE regexp_matches(te_name, '[:/\\\\|;!?\"''&]'))")
+@query("SELECT te_name AS name, 'ELEMENT' || row_number() OVER (ORDER BY te_name) AS pseudo FROM te_sizes WHERE te_name IS NOT NULL AND EXISTS (SELECT 1 FROM te_sizes WHERE regexp_matches(te_name, '[:/\\\\|;!?\"''&]')) UNION ALL SELECT te_name, te_name FROM te_sizes WHERE te_name IS NOT NULL AND NOT EXISTS (SELECT 1 FROM te_sizes WHERE regexp_matches(te_name, '[:/\\\\|;!?\"''&]'))")
 def pseudonyms_of_names(spark, d):
     """Names as tools can take them: all renamed if any can't be taken."""
     from strandloom.session import bounded_rows
 
-    names = sorted(r[0] for r in bounded_rows(table(spark, d, "te_sizes").select("te_name"), 1_000_000, "the element dictionary"))
+    names = sorted(r[0] for r in bounded_rows(table(spark, d, "te_sizes").select("te_name").filter("te_name is not null"), 1_000_000, "the element dictionary"))
     new = tx.pseudonyms(names)
     return spark.createDataFrame([(n, new.get(n, n)) for n in names], "name string, pseudo string")
 

@@ -29,6 +29,18 @@ def duck(sf_dir: str):
     return con
 
 
+def edge_tables(src: str, dst, kind: str) -> str:
+    """Copies of the tables without rows (``empty``), or with a few rows that are NULL throughout (``nulls``)."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for p in Path(src).glob("*.parquet"):
+        t = pq.read_table(p)
+        t = t.slice(0, 0) if kind == "empty" else pa.table({f.name: pa.nulls(3, f.type) for f in t.schema}, schema=t.schema)
+        pq.write_table(t, Path(dst) / p.name)
+    return str(dst)
+
+
 def differences(spark, con, sf_dir: str, query, sql: str | None) -> tuple[str, float, float]:
     t = time.time()
     got = query(spark, sf_dir).toPandas()
