@@ -325,3 +325,16 @@ def test_viewer(spark):
     assert (r.strand, r.lead0, r.lead1, r.size0, r.size1, r.posq0, r.posq1) == (1, 50, 25, 245, 122, -50, -25)
     names = spark.createDataFrame([("Roo",), ("copia",), (None,), ("Roo",)], "te string")
     assert rows(viewer.complete(names, "te", ["RO"])) == [("Roo",)] and len(rows(viewer.complete(names, "te", []))) == 2
+
+
+@pytest.mark.parametrize("width", [1, 3, 1 << 16])
+def test_file_runs(spark, width):
+    """Runs by ranges of lines are those of a walk through the file, lines that are missing skipped and copies once."""
+    rng = random.Random(9)
+    data = [(n, rng.choice("qp"), rng.choice("TTU"), 1.0, 1, 2, 3, 4) for n in sorted(rng.sample(range(90), 60))]
+    want, last, start = {}, None, None
+    for n, q, s, *_ in data:
+        start = start if last == (q, s) else n
+        want[n], last = start, (q, s)
+    got = ht.file_runs(hits(spark, *data, *data[::4]), width).collect()
+    assert len(got) == len(want) and {r.line_no: r.run for r in got} == want
