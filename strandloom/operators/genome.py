@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.functions.sequence import stranded_slice
@@ -29,10 +29,30 @@ def splice(sequences: DataFrame, inserts: DataFrame, tie: str) -> DataFrame:
     good = inserts.filter(F.col("start").isNotNull() & F.col("insert").isNotNull())
     listed = good.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("start", tie, "insert"))).alias("__parts"))
     joined = sequences.join(listed, "name", "left").withColumn("__n", F.coalesce(F.size("__parts"), F.lit(0)))
-    start = lambda i: F.least(F.greatest(F.get("__parts", i)["start"], F.lit(0)), F.length("seq"))
+    return joined.select("name", _woven(F.lit(0)).alias("seq"), F.col("__n").cast("bigint").alias("n_inserts"))
+
+
+def splice_pieces(sequences: DataFrame, inserts: DataFrame, tie: str, width: int = 10_000) -> DataFrame:
+    """``splice`` in ranges of ``width`` bases: the pieces of a name, joined by number, are its spliced sequence.
+
+    Columns: name, piece, seq, n_inserts. An insert is in the piece of its start, also beyond the end, where a piece holds
+    inserts alone, so what is gathered is the inserts of one range and not those of a sequence. Starts below 0 count as 0 but
+    come first. Pieces of no bases and no inserts are left out, except the first of each sequence.
+    """
+    good = inserts.filter(F.col("start").isNotNull() & F.col("insert").isNotNull()).join(sequences.select("name"), "name", "left_semi")
+    ranged = good.withColumn("piece", F.expr(f"greatest(start, 0) div {width}"))
+    listed = ranged.groupBy("name", "piece").agg(F.array_sort(F.collect_list(F.struct("start", tie, "insert"))).alias("__parts"))
+    cut = sequences.select("name", "seq", F.explode(F.expr(f"sequence(0L, greatest(length(seq) - 1, 0) div {width})")).alias("piece"))
+    cut = cut.select("name", "piece", F.substring("seq", (F.col("piece") * width + 1).cast("int"), F.lit(width)).alias("seq"))
+    joined = cut.join(listed, ["name", "piece"], "full").withColumn("seq", F.coalesce("seq", F.lit(""))).withColumn("__n", F.coalesce(F.size("__parts"), F.lit(0)))
+    return joined.select("name", "piece", _woven(F.col("piece") * width).alias("seq"), F.col("__n").cast("bigint").alias("n_inserts"))
+
+
+def _woven(first: Column) -> Column:
+    """seq, whose first base is at ``first``, with the __n sorted inserts of __parts put in."""
+    start = lambda i: F.least(F.greatest(F.get("__parts", i)["start"] - first, F.lit(0)), F.length("seq"))
     pieces = F.transform("__parts", lambda p, i: F.concat(
         F.substring("seq", (F.when(i == 0, F.lit(0)).otherwise(start(i - 1)) + 1).cast("int"), (start(i) - F.when(i == 0, F.lit(0)).otherwise(start(i - 1))).cast("int")), p["insert"],
     ))
     last = F.substring("seq", (start(F.col("__n") - 1) + 1).cast("int"), F.length("seq"))
-    whole = F.when(F.col("__n") > 0, F.concat(F.array_join(pieces, ""), last)).otherwise(F.col("seq"))
-    return joined.select("name", whole.alias("seq"), F.col("__n").cast("bigint").alias("n_inserts"))
+    return F.when(F.col("__n") > 0, F.concat(F.array_join(pieces, ""), last)).otherwise(F.col("seq"))

@@ -8,7 +8,7 @@ from strandloom.functions import sequence as sq
 from strandloom.functions import text as tx
 from strandloom.operators import eager, generations, genome, report, tsd, viewer
 from strandloom.operators import intervals as iv
-from strandloom.plans.views import evidence, hits, sites, sql, stored_hits
+from strandloom.plans.views import evidence, evidence_of, evidence_of_sql, hits, sites, sql, stored_hits
 from strandloom.session import table
 from strandloom.sources import formats
 
@@ -107,6 +107,19 @@ def k3_genome_splice(spark, d):
     return genome.splice(g, i, "read_name")
 
 
+@query("WITH " + evidence_of_sql("e", "chrom", "pos", "read_name", "seq") + ", " + evidence_of_sql("b", "chrom", "seq") + """, g AS (SELECT chrom AS name, min(seq) AS seq FROM b WHERE length(seq) > 20 GROUP BY chrom),
+i AS (SELECT g.name, pos // 10000 AS piece, pos AS s, least(pos, length(g.seq)) AS spot, least((pos // 10000 + 1) * 10000, length(g.seq)) AS hi, least(pos // 10000 * 10000, length(g.seq)) AS lo, read_name, e.seq AS ins, g.seq AS seq FROM e JOIN g ON chrom = name),
+o AS (SELECT *, lead(spot) OVER w AS nxt, row_number() OVER w AS r FROM i WINDOW w AS (PARTITION BY name, piece ORDER BY s, read_name, ins)),
+p AS (SELECT name, piece, string_agg(CASE WHEN r = 1 THEN substr(seq, lo + 1, spot - lo) ELSE '' END || ins || substr(seq, spot + 1, coalesce(nxt, hi) - spot), '' ORDER BY r) AS seq, count(*) AS n FROM o GROUP BY name, piece),
+c AS (SELECT name, k AS piece, substr(seq, k * 10000 + 1, 10000) AS seq FROM g, unnest(range(0, (length(seq) - 1) // 10000 + 1)) AS u(k))
+SELECT coalesce(p.name, c.name) AS name, coalesce(p.piece, c.piece) AS piece, coalesce(p.seq, c.seq) AS seq, coalesce(n, 0) AS n_inserts FROM c FULL JOIN p ON c.name = p.name AND c.piece = p.piece""")
+def k3_genome_splice_whole(spark, d):
+    """All inserts, whole and at their positions, in pieces of 10,000 bases (K3); k3_genome_splice is a sample of them."""
+    g = evidence_of(spark, d, "chrom", "seq").filter(F.length("seq") > 20).groupBy(F.col("chrom").alias("name")).agg(F.min("seq").alias("seq"))
+    i = evidence_of(spark, d, "chrom", "pos", "read_name", "seq").select(F.col("chrom").alias("name"), F.col("pos").alias("start"), "read_name", F.col("seq").alias("insert"))
+    return genome.splice_pieces(g, i, "read_name", 10_000)
+
+
 # -- formats -----------------------------------------------------------------------------------------------------------
 _VCF = """, v AS (SELECT DISTINCT chrom, "start" + 1 AS pos, ident AS id, CASE WHEN sv_type = 'INS' THEN 'N' ELSE repeat('ACGN', CAST(1 + coalesce(sv_size, 0) % 300 AS INT)) END AS ref, CASE WHEN sv_type = 'INS' THEN repeat('ACGT', CAST(1 + coalesce(sv_size, 0) % 400 AS INT)) ELSE '<DEL>' END AS alt,
   'SVTYPE=' || CASE WHEN sv_type = 'INS' THEN 'INS' ELSE 'DEL' END || ';END=' || "end" || ';RE=' || (1 + coalesce(sv_size, 0) % 9) || ';PRECISE;RNAMES=' || te || '_1,' || te || '_2' AS info FROM sites)

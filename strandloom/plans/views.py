@@ -38,6 +38,14 @@ def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "ins_evidence").filter(present("chrom")).filter("pos is not null and op_len is not null and read_name is not null").select("chrom", "pos", F.col("pos1"), "read_name", "seq", "count_read", "count_read_real", "op_len").distinct()
 
 
+def evidence_of(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The named columns of the read evidence where each of them is there, copies once; other columns don't matter."""
+    df = table(spark, sf_dir, "ins_evidence").select(*columns)
+    for c in columns:
+        df = df.filter(present(c) if c == "chrom" else F.col(c).isNotNull())
+    return df.distinct()
+
+
 def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignments with all coordinates, copies once."""
     return table(spark, sf_dir, "alignments").dropna(subset=["rstart", "rend", "qstart", "qend", "rid", "qid"]).distinct()
@@ -65,3 +73,9 @@ SQL["reads"] = SQL["evidence"] + """, reads AS (SELECT DISTINCT chrom AS rname,
 def sql(*names: str) -> str:
     """A WITH clause of the named views."""
     return "WITH " + ",\n".join(SQL[n] for n in names) + "\n"
+
+
+def evidence_of_sql(name: str, *columns: str) -> str:
+    """``evidence_of`` as a view of that name, for a WITH clause."""
+    there = " AND ".join("chrom NOT IN ('.', 'NONE')" if c == "chrom" else f"{c} IS NOT NULL" for c in columns)
+    return f"{name} AS (SELECT DISTINCT {', '.join(columns)} FROM ins_evidence WHERE {there})"

@@ -224,6 +224,21 @@ def test_slices_and_splice(spark):
     assert rows(genome.splice(g, i, "k")) == [("c", "ACxxyGTACGTz", 3), ("e", "TT", 0)]
 
 
+@pytest.mark.parametrize("width", [1, 3, 8, 10_000])
+def test_splice_pieces(spark, width):
+    """Pieces in order are the spliced sequence, and no piece gathers more than the inserts of its range."""
+    g = spark.createDataFrame([("c", "ACGTACGT"), ("e", "TT"), ("n", "")], "name string, seq string")
+    data = [("c", 2, "xx", 1), ("c", 2, "y" * 40, 2), ("c", 8, "b", 9), ("c", 99, "z", 3), ("c", 5, "", 5), ("c", -4, "a", 6), ("c", 7, "w", 7), ("c", None, "q", 4), ("x", 1, "q", 8)]
+    i = spark.createDataFrame(data, "name string, start bigint, insert string, k int")
+    got = {}
+    for r in sorted(genome.splice_pieces(g, i, "k", width).collect(), key=lambda r: (r.name, r.piece)):
+        seq, n = got.get(r.name, ("", 0))
+        got[r.name] = (seq + r.seq, n + r.n_inserts)
+        assert r.n_inserts == sum(a == r.name and s is not None and max(s, 0) // width == r.piece for a, s, _, _ in data)
+    assert got == {r.name: (r.seq, r.n_inserts) for r in genome.splice(g, i, "k").collect()}
+    assert got["c"] == ("aACxx" + "y" * 40 + "GTACGwTbz", 7)
+
+
 def test_cigar(spark):
     d = one(spark, c="5S10M3I4D2X1H")
     assert value(d, cg.reference_length(F.col("c"))) == 14
