@@ -39,10 +39,19 @@ def occurrences(text: Column, pattern: Column) -> Column:
 
 
 def longest_common(main: Column, other: Column, least: int = 4) -> Column:
-    """The longest substring of ``main``, leftmost among equals, that also stands in ``other``; NULL below ``least`` letters."""
-    lengths = F.when(F.length(main) >= least, F.sequence(F.length(main), F.lit(least), F.lit(-1))).otherwise(F.array().cast("array<int>"))
-    parts = F.flatten(F.transform(lengths, lambda k: F.transform(F.sequence(F.lit(1), F.length(main) - k + 1), lambda p: F.substring(main, p, k))))
-    return F.get(F.filter(parts, lambda s: F.instr(other, s) > 0), F.lit(0))
+    """The longest substring of ``main``, leftmost among equals, that also stands in ``other``; NULL below ``least`` letters.
+
+    A walk of 2 x length(main) steps: where one letter more than the best still stands in ``other``, the best grows, else the
+    walk goes on to the next place. The texts are part of the state so that each is computed once.
+    """
+    state = lambda m, o, p, best, at: F.struct(m.alias("m"), o.alias("o"), p.alias("p"), best.alias("best"), at.alias("at"))
+
+    def step(x: Column, _: Column) -> Column:
+        grows = (x["p"] + x["best"] <= F.length(x["m"])) & (F.instr(x["o"], F.substring(x["m"], x["p"], x["best"] + 1)) > 0)
+        return F.when(grows, state(x["m"], x["o"], x["p"], x["best"] + 1, x["p"])).otherwise(state(x["m"], x["o"], x["p"] + 1, x["best"], x["at"]))
+
+    walk = F.sequence(F.lit(1), F.greatest(2 * F.length(main), F.lit(1)))
+    return F.aggregate(walk, state(main, other, F.lit(1), F.lit(least - 1), F.lit(0)), step, lambda x: F.when(x["best"] >= least, F.substring(x["m"], x["at"], x["best"])))
 
 
 def nearest_occurrence(text: Column, pattern: Column, at: Column) -> Column:

@@ -70,6 +70,32 @@ def f4_duplications_reads(spark, d):
     return tsd.place_from_reads(_tsd(spark, d), "gl", "gr", "pos").select("chrom", "pos", "read_name", "tsd", "new_pos")
 
 
+# Both halves of each whole sequence as flanks, and as the two sides of its empty site.
+_HALVES = """, f AS (SELECT chrom, pos, read_name, left(seq, (length(seq) + 1) // 2) AS fk_l, substr(seq, (length(seq) + 1) // 2 + 1) AS fk_r, fk_l AS gl, fk_r AS gr FROM e0),
+""" + _FLANKS[_FLANKS.index("c AS (") :]
+_PLACED = evidence_of_sql("e0", "chrom", "pos", "read_name", "seq")
+
+
+def _tsd_whole(spark, d):
+    half = F.expr("(length(seq) + 1) div 2").cast("int")
+    f = evidence_of(spark, d, "chrom", "pos", "read_name", "seq").select("chrom", "pos", "read_name", F.left("seq", half).alias("fk_l"), F.substring("seq", half + 1, F.length("seq")).alias("fk_r"))
+    return tsd.duplications(f)
+
+
+@query("WITH " + _PLACED + _HALVES + "SELECT chrom, pos, read_name, tsd, shift_l, shift_r, pos - shift_l AS new_pos FROM t")
+def f3_duplications_genome_whole(spark, d):
+    """Duplications between the halves of whole sequences (F3); f3_duplications_genome reads 21 letters."""
+    return tsd.place_from_genome(_tsd_whole(spark, d), "pos").select("chrom", "pos", "read_name", "tsd", "shift_l", "shift_r", "new_pos")
+
+
+@query("WITH " + _PLACED + _HALVES + """, e AS (SELECT *, list_filter(range(0, greatest(length(gl || gr) - length(tsd) + 1, 0)), lambda z: substr(gl || gr, z + 1, length(tsd)) = tsd) AS o FROM t),
+n AS (SELECT *, list_min(list_transform(o, lambda z: {'d': abs(z - length(gl) + length(tsd)), 'p': z})).p AS hit FROM e)
+SELECT chrom, pos, read_name, tsd, CASE WHEN hit IS NOT NULL THEN pos + hit - length(gl) + length(tsd) ELSE pos END AS new_pos FROM n""")
+def f4_duplications_reads_whole(spark, d):
+    """The same placed by the whole empty site (F4); f4_duplications_reads reads 21 letters."""
+    return tsd.place_from_reads(_tsd_whole(spark, d), "fk_l", "fk_r", "pos").select("chrom", "pos", "read_name", "tsd", "new_pos")
+
+
 @query(sql("evidence") + "SELECT DISTINCT seq, count_read % 40 AS p, op_len % 10 AS w, substr(seq, greatest(count_read % 40 - 10, 0) + 1, greatest(least(count_read % 40 + op_len % 10, length(seq)) - greatest(count_read % 40 - 10, 0), 0)) AS piece FROM evidence WHERE seq IS NOT NULL")
 def f7_flank_slice(spark, d):
     p, w = F.col("count_read") % 40, F.col("op_len") % 10
