@@ -396,6 +396,16 @@ def k1_export_signs(spark, d):
     return report.sentinels(f, {"tsd": "NONE", "new_pos": "NONE"})
 
 
+_FACTS = ("chrom", "start_pos", "end_pos", "te_id", "strand", "tsd", "pident", "psize_te", "size_te", "new_pos", "freq", "freq_with_clipped", "sv_size", "sv_id", "sv_type")
+_SIGNS = dict.fromkeys(_FACTS, "NONE") | {"strand": "."}
+
+
+@query("SELECT " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '{_SIGNS[c]}') AS {c}" for c in _FACTS) + " FROM te_infos")
+def k1_export_signs_whole(spark, d):
+    """All facts with all their columns as text, with the signs of missing for export (K1); k1_export_signs is two questions."""
+    return report.sentinels(table(spark, d, "te_infos").select(*_FACTS), _SIGNS)
+
+
 @query(sql("hits") + "SELECT * FROM (SELECT line_no, CAST((line_no - 1) % 7 AS BIGINT) AS part FROM hits)")
 def k7_parts(spark, d):
     """Rows dealt to a number of parts (K7, SC17)."""

@@ -5,11 +5,15 @@ import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 
+from strandloom.operators import viewer
 from strandloom.plans import registry
 
 Q = registry.queries()
 EVIDENCE = pa.schema([(c, pa.string() if c in ("chrom", "read_name", "seq") else pa.int64()) for c in ("chrom", "pos", "pos1", "read_name", "seq", "count_read", "count_read_real", "op_len")])
 
+TEXT, WHOLE, REAL = ("chrom", "te_id", "strand", "tsd", "size_te", "freq", "freq_with_clipped", "sv_size", "sv_id", "sv_type"), ("start_pos", "end_pos", "new_pos"), ("pident", "psize_te")
+FACTS = pa.schema([(c, t) for cs, t in ((TEXT, pa.string()), (WHOLE, pa.int64()), (REAL, pa.float64())) for c in cs])
+
 
 @pytest.fixture
 def write(tmp_path):
@@ -34,3 +38,12 @@ def test_duplications_of_whole_sequences(spark, write):
     d = write("ins_evidence", EVIDENCE, {"chrom": "A", "pos": 1000, "read_name": "r", "seq": "GGGGGG" + w + "TT" + "CC" + w + "AAAAAA"})
     assert rows(Q["f3_duplications_genome_whole"](spark, d)) == [("A", 1000, "r", w, 2, 2, 998)]
     assert rows(Q["f4_duplications_reads_whole"](spark, d)) == [("A", 1000, "r", w, 998)]
+
+
+def test_export_of_all_facts(spark, write):
+    """Every fact and column comes out, a missing chromosome with its sign; the question by identifier is the viewer's."""
+    d = write("te_infos", FACTS, {"chrom": "A", "start_pos": 5, "pident": 90.5, "strand": "-", "sv_id": "one"}, {"sv_id": "two"})
+    got = {r["sv_id"]: r.asDict() for r in Q["k1_export_signs_whole"](spark, d).collect()}
+    assert set(got["one"]) == set(FACTS.names) and (got["one"]["chrom"], got["one"]["start_pos"], got["one"]["pident"], got["one"]["strand"], got["one"]["tsd"]) == ("A", "5", "90.5", "-", "NONE")
+    assert got["two"] == dict.fromkeys(FACTS.names, "NONE") | {"sv_id": "two", "strand": "."}
+    assert [r["chrom"] for r in viewer.facts(Q["k1_export_signs_whole"](spark, d), "one").collect()] == ["A"]
