@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strandloom.functions import cigar as cg
 from strandloom.functions import text as tx
 from strandloom.operators import assembly
-from strandloom.plans.views import evidence, hits, reads, sites, sql
+from strandloom.plans.views import evidence, evidence_of, evidence_of_sql, hits, reads, sites, sql
 from strandloom.session import table
 from strandloom.sources import formats
 
@@ -32,11 +32,24 @@ def sc1_fasta_records(spark, d):
     return formats.parse_fasta_records(e.select(text.alias("value"))).distinct()
 
 
+@query("WITH " + evidence_of_sql("e", "read_name", "pos", "seq") + "\nSELECT DISTINCT read_name || ' ' || pos AS name, upper(seq) AS seq FROM e")
+def sc1_fasta_records_whole(spark, d):
+    """The same of every sequence with a read and a position (SC1)."""
+    text = F.concat(F.lit(">"), "read_name", F.lit(" "), F.col("pos").cast("string"), F.lit("\n"), F.regexp_replace(F.lower("seq"), "(.{10})", "$1\n"))
+    return formats.parse_fasta_records(evidence_of(spark, d, "read_name", "pos", "seq").select(text.alias("value"))).distinct()
+
+
 @query(sql("evidence") + "SELECT DISTINCT read_name AS name, length(seq) AS size_bp FROM evidence WHERE seq IS NOT NULL")
 def sc11_sequence_index(spark, d):
     return formats.sequence_index(evidence(spark, d).filter("seq is not null").select(F.col("read_name").alias("name"), "seq")).distinct()
 
 
+@query("WITH " + evidence_of_sql("e", "read_name", "seq") + "\nSELECT DISTINCT read_name AS name, length(seq) AS size_bp FROM e")
+def sc11_sequence_index_whole(spark, d):
+    """The same of every sequence with a read (SC11)."""
+    return formats.sequence_index(evidence_of(spark, d, "read_name", "seq").select(F.col("read_name").alias("name"), "seq")).distinct()
+
+
 @query("WITH n AS (SELECT te_name AS original, 'ELEMENT' || row_number() OVER (ORDER BY te_name) AS pseudo FROM te_sizes), f AS (SELECT 'ELEMENT' || i AS pseudo FROM range(1, 120) AS t(i))\nSELECT coalesce(original, f.pseudo) AS name FROM f LEFT JOIN n ON f.pseudo = n.pseudo")
 def rename_back(spark, d):
     """Pseudonyms as originals again; what isn't a pseudonym stays."""

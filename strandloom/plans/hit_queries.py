@@ -9,6 +9,7 @@ from strandloom.functions import text as tx
 from strandloom.operators import assembly
 from strandloom.operators import evidence as ev
 from strandloom.operators import hits as ht
+from strandloom.operators.eager import present
 from strandloom.plans.views import aligned, evidence, hits, reads, sites, sql, stored_hits
 from strandloom.session import table
 
@@ -139,6 +140,13 @@ def a1_count_per_family(spark, d):
     return hits(spark, d).groupBy(F.col("sseqid").alias("te")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("SELECT sseqid AS te, count(DISTINCT line_no) AS n FROM blast_hits WHERE sseqid NOT IN ('.', 'NONE') AND line_no IS NOT NULL GROUP BY sseqid")
+def a1_count_per_family_whole(spark, d):
+    """Lines of each family, whatever else they miss (A1)."""
+    h = table(spark, d, "blast_hits").filter(present("sseqid") & F.col("line_no").isNotNull()).select("line_no", F.col("sseqid").alias("te")).distinct()
+    return h.groupBy("te").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(sql("hits") + "SELECT regexp_extract(split_part(qseqid, ':', 2), '(SOFT|HARD|DEL|INS)', 1) AS sv_type, count(DISTINCT sseqid) AS families, count(*) AS total FROM hits GROUP BY 1")
 def a2_families_per_type(spark, d):
     return hits(spark, d).groupBy(tx.variant_type(tx.field(F.col("qseqid"), 2)).alias("sv_type")).agg(F.count_distinct("sseqid").alias("families"), F.count(F.lit(1)).alias("total"))

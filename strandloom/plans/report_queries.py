@@ -45,6 +45,21 @@ def f2_exact_search(spark, d):
     return o.select("seq", F.size("o").cast("bigint").alias("n"), F.array_min("o").cast("bigint").alias("first"), F.array_max("o").cast("bigint").alias("last"))
 
 
+# The same of all sequences, whatever else their rows miss.
+_ALL_SEQS = "WITH " + evidence_of_sql("seqs", "seq") + "\n"
+
+
+@query(_ALL_SEQS + f"SELECT seq, {_RC.format(x='seq')} AS rc FROM seqs")
+def f1_reverse_complement_whole(spark, d):
+    return evidence_of(spark, d, "seq").select("seq", sq.reverse_complement(F.col("seq")).alias("rc"))
+
+
+@query(_ALL_SEQS + ", o AS (SELECT seq, i FROM seqs, unnest(range(0, greatest(length(seq) - 1, 0))) AS u(i) WHERE substr(seq, i + 1, 2) = 'GA')\nSELECT seq, count(*) AS n, min(i) AS first, max(i) AS last FROM o GROUP BY seq")
+def f2_exact_search_whole(spark, d):
+    o = evidence_of(spark, d, "seq").withColumn("o", sq.occurrences(F.col("seq"), F.lit("GA"))).filter("size(o) > 0")
+    return o.select("seq", F.size("o").cast("bigint").alias("n"), F.array_min("o").cast("bigint").alias("first"), F.array_max("o").cast("bigint").alias("last"))
+
+
 _FLANKS = """, f AS (SELECT DISTINCT chrom, pos, read_name, left(seq, 11) AS fk_l, substr(seq, 12, 10) AS fk_r, substr(seq, 5, 12) AS gl, substr(seq, 10, 12) AS gr FROM evidence WHERE seq IS NOT NULL),
 c AS (SELECT *, length(fk_r) > length(fk_l) AS swap, CASE WHEN length(fk_r) > length(fk_l) THEN fk_l ELSE fk_r END AS m, CASE WHEN length(fk_r) > length(fk_l) THEN fk_r ELSE fk_l END AS s FROM f),
 p AS (SELECT *, list_filter(flatten(list_transform(range(length(m), 3, -1), lambda k: list_transform(range(1, length(m) - k + 2), lambda p: substr(m, p, k)))), lambda w: instr(s, w) > 0)[1] AS tsd FROM c),
@@ -114,6 +129,12 @@ def valid_long_sequences(spark, d):
     return _seqs(spark, d).filter(sq.valid_sequence(F.col("seq")) & (F.length("seq") > 30)).select("seq", F.length("seq").cast("bigint").alias("n"))
 
 
+@query(_ALL_SEQS + "SELECT seq, length(seq) AS n FROM seqs WHERE length(seq) > 30 AND regexp_full_match(upper(seq), '[ACGTURYKMSWBDHVN.-]+')")
+def valid_long_sequences_whole(spark, d):
+    """The same of all sequences."""
+    return evidence_of(spark, d, "seq").filter(sq.valid_sequence(F.col("seq")) & (F.length("seq") > 30)).select("seq", F.length("seq").cast("bigint").alias("n"))
+
+
 @query(sql("evidence") + ", g AS (SELECT chrom AS name, min(seq) AS seq FROM evidence WHERE length(seq) > 20 GROUP BY chrom), v AS (SELECT DISTINCT chrom, read_name, pos % 20 AS s, pos % 20 + op_len % 30 AS e, CASE WHEN op_len % 2 = 0 THEN '-' ELSE '+' END AS strand FROM evidence), x AS (SELECT chrom, read_name, s, e, strand, substr(seq, s + 1, greatest(least(e, length(seq)) - s, 0)) AS p FROM v JOIN g ON chrom = name)\nSELECT chrom, read_name, s, e, strand, CASE WHEN strand = '-' THEN " + _RC.format(x="p") + " ELSE p END AS piece FROM x")
 def j13_sequence_slices(spark, d):
     e = evidence(spark, d)
@@ -194,7 +215,7 @@ def pseudonyms_of_names(spark, d):
 
 @query(None)
 def f10_chain_id(spark, d):
-    return _seqs(spark, d).select("seq", tx.chain_id(F.col("seq")).alias("chain_id"))
+    return evidence_of(spark, d, "seq").select("seq", tx.chain_id(F.col("seq")).alias("chain_id"))
 
 
 @query("SELECT chrom, size_bp, CASE WHEN size_bp >= 1000000000 THEN format('{:,.2f} Gb', size_bp / 1000000000) WHEN size_bp >= 1000000 THEN format('{:,.2f} Mb', size_bp / 1000000) WHEN size_bp >= 1000 THEN format('{:,.2f} Kb', size_bp / 1000) ELSE size_bp || ' bp' END AS shown FROM chrom_sizes")

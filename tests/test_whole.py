@@ -7,12 +7,14 @@ from conftest import rows
 
 from strandloom.operators import viewer
 from strandloom.plans import registry
+from strandloom.plans.views import HIT_COLUMNS
 
 Q = registry.queries()
 EVIDENCE = pa.schema([(c, pa.string() if c in ("chrom", "read_name", "seq") else pa.int64()) for c in ("chrom", "pos", "pos1", "read_name", "seq", "count_read", "count_read_real", "op_len")])
 
 TEXT, WHOLE, REAL = ("chrom", "te_id", "strand", "tsd", "size_te", "freq", "freq_with_clipped", "sv_size", "sv_id", "sv_type"), ("start_pos", "end_pos", "new_pos"), ("pident", "psize_te")
 FACTS = pa.schema([(c, t) for cs, t in ((TEXT, pa.string()), (WHOLE, pa.int64()), (REAL, pa.float64())) for c in cs])
+HITS = pa.schema([(c, pa.string() if c in ("qseqid", "sseqid") else pa.float64() if c in ("pident", "evalue", "bitscore") else pa.int64()) for c in HIT_COLUMNS])
 
 
 @pytest.fixture
@@ -47,3 +49,24 @@ def test_export_of_all_facts(spark, write):
     assert set(got["one"]) == set(FACTS.names) and (got["one"]["chrom"], got["one"]["start_pos"], got["one"]["pident"], got["one"]["strand"], got["one"]["tsd"]) == ("A", "5", "90.5", "-", "NONE")
     assert got["two"] == dict.fromkeys(FACTS.names, "NONE") | {"sv_id": "two", "strand": "."}
     assert [r["chrom"] for r in viewer.facts(Q["k1_export_signs_whole"](spark, d), "one").collect()] == ["A"]
+
+
+@pytest.mark.parametrize("name", ["f1_reverse_complement_whole", "f2_exact_search_whole", "f10_chain_id", "valid_long_sequences_whole"])
+def test_sequences_without_places(spark, write, name):
+    """A sequence counts once, whatever its rows miss."""
+    seq = "GA" * 16
+    d = write("ins_evidence", EVIDENCE, {"seq": seq}, {"chrom": ".", "pos": 4, "seq": seq, "read_name": "r"}, {"chrom": "A", "pos": 4, "op_len": 1, "read_name": "r"})
+    assert [r["seq"] for r in Q[name](spark, d).collect()] == [seq]
+
+
+def test_records_without_chromosome(spark, write):
+    d = write("ins_evidence", EVIDENCE, {"pos": 4, "read_name": "r", "seq": "ACGT"}, {"read_name": "s", "seq": "AC"})
+    assert rows(Q["sc1_fasta_records_whole"](spark, d)) == [("r 4", "ACGT")]
+    assert rows(Q["sc11_sequence_index_whole"](spark, d)) == [("r", 4), ("s", 2)]
+
+
+def test_families_count_every_line(spark, write):
+    """Lines without coordinates, query or score count, copies once, lines of no family not at all."""
+    nan = float("nan")
+    d = write("blast_hits", HITS, {"line_no": 1, "sseqid": "T"}, {"line_no": 1, "sseqid": "T"}, {"line_no": 2, "sseqid": "T", "bitscore": nan}, {"line_no": 3, "sseqid": "U", "bitscore": -1.0}, {"line_no": 4, "sseqid": "."}, {"sseqid": "U"})
+    assert rows(Q["a1_count_per_family_whole"](spark, d)) == [("T", 2), ("U", 1)]
