@@ -10,7 +10,7 @@ from strandloom.operators import assembly
 from strandloom.operators import evidence as ev
 from strandloom.operators import hits as ht
 from strandloom.operators.eager import present
-from strandloom.plans.views import aligned, evidence, hits, reads, sites, sql, stored_hits
+from strandloom.plans.views import HIT_COLUMNS, aligned, evidence, hits, reads, sites, sql, stored_hits
 from strandloom.session import table
 
 QUERIES, SQL = {}, {}
@@ -32,6 +32,12 @@ def sc4_hit_scan(spark, d):
     return table(spark, d, "blast_hits").select("line_no", "qseqid", "sseqid", "pident", "aln_len", "mismatch", "gapopen", "qstart", "qend", "sstart", "send", "evalue", "bitscore").filter("not isnan(bitscore) or bitscore is null")
 
 
+@query("SELECT line_no, qseqid, sseqid, pident, aln_len, mismatch, gapopen, qstart, qend, sstart, send, evalue, bitscore, coalesce(isnan(bitscore), false) AS bitscore_nan FROM blast_hits")
+def sc4_hit_scan_whole(spark, d):
+    """Every row of the hit table as stored (SC4); a flag tells NaN of bitscore from NULL where a reader can't."""
+    return table(spark, d, "blast_hits").select(*HIT_COLUMNS, F.coalesce(F.isnan("bitscore"), F.lit(False)).alias("bitscore_nan"))
+
+
 @query(sql("hits") + "SELECT line_no, split_part(qseqid, ':', 1) AS chrom, regexp_replace(split_part(qseqid, ':', 2), '[<>]', '', 'g') AS sv_type, TRY_CAST(split_part(qseqid, ':', 3) AS BIGINT) AS \"start\", TRY_CAST(split_part(qseqid, ':', 4) AS BIGINT) AS \"end\", split_part(qseqid, ':', 5) AS id, TRY_CAST(split_part(qseqid, ':', 6) AS BIGINT) AS support, split_part(split_part(qseqid, ':', 5), '.', 1) AS tool FROM hits")
 def key_split(spark, d):
     """The parts of the packed variant key of every hit."""

@@ -70,3 +70,8 @@ def test_families_count_every_line(spark, write):
     nan = float("nan")
     d = write("blast_hits", HITS, {"line_no": 1, "sseqid": "T"}, {"line_no": 1, "sseqid": "T"}, {"line_no": 2, "sseqid": "T", "bitscore": nan}, {"line_no": 3, "sseqid": "U", "bitscore": -1.0}, {"line_no": 4, "sseqid": "."}, {"sseqid": "U"})
     assert rows(Q["a1_count_per_family_whole"](spark, d)) == [("T", 2), ("U", 1)]
+
+
+def test_scan_keeps_nan(spark, write):
+    d = write("blast_hits", HITS, {"line_no": 1, "bitscore": float("nan")}, {"line_no": 2}, {"line_no": 3, "bitscore": 7.0})
+    assert rows(Q["sc4_hit_scan_whole"](spark, d).selectExpr("line_no", "isnan(bitscore)", "bitscore is null", "bitscore_nan")) == [(1, True, False, True), (2, False, True, False), (3, False, False, False)]
