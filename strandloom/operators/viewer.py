@@ -14,7 +14,8 @@ def geometry(df: DataFrame, sstart: str, send: str, qstart: str, qend: str, subj
     """Pixels of each hit on an axis of 500, against the subject's length and scaled to the query's: lead, place and size.
 
     Shares are whole percents, halves rounded up, and pixels are cut to whole numbers, all in integers. Adds strand, lead0,
-    lead1, posq0, posq1, size0, size1; a length of 0 gives NULL.
+    lead1, posq0, posq1, size0, size1; a length of 0 gives NULL. Coordinates outside the sequences are taken as they are: parts
+    may be negative, where shares are rounded in the same way and pixels cut toward 0.
     """
     s, e, q = F.least(sstart, send), F.greatest(sstart, send), F.least(qstart, qend)
     down = F.col(sstart) > F.col(send)

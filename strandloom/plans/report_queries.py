@@ -398,6 +398,17 @@ def f20_hit_geometry(spark, d):
     return viewer.geometry(j, "sstart", "send", "qstart", "qend", "size_bp", "ql").select("line_no", "strand", "lead0", "lead1", "posq0", "posq1", "size0", "size1")
 
 
+@query("""WITH h AS (SELECT DISTINCT line_no, sseqid, qstart, qend, sstart, send FROM blast_hits WHERE sseqid NOT IN ('.', 'NONE') AND line_no IS NOT NULL AND sstart IS NOT NULL AND send IS NOT NULL),
+g AS (SELECT line_no, sstart > send AS down, size_bp AS sz, 4000 + line_no % 5000 AS ql, least(sstart, send) AS s, greatest(sstart, send) AS e, least(qstart, qend) AS q FROM h JOIN te_sizes ON sseqid = te_name),
+r AS (SELECT *, CAST(floor((200 * CASE WHEN down THEN sz - e ELSE s - 1 END + sz) / (2 * sz)) AS BIGINT) AS lead, CAST(floor((200 * (e - s) + sz) / (2 * sz)) AS BIGINT) AS share, CAST(floor((200 * (q - 1) + ql) / (2 * ql)) AS BIGINT) AS place FROM g)
+""" + _PIXELS[_PIXELS.index("SELECT line_no, CAST(") :])
+def f20_hit_geometry_whole(spark, d):
+    """All hits of a known element (F20); those that begin before 1 or end beyond it have parts outside the axis."""
+    h = table(spark, d, "blast_hits").filter(eager.present("sseqid")).filter("line_no is not null and sstart is not null and send is not null").select("line_no", "sseqid", "qstart", "qend", "sstart", "send").distinct()
+    j = h.join(table(spark, d, "te_sizes").withColumnRenamed("te_name", "sseqid"), "sseqid").withColumn("ql", 4000 + F.col("line_no") % 5000)
+    return viewer.geometry(j, "sstart", "send", "qstart", "qend", "size_bp", "ql").select("line_no", "strand", "lead0", "lead1", "posq0", "posq1", "size0", "size1")
+
+
 @query(sql("hits") + "SELECT DISTINCT sseqid FROM hits WHERE lower(sseqid) LIKE '%ro%' OR lower(sseqid) LIKE '%xa%' ORDER BY sseqid LIMIT 20")
 def t3_completion(spark, d):
     """Up to 20 element names that hold one of the parts in any case."""

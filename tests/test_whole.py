@@ -75,3 +75,10 @@ def test_families_count_every_line(spark, write):
 def test_scan_keeps_nan(spark, write):
     d = write("blast_hits", HITS, {"line_no": 1, "bitscore": float("nan")}, {"line_no": 2}, {"line_no": 3, "bitscore": 7.0})
     assert rows(Q["sc4_hit_scan_whole"](spark, d).selectExpr("line_no", "isnan(bitscore)", "bitscore is null", "bitscore_nan")) == [(1, True, False, True), (2, False, True, False), (3, False, False, False)]
+
+
+def test_geometry_outside_the_element(spark, write):
+    """A reverse hit that ends 30 beyond an element of 100 bases, and a hit that begins 29 before it."""
+    write("te_sizes", pa.schema([("te_name", pa.string()), ("size_bp", pa.int64())]), {"te_name": "T", "size_bp": 100})
+    d = write("blast_hits", HITS, {"line_no": 1000, "sseqid": "T", "sstart": 130, "send": 81, "qstart": 1, "qend": 50}, {"line_no": 6000, "sseqid": "T", "sstart": -28, "send": 21, "qstart": -9, "qend": 50})
+    assert rows(Q["f20_hit_geometry_whole"](spark, d)) == [(1000, -1, -150, -3, 150, 3, 245, 4), (6000, 1, -145, -2, 145, 2, 245, 4)]
