@@ -428,6 +428,12 @@ def k1_export_signs(spark, d):
     return report.sentinels(f, {"tsd": "NONE", "new_pos": "NONE"})
 
 
+@query(sql("hits") + "SELECT qseqid, sseqid, max(bitscore) AS best, count(*) AS n_hits, min(line_no) AS line_no FROM hits GROUP BY qseqid, sseqid ORDER BY best DESC")
+def t2_groups_by_score_whole(spark, d):
+    """Hit groups of all chromosomes, best first."""
+    return viewer.groups(hits(spark, d)).orderBy(F.col("best").desc(), "qseqid", "sseqid")
+
+
 _FACTS = ("chrom", "start_pos", "end_pos", "te_id", "strand", "tsd", "pident", "psize_te", "size_te", "new_pos", "freq", "freq_with_clipped", "sv_size", "sv_id", "sv_type")
 _SIGNS = dict.fromkeys(_FACTS, "NONE") | {"strand": "."}
 

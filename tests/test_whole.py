@@ -82,3 +82,10 @@ def test_geometry_outside_the_element(spark, write):
     write("te_sizes", pa.schema([("te_name", pa.string()), ("size_bp", pa.int64())]), {"te_name": "T", "size_bp": 100})
     d = write("blast_hits", HITS, {"line_no": 1000, "sseqid": "T", "sstart": 130, "send": 81, "qstart": 1, "qend": 50}, {"line_no": 6000, "sseqid": "T", "sstart": -28, "send": 21, "qstart": -9, "qend": 50})
     assert rows(Q["f20_hit_geometry_whole"](spark, d)) == [(1000, -1, -150, -3, 150, 3, 245, 4), (6000, 1, -145, -2, 145, 2, 245, 4)]
+
+
+def test_groups_of_all_chromosomes(spark, write):
+    hit = {"sseqid": "T", "sstart": 1, "send": 2}
+    d = write("blast_hits", HITS, hit | {"line_no": 1, "qseqid": "A2:x", "bitscore": 5.0}, hit | {"line_no": 2, "qseqid": "A1:x", "bitscore": 9.0}, hit | {"line_no": 3, "qseqid": "A1:x", "bitscore": 7.0})
+    assert [tuple(r) for r in Q["t2_groups_by_score_whole"](spark, d).collect()] == [("A1:x", "T", 9.0, 2, 2), ("A2:x", "T", 5.0, 1, 1)]
+    assert [r["qseqid"] for r in viewer.groups(Q["t2_groups_by_score_whole"](spark, d).selectExpr("qseqid", "sseqid", "best bitscore", "line_no"), "A2").collect()] == ["A2:x"]
