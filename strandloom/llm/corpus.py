@@ -10,8 +10,8 @@ from strandloom.llm import mixing
 from strandloom.session import checkpointed, table
 
 
-def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaking.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+def _leaks(spark: SparkSession, sf_dir: str, short: bool = False) -> DataFrame:
+    return leaking.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), short=short)
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +20,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p6_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every leak with the longest verbatim match, its places, and the share of the item's four-word runs."""
-    return _leaks(spark, sf_dir)
+    return _leaks(spark, sf_dir, short=True)
 
 
 def p6_clean(spark: SparkSession, sf_dir: str) -> DataFrame:

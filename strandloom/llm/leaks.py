@@ -76,11 +76,12 @@ def _bound(compare, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         hi[open_[~before]] = mid[~before]
 
 
-def search_shard(words: np.ndarray, text: np.ndarray, tests: TestSuffixes) -> tuple[np.ndarray, ...]:
+def search_shard(words: np.ndarray, text: np.ndarray, tests: TestSuffixes, short: bool = False) -> tuple[np.ndarray, ...]:
     """(text, item, longest, text_at, item_at, shared) of one shard; words: numbers in the tests' vocabulary, 0 for others.
 
     One row for each text and item that share at least ``LONG`` successive words or half of the item's distinct four-word
-    runs. Places count words of the shard or of the block of items.
+    runs. Places count words of the shard or of the block of items. With ``short``, pairs without ``LONG`` successive words get
+    their longest match too.
     """
     empty = tuple(np.zeros(0, np.int64) for _ in range(6))
     words, text = np.append(words, np.zeros(16, np.uint64)), np.append(text, np.full(16, -1))
@@ -126,35 +127,55 @@ def search_shard(words: np.ndarray, text: np.ndarray, tests: TestSuffixes) -> tu
     size = hi - lo
     i = places[np.repeat(lo - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())] if size.sum() else np.zeros(0, np.int64)
     j = np.repeat(queries, size)
+    hit, *found = _longest_matches(words, text, tests, i, j, LONG)
+    i, j, length = found
+
+    half = 2 * shared >= tests.distinct[pair % n_items]
+    rows = np.union1d(pair[half], hit)
+    if short and len(need := np.setdiff1d(pair[half], hit)):
+        # Every entered four-word suffix of these pairs.
+        near = np.isin(text[places], need // n_items)
+        places, gram = places[near], gram[near]
+        queries = np.flatnonzero(tests.keys)
+        of = np.searchsorted(tests.grams, tests.keys[queries])
+        queries = queries[np.argsort(of, kind="stable")]
+        begin = np.searchsorted(np.sort(of), np.arange(len(tests.grams) + 1))
+        many = begin[gram + 1] - begin[gram]
+        j = queries[np.repeat(begin[gram] - np.append(0, np.cumsum(many)[:-1]), many) + np.arange(many.sum())]
+        i = np.repeat(places, many)
+        wanted = np.isin(text[i] * n_items + tests.item[j], need)
+        more = _longest_matches(words, text, tests, i[wanted], j[wanted], GRAM)
+        hit, i, j, length = (np.append(x, y) for x, y in zip((hit, *found), more, strict=True))
+    out = [rows // n_items, rows % n_items, *(np.full(len(rows), -1) for _ in range(3)), np.zeros(len(rows), np.int64)]
+    out[2][:] = 0
+    where = np.searchsorted(rows, hit)
+    out[2][where], out[3][where], out[4][where] = length, i, j
+    where = np.minimum(np.searchsorted(pair, rows), len(pair) - 1)
+    out[5][:] = np.where(pair[where] == rows, shared[where], 0)
+    return tuple(out)
+
+
+def _longest_matches(words: np.ndarray, text: np.ndarray, tests: TestSuffixes, i: np.ndarray, j: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """(pair, i, j, length) of the longest match of each pair, the first of equals; i and j share ``least`` words."""
     # Only where a match begins: the words before differ, or one text begins.
     begins = (i == 0) | (j == 0)
     begins |= (text[i - 1] != text[i]) | (tests.item[j - 1] != tests.item[j]) | (words[i - 1] != tests.words[j - 1])
     i, j = i[begins], j[begins]
-    length = np.full(len(i), LONG)
+    length = np.full(len(i), least)
     going = np.arange(len(i))
     while len(going):
         a, b = i[going] + length[going], j[going] + length[going]
         same = (text[a] == text[i[going]]) & (tests.item[b] == tests.item[j[going]]) & (words[a] == tests.words[b])
         going = going[same]
         length[going] += 1
-    hit = text[i] * n_items + tests.item[j]
+    hit = text[i] * len(tests.ids) + tests.item[j]
     order = np.lexsort((j, i, -length, hit))
     hit, i, j, length = hit[order], i[order], j[order], length[order]
     best = np.append(True, hit[1:] != hit[:-1]) if len(hit) else np.zeros(0, bool)
-    hit, i, j, length = hit[best], i[best], j[best], length[best]
+    return hit[best], i[best], j[best], length[best]
 
-    half = 2 * shared >= tests.distinct[pair % n_items]
-    rows = np.union1d(pair[half], hit)
-    out = [rows // n_items, rows % n_items, *(np.full(len(rows), -1) for _ in range(3)), np.zeros(len(rows), np.int64)]
-    out[2][:] = 0
-    where = np.searchsorted(rows, hit)
-    out[2][where], out[3][where], out[4][where] = length, i, j
-    where = np.minimum(np.searchsorted(pair, rows), len(pair) - 1)
-    out[5][:] = np.where(pair[where] == rows, shared[where], 0)
-    return tuple(out)
 
-
-def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "item_text", block: int = 2000, shard_bytes: int = 8 << 20, most_items: int = 100_000) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "item_text", block: int = 2000, shard_bytes: int = 8 << 20, most_items: int = 100_000, short: bool = False) -> DataFrame:
     """Rows (doc_id, item_id, longest, doc_word, item_word, shared_runs, item_runs) of the items that leaked into documents.
 
     A document leaks an item when 13 successive words of it stand in succession in the document, or at least half of its distinct
@@ -163,6 +184,8 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     of fewer than four words can't leak; an item of many copies leaks under each id. NULL or blank texts and rows with a NULL
     id give nothing; rows of one id are texts of one document each by itself, and an item is reported once for it.
 
+    With ``short``, matches under 13 words count for ``longest`` and its places too.
+
     Items are collected ``most_items`` at a time and each such part is one pass over the documents; within a pass they are
     searched in blocks of ``block``. Shards hold whole documents, about ``shard_bytes`` of text. Texts are read whole.
     """
@@ -173,13 +196,13 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
         if parts > 1:
             some = some.filter(F.pmod(F.xxhash64(item_id), F.lit(parts)) == part)
         rows = sorted({(r[0], r[1]) for r in some.collect()})
-        one = _pass(documents, rows, doc_id, text, item_id, block, shard_bytes)
+        one = _pass(documents, rows, doc_id, text, item_id, block, shard_bytes, short)
         found = one if found is None else found.unionByName(one)
     best = F.max(F.struct("longest", -F.coalesce("doc_word", F.lit(0)), "doc_word", "item_word", "shared_runs", "item_runs")).alias("b")
     return found.groupBy(doc_id, item_id).agg(best).select(doc_id, item_id, "b.longest", "b.doc_word", "b.item_word", "b.shared_runs", "b.item_runs")
 
 
-def _pass(documents: DataFrame, rows: list[tuple[int, str]], doc_id: str, text: str, item_id: str, block: int, shard_bytes: int) -> DataFrame:
+def _pass(documents: DataFrame, rows: list[tuple[int, str]], doc_id: str, text: str, item_id: str, block: int, shard_bytes: int, short: bool) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.LongType()) for c in (doc_id, item_id, "longest", "doc_word", "item_word", "shared_runs", "item_runs")])
     arrow = pa.schema([(f.name, pa.int64()) for f in schema])
 
@@ -198,7 +221,7 @@ def _pass(documents: DataFrame, rows: list[tuple[int, str]], doc_id: str, text:
                 ids = batch.column(0).slice(a, b - a).to_numpy(zero_copy_only=False)
                 for tests in blocks:
                     numbers = pc.fill_null(pc.add(pc.index_in(dictionary, value_set=tests.vocabulary), 1), 0).to_numpy(zero_copy_only=False).astype(np.uint64)
-                    t, item, longest, i, j, shared = search_shard(numbers[indices] if len(indices) else np.zeros(0, np.uint64), owner, tests)
+                    t, item, longest, i, j, shared = search_shard(numbers[indices] if len(indices) else np.zeros(0, np.uint64), owner, tests, short)
                     if not len(t):
                         continue
                     none = pa.array(i < 0)
