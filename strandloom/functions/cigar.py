@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,13 +31,64 @@ def reference_length(cigar: Column, kinds: str = REFERENCE) -> Column:
     return length_over(operations(cigar), kinds)
 
 
-def walk(cigar: Column) -> Column:
+def fold(cigar: Column, start: dict[str, Column], step, end) -> Column:
+    """Walk the operations once: ``step(state, x)`` gives the new fields of a small state, x being op, len and the offset ``ref``
+    after it on the reference; ``end(state)`` is the result. NULL for NULL."""
+    def one(a: Column, x: Column) -> Column:
+        ref = a["ref"] + F.when(F.lit(REFERENCE).contains(x["op"]), x["len"]).otherwise(F.lit(0).cast("bigint"))
+        new = step(a, {"op": x["op"], "len": x["len"], "ref": ref})
+        return F.struct(ref.alias("ref"), *[new[k].alias(k) for k in start])
+
+    return F.aggregate(operations(cigar), F.struct(F.lit(0).cast("bigint").alias("ref"), *[v.alias(k) for k, v in start.items()]), one, end)
+
+
+OPERATIONS = "=DHIMNPSX"  # sorted
+OFFSETS = {"ref": REFERENCE, "read": READ, "whole": WHOLE_READ}
+
+
+def offsets(cigars: pa.Array) -> pa.Array:
+    """For each CIGAR its operations with the offsets after them; one pass over the bytes of all of them."""
+    texts = pc.fill_null(cigars.cast(pa.large_string()), "")
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    n = len(texts)
+    begin = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1] if n else np.zeros(1, np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[begin[0] : begin[-1]]
+    begin = begin - begin[0]
+    digit = (data >= 48) & (data <= 57)
+    place = np.arange(len(data))
+    before = np.zeros(len(data), np.int64)  # the last place up to here that isn't a digit, or where its text begins
+    stops = np.where(digit, -1, place)
+    first = np.zeros(len(data), bool)
+    first[begin[:-1][begin[:-1] < len(data)]] = True
+    stops[first & digit] = place[first & digit] - 1
+    before = np.maximum.accumulate(stops) if len(data) else before
+    known = np.frombuffer(OPERATIONS.encode(), np.uint8)
+    at = np.flatnonzero(np.isin(data, known))
+    at = at[(at > 0) & ~first[at]]
+    at = at[digit[at - 1]]
+    size = at - 1 - before[at - 1]
+    digits = np.repeat(at - size, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    power = np.repeat(at - 1, size) - digits
+    value = (data[digits].astype(np.int64) - 48) * 10 ** np.minimum(power, 18)
+    length = np.add.reduceat(value, np.cumsum(size) - size) if len(at) else np.zeros(0, np.int64)
+    text = np.searchsorted(begin, at, "right") - 1
+    counts = np.bincount(text, minlength=n)
+    starts = np.append(0, np.cumsum(counts))
+    number = np.arange(len(at)) - starts[text]
+    kinds = data[at]
+    fields = {"i": number, "op": pa.array(list(OPERATIONS)).take(pa.array(np.searchsorted(known, kinds))), "len": length}
+    for name, ops in OFFSETS.items():
+        upto = np.append(0, np.cumsum(np.where(np.isin(kinds, np.frombuffer(ops.encode(), np.uint8)), length, 0)))
+        fields[name] = upto[1:] - upto[starts[text]]
+    walked = pa.StructArray.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, pa.int64()) for v in fields.values()], list(fields))
+    return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), walked, mask=pc.is_null(cigars).combine_chunks() if isinstance(cigars, pa.ChunkedArray) else pc.is_null(cigars))
+
+
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField(c, T.StringType() if c == "op" else T.LongType()) for c in ("i", "op", "len", *OFFSETS)])))
+def walk(cigars: pa.Array) -> pa.Array:
     """array<struct<i, op, len, ref, read, whole>>: each operation with the offsets after it, on the reference, the stored and the whole read."""
-    ops = operations(cigar)
-    return F.transform(ops, lambda x, i: F.struct(
-        i.cast("bigint").alias("i"), x["op"].alias("op"), x["len"].alias("len"),
-        *[length_over(F.slice(ops, F.lit(1), i + 1), kinds).alias(n) for n, kinds in (("ref", REFERENCE), ("read", READ), ("whole", WHOLE_READ))],
-    ))
+    return offsets(cigars)
 
 
 @F.pandas_udf(T.StructType([T.StructField("pos", T.LongType()), *[T.StructField(c, T.StringType()) for c in ("cigar", "seq", "qual")]]))

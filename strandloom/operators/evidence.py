@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.functions.cigar import reference_length, walk
+from strandloom.functions.cigar import fold, reference_length
 from strandloom.operators.intervals import window_join
 
 # Evidence classes, in the order in which one masks another for the same read.
@@ -30,7 +30,7 @@ def read_classes(sites: DataFrame, reads: DataFrame, window: int = 50, least_per
     near = window_join(sites, r, ["chrom"], ("start", "end"), ("r_start", "r_end"), window, bin_size=1 << 12)
     lo, hi = F.col("start") - window, F.col("end") + window
 
-    def code(x: Column) -> Column:
+    def code(x: dict) -> Column:
         at = F.col("r_start") + x["ref"]
         inside = at.between(lo, hi)
         with_seq = F.coalesce(F.length("seq"), F.lit(0)) > 0
@@ -38,7 +38,8 @@ def read_classes(sites: DataFrame, reads: DataFrame, window: int = 50, least_per
         gone = F.when((x["op"] == "D") & (x["len"] >= F.col("sv_size")) & (at - x["len"]).between(lo, hi), "D")
         return F.when(F.col("sv_type") == "INS", ins).otherwise(gone)
 
-    codes = F.array_distinct(F.filter(F.transform(walk(F.col("cigar")), code), lambda c: c.isNotNull()))
+    add = lambda a, x: {"codes": F.when(a["codes"].contains(code(x)), a["codes"]).otherwise(F.concat(a["codes"], F.coalesce(code(x), F.lit(""))))}
+    codes = fold(F.col("cigar"), {"codes": F.lit("")}, add, lambda a: F.filter(F.split(a["codes"], ""), lambda c: c != ""))
     return near.select("ident", "read", F.explode(F.when(F.size(codes) > 0, codes).otherwise(F.array(F.lit("E")))).alias("code"))
 
 
@@ -99,12 +100,12 @@ def deletion_support(sites: DataFrame, reads: DataFrame, window: int = 30, near:
     pairs = window_join(sites.select("chrom", "start", "end", "ident"), r, ["chrom"], ("start", "end"), ("r_start", "r_end"), window, bin_size=1 << 12)
     size = F.col("end") - F.col("start")
 
-    def fits(x: Column) -> Column:
+    def fits(x: dict) -> Column:
         stop = F.col("r_start") + x["ref"]
         begin = stop - x["len"]
         return (x["op"] == "D") & x["len"].between(size - window, size + window) & ((F.abs(begin - F.col("start")) < near) | (F.abs(stop - F.col("end")) < near))
 
-    found = pairs.filter(F.exists(walk(F.col("cigar")), fits)).select("ident", "read").distinct().groupBy("ident").agg(F.count(F.lit(1)).alias("n_reads"))
+    found = pairs.filter(fold(F.col("cigar"), {"fits": F.lit(False)}, lambda a, x: {"fits": a["fits"] | fits(x)}, lambda a: a["fits"])).select("ident", "read").distinct().groupBy("ident").agg(F.count(F.lit(1)).alias("n_reads"))
     return sites.select("ident").distinct().join(found, "ident", "left").select("ident", F.coalesce("n_reads", F.lit(0)).alias("n_reads"))
 
 
