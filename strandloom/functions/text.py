@@ -109,9 +109,19 @@ def pseudonyms(names: Sequence[str], prefix: str = "ELEMENT") -> dict[str, str]:
 
 
 def embedded_pieces(seq: Column) -> Column:
-    """Identifiers written into a sequence as digits before their piece: array<struct<id, piece, start>>, start 0-based."""
+    """Identifiers written into a sequence as digits before their piece: array<struct<id, piece, start>>, start 0-based.
+
+    Each is searched from the end of the one before, so a piece that comes twice has two places.
+    """
     found = F.regexp_extract_all(seq, F.lit(r"(\d+[A-Za-z]+)"), F.lit(1))
-    return F.transform(found, lambda x: F.struct(F.regexp_extract(x, r"^\d+", 0).alias("id"), F.regexp_replace(x, r"^\d+", "").alias("piece"), (F.instr(seq, x) - 1).cast("bigint").alias("start")))
+    state = lambda end, out: F.struct(end.alias("end"), out.alias("out"))
+
+    def step(a: Column, x: Column) -> Column:
+        at = F.call_function("locate", x, seq, a["end"] + 1)
+        one = F.struct(F.regexp_extract(x, r"^\d+", 0).alias("id"), F.regexp_replace(x, r"^\d+", "").alias("piece"), (at - 1).cast("bigint").alias("start"))
+        return state(at - 1 + F.length(x), F.concat(a["out"], F.array(one)))
+
+    return F.aggregate(found, state(F.lit(0), F.array().cast("array<struct<id:string,piece:string,start:bigint>>")), step, lambda a: a["out"])
 
 
 def renamed(df, column: str, names):

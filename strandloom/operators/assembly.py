@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions.cigar import walk
-from strandloom.operators.intervals import WIDTH, window_join
-
+from strandloom.operators.intervals import WIDTH, merge, window_join
 
 
 def neighbours(df: DataFrame, keys: Sequence[str], at: str, order: Sequence[str], take: Sequence[str], width: int = WIDTH) -> DataFrame:
@@ -77,9 +76,9 @@ def within_alignment(df: DataFrame, chrom: str, pos: str, cigar: str, least: int
 
 
 def gap_share(variants: DataFrame, gaps: DataFrame, on: Sequence[str], span: tuple[str, str], gap: tuple[str, str], name: str, row: str) -> DataFrame:
-    """Each variant with the share of its span that lies in gaps; 0 without a gap or for an empty span."""
+    """Each variant with the share of its span that lies in gaps, overlapping gaps once; 0 without a gap or for an empty span."""
     s, e = span
-    there = gaps.select(*on, F.col(gap[0]).alias("__gs"), F.col(gap[1]).alias("__ge"))
+    there = merge(gaps, on, gap[0], gap[1], 0).select(*on, F.col("start").alias("__gs"), F.col("end").alias("__ge"))
     hits = window_join(variants.select(row, *on, s, e), there, on, span, ("__gs", "__ge"))
     share = hits.groupBy(row).agg((F.sum(F.greatest(F.least(F.col(e), F.col("__ge")) - F.greatest(F.col(s), F.col("__gs")), F.lit(0))) / F.nullif(F.max(F.col(e) - F.col(s)), F.lit(0))).alias(name))
     return variants.join(share, [row], "left").withColumn(name, F.coalesce(name, F.lit(0.0)))
@@ -99,8 +98,6 @@ def n50(lengths: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
 
 def equivalent_reference(df: DataFrame, width: int = WIDTH) -> DataFrame:
     """For each query the reference that its alignments cover most (merged), ties by name."""
-    from strandloom.operators.intervals import merge
-
     spans = df.dropna(subset=["rid", "qid", "qstart", "qend"]).select("qid", "rid", F.least("qstart", "qend").alias("s"), F.greatest("qstart", "qend").alias("e"))
     covered = merge(spans, ["qid", "rid"], "s", "e", 0, width).groupBy("qid", "rid").agg(F.sum(F.col("end") - F.col("start")).alias("covered"))
     best = covered.groupBy("qid").agg(F.min_by(F.struct("rid", "covered"), F.struct(-F.col("covered"), "rid")).alias("b"))

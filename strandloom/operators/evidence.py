@@ -17,6 +17,16 @@ def usable(reads: DataFrame, least_mapq: int = 10, without: int = 4) -> DataFram
     return reads.filter((F.col("flag").bitwiseAND(without) == 0) & (F.col("mapq") >= least_mapq))
 
 
+def in_regions(reads: DataFrame, regions: DataFrame) -> DataFrame:
+    """Alignments (rname, pos, cigar, ...) that touch a region (chrom, start, end), with ``stop``, the end of what they cover (P10, SC9).
+
+    Each alignment comes as often as it is there, however many regions it touches; one without CIGAR covers a base.
+    """
+    covered = F.coalesce(F.greatest(reference_length(F.col("cigar")), F.lit(1)), F.lit(1))
+    r = reads.withColumn("stop", F.col("pos") + covered)
+    return window_join(r, regions.select(F.col("chrom").alias("rname"), "start", "end"), ["rname"], ("pos", "stop"), ("start", "end"), 0, "left_semi")
+
+
 def read_classes(sites: DataFrame, reads: DataFrame, window: int = 50, least_percent: int = 70, least_clip: int = 200) -> DataFrame:
     """One row (ident, read, code) for every alignment near a site and class of evidence it gives.
 

@@ -129,12 +129,18 @@ def subtract(a: DataFrame, b: DataFrame, keys: Sequence[str], start: str = "star
     return pairs.withColumn("piece_start", F.greatest(start, "__s")).withColumn("piece_end", F.least(end, "__e")).drop("__s", "__e")
 
 
-def depth_at(points: DataFrame, blocks: DataFrame, keys: Sequence[str], at: str, block: tuple[str, str], bin_size: int = 1 << 12) -> DataFrame:
-    """The distinct points (keys, at) with the number of blocks [start, end) that hold them; 0 where none does."""
-    spots = _there(points, [*keys, at]).select(*keys, at).distinct().withColumn("__next", F.col(at) + 1)
-    b = blocks.select(*keys, F.col(block[0]).alias("__s"), F.col(block[1]).alias("__e"))
-    hits = window_join(spots, b, keys, (at, "__next"), ("__s", "__e"), 0, "inner", bin_size).groupBy(*keys, at).agg(F.count(F.lit(1)).alias("depth"))
-    return spots.drop("__next").join(hits, [*keys, at], "left").withColumn("depth", F.coalesce("depth", F.lit(0)))
+def depth_at(points: DataFrame, blocks: DataFrame, keys: Sequence[str], at: str, block: tuple[str, str], width: int = WIDTH) -> DataFrame:
+    """The distinct points (keys, at) with the number of blocks [start, end) that hold them; 0 where none does.
+
+    That is the starts up to the point less the ends up to it: one running sum over both, without a pair of point and block.
+    Rows with a NULL, and blocks that end where they begin or before, count for nothing.
+    """
+    b = _there(blocks, [*keys, *block]).filter(F.col(block[0]) < F.col(block[1]))
+    steps = b.select(*keys, F.explode(F.array(*[F.struct(F.col(c).cast("bigint").alias("__at"), F.lit(n).cast("bigint").alias("__step"), F.lit(False).alias("__point")) for c, n in zip(block, (1, -1), strict=True)])).alias("p")).select(*keys, "p.*")
+    spots = _there(points, [*keys, at]).select(*keys, F.col(at).cast("bigint").alias("__at"), F.lit(0).cast("bigint").alias("__step"), F.lit(True).alias("__point"))
+    both = steps.unionByName(spots).groupBy(*keys, "__at").agg(F.sum("__step").alias("__step"), F.max("__point").alias("__point"))
+    depths = carried(both, keys, "__at", [], {"depth": ("sum", F.col("__step"), 0)}, width)
+    return depths.filter("__point").select(*keys, F.col("__at").alias(at), "depth")
 
 
 def running_offset(df: DataFrame, keys: Sequence[str], start: str, size: str, tie: Sequence[str], width: int = WIDTH) -> DataFrame:

@@ -27,5 +27,6 @@ def merge_calls(calls: DataFrame, source: str, order: Sequence[str], d: int = 10
     for name in order[1:]:
         later = deduped.filter(F.col(source) == name)
         kept = kept.unionByName(window_join(later, kept.select("chrom", "te", F.col("start").alias("__ks"), F.col("end").alias("__ke")), ["chrom", "te"], ("start", "end"), ("__ks", "__ke"), window, "left_anti", bin_size=max(1 << 14, window)))
-        kept = checkpointed(kept)
+        if name != order[-1]:
+            kept = checkpointed(kept)
     return kept

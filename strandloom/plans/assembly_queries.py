@@ -24,28 +24,15 @@ def query(text: str | None):
     return add
 
 
-@query(sql("evidence") + "SELECT DISTINCT read_name || ' ' || pos AS name, upper(seq) AS seq FROM evidence WHERE seq IS NOT NULL")
-def sc1_fasta_records(spark, d):
-    """Sequences folded to lines of ten, as a file has them, and read back."""
-    e = evidence(spark, d).filter("seq is not null").select("read_name", "pos", "seq").distinct()
-    text = F.concat(F.lit(">"), "read_name", F.lit(" "), F.col("pos").cast("string"), F.lit("\n"), F.regexp_replace(F.lower("seq"), "(.{10})", "$1\n"))
-    return formats.parse_fasta_records(e.select(text.alias("value"))).distinct()
-
-
 @query("WITH " + evidence_of_sql("e", "read_name", "pos", "seq") + "\nSELECT DISTINCT read_name || ' ' || pos AS name, upper(seq) AS seq FROM e")
-def sc1_fasta_records_whole(spark, d):
+def sc1_fasta_records(spark, d):
     """The same of every sequence with a read and a position (SC1)."""
     text = F.concat(F.lit(">"), "read_name", F.lit(" "), F.col("pos").cast("string"), F.lit("\n"), F.regexp_replace(F.lower("seq"), "(.{10})", "$1\n"))
     return formats.parse_fasta_records(evidence_of(spark, d, "read_name", "pos", "seq").select(text.alias("value"))).distinct()
 
 
-@query(sql("evidence") + "SELECT DISTINCT read_name AS name, length(seq) AS size_bp FROM evidence WHERE seq IS NOT NULL")
-def sc11_sequence_index(spark, d):
-    return formats.sequence_index(evidence(spark, d).filter("seq is not null").select(F.col("read_name").alias("name"), "seq")).distinct()
-
-
 @query("WITH " + evidence_of_sql("e", "read_name", "seq") + "\nSELECT DISTINCT read_name AS name, length(seq) AS size_bp FROM e")
-def sc11_sequence_index_whole(spark, d):
+def sc11_sequence_index(spark, d):
     """The same of every sequence with a read (SC11)."""
     return formats.sequence_index(evidence_of(spark, d, "read_name", "seq").select(F.col("read_name").alias("name"), "seq")).distinct()
 
@@ -80,10 +67,11 @@ def j14_region_pairing(spark, d):
     return assembly.pair_regions(h, "ident", "region")
 
 
-@query(sql("evidence") + """, s AS (SELECT DISTINCT pos, left(seq, 6) || pos || right(seq, 5) || (pos + 1) || 'ACGT' AS seq, left(seq, 6) AS a, right(seq, 5) AS b FROM evidence WHERE length(seq) >= 6 AND regexp_full_match(seq, '[A-Za-z]+'))
-SELECT seq, CAST(pos AS VARCHAR) AS id, b AS piece, length(a) AS "start" FROM s UNION ALL SELECT seq, CAST(pos + 1 AS VARCHAR), 'ACGT', length(a) + length(CAST(pos AS VARCHAR)) + length(b) FROM s""")
+@query(sql("evidence") + """, s AS (SELECT DISTINCT pos, left(seq, 6) || pos || right(seq, 5) || (pos + 1) || 'ACGT' || pos || right(seq, 5) AS seq, left(seq, 6) AS a, right(seq, 5) AS b FROM evidence WHERE length(seq) >= 6 AND regexp_full_match(seq, '[A-Za-z]+'))
+SELECT seq, CAST(pos AS VARCHAR) AS id, b AS piece, length(a) AS "start" FROM s UNION ALL SELECT seq, CAST(pos + 1 AS VARCHAR), 'ACGT', length(a) + length(CAST(pos AS VARCHAR)) + length(b) FROM s
+UNION ALL SELECT seq, CAST(pos AS VARCHAR), b, length(a) + length(CAST(pos AS VARCHAR)) + length(b) + length(CAST(pos + 1 AS VARCHAR)) + 4 FROM s""")
 def f15_embedded_identifiers(spark, d):
-    s = evidence(spark, d).filter("length(seq) >= 6 and seq rlike '^[A-Za-z]+$'").select(F.concat(F.left("seq", F.lit(6)), F.col("pos").cast("string"), F.right("seq", F.lit(5)), (F.col("pos") + 1).cast("string"), F.lit("ACGT")).alias("seq"), "pos").distinct()
+    s = evidence(spark, d).filter("length(seq) >= 6 and seq rlike '^[A-Za-z]+$'").select(F.concat(F.left("seq", F.lit(6)), F.col("pos").cast("string"), F.right("seq", F.lit(5)), (F.col("pos") + 1).cast("string"), F.lit("ACGT"), F.col("pos").cast("string"), F.right("seq", F.lit(5))).alias("seq"), "pos").distinct()
     return s.select("seq", F.explode(tx.embedded_pieces(F.col("seq"))).alias("p")).select("seq", "p.id", "p.piece", "p.start")
 
 

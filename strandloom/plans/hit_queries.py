@@ -26,14 +26,8 @@ def query(text: str | None):
     return add
 
 
-@query("SELECT line_no, qseqid, sseqid, pident, aln_len, mismatch, gapopen, qstart, qend, sstart, send, evalue, bitscore FROM blast_hits WHERE NOT isnan(bitscore) OR bitscore IS NULL")
-def sc4_hit_scan(spark, d):
-    """The hit table as stored, all columns of the format."""
-    return table(spark, d, "blast_hits").select("line_no", "qseqid", "sseqid", "pident", "aln_len", "mismatch", "gapopen", "qstart", "qend", "sstart", "send", "evalue", "bitscore").filter("not isnan(bitscore) or bitscore is null")
-
-
 @query("SELECT line_no, qseqid, sseqid, pident, aln_len, mismatch, gapopen, qstart, qend, sstart, send, evalue, bitscore, coalesce(isnan(bitscore), false) AS bitscore_nan FROM blast_hits")
-def sc4_hit_scan_whole(spark, d):
+def sc4_hit_scan(spark, d):
     """Every row of the hit table as stored (SC4); a flag tells NaN of bitscore from NULL where a reader can't."""
     return table(spark, d, "blast_hits").select(*HIT_COLUMNS, F.coalesce(F.isnan("bitscore"), F.lit(False)).alias("bitscore_nan"))
 
@@ -141,13 +135,8 @@ def detect_elements(spark, d):
     return f.select("locus", "sseqid", "line_no", "strand", "size_el", "size_per")
 
 
-@query(sql("hits") + "SELECT sseqid AS te, count(*) AS n FROM hits GROUP BY sseqid")
-def a1_count_per_family(spark, d):
-    return hits(spark, d).groupBy(F.col("sseqid").alias("te")).agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("SELECT sseqid AS te, count(DISTINCT line_no) AS n FROM blast_hits WHERE sseqid NOT IN ('.', 'NONE') AND line_no IS NOT NULL GROUP BY sseqid")
-def a1_count_per_family_whole(spark, d):
+def a1_count_per_family(spark, d):
     """Lines of each family, whatever else they miss (A1)."""
     h = table(spark, d, "blast_hits").filter(present("sseqid") & F.col("line_no").isNotNull()).select("line_no", F.col("sseqid").alias("te")).distinct()
     return h.groupBy("te").agg(F.count(F.lit(1)).alias("n"))
@@ -203,6 +192,14 @@ def a15_mapping_stats(spark, d):
     return r.agg(F.count(F.lit(1)).alias("n_reads"), F.count_if(F.col("flag").bitwiseAND(4) == 0).alias("mapped"), F.sum(F.length("seq")).cast("bigint").alias("bases"), F.max(F.length("seq")).cast("bigint").alias("longest"), F.sum(cg.reference_length(F.col("cigar"))).cast("bigint").alias("reference_bases"))
 
 
+@query(sql("reads", "sites") + _OPS + """, sp AS (SELECT rname, pos, qname, cigar, pos + greatest(CAST(sum(CASE WHEN op IN ('M', 'D', '=') THEN len ELSE 0 END) AS BIGINT), 1) AS stop FROM op GROUP BY rname, pos, qname, cigar)
+SELECT rname, pos, stop, qname, cigar FROM sp WHERE EXISTS (SELECT 1 FROM sites s WHERE s.chrom = rname AND s."start" < stop AND s."end" > pos)""")
+def region_restrict(spark, d):
+    """Alignments that touch any site, by the reference their CIGAR covers (P10, SC9)."""
+    r = reads(spark, d).select("rname", "pos", "qname", "cigar").distinct()
+    return ev.in_regions(r, sites(spark, d).select("chrom", "start", "end")).select("rname", "pos", "stop", "qname", "cigar")
+
+
 _SITES = """, st AS (SELECT chrom, "start", "end", sv_id AS ident, s.te, coalesce(size_te, 0) AS te_size, coalesce(sv_size, 0) AS sv_size, CASE WHEN sv_type = 'INS' THEN 'INS' ELSE 'DEL' END AS sv_type, split_part(ident, '.', 1) AS tool, psize_te FROM sites s),
 one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ident ORDER BY chrom, "start", "end", te, te_size, sv_size, sv_type, tool, psize_te) AS r FROM st) WHERE r = 1),
 rl AS (SELECT rname, pos, qname, flag, mapq, cigar, seq FROM reads WHERE (flag & 4) = 0 AND mapq >= 10),
@@ -325,10 +322,11 @@ def j16_equivalent_reference(spark, d):
     return assembly.equivalent_reference(aligned(spark, d))
 
 
-@query(sql("aligned", "sites") + """, g AS (SELECT DISTINCT rid AS chrom, least(rstart, rend) AS s, greatest(rstart, rend) AS e FROM aligned), v AS (SELECT DISTINCT chrom, sv_id, "start", "end" + 500 AS "end" FROM sites),
+@query(sql("aligned", "sites") + """, g0 AS (SELECT DISTINCT rid AS chrom, least(rstart, rend) AS s, greatest(rstart, rend) AS e FROM aligned), g1 AS (SELECT *, max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM g0),
+g2 AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY s, e) AS n FROM g1), g AS (SELECT chrom, min(s) AS s, max(e) AS e FROM g2 GROUP BY chrom, n), v AS (SELECT DISTINCT chrom, sv_id, "start", "end" + 500 AS "end" FROM sites),
 x AS (SELECT v.chrom, v.sv_id, v."start", v."end", coalesce(sum(CASE WHEN g.s IS NOT NULL THEN greatest(least(v."end", g.e) - greatest(v."start", g.s), 0) END) / max(v."end" - v."start"), 0) AS share FROM v LEFT JOIN g ON v.chrom = g.chrom AND g.s < v."end" AND g.e > v."start" GROUP BY ALL) SELECT chrom, sv_id, "start", round(share, 6) AS share FROM x""")
 def j10_gap_share(spark, d):
-    """The share of each site's surroundings that intervals cover (counted once for each interval)."""
+    """The share of each site's surroundings that intervals cover, overlaps once."""
     v = sites(spark, d).select("chrom", "sv_id", "start", (F.col("end") + 500).alias("end")).distinct().withColumn("row", F.concat_ws(":", "chrom", "sv_id", "start", "end"))
     g = aligned(spark, d).select(F.col("rid").alias("chrom"), F.least("rstart", "rend").alias("s"), F.greatest("rstart", "rend").alias("e")).distinct()
     return assembly.gap_share(v, g, ["chrom"], ("start", "end"), ("s", "e"), "share", "row").select("chrom", "sv_id", "start", F.round("share", 6).alias("share"))

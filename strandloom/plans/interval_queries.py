@@ -123,12 +123,6 @@ def j6_anti_interval_join(spark, d):
     return _near(spark, d, "left_anti")
 
 
-@query(sql("evidence", "sites") + _RESTRICT.format(no=""))
-def region_restrict(spark, d):
-    """Read evidence that touches any site, as reads are restricted to regions."""
-    return _near(spark, d, "left_semi")
-
-
 @query(sql("sites", "aligned") + """, p AS (SELECT DISTINCT chrom, "start" AS at FROM sites), b AS (SELECT rid AS chrom, least(rstart, rend) AS s, greatest(rstart, rend) AS e FROM aligned)
 SELECT p.chrom, p.at, count(b.s) AS depth FROM p LEFT JOIN b ON p.chrom = b.chrom AND b.s <= p.at AND b.e > p.at GROUP BY p.chrom, p.at""")
 def i9_depth_at_points(spark, d):
@@ -157,7 +151,7 @@ def w4_consecutive_dedupe(spark, d):
 @query(sql("sites") + """, f AS (SELECT chrom, sv_id, 'L' AS side, greatest("start" - 30, 0) AS flank_start, "start" AS flank_end FROM sites UNION ALL SELECT chrom, sv_id, 'R', "end", "end" + 30 FROM sites)
 SELECT f.chrom, sv_id, side, flank_start, least(flank_end, size_bp) AS flank_end FROM f JOIN chrom_sizes c ON f.chrom = c.chrom""")
 def flank_windows(spark, d):
-    sizes = F.broadcast(table(spark, d, "chrom_sizes").limit(100_000).withColumnRenamed("size_bp", "limit"))
+    sizes = table(spark, d, "chrom_sizes").withColumnRenamed("size_bp", "limit")
     return iv.flanks(sites(spark, d).join(sizes, "chrom"), "start", "end", 30, F.col("limit")).select("chrom", "sv_id", "side", "flank_start", "flank_end")
 
 

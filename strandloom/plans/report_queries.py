@@ -26,89 +26,57 @@ def query(text: str | None):
 
 
 # -- sequences ---------------------------------------------------------------------------------------------------------
-_SEQS = ", seqs AS (SELECT DISTINCT seq FROM evidence WHERE seq IS NOT NULL)\n"
 _RC = "reverse(translate(regexp_replace(upper({x}), '[^ACGT]', 'N', 'g'), 'ACGT', 'TGCA'))"
 
 
-def _seqs(spark, d):
-    return evidence(spark, d).filter("seq is not null").select("seq").distinct()
-
-
-@query(sql("evidence") + _SEQS + f"SELECT seq, {_RC.format(x='seq')} AS rc FROM seqs")
-def f1_reverse_complement(spark, d):
-    return _seqs(spark, d).select("seq", sq.reverse_complement(F.col("seq")).alias("rc"))
-
-
-@query(sql("evidence") + _SEQS + ", o AS (SELECT seq, i FROM seqs, unnest(range(0, greatest(length(seq) - 1, 0))) AS u(i) WHERE substr(seq, i + 1, 2) = 'GA')\nSELECT seq, count(*) AS n, min(i) AS first, max(i) AS last FROM o GROUP BY seq")
-def f2_exact_search(spark, d):
-    o = _seqs(spark, d).withColumn("o", sq.occurrences(F.col("seq"), F.lit("GA"))).filter("size(o) > 0")
-    return o.select("seq", F.size("o").cast("bigint").alias("n"), F.array_min("o").cast("bigint").alias("first"), F.array_max("o").cast("bigint").alias("last"))
-
-
-# The same of all sequences, whatever else their rows miss.
 _ALL_SEQS = "WITH " + evidence_of_sql("seqs", "seq") + "\n"
 
 
 @query(_ALL_SEQS + f"SELECT seq, {_RC.format(x='seq')} AS rc FROM seqs")
-def f1_reverse_complement_whole(spark, d):
+def f1_reverse_complement(spark, d):
     return evidence_of(spark, d, "seq").select("seq", sq.reverse_complement(F.col("seq")).alias("rc"))
 
 
+@query(_ALL_SEQS + "SELECT seq, reverse(translate(upper(seq), 'ACGTRYKMBVDHSWN', 'TGCAYRMKVBHDSWN')) AS rc FROM seqs")
+def f1_ambiguous_complement(spark, d):
+    """The form that keeps ambiguity codes (F1)."""
+    return evidence_of(spark, d, "seq").select("seq", sq.reverse_complement_ambiguous(F.col("seq")).alias("rc"))
+
+
 @query(_ALL_SEQS + ", o AS (SELECT seq, i FROM seqs, unnest(range(0, greatest(length(seq) - 1, 0))) AS u(i) WHERE substr(seq, i + 1, 2) = 'GA')\nSELECT seq, count(*) AS n, min(i) AS first, max(i) AS last FROM o GROUP BY seq")
-def f2_exact_search_whole(spark, d):
+def f2_exact_search(spark, d):
     o = evidence_of(spark, d, "seq").withColumn("o", sq.occurrences(F.col("seq"), F.lit("GA"))).filter("size(o) > 0")
     return o.select("seq", F.size("o").cast("bigint").alias("n"), F.array_min("o").cast("bigint").alias("first"), F.array_max("o").cast("bigint").alias("last"))
 
 
-_FLANKS = """, f AS (SELECT DISTINCT chrom, pos, read_name, left(seq, 11) AS fk_l, substr(seq, 12, 10) AS fk_r, substr(seq, 5, 12) AS gl, substr(seq, 10, 12) AS gr FROM evidence WHERE seq IS NOT NULL),
+# Both halves of each whole sequence as flanks, and as the two sides of its empty site.
+_HALVES = """, f AS (SELECT chrom, pos, read_name, left(seq, (length(seq) + 1) // 2) AS fk_l, substr(seq, (length(seq) + 1) // 2 + 1) AS fk_r, fk_l AS gl, fk_r AS gr FROM e0),
 c AS (SELECT *, length(fk_r) > length(fk_l) AS swap, CASE WHEN length(fk_r) > length(fk_l) THEN fk_l ELSE fk_r END AS m, CASE WHEN length(fk_r) > length(fk_l) THEN fk_r ELSE fk_l END AS s FROM f),
 p AS (SELECT *, list_filter(flatten(list_transform(range(length(m), 3, -1), lambda k: list_transform(range(1, length(m) - k + 2), lambda p: substr(m, p, k)))), lambda w: instr(s, w) > 0)[1] AS tsd FROM c),
 q AS (SELECT *, list_filter(range(0, length(s) - length(tsd) + 1), lambda i: substr(s, i + 1, length(tsd)) = tsd) AS places, instr(m, tsd) - 1 AS i FROM p WHERE tsd IS NOT NULL),
 t AS (SELECT *, CASE WHEN swap THEN length(fk_l) - length(tsd) - i ELSE length(fk_l) - length(tsd) - list_max(places) END AS shift_l, CASE WHEN swap THEN list_min(places) ELSE i END AS shift_r FROM q)
 """
-
-
-def _tsd(spark, d):
-    f = evidence(spark, d).filter("seq is not null").select("chrom", "pos", "read_name", F.left("seq", F.lit(11)).alias("fk_l"), F.substring("seq", 12, 10).alias("fk_r"), F.substring("seq", 5, 12).alias("gl"), F.substring("seq", 10, 12).alias("gr")).distinct()
-    return tsd.duplications(f)
-
-
-@query(sql("evidence") + _FLANKS + "SELECT chrom, pos, read_name, tsd, shift_l, shift_r, pos - shift_l AS new_pos FROM t")
-def f3_duplications_genome(spark, d):
-    return tsd.place_from_genome(_tsd(spark, d), "pos").select("chrom", "pos", "read_name", "tsd", "shift_l", "shift_r", "new_pos")
-
-
-@query(sql("evidence") + _FLANKS + """, e AS (SELECT *, list_filter(range(0, greatest(length(gl || gr) - length(tsd) + 1, 0)), lambda z: substr(gl || gr, z + 1, length(tsd)) = tsd) AS o FROM t),
-n AS (SELECT *, list_min(list_transform(o, lambda z: {'d': abs(z - length(gl) + length(tsd)), 'p': z})).p AS at FROM e)
-SELECT chrom, pos, read_name, tsd, CASE WHEN at IS NOT NULL THEN pos + at - length(gl) + length(tsd) ELSE pos END AS new_pos FROM n""".replace(" AS at FROM e", " AS hit FROM e").replace("WHEN at IS", "WHEN hit IS").replace("pos + at -", "pos + hit -"))
-def f4_duplications_reads(spark, d):
-    return tsd.place_from_reads(_tsd(spark, d), "gl", "gr", "pos").select("chrom", "pos", "read_name", "tsd", "new_pos")
-
-
-# Both halves of each whole sequence as flanks, and as the two sides of its empty site.
-_HALVES = """, f AS (SELECT chrom, pos, read_name, left(seq, (length(seq) + 1) // 2) AS fk_l, substr(seq, (length(seq) + 1) // 2 + 1) AS fk_r, fk_l AS gl, fk_r AS gr FROM e0),
-""" + _FLANKS[_FLANKS.index("c AS (") :]
 _PLACED = evidence_of_sql("e0", "chrom", "pos", "read_name", "seq")
 
 
-def _tsd_whole(spark, d):
+def _tsd(spark, d):
     half = F.expr("(length(seq) + 1) div 2").cast("int")
     f = evidence_of(spark, d, "chrom", "pos", "read_name", "seq").select("chrom", "pos", "read_name", F.left("seq", half).alias("fk_l"), F.substring("seq", half + 1, F.length("seq")).alias("fk_r"))
     return tsd.duplications(f)
 
 
 @query("WITH " + _PLACED + _HALVES + "SELECT chrom, pos, read_name, tsd, shift_l, shift_r, pos - shift_l AS new_pos FROM t")
-def f3_duplications_genome_whole(spark, d):
-    """Duplications between the halves of whole sequences (F3); f3_duplications_genome reads 21 letters."""
-    return tsd.place_from_genome(_tsd_whole(spark, d), "pos").select("chrom", "pos", "read_name", "tsd", "shift_l", "shift_r", "new_pos")
+def f3_duplications_genome(spark, d):
+    """Duplications between the halves of whole sequences."""
+    return tsd.place_from_genome(_tsd(spark, d), "pos").select("chrom", "pos", "read_name", "tsd", "shift_l", "shift_r", "new_pos")
 
 
 @query("WITH " + _PLACED + _HALVES + """, e AS (SELECT *, list_filter(range(0, greatest(length(gl || gr) - length(tsd) + 1, 0)), lambda z: substr(gl || gr, z + 1, length(tsd)) = tsd) AS o FROM t),
 n AS (SELECT *, list_min(list_transform(o, lambda z: {'d': abs(z - length(gl) + length(tsd)), 'p': z})).p AS hit FROM e)
 SELECT chrom, pos, read_name, tsd, CASE WHEN hit IS NOT NULL THEN pos + hit - length(gl) + length(tsd) ELSE pos END AS new_pos FROM n""")
-def f4_duplications_reads_whole(spark, d):
-    """The same placed by the whole empty site (F4); f4_duplications_reads reads 21 letters."""
-    return tsd.place_from_reads(_tsd_whole(spark, d), "fk_l", "fk_r", "pos").select("chrom", "pos", "read_name", "tsd", "new_pos")
+def f4_duplications_reads(spark, d):
+    """The same placed by the whole empty site."""
+    return tsd.place_from_reads(_tsd(spark, d), "fk_l", "fk_r", "pos").select("chrom", "pos", "read_name", "tsd", "new_pos")
 
 
 @query(sql("evidence") + "SELECT DISTINCT seq, count_read % 40 AS p, op_len % 10 AS w, substr(seq, greatest(count_read % 40 - 10, 0) + 1, greatest(least(count_read % 40 + op_len % 10, length(seq)) - greatest(count_read % 40 - 10, 0), 0)) AS piece FROM evidence WHERE seq IS NOT NULL")
@@ -123,15 +91,9 @@ def f12_clip_trim(spark, d):
     return s.select("seq", "side", sq.trimmed_clip(F.col("seq"), F.col("side"), F.lit(15)).alias("kept")).distinct()
 
 
-@query(sql("evidence") + _SEQS + "SELECT seq, length(seq) AS n FROM seqs WHERE length(seq) > 30 AND regexp_full_match(upper(seq), '[ACGTURYKMSWBDHVN.-]+')")
+@query(_ALL_SEQS + "SELECT seq, length(seq) AS n FROM seqs WHERE length(seq) > 30 AND regexp_full_match(upper(seq), '[ACGTURYKMSWBDHVN.-]+')")
 def valid_long_sequences(spark, d):
     """Sequences over 30 letters of valid codes."""
-    return _seqs(spark, d).filter(sq.valid_sequence(F.col("seq")) & (F.length("seq") > 30)).select("seq", F.length("seq").cast("bigint").alias("n"))
-
-
-@query(_ALL_SEQS + "SELECT seq, length(seq) AS n FROM seqs WHERE length(seq) > 30 AND regexp_full_match(upper(seq), '[ACGTURYKMSWBDHVN.-]+')")
-def valid_long_sequences_whole(spark, d):
-    """The same of all sequences."""
     return evidence_of(spark, d, "seq").filter(sq.valid_sequence(F.col("seq")) & (F.length("seq") > 30)).select("seq", F.length("seq").cast("bigint").alias("n"))
 
 
@@ -143,25 +105,14 @@ def j13_sequence_slices(spark, d):
     return genome.slices(v, g, "chrom", "s", "e", "strand", "piece").select("chrom", "read_name", "s", "e", "strand", "piece")
 
 
-@query(sql("evidence") + """, g AS (SELECT chrom AS name, min(seq) AS seq FROM evidence WHERE length(seq) > 20 GROUP BY chrom), i AS (SELECT DISTINCT chrom AS name, pos % 20 AS s, read_name, left(seq, 4) AS ins FROM evidence WHERE seq IS NOT NULL AND pos % 97 = 0),
-o AS (SELECT *, lead(s) OVER (PARTITION BY name ORDER BY s, read_name, ins) AS nxt, row_number() OVER (PARTITION BY name ORDER BY s, read_name, ins) AS r FROM i),
-p AS (SELECT o.name, string_agg(CASE WHEN r = 1 THEN substr(g.seq, 1, s) ELSE '' END || ins || CASE WHEN nxt IS NULL THEN substr(g.seq, s + 1) ELSE substr(g.seq, s + 1, nxt - s) END, '' ORDER BY r) AS seq, count(*) AS n FROM o JOIN g ON o.name = g.name GROUP BY o.name)
-SELECT g.name, coalesce(p.seq, g.seq) AS seq, coalesce(n, 0) AS n_inserts FROM g LEFT JOIN p ON g.name = p.name""")
-def k3_genome_splice(spark, d):
-    e = evidence(spark, d)
-    g = e.filter(F.length("seq") > 20).groupBy(F.col("chrom").alias("name")).agg(F.min("seq").alias("seq"))
-    i = e.filter("seq is not null and pos % 97 = 0").select(F.col("chrom").alias("name"), (F.col("pos") % 20).alias("start"), "read_name", F.left("seq", F.lit(4)).alias("insert")).distinct()
-    return genome.splice(g, i, "read_name")
-
-
 @query("WITH " + evidence_of_sql("e", "chrom", "pos", "read_name", "seq") + ", " + evidence_of_sql("b", "chrom", "seq") + """, g AS (SELECT chrom AS name, min(seq) AS seq FROM b WHERE length(seq) > 20 GROUP BY chrom),
 i AS (SELECT g.name, pos // 10000 AS piece, pos AS s, least(pos, length(g.seq)) AS spot, least((pos // 10000 + 1) * 10000, length(g.seq)) AS hi, least(pos // 10000 * 10000, length(g.seq)) AS lo, read_name, e.seq AS ins, g.seq AS seq FROM e JOIN g ON chrom = name),
 o AS (SELECT *, lead(spot) OVER w AS nxt, row_number() OVER w AS r FROM i WINDOW w AS (PARTITION BY name, piece ORDER BY s, read_name, ins)),
 p AS (SELECT name, piece, string_agg(CASE WHEN r = 1 THEN substr(seq, lo + 1, spot - lo) ELSE '' END || ins || substr(seq, spot + 1, coalesce(nxt, hi) - spot), '' ORDER BY r) AS seq, count(*) AS n FROM o GROUP BY name, piece),
 c AS (SELECT name, k AS piece, substr(seq, k * 10000 + 1, 10000) AS seq FROM g, unnest(range(0, (length(seq) - 1) // 10000 + 1)) AS u(k))
 SELECT coalesce(p.name, c.name) AS name, coalesce(p.piece, c.piece) AS piece, coalesce(p.seq, c.seq) AS seq, coalesce(n, 0) AS n_inserts FROM c FULL JOIN p ON c.name = p.name AND c.piece = p.piece""")
-def k3_genome_splice_whole(spark, d):
-    """All inserts, whole and at their positions, in pieces of 10,000 bases (K3); k3_genome_splice is a sample of them."""
+def k3_genome_splice(spark, d):
+    """All inserts, whole and at their positions, in pieces of 10,000 bases (K3)."""
     g = evidence_of(spark, d, "chrom", "seq").filter(F.length("seq") > 20).groupBy(F.col("chrom").alias("name")).agg(F.min("seq").alias("seq"))
     i = evidence_of(spark, d, "chrom", "pos", "read_name", "seq").select(F.col("chrom").alias("name"), F.col("pos").alias("start"), "read_name", F.col("seq").alias("insert"))
     return genome.splice_pieces(g, i, "read_name", 10_000)
@@ -285,11 +236,17 @@ def a23_duplication_totals(spark, d):
     return sites(spark, d).agg(F.count_if(ok).alias("ok"), F.count_if(~ok).alias("ko"), F.count(F.lit(1)).alias("total"))
 
 
-@query(sql("sites") + "SELECT sv_id, CASE WHEN regexp_matches(sv_id, 'SOFT|HARD|DEL|INS') THEN regexp_extract(sv_id, '(SOFT|HARD|DEL|INS)', 1) || CASE WHEN coalesce(sv_size, 0) > 6000 THEN '_DEL' ELSE '' END END AS kind, \"end\" <= \"start\" AS bad_position FROM sites")
+@query(sql("sites") + "SELECT sv_id, CASE WHEN regexp_matches(sv_id, 'SOFT|HARD|DEL|INS') THEN regexp_extract(sv_id, '(SOFT|HARD|DEL|INS)', 1) || CASE WHEN coalesce(sv_size, 0) > 6000 THEN '_DEL' ELSE '' END END AS kind FROM sites")
 def variant_kinds(spark, d):
-    """Kind of a variant from its identifier, and the audit of positions."""
+    """Kind of a variant from its identifier."""
     big = F.when(F.coalesce("sv_size", F.lit(0)) > 6000, "_DEL").otherwise("")
-    return sites(spark, d).select("sv_id", F.concat(tx.variant_type(F.col("sv_id")), big).alias("kind"), (F.col("end") <= F.col("start")).alias("bad_position"))
+    return sites(spark, d).select("sv_id", F.concat(tx.variant_type(F.col("sv_id")), big).alias("kind"))
+
+
+@query("SELECT sv_type, count(*) AS n_rows, count(*) FILTER (end_pos <= start_pos) AS bad FROM te_infos GROUP BY sv_type")
+def bad_positions(spark, d):
+    """Audit of the positions as stored (P15): facts that end where they begin or before, by kind."""
+    return table(spark, d, "te_infos").groupBy("sv_type").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("end_pos") <= F.col("start_pos")).alias("bad"))
 
 
 _ONE = ", one AS (SELECT ident, min({'chrom': chrom, 's': \"start\", 'te': te, 'strand': strand}) AS b, max(sv_size) AS sv_size, min(freq) AS freq, min(freq_with_clipped) AS fc, min(CASE WHEN tsd <> 'NONE' THEN tsd END) AS tsd FROM sites GROUP BY ident), h AS (SELECT *, split_part(qseqid, ':', 5) AS ident FROM hits),\nbest AS (SELECT ident, arg_min({'p': pident, 'z': abs(qend - qstart)}, {'b': -bitscore, 'l': line_no}) AS v FROM h GROUP BY ident)\n"
@@ -386,23 +343,11 @@ def f19_genome_layout(spark, d):
     return table(spark, d, "chrom_sizes").select(F.concat(F.lit('["'), "chrom", F.lit('",'), F.col("size_bp").cast("string"), F.lit("]")).alias("datum"))
 
 
-_PIXELS = """, g AS (SELECT line_no, sstart > send AS down, size_bp AS sz, 4000 + line_no % 5000 AS ql, least(sstart, send) AS s, greatest(sstart, send) AS e, least(qstart, qend) AS q FROM hits JOIN te_sizes ON sseqid = te_name),
-r AS (SELECT *, (200 * CASE WHEN down THEN sz - e ELSE s - 1 END + sz) // (2 * sz) AS lead, (200 * (e - s) + sz) // (2 * sz) AS share, (200 * (q - 1) + ql) // (2 * ql) AS place FROM g WHERE s >= 1 AND e <= sz AND q >= 1)
-SELECT line_no, CAST(CASE WHEN down THEN -1 ELSE 1 END AS BIGINT) AS strand, 500 * lead // 100 AS lead0, 500 * sz * lead // (100 * ql) AS lead1, 500 * place // 100 - 500 * lead // 100 AS posq0, 500 * place // 100 - 500 * sz * lead // (100 * ql) AS posq1, 500 * share // 100 AS size0, 500 * sz * share // (100 * ql) AS size1 FROM r"""
-
-
-@query(sql("hits") + _PIXELS)
-def f20_hit_geometry(spark, d):
-    j = hits(spark, d).join(table(spark, d, "te_sizes").withColumnRenamed("te_name", "sseqid"), "sseqid").withColumn("ql", 4000 + F.col("line_no") % 5000)
-    j = j.filter("least(sstart, send) >= 1 and greatest(sstart, send) <= size_bp and least(qstart, qend) >= 1")
-    return viewer.geometry(j, "sstart", "send", "qstart", "qend", "size_bp", "ql").select("line_no", "strand", "lead0", "lead1", "posq0", "posq1", "size0", "size1")
-
-
 @query("""WITH h AS (SELECT DISTINCT line_no, sseqid, qstart, qend, sstart, send FROM blast_hits WHERE sseqid NOT IN ('.', 'NONE') AND line_no IS NOT NULL AND sstart IS NOT NULL AND send IS NOT NULL),
 g AS (SELECT line_no, sstart > send AS down, size_bp AS sz, 4000 + line_no % 5000 AS ql, least(sstart, send) AS s, greatest(sstart, send) AS e, least(qstart, qend) AS q FROM h JOIN te_sizes ON sseqid = te_name),
 r AS (SELECT *, CAST(floor((200 * CASE WHEN down THEN sz - e ELSE s - 1 END + sz) / (2 * sz)) AS BIGINT) AS lead, CAST(floor((200 * (e - s) + sz) / (2 * sz)) AS BIGINT) AS share, CAST(floor((200 * (q - 1) + ql) / (2 * ql)) AS BIGINT) AS place FROM g)
-""" + _PIXELS[_PIXELS.index("SELECT line_no, CAST(") :])
-def f20_hit_geometry_whole(spark, d):
+SELECT line_no, CAST(CASE WHEN down THEN -1 ELSE 1 END AS BIGINT) AS strand, 500 * lead // 100 AS lead0, 500 * sz * lead // (100 * ql) AS lead1, 500 * place // 100 - 500 * lead // 100 AS posq0, 500 * place // 100 - 500 * sz * lead // (100 * ql) AS posq1, 500 * share // 100 AS size0, 500 * sz * share // (100 * ql) AS size1 FROM r""")
+def f20_hit_geometry(spark, d):
     """All hits of a known element (F20); those that begin before 1 or end beyond it have parts outside the axis."""
     h = table(spark, d, "blast_hits").filter(eager.present("sseqid")).filter("line_no is not null and sstart is not null and send is not null").select("line_no", "sseqid", "qstart", "qend", "sstart", "send").distinct()
     j = h.join(table(spark, d, "te_sizes").withColumnRenamed("te_name", "sseqid"), "sseqid").withColumn("ql", 4000 + F.col("line_no") % 5000)
@@ -415,21 +360,8 @@ def t3_completion(spark, d):
     return viewer.complete(hits(spark, d), "sseqid", ["ro", "XA"])
 
 
-@query(sql("hits") + "SELECT qseqid, sseqid, max(bitscore) AS best, count(*) AS n_hits, min(line_no) AS line_no FROM hits WHERE split_part(qseqid, ':', 1) = 'A2' GROUP BY qseqid, sseqid ORDER BY best DESC")
-def t2_groups_by_score(spark, d):
-    """Hit groups of a chromosome, best first."""
-    return viewer.groups(hits(spark, d), "A2").orderBy(F.col("best").desc(), "qseqid", "sseqid")
-
-
-@query("SELECT * REPLACE (coalesce(tsd, 'NONE') AS tsd, coalesce(CAST(new_pos AS VARCHAR), 'NONE') AS new_pos) FROM (SELECT sv_id, chrom, tsd, new_pos FROM te_infos WHERE sv_id = 'TE_ID_OUTSIDER.18211.INS.0' OR chrom = 'M')")
-def k1_export_signs(spark, d):
-    """Facts by identifier or chromosome, with the signs of missing for export (K1, K5)."""
-    f = table(spark, d, "te_infos").filter((F.col("sv_id") == "TE_ID_OUTSIDER.18211.INS.0") | (F.col("chrom") == "M")).select("sv_id", "chrom", "tsd", "new_pos")
-    return report.sentinels(f, {"tsd": "NONE", "new_pos": "NONE"})
-
-
 @query(sql("hits") + "SELECT qseqid, sseqid, max(bitscore) AS best, count(*) AS n_hits, min(line_no) AS line_no FROM hits GROUP BY qseqid, sseqid ORDER BY best DESC")
-def t2_groups_by_score_whole(spark, d):
+def t2_groups_by_score(spark, d):
     """Hit groups of all chromosomes, best first."""
     return viewer.groups(hits(spark, d)).orderBy(F.col("best").desc(), "qseqid", "sseqid")
 
@@ -439,8 +371,8 @@ _SIGNS = dict.fromkeys(_FACTS, "NONE") | {"strand": "."}
 
 
 @query("SELECT " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '{_SIGNS[c]}') AS {c}" for c in _FACTS) + " FROM te_infos")
-def k1_export_signs_whole(spark, d):
-    """All facts with all their columns as text, with the signs of missing for export (K1); k1_export_signs is two questions."""
+def k1_export_signs(spark, d):
+    """All facts with all their columns as text, with the signs of missing for export (K1)."""
     return report.sentinels(table(spark, d, "te_infos").select(*_FACTS), _SIGNS)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandloom.functions.text import attributes
+from strandloom.session import bounded_rows
 
 
 def _schema(*fields: tuple[str, str]) -> str:
@@ -85,9 +86,9 @@ def sequence_index(sequences: DataFrame) -> DataFrame:
 def read_manifest(spark: SparkSession, path) -> list[tuple[str, str, int]]:
     """(folder, group, number) of each generation: lines ``folder:G7``, or folders alone, which are numbered by line.
 
-    Named ones are sorted by number. A manifest is a handful of lines.
+    Named ones are sorted by number. More than 10,000 lines raise.
     """
-    lines = [r[0].strip() for r in spark.read.text(path).limit(10_000).collect() if r[0].strip()]
+    lines = [r[0].strip() for r in bounded_rows(spark.read.text(path), 10_000, "a manifest of generations") if r[0].strip()]
     out = []
     for i, line in enumerate(lines, 1):
         folder, _, group = line.partition(":")
