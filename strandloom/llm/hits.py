@@ -11,9 +11,9 @@ from strandloom.operators.eager import present
 from strandloom.session import table
 
 
-def _stretches(spark: SparkSession, sf_dir: str, least: int = 1) -> DataFrame:
+def _stretches(spark: SparkSession, sf_dir: str, least: int = 1, penalty: int = 10, cost: str = "steps") -> DataFrame:
     hits = table(spark, sf_dir, "blast_hits").filter(present("qseqid") & present("sseqid"))
-    return runs(hits, "qseqid", "line_no", ["sseqid", F.col("sstart") <= F.col("send")], ["sstart", "send"], penalty=10, least=least)
+    return runs(hits, "qseqid", "line_no", ["sseqid", F.col("sstart") <= F.col("send")], ["sstart", "send"], penalty=penalty, least=least, cost=cost)
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,7 +22,16 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p2_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stretch once, single hits too: number of hits, length on the family and in the file."""
-    return _stretches(spark, sf_dir).select(
+    return _lengths(_stretches(spark, sf_dir))
+
+
+def p2_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with stretches whose hits lie near the mean of the stretch: squared differences, 400 for a boundary."""
+    return _lengths(_stretches(spark, sf_dir, penalty=400, cost="spread"))
+
+
+def _lengths(found: DataFrame) -> DataFrame:
+    return found.select(
         F.col("entity").alias("qseqid"), F.col("kind0").alias("sseqid"), F.when(F.col("kind1") == "true", "+").otherwise("-").alias("strand"),
         F.col("first").alias("first_line_no"), F.col("n_events").alias("n_hits"), (F.greatest("hi_sstart", "hi_send") - F.least("lo_sstart", "lo_send") + 1).alias("family_length"),
         (F.col("last") - F.col("first") + 1).alias("file_length"),
@@ -42,7 +51,7 @@ def p3_best_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _best(spark, sf_dir, 3).select("qseqid", "place", "line_no", "sseqid", "bitscore")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_stretches, p3_found, p3_best_hits)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_stretches, p2_segments, p3_found, p3_best_hits)}
 
 _RUNS = """WITH hits AS (SELECT DISTINCT qseqid, sseqid, sstart, send, line_no FROM blast_hits
   WHERE qseqid NOT IN ('.', 'NONE') AND sseqid NOT IN ('.', 'NONE') AND sstart IS NOT NULL AND send IS NOT NULL AND line_no IS NOT NULL),

@@ -1,15 +1,20 @@
 """Collapse runs of near-identical consecutive events into one event with its count and durations.
 
-The events of an entity, in order, are cut into runs so that the sum of the dissimilarities between neighbours within runs plus
-a penalty for each boundary is least. Events that can't belong together (another kind) have an infinite dissimilarity.
+The events of an entity, in order, are cut into runs so that the dissimilarity within the runs plus a penalty for each boundary
+is least. Events of another kind never share a run. Two dissimilarities are known:
 
-The optimum comes from dynamic programming over the last boundary: F(t) = min over s < t of F(s) + D(s, t) + penalty, where
-D adds up the neighbour dissimilarities of events s+1..t. Candidates s are pruned when another can never do worse: all live
-candidates grow by the same dissimilarity when an event is added, so of the older ones only the best survives, and an
-infinite dissimilarity leaves the newest alone. Of equal optima the one with fewer boundaries is taken.
+* ``steps``: the sum over neighbours in the run of their largest difference in a field;
+* ``spread``: the sum over the run of the squared differences from the run's mean, over all fields.
 
-Rows are range-partitioned by (entity, order), so an entity of any size is spread over tasks; the recursion starts anew in each
-partition, and as the cost is a sum over neighbours, partitions are joined exactly by the same recursion over their edge runs.
+The optimum is found by pruned dynamic programming over the last boundary: F(t) = min over live s < t of F(s) + D(s, t) + penalty. A
+candidate s stays live after t only while F(s) + D(s, t) <= F(t); otherwise a boundary at t can always take its place, since
+D(s, u) >= D(s, t) + D(t, u) for both. With ``steps`` all candidates grow by the same amount when an event is added, so the best
+of them stays the best and the others go too. Of equal optima the one whose last run begins first is taken. The recursion
+runs for many stretches of one kind at a time, one event of each in a step.
+
+Rows are range-partitioned by (entity, order), so an entity of any size is spread over tasks. With ``steps``, where costs add up
+over neighbours, runs that meet at the border of two partitions are joined by the same rule from their ends alone. With
+``spread`` the stretch of one kind that lies on a border is finished in one piece by the task of its entity, from its events.
 """
 
 from __future__ import annotations
@@ -23,35 +28,61 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-INFINITE = np.iinfo(np.int64).max
-
-
-def cut(dissimilarity: Sequence[int], penalty: int) -> list[int]:
-    """Starts of the runs of an optimal segmentation of len(dissimilarity) + 1 events, all dissimilarities finite.
-
-    ``live`` holds (start, cost of the best segmentation in which the open run begins there). An event adds its dissimilarity
-    to all of them and one candidate that begins with it, of cost F + penalty; pruning keeps the old best only while it can win.
-    """
-    starts, start, open_cost = [0], 0, 0
-    for at, d in enumerate(dissimilarity, 1):
-        stay, fresh = open_cost + d, open_cost + penalty  # F(t) with the old candidate; with a boundary before this event
-        if fresh < stay:
-            start, open_cost = at, fresh
-            starts.append(start)
-        else:
-            open_cost = stay
+COSTS = ("steps", "spread")
+
+
+def dissimilarity(values: np.ndarray, begins: np.ndarray, cost: str):
+    """D(a, b) of the events a to b - 1 (arrays of places), which lie in one stretch. ``values``: events x fields; ``begins``: where stretches begin."""
+    if cost == "steps":
+        step = np.zeros(len(values), np.int64)
+        step[1:] = np.abs(np.diff(values, axis=0)).max(1)
+        step[begins] = 0
+        upto = np.cumsum(step)
+        return lambda a, b: upto[b - 1] - upto[a]
+    size = np.diff(np.append(begins, len(values)))
+    near = (values - np.repeat(values[begins], size, axis=0)).astype(np.float64)  # small numbers keep the sums exact
+    one = np.vstack([np.zeros((1, values.shape[1])), np.cumsum(near, axis=0)])
+    two = np.append(0.0, np.cumsum((near * near).sum(1)))
+    return lambda a, b: np.maximum(two[b] - two[a] - ((one[b] - one[a]) ** 2).sum(1) / (b - a), 0.0)
+
+
+def segment(values: np.ndarray, begins: np.ndarray, penalty: float, cost: str = "steps") -> np.ndarray:
+    """Which events begin a run of the optimal segmentation. ``begins``: the places where stretches of one kind begin, the first one 0."""
+    n = len(values)
+    starts = np.zeros(n, bool)
+    starts[begins] = True
+    size = np.diff(np.append(begins, n))
+    longer = np.flatnonzero(size > 1)
+    if not len(longer):
+        return starts
+    longer = longer[np.argsort(-size[longer], kind="stable")]
+    at, size = begins[longer], size[longer]  # stretches, the longest first
+    within = dissimilarity(values, begins, cost)
+    last = np.zeros(n, np.int64)  # for each event where, in its stretch, the last run begins if the stretch ended with it
+    best = np.zeros(len(at), np.int64 if cost == "steps" and isinstance(penalty, int) else np.float64)  # F(t)
+    lane, start, base = np.zeros(0, np.int64), np.zeros(0, np.int64), best[:0]  # live candidates by stretch: s and F(s) + penalty
+    for t in range(1, int(size[0]) + 1):
+        going = int(np.searchsorted(-size, -t, "right"))  # stretches of t events or more
+        kept = lane < going
+        fresh = best[:going] + penalty if t > 1 else best[:going]  # the first run has no boundary before it
+        lane = np.append(lane[kept], np.arange(going))
+        order = np.argsort(lane, kind="stable")
+        lane, start, base = lane[order], np.append(start[kept], np.full(going, t - 1))[order], np.append(base[kept], fresh)[order]
+        value = base + within(at[lane] + start, at[lane] + t)
+        best[:going] = np.minimum.reduceat(value, np.flatnonzero(np.append(True, lane[1:] != lane[:-1])))
+        least = np.flatnonzero(value == best[lane])
+        least = least[np.append(True, lane[least][1:] != lane[least][:-1])]  # the earliest of equals
+        last[at[:going] + t - 1] = start[least]
+        live = least if cost == "steps" else np.flatnonzero(value - penalty <= best[lane])
+        lane, start, base = lane[live], start[live], base[live]
+    end = size.copy()
+    while (open_ := end > 0).any():
+        at, end = at[open_], end[open_]
+        end = last[at + end - 1]
+        starts[at + end] = True
     return starts
 
 
-def dissimilarity(kind_same: np.ndarray, fields: Sequence[np.ndarray]) -> np.ndarray:
-    """Between each event and the one before: the largest difference of a field; infinite where the kind differs."""
-    d = np.zeros(len(kind_same), np.int64)
-    for f in fields:
-        d[1:] = np.maximum(d[1:], np.abs(np.diff(f)))
-    d[~kind_same] = INFINITE
-    return d
-
-
 def _same(column: pa.Array) -> np.ndarray:
     """Whether each value equals the one before (False for the first)."""
     out = np.zeros(len(column), bool)
@@ -60,108 +91,152 @@ def _same(column: pa.Array) -> np.ndarray:
     return out
 
 
-def runs(df: DataFrame, entity: str, order: str, kind: Sequence[str | Column], fields: Sequence[str], penalty: int = 10, partitions: int | None = None, least: int = 1) -> DataFrame:
-    """One row per run: entity, kind columns (``kind0``...), first_/last_ of ``order``, n_events, and lo_/hi_ of each field.
+def _stretches(batches: Iterator[pa.RecordBatch], kinds: Sequence[str], copies: bool) -> Iterator[tuple[pa.Table, np.ndarray, bool]]:
+    """(rows, places where stretches begin, whether these are the last rows) of whole stretches of one entity and kind.
 
-    ``kind`` must be equal within a run; ``fields`` are integers whose largest difference to the event before is the
-    dissimilarity, and ``penalty`` the price of a boundary: neighbours that differ by at most the penalty stay together.
+    With ``copies``, a row of the entity and place of the row before is left out. Where there is a column ``fresh``, a stretch also
+    begins where it is true. The rows of an open stretch wait for its end.
+    """
+    waiting: list[pa.Table] = []
+    before: pa.Table | None = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        if not t.num_rows:
+            continue
+        ahead = 0 if before is None else 1
+        seen = t if before is None else pa.concat_tables([before, t])
+        entity = _same(seen["entity"].combine_chunks())
+        if copies:
+            first = seen["first"].to_numpy()
+            copy = entity.copy()
+            copy[1:] &= first[1:] == first[:-1]
+        else:
+            copy = np.zeros(len(entity), bool)
+        kept = ~copy
+        kept[:ahead] = True
+        if copy.any():
+            seen, entity = seen.filter(pa.array(kept)), entity[kept]
+        together = entity
+        for k in kinds:
+            together = together & _same(seen[k].combine_chunks())
+        if "fresh" in seen.column_names:
+            together = together & ~seen["fresh"].to_numpy()
+        t, begins = seen.slice(ahead), np.flatnonzero(~together[ahead:])
+        if not t.num_rows:
+            continue
+        before = t.slice(t.num_rows - 1)
+        if not len(begins) or (len(begins) == 1 and begins[0] == 0 and not waiting):
+            waiting.append(t)
+            continue
+        cut = int(begins[-1])
+        whole = pa.concat_tables([*waiting, t.slice(0, cut)]).combine_chunks()
+        if whole.num_rows:
+            shift = whole.num_rows - cut
+            yield whole, np.unique(np.append(0, begins[:-1] + shift)), False
+        waiting = [t.slice(cut)]
+    if waiting:
+        yield pa.concat_tables(waiting).combine_chunks(), np.zeros(1, np.int64), True
+
+
+def runs(df: DataFrame, entity: str, order: str, kind: Sequence[str | Column], fields: Sequence[str], penalty: int = 10, partitions: int | None = None, least: int = 1, cost: str = "steps") -> DataFrame:
+    """One row per run: entity, kind columns (``kind0``...), first and last of ``order``, n_events, and lo_ and hi_ of each field.
+
+    ``kind`` must be equal within a run; ``fields`` are integers the dissimilarity ``cost`` is taken from, and ``penalty`` is the price
+    of a boundary. With ``steps`` neighbours that differ by at most the penalty stay together.
     Rows with a NULL in any of these columns are left out first. Rows of one entity and order value are one event; should such
     copies differ, the least by (kind, fields) counts. An empty table gives no row; other columns are dropped. Only runs of at
-    least ``least`` events are returned; shorter ones don't leave their partition, unless they may go on in the next.
+    least ``least`` events are returned; shorter ones don't leave their partition, unless they may go on in the next. A task holds
+    the events of the longest stretch of one kind in its partition.
     """
+    if cost not in COSTS:
+        raise ValueError(f"unknown cost {cost!r}")
     kinds = [f"kind{i}" for i in range(len(kind))]
     rows = df.select(
-        F.col(entity).cast("string").alias("entity"), F.col(order).cast("bigint").alias("at"),
+        F.col(entity).cast("string").alias("entity"), F.col(order).cast("bigint").alias("first"),
         *[(F.col(k) if isinstance(k, str) else k).cast("string").alias(n) for n, k in zip(kinds, kind, strict=True)],
         *[F.col(f).cast("bigint").alias(f"value_{f}") for f in fields],
     ).dropna()
-    keys = ["entity", "at"]
+    keys = ["entity", "first"]
     spread = rows.repartitionByRange(partitions, *keys) if partitions else rows.repartitionByRange(*keys)
     spread = spread.sortWithinPartitions(*keys, *kinds, *[f"value_{f}" for f in fields])
-    schema = T.StructType([
-        T.StructField("entity", T.StringType()), *[T.StructField(k, T.StringType()) for k in kinds],
-        *[T.StructField(c, T.LongType()) for c in ("first", "last", "n_events")], *[T.StructField(f"{p}_{f}", T.LongType()) for f in fields for p in ("lo", "hi", "begin", "end")],
-        T.StructField("head", T.BooleanType()), T.StructField("tail", T.BooleanType()),
-    ])
-    arrow = pa.schema([(f.name, {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_()}[f.dataType.simpleString()]) for f in schema])
-
-    def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, first_batch = None, True  # rows of the last run so far, whose end isn't known yet
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if held is None:
-                t = pa.Table.from_batches([batch])
-            else:
-                t = pa.concat_tables([held[0], pa.Table.from_batches([batch])]).combine_chunks()
-            n = t.num_rows
-            same_entity = _same(t["entity"].combine_chunks())
-            at = t["at"].to_numpy()
-            copy = same_entity.copy()
-            copy[1:] &= at[1:] == at[:-1]
-            if copy.any():
-                t = t.filter(pa.array(~copy))
-                n, same_entity, at = t.num_rows, same_entity[~copy], t["at"].to_numpy()
+    longs = ["first", "last", "n_events", *[f"{p}_{f}" for f in fields for p in ("lo", "hi", "begin", "end")]]
+    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in ("entity", *kinds)], *[T.StructField(c, T.LongType()) for c in longs], *[T.StructField(c, T.BooleanType()) for c in ("edge", "fresh")]])
+    arrow = pa.schema([*[(c, pa.string()) for c in ("entity", *kinds)], *[(c, pa.int64()) for c in longs], ("edge", pa.bool_()), ("fresh", pa.bool_())])
+
+    def collapsed(t: pa.Table, starts: np.ndarray, values: list[np.ndarray]) -> dict:
+        begins = np.flatnonzero(starts)
+        ends = np.append(begins[1:], t.num_rows) - 1
+        first = t["first"].to_numpy()
+        out = {c: t[c].combine_chunks().take(pa.array(begins)) for c in ("entity", *kinds)}
+        out |= {"first": first[begins], "last": first[ends], "n_events": ends - begins + 1}
+        for f, v in zip(fields, values, strict=True):
+            out |= {f"lo_{f}": np.minimum.reduceat(v, begins), f"hi_{f}": np.maximum.reduceat(v, begins), f"begin_{f}": v[begins], f"end_{f}": v[ends]}
+        return out
+
+    def batch_of(columns: dict, edge: np.ndarray, fresh: np.ndarray, kept: np.ndarray) -> pa.RecordBatch:
+        made = [c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in (columns[f.name] for f in list(arrow)[:-2])]
+        # What only the joining needs is left out of rows that take no part in it.
+        made = [pc.if_else(pa.array(edge), c, pa.scalar(None, pa.int64())) if f.name.startswith(("begin_", "end_")) else c for c, f in zip(made, arrow, strict=False)]
+        return pa.RecordBatch.from_arrays([*made, pa.array(edge), pa.array(fresh)], schema=arrow).filter(pa.array(kept))
+
+    def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leading = True
+        for t, begins, final in _stretches(batches, kinds, True):
             values = [t[f"value_{f}"].to_numpy() for f in fields]
-            together = same_entity
-            for k in kinds:
-                together = together & _same(t[k].combine_chunks())
-            d = dissimilarity(together, values)
-            begins = np.flatnonzero(d == INFINITE)
-            starts = np.zeros(n, bool)
-            starts[begins] = True
-            ends = np.append(begins[1:], n)
-            for b, e in zip(begins[ends - begins > 1].tolist(), ends[ends - begins > 1].tolist(), strict=True):
-                starts[[b + s for s in cut(d[b + 1 : e].tolist(), penalty)]] = True
-            if held is not None:
-                starts[0] = True
-            begins = np.flatnonzero(starts)
-            out, count, extra = _collapse(t, begins, values, kinds, fields, held[1] if held else None)
-            # the last run stays open: its last event is enough to go on, with what the run has gathered so far
-            carried = {k: v[-1] for k, v in extra.items()}
-            held = (t.slice(n - 1), carried)
-            if len(begins) > 1:
-                head = np.zeros(len(begins) - 1, bool)
-                head[0] = first_batch
-                first_batch = False
-                closed = pa.RecordBatch.from_arrays([c.slice(0, len(head)) for c in out] + [pa.array(head), pa.array(np.zeros(len(head), bool))], schema=arrow)
-                yield closed if least < 2 else closed.filter(pa.array(head | (extra["n_events"][: len(head)] >= least)))
-            last = [c.slice(len(begins) - 1) for c in out]
-        if held is not None:
-            yield pa.RecordBatch.from_arrays([*last, pa.array([first_batch]), pa.array([True])], schema=arrow)
-
-    found = spread.mapInArrow(segment, schema)
-    # The first and last run of each partition meet in one group, two rows of a task; all others are spread and stay alone.
-    found = found.withColumn("__part", F.when(F.col("head") | F.col("tail"), F.lit(-1)).otherwise(F.pmod(F.xxhash64("entity", "first"), F.lit(1 << 16))))
+            starts = segment(np.stack(values, axis=1), begins, penalty, cost)
+            open_ = np.zeros(t.num_rows, bool)  # events of stretches, or with steps of runs, on a border of the partition
+            cuts = np.flatnonzero(starts) if cost == "steps" else begins
+            if leading:
+                open_[: cuts[1] if len(cuts) > 1 else None] = True
+            if final:
+                open_[cuts[-1] :] = True
+            fresh = np.zeros(t.num_rows, bool)
+            if cost == "spread":
+                fresh[begins] = open_[begins]
+                fresh[0] &= not leading
+                starts |= open_  # their events go on one by one
+            out = collapsed(t, starts, values)
+            edge = open_[starts]
+            yield batch_of(out, edge, fresh[starts], edge | (out["n_events"] >= least))
+            leading = False
+
+    found = spread.mapInArrow(first_pass, schema)
+    kept = [F.col(c) for c in ("entity", *kinds, "first", "last", "n_events")] + [F.col(f"{p}_{f}") for f in fields for p in ("lo", "hi")]
+    if cost == "spread":
+        def second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def edges() -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    edge = batch.column("edge")
+                    done.append(batch.filter(pc.invert(edge)))
+                    yield batch.filter(edge)
+
+            done: list[pa.RecordBatch] = []
+            for t, begins, _ in _stretches(edges(), kinds, False):
+                yield from done
+                done.clear()
+                values = [t[f"lo_{f}"].to_numpy() for f in fields]
+                out = collapsed(t, segment(np.stack(values, axis=1), begins, penalty, cost), values)
+                none = np.zeros(len(out["first"]), bool)
+                yield batch_of(out, none, none, out["n_events"] >= least)
+            yield from done
+
+        part = F.when(F.col("edge"), F.xxhash64("entity")).otherwise(F.xxhash64(F.spark_partition_id()))
+        return found.repartition(part).sortWithinPartitions("entity", "first").mapInArrow(second_pass, schema).select(*kept)
+
+    # The first and last run of each partition meet in one group, two rows of a task; all others stay in groups of their partition.
+    found = found.withColumn("__part", F.when(F.col("edge"), F.lit(-1)).otherwise(F.spark_partition_id()))
     line = Window.partitionBy("__part").orderBy("entity", "first")
-    joins = F.col("head") & F.lag("tail").over(line) & (F.lag("entity").over(line) == F.col("entity"))
+    joins = F.col("edge") & (F.lag("entity").over(line) == F.col("entity"))
     for k in kinds:
         joins &= F.lag(k).over(line) == F.col(k)
     for f in fields:
         joins &= F.abs(F.lag(f"end_{f}").over(line) - F.col(f"begin_{f}")) <= penalty
+    # Within a partition the first and the last run are different runs, unless they are the same row.
+    joins &= F.lag("__source").over(line) != F.col("__source")
+    found = found.withColumn("__source", F.spark_partition_id())
     found = found.withColumn("__new", F.when(joins, 0).otherwise(1)).withColumn("__run", F.sum("__new").over(line))
     return found.groupBy("__part", "__run").agg(
         F.min("entity").alias("entity"), *[F.min(k).alias(k) for k in kinds],
         F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n_events").alias("n_events"),
         *[g(f"{p}_{f}").alias(f"{p}_{f}") for f in fields for p, g in (("lo", F.min), ("hi", F.max))],
-    ).drop("__part", "__run").filter(F.col("n_events") >= least)
-
-
-def _collapse(t: pa.Table, begins: np.ndarray, values, kinds, fields, carried):
-    """Arrow columns of the runs that begin at ``begins``, and the gathered parts of them; ``carried`` is added to the first."""
-    n = t.num_rows
-    ends = np.append(begins[1:], n) - 1
-    at = t["at"].to_numpy()
-    parts = {"first": at[begins].copy(), "last": at[ends].copy(), "n_events": ends - begins + 1}
-    for f, v in zip(fields, values, strict=True):
-        parts |= {f"lo_{f}": np.minimum.reduceat(v, begins), f"hi_{f}": np.maximum.reduceat(v, begins), f"begin_{f}": v[begins].copy(), f"end_{f}": v[ends].copy()}
-    if carried is not None:
-        parts["first"][0] = carried["first"]
-        parts["n_events"][0] += carried["n_events"] - 1  # the carried event is in both
-        for f in fields:
-            parts[f"lo_{f}"][0] = min(parts[f"lo_{f}"][0], carried[f"lo_{f}"])
-            parts[f"hi_{f}"][0] = max(parts[f"hi_{f}"][0], carried[f"hi_{f}"])
-            parts[f"begin_{f}"][0] = carried[f"begin_{f}"]
-    take = pa.array(begins)
-    columns = [t[c].combine_chunks().take(take) for c in ("entity", *kinds)]
-    return columns + [pa.array(v.astype(np.int64)) for v in parts.values()], len(begins), parts
+    ).select(*kept).filter(F.col("n_events") >= least)

@@ -2,37 +2,58 @@
 
 import random
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from strandloom.llm.runs import INFINITE, cut, dissimilarity, runs
-from strandloom.llm.topn import top_n
+from strandloom.llm.runs import runs, segment
+from strandloom.llm.topn import best_of_subgroups, top_n
 
 
-def best_by_search(d, penalty):
-    """Optimal cost over all segmentations, by plain dynamic programming over every last boundary."""
-    n = len(d) + 1
-    best = [0.0] * (n + 1)
-    for t in range(1, n + 1):
-        best[t] = min((best[s] + sum(d[s : t - 1]) + (penalty if s else 0)) for s in range(t))
-    return best[n]
+def within(v, cost):
+    if cost == "steps":
+        return sum(max(abs(x - y) for x, y in zip(a, b, strict=True)) for a, b in zip(v, v[1:], strict=False))
+    return sum(sum((x - sum(c) / len(c)) ** 2 for x in c) for c in zip(*v, strict=True))
 
 
-def test_cut_is_optimal():
-    rng = random.Random(2)
-    for _ in range(300):
-        d = [rng.choice([0, 3, 10, 11, 25]) for _ in range(rng.randrange(0, 9))]
-        starts = cut(d, 10)
-        cost = 10 * (len(starts) - 1) + sum(x for i, x in enumerate(d, 1) if i not in starts)
-        assert cost == best_by_search(d, 10)
-        assert all(i not in starts for i, x in enumerate(d, 1) if x <= 10)
-
+def by_search(v, penalty, cost):
+    """Optimal cost over all segmentations, by unpruned dynamic programming over every last boundary."""
+    best = [0.0] * (len(v) + 1)
+    for t in range(1, len(v) + 1):
+        best[t] = min(best[s] + within(v[s:t], cost) + (penalty if s else 0) for s in range(t))
+    return best[-1]
 
-def test_other_kinds_never_join():
-    import numpy as np
 
-    assert dissimilarity(np.array([False, True, False]), [np.array([1, 5, 5])]).tolist() == [INFINITE, 4, INFINITE]
+@pytest.mark.parametrize("cost", ["steps", "spread"])
+def test_segmentation_is_optimal(cost):
+    """Against the unpruned recursion; many stretches at a time and one at a time give the same."""
+    rng = random.Random(2)
+    stretches = []
+    for _ in range(400):
+        v = [(0, 0)]
+        while rng.random() < 0.9:
+            v.append(tuple(x + rng.choice([0, 0, 3, -4, 10, 11, 40]) for x in v[-1]))
+        stretches.append(v)
+    begins = np.cumsum([0] + [len(v) for v in stretches[:-1]])
+    together = segment(np.array(sum(stretches, [])), begins, 10 if cost == "steps" else 60, cost)
+    for v, b in zip(stretches, begins, strict=True):
+        penalty = 10 if cost == "steps" else 60
+        starts = segment(np.array(v), np.zeros(1, np.int64), penalty, cost)
+        assert starts.tolist() == together[b : b + len(v)].tolist()
+        cut = [*np.flatnonzero(starts), len(v)]
+        got = sum(within(v[a:z], cost) for a, z in zip(cut, cut[1:], strict=False)) + penalty * (len(cut) - 2)
+        assert got == pytest.approx(by_search(v, penalty, cost))
+
+
+def test_costs_are_no_threshold():
+    """A drift of small steps stays together with one cost and is cut with the other; one outlier is worth no boundary."""
+    drift = np.array([[8 * i] for i in range(20)])
+    assert segment(drift, np.zeros(1, np.int64), 10).sum() == 1
+    assert segment(drift, np.zeros(1, np.int64), 400, "spread").sum() > 1
+    outlier = np.array([[0], [0], [25], [0], [0], [0]])
+    assert segment(outlier, np.zeros(1, np.int64), 10).sum() == 3
+    assert segment(outlier, np.zeros(1, np.int64), 600, "spread").sum() == 1
 
 
 def brute_runs(data):
@@ -80,6 +101,34 @@ def test_one_run_over_many_batches_and_partitions(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+@pytest.mark.parametrize("partitions", [1, 5, 40])
+def test_spread_however_it_is_cut(spark, partitions):
+    rng = random.Random(partitions)
+    data = [(rng.choice(["hot"] * 8 + ["b"]), n, rng.choice("FFFFFFG"), rng.choice([0, 5, 20, 60])) for n in range(500)]
+    data += [("long", 1000 + n, "F", rng.choice([0, 40])) for n in range(200)]
+    df = spark.createDataFrame(data + data[::4], "q string, n bigint, s string, a bigint")
+    want, stretch = [], []
+    for r in [*sorted(data), (None, 0, None, 0)]:
+        if stretch and (r[0], r[2]) != (stretch[-1][0], stretch[-1][2]):
+            cut = [*np.flatnonzero(segment(np.array([[x[3]] for x in stretch]), np.zeros(1, np.int64), 500, "spread")), len(stretch)]
+            want += [(stretch[0][0], stretch[a][1], stretch[z - 1][1], int(z - a)) for a, z in zip(cut, cut[1:], strict=False)]
+            stretch = []
+        stretch.append(r)
+    got = runs(df, "q", "n", ["s"], ["a"], penalty=500, partitions=partitions, cost="spread")
+    assert rows(got.select("entity", "first", "last", "n_events")) == sorted(want, key=str)
+    some = runs(df, "q", "n", ["s"], ["a"], penalty=500, partitions=partitions, cost="spread", least=2)
+    assert rows(some.select("entity", "first")) == sorted([(r[0], r[1]) for r in want if r[3] > 1], key=str)
+
+
+def test_copies_of_an_item_go_on_once(spark):
+    """Of 100,000 copies of the best item one survives the first stage."""
+    df = spark.range(100_000).select(F.lit("g").alias("g"), F.lit(9.0).alias("v"), F.lit(1).cast("bigint").alias("n"))
+    df = df.unionByName(spark.createDataFrame([("g", 1.0, 2), ("g", 1.0, 3), ("g", 0.5, 4)], "g string, v double, n bigint"))
+    first = best_of_subgroups(df.withColumn("__salt", F.lit(0)), ["g"], [F.col("v").desc(), F.col("n").asc()], ["g", "v", "n"], 3)
+    assert rows(first.select("n")) == [(1,), (2,), (3,)]
+    assert rows(top_n(df, ["g"], [("v", True), ("n", False)], 3, F.col("n")).select("n", "place")) == [(1, 1), (2, 2), (3, 3)]
+
+
 @pytest.mark.parametrize("salts", [1, 5])
 def test_top_n(spark, salts):
     rng = random.Random(salts)
