@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandloom.llm import leaks as leaking
@@ -48,14 +48,14 @@ def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For every source of mix_targets its target and what the chosen documents really give, of all tokens and of the mix."""
+    """For every source of mix_targets its target, its share by the plan and what the chosen documents really give, of all tokens and of the mix."""
     counted = checkpointed(_counted(spark, sf_dir))
     planned = checkpointed(mixing.plan(counted, table(spark, sf_dir, "mix_targets")))
     given = mixing.realise(counted, planned).groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("given"), F.count(F.lit(1)).alias("n_documents"), F.max("repeats").alias("most_repeats"))
-    whole = given.agg(F.sum("given").alias("mixed")).withColumn("one", F.lit(1))
-    rows = planned.withColumn("one", F.lit(1)).join(given, "source", "left").join(F.broadcast(whole), "one")
-    given_tokens = F.coalesce("given", F.lit(0))
-    return rows.select(F.col("written").alias("source"), "target_share", given_tokens.alias("tokens_given"), (given_tokens / F.col("all_tokens")).alias("share_of_all"), (given_tokens / F.col("mixed")).alias("share_of_mix"), F.coalesce("n_documents", F.lit(0)).alias("n_documents"), F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"))
+    # One row for each source of the plan, so one task may add them up.
+    rows = planned.join(given, "source", "left").withColumn("given", F.coalesce("given", F.lit(0)))
+    rows = rows.withColumn("mixed", F.sum("given").over(Window.partitionBy()))
+    return rows.select(F.col("written").alias("source"), "target_share", "tempered_share", F.col("given").alias("tokens_given"), (F.col("given") / F.col("all_tokens")).alias("share_of_all"), (F.col("given") / F.col("mixed")).alias("share_of_mix"), F.coalesce("n_documents", F.lit(0)).alias("n_documents"), F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"))
 
 
 QUERIES = {f.__name__: f for f in (p6_found, p6_matches, p6_clean, p7_found, p7_plan, p7_mix, p7_shares)}

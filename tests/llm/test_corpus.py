@@ -105,14 +105,37 @@ def test_leaks_of_nothing(spark):
 
 # -- mixing --------------------------------------------------------------------------------------------------------------
 def test_exponents():
-    assert mx.weights([0.5, 0.5], [0.9, 0.1], 0) == [0.5, 0.5]
-    assert mx.weights([0.5, 0.5], [0.9, 0.1], 1) == pytest.approx([0.9, 0.1])
-    assert mx.weights([0.5, 0.5], [1.0, 0.0], 0.5) == [1.0, 0.0]
-    a = mx.exponent_for_limit([0.5, 0.5], [900, 100], [4, 2], 1000)
-    assert mx.weights([0.5, 0.5], [0.9, 0.1], a)[1] * 1000 == pytest.approx(200, rel=1e-6)
-    assert mx.exponent_for_limit([0.5, 0.5], [500, 500], [1, 1], 1000) == 0
+    assert mx.weights([0.9, 0.1], 0) == [0.5, 0.5]
+    assert mx.weights([0.9, 0.1], 1) == pytest.approx([0.9, 0.1])
+    assert mx.weights([1.0, 0.0], 0.5) == [1.0, 0.0]
+    a = mx.exponent_for_limit(0.5, 100, 2, 1000)
+    assert mx.on_path(0.5, 0.1, a) * 1000 == pytest.approx(200, rel=1e-6)
+    assert mx.exponent_for_limit(0.5, 500, 1, 1000) == 0
+    assert mx.exponent_for_limit(0.5, 0, 9, 1000) > 0 == mx.exponent_for_limit(0.0, 0, 9, 1000)
     b = mx.exponent_for_entropy([900, 90, 10], 0.8)
-    assert mx.entropy(mx.weights([1, 1, 1], [0.9, 0.09, 0.01], b)) == pytest.approx(0.8, abs=1e-6)
+    assert mx.entropy(mx.weights([0.9, 0.09, 0.01], b)) == pytest.approx(0.8, abs=1e-6)
+
+
+def test_shortfalls_go_to_those_who_can_give():
+    """Brute force: filling up in proportion to targets, each to its limit."""
+    rng = random.Random(6)
+    for _ in range(200):
+        k = rng.randrange(1, 6)
+        tokens, limits = [rng.choice([0, 5, 100, 900]) for _ in range(k)], [rng.choice([0, 1, 3, 8]) for _ in range(k)]
+        raw = [rng.random() for _ in range(k)]
+        targets = [x / sum(raw) for x in raw]
+        total = sum(tokens) + rng.choice([0, 50])
+        _, shares = mx.tempered(targets, tokens, limits, total)
+        want, free = [0.0] * k, set(range(k))
+        while free and total:
+            scale = (1 - sum(want[i] for i in range(k) if i not in free)) / sum(targets[i] for i in free)
+            full = {i for i in free if scale * targets[i] * total > limits[i] * tokens[i]}
+            for i in full or free:
+                want[i] = limits[i] * tokens[i] / total if full else scale * targets[i]
+            if not full:
+                break
+            free -= full
+        assert shares == pytest.approx(want, rel=1e-6, abs=1e-9)
 
 
 def counted(spark, data):
@@ -136,8 +159,12 @@ def test_plan_and_mix(spark):
     for r in chosen:
         given[r.source] = given.get(r.source, 0) + r.n_tokens * r.repeats
     assert given["small"] == 3 * 300 and all(r.repeats == 3 for r in chosen if r.source == "small")
-    budget = int(0.3 * total)
-    assert budget - 50 < given["big_one"] <= budget
+    # The others can't reach 0.7 of all tokens, so what they leave comes from the big one, within its limit.
+    budget = total - 3 * small
+    assert got["big_one"].budget in (budget - 1, budget) and budget - 50 < given["big_one"] <= budget
+    assert got["big_one"].tempered_share == pytest.approx(1 - 3 * small / total) and sum(r.tempered_share for r in got.values()) == pytest.approx(1)
+    kept = {r.written: r.budget for r in mx.plan(df, targets, kind="target").collect()}
+    assert kept == {"big_one": int(0.3 * total), "Small": 3 * small, "void": 0, "broken": 0}
     assert max(r.repeats for r in chosen if r.source == "big_one") - min(r.repeats for r in chosen if r.source == "big_one") <= 1
 
 
@@ -149,12 +176,16 @@ def test_mix_of_nothing(spark):
     assert rows(mx.plan(counted(spark, [(1, "a", 5)]), targets.limit(0))) == [] == rows(mx.plan(empty, targets.limit(0)))
 
 
-def test_tempered_budgets_keep_to_the_limits(spark):
+def test_budgets_keep_to_the_limits(spark):
     df = counted(spark, [(i, "a", 10) for i in range(100)] + [(1000 + i, "b", 10) for i in range(10)])
     targets = spark.createDataFrame([("a", 0.2, 1), ("b", 0.8, 4)], "source string, target_share double, max_repeats bigint")
-    plan = {r.source: r for r in mx.plan(df, targets, tempered=True).collect()}
-    assert plan["a"].budget <= 1000 and plan["b"].budget <= 400 and plan["b"].budget >= 395
-    assert 0 < plan["a"].exponent < 1
+    plan = {r.source: r for r in mx.plan(df, targets).collect()}
+    assert plan["b"].budget in (399, 400) and plan["a"].budget in (699, 700) and plan["a"].passes == 0
+    assert plan["a"].exponent == 0 < plan["b"].exponent < 1
+    for r in mx.plan(df, targets, kind="entropy").collect():
+        assert r.budget <= r.max_repeats * r.tokens and r.budget <= r.entropy_share * 1100
+    with pytest.raises(ValueError, match="kind"):
+        mx.plan(df, targets, kind="none")
 
 
 def test_token_counts(spark):
