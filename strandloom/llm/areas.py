@@ -5,7 +5,8 @@ of labelled documents (1 - entropy), so the words of phrases that go with any su
 decomposition of the labelled sentences gives the latent space. Each subject has one seed centroid for each language, from the
 labelled documents and the subject's own description; the centroids are refined by assigning the labelled sentences to the
 nearest centroid of their document's subjects until nothing moves. A sentence belongs to the subject of the centroid nearest by
-cosine, if its projection on that centroid is long enough; otherwise it deals with no area.
+cosine, if its projection on that centroid is long enough; otherwise it deals with no area. Words count for the term that they
+are but for one letter, since texts are mistyped and misread.
 
 The model is fitted on the driver from a bounded sample of labelled documents. Document frequencies, the assignment and all
 counts cover every document; a document is read and decided where it lies, so nothing is shuffled but term counts.
@@ -26,9 +27,7 @@ from pyspark.sql import types as T
 from strandloom.llm.words import folded, with_bytes
 from strandloom.session import bounded_rows
 
-# Letters that scanning confuses are one letter here.
-CONFUSED = {"f": "t", "c": "e", "b": "h", "0": "o"}
-_TERM_BYTES = bytes(ord(CONFUSED.get(chr(c), chr(c))) if chr(c) in CONFUSED or 97 <= c <= 122 or c == 124 else 32 for c in range(256))
+_TERM_BYTES = bytes(c if 97 <= c <= 122 or c == 124 else 32 for c in range(256))
 SENTENCE_END = r"""[.!?]+["')\]]*(\s|$)|\n\s*\n"""
 
 
@@ -47,6 +46,7 @@ class Settings:
     rounds: int = 10
     near: float = 0.3
     long_enough: float = 0.2
+    least_letters: int = 6
     least_sentences: int = 2
     least_share: tuple[int, int] = (1, 6)
 
@@ -81,11 +81,50 @@ def sentences(texts: pa.Array) -> Sentences:
     return Sentences(terms, term, text, np.cumsum(first) - 1, text[first])
 
 
+class Speller:
+    """Finds the known term that a word is, or is with one letter wrong, missing or too many, or with two neighbours exchanged.
+
+    Words and terms under ``least`` letters must agree. Of several terms near a word the first in the list counts, a wrong letter
+    before a missing one before one too many before an exchange.
+    """
+
+    def __init__(self, terms: list[str], least: int):
+        self.terms, self.least = pa.array(terms, pa.large_string()), least
+        self.number: dict[str, int] = {}
+        self.gaps: dict[str, int] = {}
+        self.less: dict[str, int] = {}
+        for k, t in enumerate(terms):
+            self.number.setdefault(t, k)
+            if len(t) >= least:
+                for i in range(len(t)):
+                    self.gaps.setdefault(f"{t[:i]}_{t[i + 1 :]}", k)
+                    self.less.setdefault(t[:i] + t[i + 1 :], k)
+
+    def near(self, word: str) -> int:
+        cuts = range(len(word))
+        for table, forms in ((self.gaps, (f"{word[:i]}_{word[i + 1 :]}" for i in cuts)), (self.less, (word,)), (self.number, (word[:i] + word[i + 1 :] for i in cuts)), (self.number, (word[:i] + word[i + 1] + word[i] + word[i + 2 :] for i in cuts[:-1]))):
+            found = [k for k in map(table.get, forms) if k is not None and len(self.terms[k].as_py()) >= self.least]
+            if found:
+                return min(found)
+        return -1
+
+    def __call__(self, words: pa.Array) -> np.ndarray:
+        """The number of the term of each word, -1 for none."""
+        known = pc.fill_null(pc.index_in(words, value_set=self.terms), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        size = pc.utf8_length(words).to_numpy(zero_copy_only=False)
+        longest = pc.max(pc.utf8_length(self.terms)).as_py() if len(self.terms) else 0
+        asked = np.flatnonzero((known < 0) & (size >= self.least - 1) & (size <= (longest or 0) + 1))
+        if len(asked):
+            known = known.copy()
+            known[asked] = [self.near(w) for w in words.take(pa.array(asked)).to_pylist()]
+        return known
+
+
 @dataclass
 class Model:
-    """Terms, their pull on each centroid (terms x centroids), the subject of each centroid, and the least pull of a sentence."""
+    """The terms as a speller, their pull on each centroid (terms x centroids), the subject of each centroid, and the least pull of a sentence."""
 
-    terms: list[str]
+    speller: Speller
     pull: np.ndarray
     subject: np.ndarray
     least: float
@@ -152,7 +191,7 @@ def _row_sums(rows: np.ndarray, sentence: np.ndarray, n: int) -> np.ndarray:
 def fit(texts: list[str], langs: list[str], marks: np.ndarray, descriptions: list[str], frequencies, settings: Settings) -> Model:
     """The model from labelled texts; ``marks`` (texts x subjects) are their labels, ``frequencies(terms)`` the corpus counts."""
     n_subjects = marks.shape[1]
-    empty = Model([], np.zeros((0, 0), np.float32), np.zeros(0, np.int64), 0.0)
+    empty = Model(Speller([], settings.least_letters), np.zeros((0, 0), np.float32), np.zeros(0, np.int64), 0.0)
     s = sentences(pa.array([*texts, *descriptions], pa.large_string()))
     marks = np.vstack([marks, np.eye(n_subjects)])
     langs = [*langs, *[""] * n_subjects]
@@ -174,9 +213,8 @@ def fit(texts: list[str], langs: list[str], marks: np.ndarray, descriptions: lis
     terms = [s.terms[int(i)].as_py() for i in good]
     df, n = frequencies(terms)
     weight = uneven[good] * np.log(np.maximum(n, 2) / np.maximum(df, 1))
-    number = np.full(len(s.terms), -1)
-    number[good] = np.arange(len(good))
-    term = number[s.term]
+    speller = Speller(terms, settings.least_letters)
+    term = speller(s.terms)[s.term]
     there = term >= 0
     term, sentence = term[there], s.sentence[there]
     value = weight[term]
@@ -218,17 +256,16 @@ def fit(texts: list[str], langs: list[str], marks: np.ndarray, descriptions: lis
     own = near.max(1)
     typical = np.median((own * norm)[own > settings.near]) if (own > settings.near).any() else 0.0
     pull = (space @ centroids.T) * weight[:, None]
-    return Model(terms, pull.astype(np.float32), np.array([j for j, _ in keys]), float(settings.long_enough * typical))
+    return Model(speller, pull.astype(np.float32), np.array([j for j, _ in keys]), float(settings.long_enough * typical))
 
 
 def assign(texts: pa.Array, model: Model, n_subjects: int) -> np.ndarray:
     """Sentences of each text about each subject (texts x subjects)."""
     s = sentences(texts)
     out = np.zeros((len(texts), n_subjects), np.int64)
-    if not len(s.term) or not model.terms:
+    if not len(s.term) or not len(model.speller.terms):
         return out
-    known = pc.fill_null(pc.index_in(s.terms, value_set=pa.array(model.terms, pa.large_string())), -1).to_numpy(zero_copy_only=False)
-    term = known[s.term]
+    term = model.speller(s.terms)[s.term]
     there = term >= 0
     pulls = _row_sums(model.pull[term[there]], s.sentence[there], len(s.of_sentence))
     best = pulls.argmax(1)  # the nearest by cosine too: a sentence's own length divides all alike

@@ -246,4 +246,11 @@ def test_sentences():
     got = {}
     for t, n in zip(s.term, s.sentence, strict=True):
         got.setdefault(n, []).append(s.terms[int(t)].as_py())
-    assert list(got.values()) == [["one", "two"], ["three"], ["tour"], ["tive", "six"], ["lost", "hlanks"], ["are", "parted"]]
+    assert list(got.values()) == [["one", "two"], ["three"], ["four"], ["five", "six"], ["lost", "blanks"], ["are", "parted"]]
+
+
+def test_speller_forgives_one_letter():
+    find = ar.Speller(["genome", "allele", "locus", "genomes"], 6)
+    words = ["genome", "gename", "genme", "geenome", "gneome", "genomes", "gxnxme", "locus", "lacus", "alleles", "", "x" * 5000, "日本"]
+    assert find(pa.array(words, pa.large_string())).tolist() == [0, 0, 0, 0, 0, 3, -1, 2, -1, 1, -1, -1, -1]
+    assert ar.Speller([], 6)(pa.array(["genome"], pa.large_string())).tolist() == [-1]
