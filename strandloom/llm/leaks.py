@@ -1,11 +1,11 @@
 """Evaluation texts in training texts: suffix arrays over shards of the corpus, searched for every suffix of every test item.
 
 A shard is a run of whole documents within one partition. The suffixes that begin with four known words (words of some test
-item; no other suffix can match four words of one) are sorted by their first four words, which four word numbers of 16 bits
-pack into one exact 64-bit key. Every test suffix is found by binary search. Where test suffixes enter, the range is sorted on
+item; no other suffix can match four words of one) are sorted by their first four words, which pack into one exact 64-bit
+key: four word numbers of 16 bits, or two numbers of word pairs where the items have more words than that. Every test suffix is found by binary search. Where test suffixes enter, the range is sorted on
 to 16 words, and the search narrows to the suffixes that share 13 words, from which the match is followed, forward and
 backward, to its full length. All of it happens where the document is read: a document never leaves its partition, and only
-what leaked is written. The test items are sent to every task; ``leaks`` takes them in blocks of a stated size.
+what leaked is written. The test items are broadcast, so many bytes of text at a time as is stated, and searched in blocks.
 """
 
 from __future__ import annotations
@@ -35,12 +35,11 @@ class TestSuffixes:
         flat, counts = split_words(pa.array(texts, pa.string()))
         coded = flat.dictionary_encode()
         self.vocabulary = coded.dictionary.cast(pa.large_string())
-        if len(self.vocabulary) > VOCABULARY:
-            raise ValueError("more than 65535 different words in one block of items")
         self.words = np.append(coded.indices.to_numpy(zero_copy_only=False).astype(np.uint64) + 1, np.zeros(16, np.uint64)) if len(flat) else np.zeros(16, np.uint64)
         self.item = np.append(np.repeat(np.arange(len(ids)), counts), np.full(16, -1))
         self.ids = np.array(ids, np.int64)
-        self.keys = four_word_keys(self.words, self.item)
+        self.pairs = None if len(self.vocabulary) <= VOCABULARY else np.unique(word_pairs(self.words))
+        self.keys = four_word_keys(self.words, self.item, self.pairs)
         starts = np.flatnonzero(self.keys)
         self.grams, which = np.unique(self.keys[starts], return_inverse=True)
         pairs = np.unique(np.stack([which, self.item[starts]]), axis=1) if len(starts) else np.zeros((2, 0), np.int64)
@@ -49,17 +48,31 @@ class TestSuffixes:
         self.distinct = np.bincount(pairs[1], minlength=len(ids))
 
 
-def four_word_keys(words: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """For each place the four words from there in one number; 0 where the text ends sooner or a word isn't known."""
+def word_pairs(words: np.ndarray) -> np.ndarray:
+    """For each place but the last the two words from there in one number."""
+    return (words[:-1] << np.uint64(32)) | words[1:]
+
+
+def four_word_keys(words: np.ndarray, text: np.ndarray, pairs: np.ndarray | None = None) -> np.ndarray:
+    """For each place the four words from there in one number; 0 where the text ends sooner or a word isn't known.
+
+    ``pairs``: the word pairs of the tests, sorted, if their words are too many for 16 bits; then two pairs make the number.
+    """
     n = len(words)
     keys = np.zeros(n, np.uint64)
     if n < GRAM:
         return keys
     m = n - GRAM + 1
-    parts = [words[i : m + i] for i in range(GRAM)]
-    whole = (text[:m] == text[GRAM - 1 :]) & (parts[0] > 0) & (parts[1] > 0) & (parts[2] > 0) & (parts[3] > 0)
-    packed = (parts[0] << np.uint64(48)) | (parts[1] << np.uint64(32)) | (parts[2] << np.uint64(16)) | parts[3]
-    keys[:m] = np.where(whole, packed, 0)
+    whole = (text[:m] == text[GRAM - 1 :]) & np.logical_and.reduce([words[i : m + i] > 0 for i in range(GRAM)])
+    if pairs is None:
+        parts = [words[i : m + i] << np.uint64(16 * (GRAM - 1 - i)) for i in range(GRAM)]
+        keys[:m] = np.where(whole, parts[0] | parts[1] | parts[2] | parts[3], 0)
+        return keys
+    two = word_pairs(words)
+    at = np.minimum(np.searchsorted(pairs, two), len(pairs) - 1)
+    number = np.where(pairs[at] == two, at + 1, 0).astype(np.uint64)
+    first, second = number[:m], number[2 : m + 2]
+    keys[:m] = np.where(whole & (first > 0) & (second > 0), (first << np.uint64(32)) | second, 0)
     return keys
 
 
@@ -85,7 +98,7 @@ def search_shard(words: np.ndarray, text: np.ndarray, tests: TestSuffixes, short
     """
     empty = tuple(np.zeros(0, np.int64) for _ in range(6))
     words, text = np.append(words, np.zeros(16, np.uint64)), np.append(text, np.full(16, -1))
-    keys = four_word_keys(words, text)
+    keys = four_word_keys(words, text, tests.pairs)
     suffixes = np.flatnonzero(keys)
     if not len(suffixes) or not len(tests.grams):
         return empty
@@ -175,7 +188,7 @@ def _longest_matches(words: np.ndarray, text: np.ndarray, tests: TestSuffixes, i
     return hit[best], i[best], j[best], length[best]
 
 
-def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "item_text", block: int = 2000, shard_bytes: int = 8 << 20, most_items: int = 100_000, short: bool = False) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "item_text", block: int = 2000, shard_bytes: int = 8 << 20, most_bytes: int = 64 << 20, short: bool = False) -> DataFrame:
     """Rows (doc_id, item_id, longest, doc_word, item_word, shared_runs, item_runs) of the items that leaked into documents.
 
     A document leaks an item when 13 successive words of it stand in succession in the document, or at least half of its distinct
@@ -186,16 +199,14 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
 
     With ``short``, matches under 13 words count for ``longest`` and its places too.
 
-    Items are collected ``most_items`` at a time and each such part is one pass over the documents; within a pass they are
-    searched in blocks of ``block``. Shards hold whole documents, about ``shard_bytes`` of text. Texts are read whole.
+    Items are broadcast ``most_bytes`` of text at a time, and each such part is one pass over the documents; within a pass they
+    are searched in blocks of ``block``. Shards hold whole documents, about ``shard_bytes`` of text. Texts are read whole.
     """
-    parts = max(1, -(-items.count() // most_items))
+    good = items.select(F.col(item_id).cast("bigint").alias("id"), F.col(item_text).alias("text")).filter("id is not null and text is not null")
+    parts = max(1, -(-(good.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0) // most_bytes))
     found = None
     for part in range(parts):
-        some = items.select(F.col(item_id).cast("bigint"), F.col(item_text)).filter(F.col(item_id).isNotNull() & F.col(item_text).isNotNull())
-        if parts > 1:
-            some = some.filter(F.pmod(F.xxhash64(item_id), F.lit(parts)) == part)
-        rows = sorted({(r[0], r[1]) for r in some.collect()})
+        rows = sorted({(r[0], r[1]) for r in good.filter(F.pmod(F.xxhash64("id"), F.lit(parts)) == part).collect()})
         one = _pass(documents, rows, doc_id, text, item_id, block, shard_bytes, short)
         found = one if found is None else found.unionByName(one)
     best = F.max(F.struct("longest", -F.coalesce("doc_word", F.lit(0)), "doc_word", "item_word", "shared_runs", "item_runs")).alias("b")
@@ -206,9 +217,12 @@ def _pass(documents: DataFrame, rows: list[tuple[int, str]], doc_id: str, text:
     schema = T.StructType([T.StructField(c, T.LongType()) for c in (doc_id, item_id, "longest", "doc_word", "item_word", "shared_runs", "item_runs")])
     arrow = pa.schema([(f.name, pa.int64()) for f in schema])
 
+    sent = documents.sparkSession.sparkContext.broadcast(rows)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = _blocks(rows, block)
+        blocks = None
         for batch in batches:
+            blocks = blocks or [TestSuffixes(*map(list, zip(*sent.value[a : a + block], strict=True))) for a in range(0, len(sent.value), block)]
             sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
             cuts = np.unique(np.append(np.searchsorted(sizes, np.arange(0, (int(sizes[-1]) if len(sizes) else 0) + 1, shard_bytes), "left"), batch.num_rows))
             for a, b in pairwise(np.unique(np.append(0, cuts)).tolist()):
@@ -230,17 +244,3 @@ def _pass(documents: DataFrame, rows: list[tuple[int, str]], doc_id: str, text:
                     yield pa.RecordBatch.from_arrays([pa.array(ids[t].astype(np.int64)), pa.array(tests.ids[item]), pa.array(longest), *places, pa.array(shared), pa.array(tests.distinct[item])], schema=arrow)
 
     return documents.select(F.col(doc_id).cast("bigint"), F.col(text)).filter(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).mapInArrow(run, schema)
-
-
-def _blocks(rows: list[tuple[int, str]], block: int) -> list[TestSuffixes]:
-    """Blocks of items, halved where their words are more than a key can tell apart."""
-    out, todo = [], [rows[a : a + block] for a in range(0, len(rows), block)]
-    while todo:
-        some = todo.pop(0)
-        try:
-            out.append(TestSuffixes([r[0] for r in some], [r[1] for r in some]))
-        except ValueError:
-            if len(some) == 1:
-                raise
-            todo[:0] = [some[: len(some) // 2], some[len(some) // 2 :]]
-    return out

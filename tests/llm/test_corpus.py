@@ -94,12 +94,23 @@ def test_leaks(spark, block, shard):
         assert brute_words(texts[r.doc_id])[r.doc_word : r.doc_word + r.longest] == brute_words(asked[r.item_id])[r.item_word : r.item_word + r.longest]
 
 
+def test_leaks_of_many_words(spark):
+    """More words in a block of items than 16 bits can number."""
+    rng = random.Random(8)
+    item = " ".join(f"w{i}" for i in range(70_000))
+    cut = item.split()[60_000:60_020]
+    docs = [(1, "x " + " ".join(cut) + " y"), (2, " ".join(rng.sample(cut, 20))), (3, "w69999 w1 w2 w3 w4")]
+    items = [(1, item), (2, "w1 w2 w3 w4"), (3, " ".join(cut[5:]))]
+    got = lk.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, item_text string"))
+    assert rows(got.select("doc_id", "item_id", "longest", "item_word")) == [(1, 1, 20, 60_000), (1, 3, 15, 0), (3, 2, 0, None)]
+
+
 def test_leaks_of_nothing(spark):
     docs = spark.createDataFrame([(1, "a b c d e")], "doc_id bigint, text string")
     items = spark.createDataFrame([(1, "a b c d")], "item_id bigint, item_text string")
     assert rows(lk.leaks(docs, items).select("doc_id", "item_id", "longest")) == [(1, 1, 0)]
     assert rows(lk.leaks(docs.limit(0), items)) == [] == rows(lk.leaks(docs, items.limit(0)))
-    parts = lk.leaks(docs, spark.createDataFrame([(i, "a b c d") for i in range(7)], "item_id bigint, item_text string"), most_items=2)
+    parts = lk.leaks(docs, spark.createDataFrame([(i, "a b c d") for i in range(7)], "item_id bigint, item_text string"), most_bytes=14)
     assert [r[1] for r in rows(parts)] == list(range(7))
 
 
