@@ -92,11 +92,13 @@ def join_states(
 def heavy_keys(rows: DataFrame, within: Sequence[str], key: str, percent: int) -> DataFrame:
     """Keys holding at least ``percent`` % of the rows with a key, within each combination of ``within``.
 
-    The rows are joined with all rows of their own table by eager aggregation: the left states count each key, the right
-    states count the table, so the join is on a handful of rows however many rows a key has. Rows count as they are,
-    copies included; rows whose key is missing (NULL, ``.`` or ``NONE``) count neither way. An empty table gives no row.
+    The rows are joined with all rows of their own table (``within``) by eager aggregation: the left states count each key, the
+    right ones the table, a product of counts is the number of joined rows of a key, and rolled up after the join they are
+    those of the table. A key is heavy if that share of the joined rows is its own. However many rows a key has, the join is on a
+    row for each key; the states of the table are combined from those of its keys, so the rows are read once. Rows count as
+    they are, copies included; rows whose key is missing (NULL, ``.`` or ``NONE``) count neither way. An empty table gives no row.
     """
     states = compact(rows.filter(present(key)), [*within, key])
-    totals = rollup(states, within, sums=["n_rows"])
-    joined = join_states(states, totals, within)
-    return joined.filter(F.col("left_rows") * 100 >= F.col("right_rows") * percent).select(*within, key, F.col("left_rows").cast("bigint").alias("n_rows"))
+    joined = join_states(states, rollup(states, within, sums=["n_rows"]), within)
+    whole = rollup(joined, within, sums=["n_pairs"]).withColumnRenamed("n_pairs", "all_pairs")
+    return joined.join(whole, list(within)).filter(F.col("n_pairs") * 100 >= F.col("all_pairs") * percent).select(*within, key, F.col("left_rows").cast("bigint").alias("n_rows"))

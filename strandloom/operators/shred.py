@@ -43,22 +43,30 @@ class Placed(list):
         self.places = [k for k, _ in pairs]
 
 
-def latest(df: DataFrame, key: str, order: str, payload: str) -> DataFrame:
-    """The payload of the row of the latest ``order`` for each key; exact copies are one.
+def latest(df: DataFrame, key: str, order: str, payload: str, also: Sequence[str] = ()) -> DataFrame:
+    """The payload, and the columns ``also``, of the row of the latest ``order`` for each key; exact copies are one.
 
     Rows with a NULL key are left out. A NULL ``order`` comes before any other; between different payloads of one time the
-    greater string wins, NULL being the least. The aggregate combines on the map side, so copies of a hot key don't travel.
+    greater string wins, NULL being the least, then the greater of ``also``. The aggregate combines on the map side, so copies
+    of a hot key don't travel.
     """
-    best = F.max(F.struct(F.col(order).isNotNull().alias("a"), F.col(order).alias("b"), F.col(payload).isNotNull().alias("c"), F.col(payload).alias("d")))
-    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(best.alias("__best")).select(key, F.col("__best.d").alias(payload))
+    best = F.max(F.struct(F.col(order).isNotNull().alias("a"), F.col(order).alias("b"), F.col(payload).isNotNull().alias("c"), F.col(payload).alias("d"), *[F.col(c).alias(f"e{i}") for i, c in enumerate(also)]))
+    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(best.alias("__best")).select(key, F.col("__best.d").alias(payload), *[F.col(f"__best.e{i}").alias(c) for i, c in enumerate(also)])
 
 
 def _refuse(token: str):
     raise ValueError(token)
 
 
+class Digits:
+    """An integer of more digits than Python reads, as it is written."""
+
+    def __init__(self, text: str):
+        self.text = text
+
+
 def _integer(digits: str):
-    return int(digits) if len(digits) < 4000 else float(digits)  # longer ones Python won't read
+    return int(digits) if len(digits) < 4000 else Digits(digits)
 
 
 def parse(text):
@@ -72,7 +80,10 @@ def parse(text):
 
 
 def _elements(value):
-    """A repeated group from any of its shapes: list, single object, object keyed by places, or a string of JSON."""
+    """A repeated group from any of its shapes: list, single object, object keyed by places, or a string of JSON.
+
+    Places have up to 18 digits, as a bigint holds; an object with longer keys is a single object.
+    """
     if isinstance(value, str):
         value = parse(value)
     if isinstance(value, dict):
@@ -90,7 +101,7 @@ def _text(value) -> str:
         return value.encode("utf-8", "replace").decode() if not value.isascii() else value
     if value is True or value is False:
         return "true" if value else "false"
-    return repr(value)
+    return value.text if isinstance(value, Digits) else repr(value)
 
 
 def normalise(value, groups: Sequence[str], wrappers: Sequence[str]):

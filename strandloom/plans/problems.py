@@ -29,6 +29,19 @@ def p1_chrom_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("chrom", *[F.col(c).cast("bigint").alias(c) for c in ("n_pairs", "sum_new_pos", "sum_op_len", "min_start", "max_op_len")])
 
 
+def p1_type_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites joined with read evidence on chrom, by kind of site and size class of evidence: pairs, and sums of either side.
+
+    Each side is reduced to states by chrom and its own column; after the join the chromosomes are rolled up.
+    """
+    infos, evidence = table(spark, sf_dir, "te_infos"), table(spark, sf_dir, "ins_evidence")
+    left = eager.compact(infos.filter(eager.present("chrom") & F.col("sv_type").isNotNull()), ["chrom", "sv_type"], sums={"sum_new_pos": "new_pos"}, mins={"min_start": "start_pos"})
+    right = eager.compact(evidence.filter(eager.present("chrom") & F.col("op_len").isNotNull()).withColumn("size_class", F.expr("op_len div 500")), ["chrom", "size_class"], sums={"sum_op_len": "op_len"}, maxs={"max_op_len": "op_len"})
+    joined = eager.join_states(left, right, ["chrom"], left_sums=["sum_new_pos"], right_sums=["sum_op_len"], products={"sum_products": ("sum_new_pos", "sum_op_len")})
+    out = eager.rollup(joined, ["sv_type", "size_class"], sums=["n_pairs", "sum_new_pos", "sum_op_len", "sum_products"], mins=["min_start"], maxs=["max_op_len"])
+    return out.select("sv_type", "size_class", *[F.col(c).cast("bigint").alias(c) for c in ("n_pairs", "sum_new_pos", "sum_op_len", "min_start", "max_op_len")], F.col("sum_products").cast("string").alias("sum_products"))
+
+
 def p1_family_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits, aligned bases and query bases of every family that te_sizes knows, with bases over the family's size."""
     hits, sizes = table(spark, sf_dir, "blast_hits"), table(spark, sf_dir, "te_sizes")
@@ -55,11 +68,10 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each record: its latest row, with the number of groups in it."""
-    docs = table(spark, sf_dir, "viewer_docs").filter("rec_id is not null")
-    records = docs.groupBy("rec_id").agg(F.max("received_at").alias("received_at"), F.max_by("sample_code", F.struct("received_at", "sample_code")).alias("sample_code"))
-    groups = shred.assemble(_chunks(spark, sf_dir, ["data[].#"]), "rec_id", "data[]", places=["data_ix"])
-    counts = groups.groupBy("rec_id").agg(F.count(F.lit(1)).alias("n_groups"))
-    return records.join(counts, "rec_id", "left").select("rec_id", "sample_code", "received_at", F.coalesce("n_groups", F.lit(0)).alias("n_groups"))
+    docs = shred.latest(table(spark, sf_dir, "viewer_docs"), "rec_id", "received_at", "body", ["sample_code", "received_at"])
+    chunks = shred.shred(docs, "rec_id", "body", P4_GROUPS, P4_WRAPPERS, ["data[].#"])
+    counts = shred.assemble(chunks, "rec_id", "data[]", places=["data_ix"]).groupBy("rec_id").agg(F.count(F.lit(1)).alias("n_groups"))
+    return docs.drop("body").join(counts, "rec_id", "left").select("rec_id", "sample_code", "received_at", F.coalesce("n_groups", F.lit(0)).alias("n_groups"))
 
 
 def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,11 +80,13 @@ def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_hsps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shred.assemble(_chunks(spark, sf_dir), "rec_id", "data[].positions[]", P4_HSP, ["data_ix", "pos_ix"])
+    columns = ["data[].#", "data[].positions[].#", *[f"data[].positions[].{f}" for f in P4_HSP]]
+    return shred.assemble(_chunks(spark, sf_dir, columns), "rec_id", "data[].positions[]", P4_HSP, ["data_ix", "pos_ix"])
 
 
 def p4_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shred.assemble_values(_chunks(spark, sf_dir), "rec_id", "data[].positions[]", P4_ARRAYS, ["data_ix", "pos_ix"])
+    columns = ["data[].#", "data[].positions[].#", *[f"data[].positions[].{f}{end}" for f in P4_ARRAYS for end in ("[]", "[].#")]]
+    return shred.assemble_values(_chunks(spark, sf_dir, columns), "rec_id", "data[].positions[]", P4_ARRAYS, ["data_ix", "pos_ix"])
 
 
 P5_AXES = {"r": ("rstart", "rend"), "q": ("qstart", "qend")}
@@ -94,7 +108,7 @@ def p5_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _segments(spark, sf_dir).groupBy("axis", "rid", "qid").agg(n("period", size).alias("covered"), n("gap", size).alias("missing"), n("period", F.lit(1)).alias("periods"), n("gap", F.lit(1)).alias("gaps"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_chrom_pairs, p1_family_load, p4_found, p4_records, p4_groups, p4_hsps, p4_values, p5_found, p5_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_chrom_pairs, p1_type_pairs, p1_family_load, p4_found, p4_records, p4_groups, p4_hsps, p4_values, p5_found, p5_coverage)}
 
 _HEAVY = """SELECT '{t}' AS table_name, '{k}' AS key_field, {k} AS key_value FROM {t} WHERE {k} NOT IN ('.', 'NONE')
   GROUP BY {k} HAVING count(*) * 100 >= 5 * (SELECT count(*) FROM {t} WHERE {k} NOT IN ('.', 'NONE'))"""
@@ -129,6 +143,9 @@ SQL = {
     "p1_found": "\nUNION ALL ".join(_HEAVY.format(t=t, k=k) for t, k in KEYED),
     "p1_chrom_pairs": """SELECT a.chrom, count(*) AS n_pairs, CAST(coalesce(sum(new_pos), 0) AS BIGINT) AS sum_new_pos, CAST(coalesce(sum(op_len), 0) AS BIGINT) AS sum_op_len, min(start_pos) AS min_start, max(op_len) AS max_op_len
   FROM te_infos a JOIN ins_evidence b ON a.chrom = b.chrom WHERE a.chrom NOT IN ('.', 'NONE') GROUP BY a.chrom""",
+    "p1_type_pairs": """WITH a AS (SELECT chrom, sv_type, new_pos, start_pos FROM te_infos WHERE chrom NOT IN ('.', 'NONE') AND sv_type IS NOT NULL), b AS (SELECT chrom, op_len // 500 AS size_class, op_len FROM ins_evidence WHERE chrom NOT IN ('.', 'NONE') AND op_len IS NOT NULL),
+  x AS (SELECT chrom, sv_type, count(*)::HUGEINT AS n, coalesce(sum(new_pos), 0)::HUGEINT AS s, min(start_pos) AS m FROM a GROUP BY ALL), y AS (SELECT chrom, size_class, count(*)::HUGEINT AS n, sum(op_len)::HUGEINT AS s, max(op_len) AS m FROM b GROUP BY ALL)
+  SELECT sv_type, size_class, sum(x.n * y.n)::BIGINT AS n_pairs, sum(x.s * y.n)::BIGINT AS sum_new_pos, sum(y.s * x.n)::BIGINT AS sum_op_len, min(x.m) AS min_start, max(y.m) AS max_op_len, sum(x.s * y.s)::VARCHAR AS sum_products FROM x JOIN y USING (chrom) GROUP BY ALL""",
     "p1_family_load": """SELECT te_name, count(*) AS hits, CAST(coalesce(sum(aln_len), 0) AS BIGINT) AS aligned, CAST(coalesce(sum(abs(qend - qstart)), 0) AS BIGINT) AS query_bases, CAST(coalesce(sum(aln_len), 0) AS BIGINT) // any_value(size_bp) AS copies
   FROM blast_hits JOIN te_sizes ON sseqid = te_name GROUP BY te_name""",
     "p4_found": _LATEST + "SELECT rec_id, data_ix, pos_ix FROM objects",

@@ -126,6 +126,7 @@ def test_latest(spark):
     data = [(1, 5, "old"), (1, 9, "new"), (1, 9, "new"), (2, None, "x"), (2, 1, None), (3, 4, "a"), (3, 4, "b"), (None, 9, "z")]
     df = spark.createDataFrame(data, "k bigint, t bigint, body string")
     assert rows(shred.latest(df, "k", "t", "body")) == [(1, "new"), (2, None), (3, "b")]
+    assert rows(shred.latest(df, "k", "t", "body", ["t"])) == [(1, "new", 9), (2, None, 1), (3, "b", 4)]
     assert rows(shred.latest(df.limit(0), "k", "t", "body")) == []
 
 
@@ -136,6 +137,12 @@ def test_wide_numbers_and_odd_strings(spark):
     assert got.x == "123456789012345678901234567890" and got.y == "?" and got.z is True
 
 
+def test_integers_of_any_length(spark):
+    long = "7" * 5000
+    chunks = shred.shred(spark.createDataFrame([(1, '{"data": [{"x": %s}]}' % long)], "k bigint, b string"), "k", "b", ("data",))
+    assert shred.assemble(chunks, "k", "data[]", {"x": "string"}).collect()[0].x == long
+
+
 def test_one_group_of_many(spark):
     """A record with thousands of elements keeps every place."""
     body = json.dumps({"data": [{"positions": [{"s": i} for i in range(5000)]}]})
