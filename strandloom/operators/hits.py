@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strandloom.functions.text import field, first_fields, size_percent, strand_of
+from strandloom.operators.ordered import stretches
 
 
 def known_elements(hits: DataFrame, sizes: DataFrame, element: str = "sseqid", name: str = "te_name") -> DataFrame:
@@ -24,6 +31,19 @@ def best_hits(hits: DataFrame, locus: Column) -> DataFrame:
     return best.select("locus", "b.*")
 
 
+def _earlier(states: DataFrame, at: str, value: str, kind: str, width: int = 1 << 12) -> DataFrame:
+    """(at, __earlier): the last value, or the greatest, of all rows before; ranges of rows first, then one row for each range."""
+    agg = {"last": lambda c: F.last(c, ignorenulls=True), "max": F.max}[kind]
+    total = {"last": lambda c: F.max_by(c, at), "max": F.max}[kind]
+    wide = states.filter(F.col(value).isNotNull() | (F.lit(kind) == "max")).withColumn("__wide", F.floor(F.col(at) / width))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    inside = wide.withColumn("__in", agg(value).over(before(Window.partitionBy("__wide").orderBy(at))))
+    # One row for each 2^28 lines.
+    totals = wide.groupBy("__wide").agg(total(value).alias("__all")).select("__wide", agg("__all").over(before(Window.orderBy("__wide"))).alias("__over"))
+    joined = inside.join(totals, "__wide", "left")
+    return joined.select(at, (F.coalesce("__in", "__over") if kind == "last" else F.greatest("__in", "__over")).alias("__earlier"))
+
+
 def file_runs(hits: DataFrame, width: int = 1 << 16) -> DataFrame:
     """Rows of one line once, with ``run``: the line where the run of hits with the same qseqid and sseqid began that the hit is in.
 
@@ -35,43 +55,113 @@ def file_runs(hits: DataFrame, width: int = 1 << 16) -> DataFrame:
     pair = F.struct("qseqid", "sseqid")
     seen = ranged.withColumn("__line", F.lag("line_no").over(line)).withColumn("__pair", F.lag(pair).over(line)).filter(F.col("__line").isNull() | (F.col("__line") != F.col("line_no")))
     lasts = ranged.groupBy("__range").agg(F.max_by(pair, F.struct("line_no", "qseqid", "sseqid")).alias("__last"))
-    # One row for each range of lines.
-    handed = lasts.select("__range", F.lag("__last").over(Window.partitionBy(F.lit(0)).orderBy("__range")).alias("__handed"))
+    handed = _earlier(lasts, "__range", "__last", "last").withColumnRenamed("__earlier", "__handed")
     joined = seen.join(handed, "__range", "left").withColumn("__fresh", F.when(F.coalesce("__pair", "__handed").eqNullSafe(pair), F.lit(None).cast("bigint")).otherwise(F.col("line_no")))
     up_to = Window.partitionBy("__range").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     begun = joined.withColumn("__begun", F.max("__fresh").over(up_to))
     ends = joined.groupBy("__range").agg(F.max("__fresh").alias("__last_fresh"))
-    before = ends.select("__range", F.max("__last_fresh").over(Window.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)).alias("__before"))
+    before = _earlier(ends, "__range", "__last_fresh", "max").withColumnRenamed("__earlier", "__before")
     return begun.join(before, "__range", "left").withColumn("run", F.coalesce("__begun", "__before")).select(*hits.columns, "run")
 
 
-def combine(hits: DataFrame, locus: Column) -> DataFrame:
+FOLDED = ("sstart", "send", "qstart", "qend")
+
+
+def fold_runs(t: pa.Table, begins: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray], np.ndarray]:
+    """(place of the best hit, bounds stretched over the hits after it, hits looked at) of each run that has a best hit.
+
+    ``t``: hits in file order; ``begins``: where runs begin. The best is that of the greatest bitscore, the first on a tie; NULL is
+    none and NaN the least. All runs go one hit on in a step.
+    """
+    number = lambda c: pc.cast(t[c], pa.float64(), safe=False).to_numpy(zero_copy_only=False).astype(np.float64)
+    score = number("bitscore")
+    scored = pc.is_valid(t["bitscore"]).to_numpy(zero_copy_only=False)
+    run = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, t.num_rows)))
+    candidates = np.flatnonzero(scored)
+    order = candidates[np.lexsort((candidates, -np.where(np.isnan(score[candidates]), -np.inf, score[candidates]), np.isnan(score[candidates]), run[candidates]))]
+    best = order[np.append(True, run[order][1:] != run[order][:-1])] if len(order) else order
+    stop = np.append(begins[1:], t.num_rows)[run[best]]
+    order = np.argsort(-(stop - best), kind="stable")
+    best, stop = best[order], stop[order]
+    of = {c: number(c) for c in FOLDED}
+    now = {c: v[best] for c, v in of.items()}
+    forward = now["sstart"] < now["send"]
+    for step in range(1, int((stop - best).max()) if len(best) else 0):
+        k = int(np.searchsorted(-(stop - best), -step, "left"))  # the runs that go on, the longest first
+        x, a, up = {c: v[best[:k] + step] for c, v in of.items()}, {c: v[:k] for c, v in now.items()}, forward[:k]
+        below, above = (x["qstart"] < a["qstart"]) & (x["qend"] < a["qend"]), (x["qstart"] > a["qstart"]) & (x["qend"] > a["qend"])
+        down = (x["sstart"] < a["sstart"]) & (x["send"] < a["send"])
+        rise = (x["sstart"] > a["sstart"]) & (x["send"] > a["send"])
+        head = below & np.where(up, down, rise)
+        tail = above & np.where(up, rise, down) & ~head
+        for c, moved in (("sstart", head), ("qstart", head), ("send", tail), ("qend", tail)):
+            now[c][:k] = np.where(moved, x[c], a[c])
+    return best, now, stop - best
+
+
+def combine(hits: DataFrame, locus: Column, partitions: int | None = None) -> DataFrame:
     """The best hit of each locus, stretched over the hits that continue it in the file.
 
     In file order, a following hit of the same run stretches the bounds at one end only if it lies outside them on query and
-    subject alike, towards that end in the direction of the best hit. Columns: locus, qseqid, sseqid, pident, line_no of the best
-    hit, sstart, send, qstart, qend as combined, and n_hits looked at. A run is what is gathered for the fold.
+    subject alike, towards that end in the direction of the best hit. ``locus`` is a function of qseqid. Columns: locus, qseqid,
+    sseqid, pident, line_no of the best hit, sstart, send, qstart, qend as combined, and n_hits looked at. Rows of one line count
+    once; NULL line numbers, loci and scores are left out, and without coordinates nothing is stretched.
+
+    The file is sorted once, in ranges of lines. A run is folded where it lies, from its own best hit; the first and last run of
+    each range are folded by one task, in file order, as they may be parts of one. A task holds the longest run. Of the runs of
+    a locus the one with the best hit counts, which partial aggregates find.
     """
-    numbered = file_runs(hits)
-    slim = numbered.select("qseqid", "sseqid", "run", "pident", "line_no", "bitscore")
-    best = best_hits(slim, locus).select("locus", "qseqid", "sseqid", "run", "pident", F.col("line_no").alias("best_line"))
-    parts = numbered.select("run", "line_no", "sstart", "send", "qstart", "qend")
-    rows = best.join(parts, "run").filter("line_no >= best_line")
-    listed = rows.groupBy("locus", "qseqid", "sseqid", "pident", "best_line").agg(F.array_sort(F.collect_list(F.struct("line_no", "sstart", "send", "qstart", "qend"))).alias("h"))
-    first = F.get("h", F.lit(0))
-    forward = first["sstart"] < first["send"]
-    start = F.struct(*[first[c].alias(c) for c in ("sstart", "send", "qstart", "qend")])
-
-    def step(acc: Column, x: Column) -> Column:
-        s, e = (x["sstart"], acc["sstart"]), (x["send"], acc["send"])
-        q, r = (x["qstart"], acc["qstart"]), (x["qend"], acc["qend"])
-        below, above = (q[0] < q[1]) & (r[0] < r[1]), (q[0] > q[1]) & (r[0] > r[1])
-        head = below & F.when(forward, (s[0] < s[1]) & (e[0] < e[1])).otherwise((s[0] > s[1]) & (e[0] > e[1]))
-        tail = above & F.when(forward, (s[0] > s[1]) & (e[0] > e[1])).otherwise((s[0] < s[1]) & (e[0] < e[1]))
-        return F.struct(F.when(head, s[0]).otherwise(s[1]).alias("sstart"), F.when(~head & tail, e[0]).otherwise(e[1]).alias("send"), F.when(head, q[0]).otherwise(q[1]).alias("qstart"), F.when(~head & tail, r[0]).otherwise(r[1]).alias("qend"))
-
-    folded = F.aggregate(F.slice("h", F.lit(2), F.greatest(F.size("h"), F.lit(1))), start, step)
-    return listed.select("locus", "qseqid", "sseqid", "pident", F.col("best_line").alias("line_no"), folded.alias("c"), F.size("h").cast("bigint").alias("n_hits")).select("locus", "qseqid", "sseqid", "pident", "line_no", "c.*", "n_hits")
+    numbers = ("pident", "bitscore")
+    slim = hits.filter("line_no is not null").select("line_no", "qseqid", "sseqid", *[F.col(c).cast("double") for c in numbers], *[F.col(c).cast("bigint") for c in FOLDED])
+    spread = slim.repartitionByRange(partitions, "line_no") if partitions else slim.repartitionByRange("line_no")
+    spread = spread.sortWithinPartitions("line_no", "qseqid", "sseqid")
+    columns = slim.columns
+    kinds = {c: pa.string() if c in ("qseqid", "sseqid") else pa.float64() if c in numbers else pa.int64() for c in columns} | {"n_hits": pa.int64(), "edge": pa.bool_(), "fresh": pa.bool_()}
+    names = {pa.string(): T.StringType(), pa.float64(): T.DoubleType(), pa.int64(): T.LongType(), pa.bool_(): T.BooleanType()}
+    arrow, schema = pa.schema(list(kinds.items())), T.StructType([T.StructField(c, names[k]) for c, k in kinds.items()])
+
+    def batch_of(t: pa.Table, n_hits, edge, fresh) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*[t[c].combine_chunks().cast(kinds[c]) for c in columns], pa.array(n_hits, pa.int64()), pa.array(edge, pa.bool_()), pa.array(fresh, pa.bool_())], schema=arrow)
+
+    def folded(t: pa.Table, begins: np.ndarray) -> pa.RecordBatch:
+        best, bounds, n = fold_runs(t, begins)
+        rows = t.take(pa.array(best))
+        for c in FOLDED:
+            rows = rows.set_column(rows.schema.get_field_index(c), c, pa.array(bounds[c], pa.float64(), from_pandas=True).cast(pa.int64()))
+        return batch_of(rows, n, np.zeros(len(best), bool), np.zeros(len(best), bool))
+
+    def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leading = True
+        for t, begins, final in stretches(batches, ["qseqid", "sseqid"], ["line_no"]):
+            cuts = np.append(begins, t.num_rows)
+            a, z = int(leading), len(begins) - int(final)  # inner runs
+            for edge in sorted({*([0] if leading else []), *([len(begins) - 1] if final else [])}):
+                rows = t.slice(cuts[edge], cuts[edge + 1] - cuts[edge])
+                n = rows.num_rows
+                yield batch_of(rows, np.ones(n, np.int64), np.ones(n, bool), np.append(not (leading and edge == 0), np.zeros(n - 1, bool)))
+            if a < z:
+                yield folded(t.slice(cuts[a], cuts[z] - cuts[a]), begins[a:z] - cuts[a])
+            leading = False
+
+    def second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[pa.RecordBatch] = []
+
+        def edges() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                edge = batch.column("edge")
+                done.append(batch.filter(pc.invert(edge)))
+                yield batch.filter(edge)
+
+        for t, begins, _ in stretches(edges(), ["qseqid", "sseqid"], ["line_no"], "fresh"):
+            yield from done
+            done.clear()
+            yield folded(t, begins)
+        yield from done
+
+    found = spread.mapInArrow(first_pass, schema)
+    part = F.when(F.col("edge"), F.lit(-1).cast("bigint")).otherwise(F.xxhash64("qseqid"))
+    whole = found.repartition(part).sortWithinPartitions("line_no").mapInArrow(second_pass, schema)
+    return best_hits(whole.drop("edge", "fresh"), locus).select("locus", "qseqid", "sseqid", "pident", "line_no", *FOLDED, "n_hits")
 
 
 def detect(hits: DataFrame, sizes: DataFrame, fields: int = 7, types: str = "INS", least_support: int = 1, least_pident: float = 94.0, least_size: float = 90.0, fold: bool = True, digits: int = 2) -> DataFrame:

@@ -98,6 +98,15 @@ def test_depth(spark):
     assert rows(iv.depth_at(points, spans(spark, (0, 6), (5, 9), (5, 6)), ["chrom"], "at", ("start", "end"))) == [("c", 5, 3), ("c", 9, 0)]
 
 
+@pytest.mark.parametrize("width", [3, 1 << 18])
+def test_depth_counts_what_holds_a_point(spark, width):
+    rng = random.Random(width)
+    blocks = [(rng.choice("cd"), a := rng.randrange(60), a + rng.randrange(-2, 12)) for _ in range(80)] + [("c", None, 4)]
+    points = [(rng.choice("cde"), rng.randrange(70)) for _ in range(60)]
+    got = iv.depth_at(spark.createDataFrame(points, "chrom string, at int"), spark.createDataFrame(blocks, SPAN), ["chrom"], "at", ("start", "end"), width)
+    assert rows(got) == sorted({(k, p, sum(c == k and a is not None and a <= p < b for c, a, b in blocks)) for k, p in points}, key=str)
+
+
 def test_consecutive_dedupe(spark):
     df = spark.createDataFrame([(1, i, t) for i, t in enumerate("AABA")] + [(2, 9, None), (2, 10, None)], "cl int, i int, te string")
     assert [r.te for r in iv.consecutive_dedupe(df, ["cl"], "te", ["i"]).orderBy("cl", "i").collect()] == ["A", "B", "A", None]
@@ -150,6 +159,48 @@ def test_fragments_combine_on_the_reverse_strand(spark):
     assert (r.sstart, r.send, r.qstart, r.qend, r.n_hits) == (300, 40, 20, 300, 3)
 
 
+def brute_combine(data):
+    """(locus, line, bounds, hits looked at) from hits (line, qseqid, sseqid, bitscore, sstart, send, qstart, qend); locus is qseqid up to the colon."""
+    lines = {}
+    for h in sorted((h for h in data if h[0] is not None), key=lambda h: h[:3]):
+        lines.setdefault(h[0], h)
+    line, best = [lines[n] for n in sorted(lines)], {}
+    for i, h in enumerate(line):
+        locus = h[1].split(":")[0]
+        if h[3] is not None and (locus not in best or h[3] > line[best[locus]][3]):
+            best[locus] = i
+    out = []
+    for locus, i in best.items():
+        s, e, q, r = line[i][4:]
+        up, n = s < e, 1
+        while i + n < len(line) and line[i + n][1:3] == line[i][1:3]:
+            a, b, c, d = line[i + n][4:]
+            low, high = (a < s and b < e), (a > s and b > e)
+            if c < q and d < r and (low if up else high):
+                s, q = a, c
+            elif c > q and d > r and (high if up else low):
+                e, r = b, d
+            n += 1
+        out.append((locus, line[i][0], s, e, q, r, n))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 60])
+def test_combining_however_the_file_is_cut(spark, partitions):
+    rng = random.Random(partitions)
+    data, q, s = [], "a:1", "T"
+    for n in range(400):
+        if rng.random() < 0.15:
+            q, s = rng.choice(["a:1", "a:2", "b:1", "c:1", "d:1"]), rng.choice("TTU")
+        a, b = rng.sample(range(1, 400), 2)
+        c, d = sorted(rng.sample(range(1, 400), 2))
+        data.append((n * 3, q, s, rng.choice([None, 5.0, 7.0, float(n % 50)]), a, b, c, d))
+    data += data[::5] + [(None, "a:1", "T", 99.0, 1, 2, 3, 4)]
+    got = ht.combine(hits(spark, *data), F.substring_index("qseqid", ":", 1), partitions).select("locus", "line_no", "sstart", "send", "qstart", "qend", "n_hits")
+    assert rows(got) == brute_combine(data)
+    assert rows(ht.combine(hits(spark, *data).limit(0), F.col("qseqid"))) == []
+
+
 # -- evidence ------------------------------------------------------------------------------------------------------------
 def classes(spark, *data):
     return spark.createDataFrame(list(data), "ident string, read string, code string")
@@ -180,6 +231,15 @@ def test_read_classes(spark):
     assert rows(ev.read_classes(s, r)) == [("d", "del", "D"), ("i", "bare", "E"), ("i", "clip", "S"), ("i", "ins", "I"), ("i", "short", "E")]
 
 
+def test_cigars_of_any_length(spark):
+    texts = ["5S10M2I3D4H", "*", "", None, "M5x7M12", "3=2X1N"] + ["10M2I3D" * 20_000]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "c string").select(cg.walk(F.col("c"))).collect()]
+    assert [tuple(x) for x in got[0]] == [(0, "S", 5, 0, 5, 5), (1, "M", 10, 10, 15, 15), (2, "I", 2, 10, 17, 17), (3, "D", 3, 13, 17, 17), (4, "H", 4, 13, 17, 21)]
+    assert got[1] == [] == got[2] and got[3] is None and [tuple(x) for x in got[4]] == [(0, "M", 7, 7, 7, 7)]
+    assert [(x.op, x.ref) for x in got[5]] == [("=", 3), ("X", 3), ("N", 3)]
+    assert len(got[6]) == 60_000 and tuple(got[6][-1]) == (59_999, "D", 3, 260_000, 240_000, 240_000)
+
+
 def test_deletion_support(spark):
     s = spark.createDataFrame([("c", 5000, 5100, "d"), ("c", 9000, 9100, "none")], "chrom string, start bigint, end bigint, ident string")
     r = spark.createDataFrame([("c", 4900, "a", "110M95D200M"), ("c", 4900, "a", "100M100D200M"), ("c", 4900, "b", "100M100I200M")], "rname string, pos bigint, qname string, cigar string")
