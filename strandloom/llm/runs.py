@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strandloom.operators.ordered import stretches
+
 COSTS = ("steps", "spread")
 
 
@@ -83,61 +85,6 @@ def segment(values: np.ndarray, begins: np.ndarray, penalty: float, cost: str =
     return starts
 
 
-def _same(column: pa.Array) -> np.ndarray:
-    """Whether each value equals the one before (False for the first)."""
-    out = np.zeros(len(column), bool)
-    if len(column) > 1:
-        out[1:] = pc.equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
-    return out
-
-
-def _stretches(batches: Iterator[pa.RecordBatch], kinds: Sequence[str], copies: bool) -> Iterator[tuple[pa.Table, np.ndarray, bool]]:
-    """(rows, places where stretches begin, whether these are the last rows) of whole stretches of one entity and kind.
-
-    With ``copies``, a row of the entity and place of the row before is left out. Where there is a column ``fresh``, a stretch also
-    begins where it is true. The rows of an open stretch wait for its end.
-    """
-    waiting: list[pa.Table] = []
-    before: pa.Table | None = None
-    for batch in batches:
-        t = pa.Table.from_batches([batch])
-        if not t.num_rows:
-            continue
-        ahead = 0 if before is None else 1
-        seen = t if before is None else pa.concat_tables([before, t])
-        entity = _same(seen["entity"].combine_chunks())
-        if copies:
-            first = seen["first"].to_numpy()
-            copy = entity.copy()
-            copy[1:] &= first[1:] == first[:-1]
-        else:
-            copy = np.zeros(len(entity), bool)
-        kept = ~copy
-        kept[:ahead] = True
-        if copy.any():
-            seen, entity = seen.filter(pa.array(kept)), entity[kept]
-        together = entity
-        for k in kinds:
-            together = together & _same(seen[k].combine_chunks())
-        if "fresh" in seen.column_names:
-            together = together & ~seen["fresh"].to_numpy()
-        t, begins = seen.slice(ahead), np.flatnonzero(~together[ahead:])
-        if not t.num_rows:
-            continue
-        before = t.slice(t.num_rows - 1)
-        if not len(begins) or (len(begins) == 1 and begins[0] == 0 and not waiting):
-            waiting.append(t)
-            continue
-        cut = int(begins[-1])
-        whole = pa.concat_tables([*waiting, t.slice(0, cut)]).combine_chunks()
-        if whole.num_rows:
-            shift = whole.num_rows - cut
-            yield whole, np.unique(np.append(0, begins[:-1] + shift)), False
-        waiting = [t.slice(cut)]
-    if waiting:
-        yield pa.concat_tables(waiting).combine_chunks(), np.zeros(1, np.int64), True
-
-
 def runs(df: DataFrame, entity: str, order: str, kind: Sequence[str | Column], fields: Sequence[str], penalty: int = 10, partitions: int | None = None, least: int = 1, cost: str = "steps") -> DataFrame:
     """One row per run: entity, kind columns (``kind0``...), first and last of ``order``, n_events, and lo_ and hi_ of each field.
 
@@ -181,7 +128,7 @@ def runs(df: DataFrame, entity: str, order: str, kind: Sequence[str | Column], f
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leading = True
-        for t, begins, final in _stretches(batches, kinds, True):
+        for t, begins, final in stretches(batches, ["entity", *kinds], ["entity", "first"]):
             values = [t[f"value_{f}"].to_numpy() for f in fields]
             starts = segment(np.stack(values, axis=1), begins, penalty, cost)
             open_ = np.zeros(t.num_rows, bool)  # events of stretches, or with steps of runs, on a border of the partition
@@ -211,7 +158,7 @@ def runs(df: DataFrame, entity: str, order: str, kind: Sequence[str | Column], f
                     yield batch.filter(edge)
 
             done: list[pa.RecordBatch] = []
-            for t, begins, _ in _stretches(edges(), kinds, False):
+            for t, begins, _ in stretches(edges(), ["entity", *kinds], (), "fresh"):
                 yield from done
                 done.clear()
                 values = [t[f"lo_{f}"].to_numpy() for f in fields]
