@@ -75,6 +75,46 @@ def first_of(base: DataFrame, key: str, sources: Sequence[DataFrame], columns: S
     return found.withColumn("__pick", pick).select(*base.columns, *[F.col(f"__pick.{c}").alias(c) for c in columns])
 
 
+MATCHED = ("pident", "psize_te", "size_el", "kind", "support")
+FACTS = ("chrom", "start", "end", "te", "ident", "strand", "tsd", "pident", "psize_te", "size_te", "new_pos", "freq", "freq_with_clipped", "sv_size", "sv_id", "sv_type")
+
+
+def fact_table(sites: DataFrame, matches: Sequence[DataFrame], duplications: DataFrame, frequencies: Sequence[DataFrame], sizes: DataFrame, sv_id: Column, sv_type: Column) -> DataFrame:
+    """The wide fact table of one kind of sites (J8): what the first source that knows a site says, all joined by its identifier.
+
+    ``sites``: chrom, start, end, te, ident, strand, and what else ``sv_id`` and ``sv_type`` are made from, which may also use the
+    columns of the matches. ``matches``: sources in order of trust, each ident once, with ``MATCHED``. ``duplications``: ident, tsd,
+    size_te, new_pos; without one the size is that of the match, the place the site's own. ``frequencies``: sources of ident, freq,
+    freq_with_clipped; but for the last one, one counts where both are at most 100. ``sizes``: ident, sv_size, of which the greatest
+    counts. Sites that no source knows stay, with NULLs; rows come as often as ``sites`` has them. Every join is by ident, so the
+    sites are shuffled once.
+    """
+    f = first_of(sites, "ident", matches, MATCHED)
+    d = duplications.select("ident", F.col("tsd").alias("tsd"), F.col("size_te").alias("__size"), F.col("new_pos").alias("__place"))
+    f = f.join(d, "ident", "left").withColumn("size_te", F.when(F.col("tsd").isNotNull(), F.col("__size")).otherwise(F.col("size_el"))).withColumn("new_pos", F.coalesce("__place", "start"))
+    f = first_of(f, "ident", [*[x.filter("freq <= 100 and freq_with_clipped <= 100") for x in frequencies[:-1]], *frequencies[-1:]], ["freq", "freq_with_clipped"])
+    f = f.join(sizes.groupBy("ident").agg(F.max("sv_size").alias("sv_size")), "ident", "left")
+    return f.withColumn("sv_id", sv_id).withColumn("sv_type", sv_type).select(*FACTS)
+
+
+def outsider_id(number) -> Column:
+    """Identifier of a site from reads: that of the call where it is clipped, else from place, kind and support; ``number`` makes a
+    number of a text (``chain_id``)."""
+    place = number(F.concat_ws(":", "chrom", F.col("start").cast("string"))).cast("string")
+    return F.when(F.col("ident").rlike("SOFT|HARD"), F.concat(F.lit("TE_ID_OUTSIDER."), "ident")).otherwise(F.concat_ws(".", F.lit("TE_ID_OUTSIDER"), place, "kind", F.coalesce(F.col("support").cast("string"), F.lit("0"))))
+
+
+def insider_id(number) -> Column:
+    place = number(F.concat_ws(":", "chrom", F.col("start").cast("string"))).cast("string")
+    return F.concat_ws(".", F.lit("TE_ID_INSIDER"), place, F.coalesce("kind", F.lit("UNKNOWN")))
+
+
+def variant_sizes(variants: DataFrame) -> DataFrame:
+    """(ident, sv_size) of assembly variants (ident, sv_type, size, query_dist): deletions by size, insertions by their length on the query."""
+    gone, added = ("Deletion", "Repeat_contraction", "Tandem_contraction"), ("Insertion", "Repeat_expansion", "Tandem_expansion")
+    return variants.select("ident", F.when(F.col("sv_type").isin(*gone), F.col("size")).when(F.col("sv_type").isin(*added), F.col("query_dist")).alias("sv_size")).filter("sv_size is not null")
+
+
 def priority_union(sources: Sequence[DataFrame], key: str) -> DataFrame:
     """All rows of the first source, then those of each next one whose key no earlier source has."""
     out = sources[0]

@@ -249,28 +249,59 @@ def bad_positions(spark, d):
     return table(spark, d, "te_infos").groupBy("sv_type").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("end_pos") <= F.col("start_pos")).alias("bad"))
 
 
-_ONE = ", one AS (SELECT ident, min({'chrom': chrom, 's': \"start\", 'te': te, 'strand': strand}) AS b, max(sv_size) AS sv_size, min(freq) AS freq, min(freq_with_clipped) AS fc, min(CASE WHEN tsd <> 'NONE' THEN tsd END) AS tsd FROM sites GROUP BY ident), h AS (SELECT *, split_part(qseqid, ':', 5) AS ident FROM hits),\nbest AS (SELECT ident, arg_min({'p': pident, 'z': abs(qend - qstart)}, {'b': -bitscore, 'l': line_no}) AS v FROM h GROUP BY ident)\n"
-
-
-def _facts(spark, d):
-    s = sites(spark, d)
-    base = s.groupBy("ident").agg(F.min(F.struct("chrom", "start", "te", "strand")).alias("b"), F.max("sv_size").alias("sv_size"), F.min("freq").alias("f0"), F.min("freq_with_clipped").alias("f1"), F.min(F.when(F.col("tsd") != "NONE", F.col("tsd"))).alias("tsd")).select("ident", "b.*", "sv_size", "f0", "f1", "tsd")
-    # A source for each kind of variant: insertions before deletions before all others, the best hit in each.
-    kind = tx.field(F.col("qseqid"), 2)
-    rank = F.when(kind.rlike("INS"), 1).when(kind.rlike("DEL"), 2).otherwise(3)
-    size = F.abs(F.col("qend") - F.col("qstart"))
-    first = F.min(F.struct(rank.alias("r"), (-F.col("bitscore")).alias("b"), "line_no", "pident", size.alias("size_te")))
-    known = stored_hits(spark, d).groupBy(tx.field(F.col("qseqid"), 5).alias("ident")).agg(first.alias("v")).select("ident", "v.pident", "v.size_te")
-    joined = report.first_of(base, "ident", [known], ["pident", "size_te"])
-    return joined.select("ident", "chrom", "start", (F.col("start") + 1).alias("end"), "te", "strand", "tsd", "pident", "size_te", F.when(F.col("f0") <= 100, F.col("f0")).otherwise(F.col("f1")).alias("freq"), "sv_size", tx.variant_type(F.col("ident")).alias("sv_type"))
-
-
-@query(sql("sites", "hits") + _ONE + """, src AS (SELECT 1 AS pr, * FROM h WHERE split_part(qseqid, ':', 2) LIKE '%INS%' UNION ALL SELECT 2, * FROM h WHERE split_part(qseqid, ':', 2) LIKE '%DEL%' UNION ALL SELECT 3, * FROM h),
-pick AS (SELECT ident, arg_min({'p': pident, 'z': abs(qend - qstart)}, {'r': pr, 'b': -bitscore, 'l': line_no}) AS v FROM src GROUP BY ident)
-SELECT one.ident, b.chrom, b.s AS "start", b.s + 1 AS "end", b.te, b.strand, tsd, v.p AS pident, v.z AS size_te, CASE WHEN freq <= 100 THEN freq ELSE fc END AS freq, sv_size, CASE WHEN regexp_matches(one.ident, 'SOFT|HARD|DEL|INS') THEN regexp_extract(one.ident, '(SOFT|HARD|DEL|INS)', 1) END AS sv_type FROM one LEFT JOIN pick ON one.ident = pick.ident""")
+# The fact table: three kinds of sites, each with sources of its own. Matches come from the hits, the best of an identifier in each
+# source; duplications and frequencies from the facts, raised by 20 where they stand for the precise ones, so that some exceed 100.
+_MATCHES = """, m AS (SELECT split_part(qseqid, ':', 5) AS ident, regexp_replace(split_part(qseqid, ':', 2), '[<>]', '', 'g') AS kind, split_part(qseqid, ':', 7) AS prec, TRY_CAST(split_part(qseqid, ':', 6) AS BIGINT) AS support, split_part(qseqid, ':', 1) AS chrom, TRY_CAST(split_part(qseqid, ':', 3) AS BIGINT) AS s, TRY_CAST(split_part(qseqid, ':', 4) AS BIGINT) AS e,
+  pident, round(abs(qend - qstart) / size_bp * 100, 2) AS psize_te, abs(qend - qstart) AS size_el, CASE WHEN send < sstart THEN '-' ELSE '+' END AS strand, sseqid AS te, bitscore, line_no FROM hits JOIN te_sizes ON sseqid = te_name),
+src AS (SELECT *, unnest(list_filter([CASE WHEN kind = 'INS' AND prec = 'PRECISE' THEN 1 END, CASE WHEN kind = 'INS' THEN 2 END, CASE WHEN kind = 'SOFT' THEN 3 END, CASE WHEN kind = 'HARD' THEN 4 END, CASE WHEN kind = 'DEL' THEN 5 END], lambda x: x IS NOT NULL)) AS pr FROM m),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pr, ident ORDER BY bitscore DESC, line_no) AS r FROM src) WHERE r = 1),
+know AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ident ORDER BY pr) AS k FROM best WHERE pr <= 4) WHERE k = 1),
+dup AS (SELECT ident, min({'t': tsd, 'z': size_te, 'p': new_pos}) AS d FROM sites WHERE tsd IS NOT NULL AND tsd <> 'NONE' GROUP BY ident),
+fr AS (SELECT ident, min(freq) AS f, min(freq_with_clipped) AS g FROM sites GROUP BY ident), vs AS (SELECT ident, max(sv_size) AS z, max(sv_size + 7) FILTER (sv_type = 'Repeat_expansion') AS q FROM sites GROUP BY ident),
+cut AS (SELECT DISTINCT ident FROM sites WHERE sv_type = 'INS_DEL'), st AS (SELECT DISTINCT chrom, "start", "end", te, ident, strand, sv_id LIKE 'TE_ID_INSIDER%' AS inside FROM sites)
+"""
+_FACT = """SELECT st.chrom, st."start", st."end", st.te, st.ident, st.strand, d.t AS tsd, know.pident, know.psize_te, CASE WHEN d.t IS NOT NULL THEN d.z ELSE know.size_el END AS size_te, coalesce(d.p, st."start") AS new_pos, {freq}, {size} AS sv_size, {ident} AS sv_id, {kind} AS sv_type
+FROM {sites} st LEFT JOIN {know} know ON know.ident = st.ident LEFT JOIN dup ON dup.ident = st.ident LEFT JOIN fr ON fr.ident = st.ident LEFT JOIN vs ON vs.ident = st.ident LEFT JOIN cut ON cut.ident = st.ident"""
+_CALL = "regexp_extract(st.ident, '(SOFT|HARD|DEL|INS)', 1)"
+_DELETIONS = "(SELECT chrom, s AS \"start\", e AS \"end\", te, ident, strand FROM best WHERE pr = 5 AND s IS NOT NULL AND e IS NOT NULL)"
+_INSIDE = {"freq": "f AS freq, CAST(NULL AS DOUBLE) AS freq_with_clipped", "size": "vs.q", "ident": "'TE_ID_INSIDER.' || st.chrom || ':' || st.\"start\" || '.' || coalesce(know.kind, 'UNKNOWN')", "kind": "know.kind"}
+
+
+@query(sql("sites", "hits") + _MATCHES + _FACT.format(
+    sites="(SELECT * FROM st WHERE NOT inside)", know="know", freq="CASE WHEN f + 20 <= 100 AND g + 20 <= 100 THEN f + 20 ELSE f END AS freq, CASE WHEN f + 20 <= 100 AND g + 20 <= 100 THEN g + 20 ELSE g END AS freq_with_clipped", size="vs.z",
+    ident=f"CASE WHEN regexp_matches(st.ident, 'SOFT|HARD') THEN 'TE_ID_OUTSIDER.' || st.ident ELSE concat_ws('.', 'TE_ID_OUTSIDER', st.chrom || ':' || st.\"start\", know.kind, coalesce(know.support, 0)::VARCHAR) END",
+    kind=f"CASE WHEN {_CALL} <> '' THEN {_CALL} || CASE WHEN cut.ident IS NOT NULL THEN '_DEL' ELSE '' END END",
+) + "\nUNION ALL " + _FACT.format(sites="(SELECT * FROM st WHERE inside)", know="(SELECT * FROM best WHERE pr = 2)", **_INSIDE) + "\nUNION ALL " + _FACT.format(sites=_DELETIONS, know="(SELECT * FROM best WHERE pr = 5)", **_INSIDE))
 def j8_fact_table(spark, d):
-    """The wide fact table: each site with what the first source that knows it says, frequency, size and kind."""
-    return _facts(spark, d)
+    """The wide fact table with all its columns: sites seen in reads, those of the assembly, and its deletions."""
+    s = sites(spark, d)
+    sized = stored_hits(spark, d).join(table(spark, d, "te_sizes").withColumnRenamed("te_name", "sseqid"), "sseqid")
+    k, key, size = tx.locus(F.col("qseqid")), F.col("qseqid"), F.abs(F.col("qend") - F.col("qstart"))
+    found = sized.select(
+        tx.field(key, 5).alias("ident"), k["sv_type"].alias("kind"), k["support"].alias("support"), "pident", tx.size_percent(F.col("qstart"), F.col("qend"), F.col("size_bp")).alias("psize_te"), size.alias("size_el"), "bitscore", "line_no",
+        k["precision"].alias("precision"), k["chrom"].alias("chrom"), k["start"].alias("start"), k["end"].alias("end"), F.col("sseqid").alias("te"), tx.strand_of(F.col("sstart"), F.col("send")).alias("strand"),
+    ).filter("ident is not null")
+    first = lambda where: F.min_by(F.struct(*report.MATCHED, "chrom", "start", "end", "te", "strand"), F.when(where, F.struct(-F.col("bitscore"), "line_no")))
+    is_ = lambda x: F.col("kind") == x
+    sources = {"combined": is_("INS") & (F.col("precision") == "PRECISE"), "INS": is_("INS"), "SOFT": is_("SOFT"), "HARD": is_("HARD"), "DEL": is_("DEL")}
+    # The best hit of an identifier in every source, by one aggregate.
+    best = found.groupBy("ident").agg(*[F.when(F.count_if(where) > 0, first(where)).alias(n) for n, where in sources.items()])
+    source = lambda n: best.filter(F.col(n).isNotNull()).select("ident", f"{n}.*")
+    matched = lambda n: source(n).select("ident", *report.MATCHED)
+    real = s.filter("tsd <> 'NONE'").groupBy("ident").agg(F.min(F.struct("tsd", "size_te", "new_pos")).alias("d")).select("ident", "d.*")
+    base = s.groupBy("ident").agg(F.min("freq").alias("freq"), F.min("freq_with_clipped").alias("freq_with_clipped"))
+    sharp = base.select("ident", (F.col("freq") + 20).alias("freq"), (F.col("freq_with_clipped") + 20).alias("freq_with_clipped"))
+    depth = base.select("ident", "freq", F.lit(None).cast("double").alias("freq_with_clipped"))
+    places = s.select("chrom", "start", "end", "te", "ident", "strand", F.col("sv_id").startswith("TE_ID_INSIDER").alias("inside")).distinct()
+    crossed = s.filter("sv_type = 'INS_DEL'").select("ident", F.lit(True).alias("cut")).distinct()
+    outside = places.filter("not inside").join(crossed, "ident", "left")
+    sizes = report.variant_sizes(s.select("ident", "sv_type", F.col("sv_size").alias("size"), (F.col("sv_size") + 7).alias("query_dist")))
+    text, call = lambda c: c, tx.variant_type(F.col("ident"))
+    kind = F.concat(call, F.when(F.col("cut"), "_DEL").otherwise(""))
+    parts = [report.fact_table(outside, [matched(n) for n in ("combined", "INS", "SOFT", "HARD")], real, [sharp, base], s.select("ident", "sv_size"), report.outsider_id(text), kind)]
+    deletions = source("DEL").select("chrom", "start", "end", "te", "ident", "strand").filter("start is not null and end is not null")
+    parts += [report.fact_table(x, [matched(n)], real, [depth], sizes, report.insider_id(text), F.col("kind")) for x, n in ((places.filter("inside"), "INS"), (deletions, "DEL"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query(sql("sites") + """, s AS (SELECT DISTINCT chrom, te, sv_id, split_part(ident, '.', 1) AS tool FROM sites), k AS (SELECT *, chrom || te AS key FROM s), a AS (SELECT * FROM k WHERE tool = 'snif'), b AS (SELECT * FROM k WHERE tool = 'rdins' AND key NOT IN (SELECT key FROM a)), c AS (SELECT * FROM k WHERE tool NOT IN ('snif', 'rdins') AND key NOT IN (SELECT key FROM a) AND key NOT IN (SELECT key FROM b))
