@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,8 +27,19 @@ GFF_SCHEMA = _schema(("seqid", "string"), ("source", "string"), ("feature", "str
 FACT_SCHEMA = _schema(("chrom", "string"), ("start", "bigint"), ("end", "bigint"), ("te_id", "string"), ("strand", "string"), ("tsd", "string"), ("pident", "double"), ("psize_te", "double"), ("size_te", "string"), ("new_pos", "bigint"), ("freq", "string"), ("freq_with_clipped", "string"), ("sv_size", "string"), ("sv_id", "string"), ("sv_type", "string"))
 
 
+def parse_tabbed(lines: DataFrame, schema: str, keep: Sequence[str] = ()) -> DataFrame:
+    """The fields of tab-separated lines (``value``) by position, with the columns ``keep``; what a line lacks or doesn't fit its type is NULL.
+
+    Empty lines and those that begin with # are dropped.
+    """
+    parts = F.split("value", "\t")
+    fields = T.StructType.fromDDL(schema).fields
+    kept = lines.filter("value <> '' and value not like '#%'")
+    return kept.select(*keep, *[F.get(parts, F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
+
+
 def _tabbed(spark: SparkSession, path, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("sep", "\t").option("quote", "").option("comment", "#").csv(path)
+    return parse_tabbed(spark.read.text(path), schema)
 
 
 def read_fasta(spark: SparkSession, path) -> DataFrame:
@@ -45,28 +56,55 @@ def parse_fasta_records(records: DataFrame) -> DataFrame:
     return records.select(name.alias("name"), F.coalesce(seq, F.lit("")).alias("seq")).filter("name <> ''")
 
 
+def read_numbered(spark: SparkSession, path) -> DataFrame:
+    """(path, line_no, value): the lines of text files with their number in their file, from 1.
+
+    Files are read in splits by as many tasks; the lines of a split are counted first, and what the splits before it hold is added.
+    """
+    m = F.col("_metadata")
+    lines = spark.read.text(path).select("value", m["file_path"].alias("path"), m["file_block_start"].alias("__block"), F.monotonically_increasing_id().alias("__id"))
+    blocks = lines.groupBy("path", "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
+    # One row for each split of a file.
+    before = Window.partitionBy("path").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = blocks.select("path", "__block", (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first") + 1).alias("__shift"))
+    return lines.join(shifts, ["path", "__block"]).select("path", (F.col("__id") + F.col("__shift")).alias("line_no"), "value")
+
+
+def parse_hits(lines: DataFrame) -> DataFrame:
+    """Similarity hits of lines (line_no, value)."""
+    return parse_tabbed(lines, HIT_SCHEMA, ["line_no"])
+
+
 def read_hits(spark: SparkSession, path) -> DataFrame:
     """Similarity hits with ``line_no``, the line in their file from 1 (order matters for the operators on hits)."""
-    register(spark)
-    lines = spark.read.format("numbered_lines").load(path)
-    parts = F.split("value", "\t")
-    fields = T.StructType.fromDDL(HIT_SCHEMA).fields
-    return lines.filter("value <> '' and value not like '#%'").select("line_no", *[F.get(parts, F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
+    return parse_hits(read_numbered(spark, path))
 
 
-def read_bed(spark: SparkSession, path) -> DataFrame:
+def parse_bed(lines: DataFrame) -> DataFrame:
     """Intervals of three to six columns; missing ones are NULL. Adds te and ident, the parts of te_id."""
-    bed = _tabbed(spark, path, BED_SCHEMA)
+    bed = parse_tabbed(lines, BED_SCHEMA)
     return bed.withColumn("te", F.get(F.split("te_id", r"\|"), F.lit(0))).withColumn("ident", F.get(F.split("te_id", r"\|"), F.lit(1)))
 
 
+def read_bed(spark: SparkSession, path) -> DataFrame:
+    return parse_bed(spark.read.text(path))
+
+
+def parse_paf(lines: DataFrame) -> DataFrame:
+    return parse_tabbed(lines, PAF_SCHEMA)
+
+
 def read_paf(spark: SparkSession, path) -> DataFrame:
-    return _tabbed(spark, path, PAF_SCHEMA)
+    return parse_paf(spark.read.text(path))
 
 
 def read_gff(spark: SparkSession, path) -> DataFrame:
+    return parse_gff(spark.read.text(path))
+
+
+def parse_gff(lines: DataFrame) -> DataFrame:
     """Features, start 0-based, with their attributes as a map."""
-    g = _tabbed(spark, path, GFF_SCHEMA)
+    g = parse_tabbed(lines, GFF_SCHEMA)
     return g.withColumn("start", F.col("start") - 1).withColumn("attributes", attributes(F.col("attributes")))
 
 
@@ -105,13 +143,25 @@ def parse_vcf(lines: DataFrame) -> DataFrame:
     return kept.select(at(0).alias("chrom"), at(1).try_cast("bigint").alias("pos"), *[at(i).alias(n) for i, n in ((2, "id"), (3, "ref"), (4, "alt"), (5, "qual"), (6, "filter"))], attributes(at(7)).alias("info"))
 
 
-def read_vcf(spark: SparkSession, path) -> tuple[str, DataFrame]:
-    """The version of a variant file (4.1, 4.2 or 4.3; others raise) and its parsed lines."""
+def contigs(lines: DataFrame) -> DataFrame:
+    """(name, size_bp) of the ##contig lines of a variant file; the size is NULL where it isn't given."""
+    head = lines.filter("value like '##contig=%'")
+    return head.select(F.regexp_extract("value", "[<,]ID=([^,>]+)", 1).alias("name"), F.regexp_extract("value", "[<,]length=([0-9]+)", 1).try_cast("bigint").alias("size_bp"))
+
+
+def read_vcf(spark: SparkSession, path, chrom: str = ".") -> tuple[str, DataFrame]:
+    """The version of a variant file (4.1, 4.2 or 4.3; others raise) and its parsed lines.
+
+    A file that names its contigs must name one that matches ``chrom`` (patterns with commas between them), or this raises.
+    """
     lines = spark.read.text(path)
     heads = lines.filter("value like '##fileformat=%'").limit(1).collect()
     version = heads[0][0].strip().partition("VCFv")[2] if heads else ""
     if version not in ("4.1", "4.2", "4.3"):
         raise ValueError(f"unknown variant format {version!r}")
+    named = contigs(lines).agg(F.count(F.lit(1)), F.count_if(F.col("name").rlike(chrom.replace(",", "|")))).collect()[0]
+    if named[0] and not named[1]:
+        raise ValueError(f"no contig of the file matches {chrom!r}")
     return version, parse_vcf(lines)
 
 
@@ -186,17 +236,34 @@ def alignment_coords(sam: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def read_fastq(spark: SparkSession, path) -> DataFrame:
-    """(name, seq, qual) of reads; sequences and qualities may run over several lines, files may be gzipped."""
+    """(name, seq, qual) of reads; sequences and qualities may run over several lines, files may be gzipped.
+
+    Only whoever read a file from its beginning knows where a read begins, so a task reads a file; split large ones.
+    """
     register(spark)
     return spark.read.format("reads_fastq").load(path)
 
 
+def parse_fastq(texts: DataFrame) -> DataFrame:
+    """(name, seq, qual) of the reads in texts (``value``) that each hold whole reads."""
+    from strandloom.sources.readers import fastq_records
+
+    return texts.select(F.explode(fastq_records("value")).alias("r")).select("r.*")
+
+
 def read_delta(spark: SparkSession, path) -> DataFrame:
     """Alignments of a delta file with their indel offsets: rid, qid, rlen, qlen, rstart, rend, qstart, qend, errors, offsets."""
     register(spark)
     return spark.read.format("delta_alignments").load(path)
 
 
+def parse_delta(texts: DataFrame) -> DataFrame:
+    """The same of texts (``value``) that each hold a whole delta file."""
+    from strandloom.sources.readers import delta_records
+
+    return texts.select(F.explode(delta_records("value")).alias("r")).select("r.*")
+
+
 def register(spark: SparkSession) -> None:
     from strandloom.session import importable
     from strandloom.sources import readers
@@ -212,8 +279,13 @@ def write_fasta(sequences: DataFrame, path: str) -> None:
     sequences.select(F.concat(F.lit(">"), "name", F.lit("\n"), "seq").alias("value")).write.mode("overwrite").text(path)
 
 
+def fastq_text(reads: DataFrame) -> DataFrame:
+    """The four lines of each read in one value (SC3)."""
+    return reads.select(F.concat(F.lit("@"), "name", F.lit("\n"), "seq", F.lit("\n+\n"), F.coalesce("qual", F.lit(""))).alias("value"))
+
+
 def write_fastq(reads: DataFrame, path: str) -> None:
-    reads.select(F.concat(F.lit("@"), "name", F.lit("\n"), "seq", F.lit("\n+\n"), F.coalesce("qual", F.lit(""))).alias("value")).write.mode("overwrite").text(path)
+    fastq_text(reads).write.mode("overwrite").text(path)
 
 
 def write_tabbed(df: DataFrame, path: str, header: bool = False) -> None:

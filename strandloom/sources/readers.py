@@ -7,7 +7,14 @@ import gzip
 import os
 from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import from_arrow_schema
+
+FASTQ = "name string, seq string, qual string"
+DELTA = "rid string, qid string, rlen bigint, qlen bigint, rstart bigint, rend bigint, qstart bigint, qend bigint, errors bigint, offsets array<bigint>"
 
 
 def _open(path: str):
@@ -42,56 +49,42 @@ class _Files(DataSourceReader):
         raise NotImplementedError
 
 
-class NumberedLines(DataSource):
-    @classmethod
-    def name(cls):
-        return "numbered_lines"
-
-    def schema(self):
-        return "line_no bigint, value string"
-
-    def reader(self, schema):
-        return _Numbered(self.options)
-
-
-class _Numbered(_Files):
-    def records(self, lines):
-        yield from enumerate(lines, 1)
-
-
 class Fastq(DataSource):
     @classmethod
     def name(cls):
         return "reads_fastq"
 
     def schema(self):
-        return "name string, seq string, qual string"
+        return FASTQ
 
     def reader(self, schema):
         return _Fastq(self.options)
 
 
+def _reads(lines: Iterator[str]) -> Iterator[tuple]:
+    """A header, sequence lines up to a line that begins with +, then quality until it is as long as the sequence."""
+    for line in lines:
+        if not line:
+            continue
+        if not line.startswith("@"):
+            raise ValueError(f"a read should begin here: {line[:40]!r}")
+        name, seq, qual = line[1:], [], ""
+        for line in lines:
+            if line.startswith("+"):
+                break
+            seq.append(line.strip())
+        whole = "".join(seq).upper()
+        while len(qual) < len(whole):
+            part = next(lines, None)
+            if part is None:
+                break
+            qual += part
+        yield name, whole, qual
+
+
 class _Fastq(_Files):
     def records(self, lines):
-        """A header, sequence lines up to a line that begins with +, then quality until it is as long as the sequence."""
-        name = None
-        for line in lines:
-            if not line:
-                continue
-            if not line.startswith("@"):
-                raise ValueError(f"a read should begin here: {line[:40]!r}")
-            name, seq, qual = line[1:], [], ""
-            for line in lines:
-                if line.startswith("+"):
-                    break
-                seq.append(line.strip())
-            whole = "".join(seq).upper()
-            while len(qual) < len(whole):
-                part = next(lines, None)
-                if part is None:
-                    break
-                qual += part
-            yield name, whole, qual
+        return _reads(lines)
 
 
 class Delta(DataSource):
@@ -100,30 +93,54 @@ class Delta(DataSource):
         return "delta_alignments"
 
     def schema(self):
-        return "rid string, qid string, rlen bigint, qlen bigint, rstart bigint, rend bigint, qstart bigint, qend bigint, errors bigint, offsets array<bigint>"
+        return DELTA
 
     def reader(self, schema):
         return _Delta(self.options)
 
 
+def _alignments(lines: Iterator[str]) -> Iterator[tuple]:
+    """After two lines of header: a line of names and lengths, then alignments, each with offsets that end in 0."""
+    pair = None
+    for i, line in enumerate(lines):
+        if i < 2 and not line.startswith(">"):
+            continue
+        if line.startswith(">"):
+            rid, qid, rlen, qlen = line[1:].split()[:4]
+            pair = rid, qid, int(rlen), int(qlen)
+        elif pair and line.strip():
+            numbers = [int(x) for x in line.split()]
+            offsets = []
+            for part in lines:
+                if int(part) == 0:
+                    break
+                offsets.append(int(part))
+            yield (*pair, *numbers[:5], offsets)
+
+
 class _Delta(_Files):
     def records(self, lines):
-        """After two lines of header: a line of names and lengths, then alignments, each with offsets that end in 0."""
-        pair = None
-        for i, line in enumerate(lines):
-            if i < 2 and not line.startswith(">"):
-                continue
-            if line.startswith(">"):
-                rid, qid, rlen, qlen = line[1:].split()[:4]
-                pair = rid, qid, int(rlen), int(qlen)
-            elif pair and line.strip():
-                numbers = [int(x) for x in line.split()]
-                offsets = []
-                for part in lines:
-                    if int(part) == 0:
-                        break
-                    offsets.append(int(part))
-                yield (*pair, *numbers[:5], offsets)
-
-
-SOURCES = (NumberedLines, Fastq, Delta)
+        return _alignments(lines)
+
+
+SOURCES = (Fastq, Delta)
+
+
+def _of_texts(records, schema: pa.Schema, texts: pa.Array) -> pa.Array:
+    """A list of the records of each text; NULL for NULL."""
+    rows = [None if t is None else [dict(zip(schema.names, r, strict=True)) for r in records(iter(t.split("\n")))] for t in texts.to_pylist()]
+    return pa.array(rows, pa.list_(pa.struct(list(schema))))
+
+
+_FASTQ = pa.schema([(c, pa.string()) for c in ("name", "seq", "qual")])
+_DELTA = pa.schema([*[(c, pa.string()) for c in ("rid", "qid")], *[(c, pa.int64()) for c in ("rlen", "qlen", "rstart", "rend", "qstart", "qend", "errors")], ("offsets", pa.list_(pa.int64()))])
+
+
+@F.arrow_udf(T.ArrayType(from_arrow_schema(_FASTQ)))
+def fastq_records(texts: pa.Array) -> pa.Array:
+    return _of_texts(_reads, _FASTQ, texts)
+
+
+@F.arrow_udf(T.ArrayType(from_arrow_schema(_DELTA)))
+def delta_records(texts: pa.Array) -> pa.Array:
+    return _of_texts(_alignments, _DELTA, texts)

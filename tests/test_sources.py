@@ -49,6 +49,18 @@ def test_hits_keep_their_lines(spark, tmp_path):
     assert [(r.line_no, r.qseqid, r.send, r.evalue, r.bitscore) for r in got] == [(2, "q:1", 11, 1e-5, 44.0), (4, "q:1", 11, 1e-5, None)]
 
 
+def test_lines_are_numbered_in_every_split(spark, tmp_path):
+    for name, n in (("a.tsv", 5000), ("b.tsv", 1), ("c.tsv", 0), ("d.tsv", 3333)):
+        put(tmp_path, name, "".join(f"{name} {i}\n" for i in range(1, n + 1)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        got = fm.read_numbered(spark, str(tmp_path))
+        assert got.count() == 8334 and got.filter("value <> concat(substring_index(path, '/', -1), ' ', line_no)").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_bed_gff_paf(spark, tmp_path):
     assert rows(fm.read_bed(spark, put(tmp_path, "a.bed", "c\t1\t2\tT|i.1\t5\t+\nd\t3\t4\n")).select("chrom", "te", "ident", "strand")) == [("c", "T", "i.1", "+"), ("d", None, None, None)]
     g = fm.read_gff(spark, put(tmp_path, "a.gff", "#h\nc\ts\tf\t10\t20\t.\t+\t.\tID=x;SIDE=L\n")).collect()[0]
@@ -67,6 +79,9 @@ def test_vcf_versions(spark, tmp_path):
         assert v == version and rows(fm.variant_sequences(df, v, least=3, without=[])) == want
         assert rows(fm.variant_sequences(df, v, least=4, most=4, without=[])) == []
         assert rows(fm.supporting_reads(df).select("id", "read_name")) == [("1", "r1"), ("1", "r2"), ("2", "r3")]
+    assert rows(fm.contigs(spark.read.text(str(tmp_path / "4.1.vcf")))) == [("c", None)]
+    with pytest.raises(ValueError, match="no contig"):
+        fm.read_vcf(spark, str(tmp_path / "4.1.vcf"), "x,y")
     with pytest.raises(ValueError, match="unknown"):
         fm.read_vcf(spark, put(tmp_path, "x.vcf", VCF.format("5.0", body)))
 
