@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandloom.plans import assembly_queries, hit_queries, interval_queries, problems, report_queries
+from strandloom.plans import assembly_queries, format_queries, hit_queries, interval_queries, problems, report_queries
 
-MODULES = (problems, interval_queries, hit_queries, assembly_queries, report_queries)
+MODULES = (problems, interval_queries, hit_queries, assembly_queries, format_queries, report_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
