@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.functions.cigar import fold, reference_length
+from strandloom.functions.cigar import fold, length_over, operations, reference_length
 from strandloom.operators.intervals import window_join
 
 # Evidence classes, in the order in which one masks another for the same read.
@@ -119,6 +119,35 @@ def deletion_support(sites: DataFrame, reads: DataFrame, window: int = 30, near:
     return sites.select("ident").distinct().join(found, "ident", "left").select("ident", F.coalesce("n_reads", F.lit(0)).alias("n_reads"))
 
 
+def mapping_stats(reads: DataFrame) -> DataFrame:
+    """One row of what a mapping holds (A15): records by flag and quality, lengths, bases by CIGAR, mismatches and their rate.
+
+    ``reads``: flag, mapq, cigar, seq, nm. Secondary and supplementary records count as records only. NULL lengths count as 0.
+    """
+    kept = F.col("flag").bitwiseAND(2304) == 0
+    mapped = kept & (F.col("flag").bitwiseAND(4) == 0)
+    size, ops = F.length("seq").cast("bigint"), operations(F.col("cigar"))
+    total = lambda c, e: F.coalesce(F.sum(F.when(c, e)), F.lit(0)).cast("bigint")
+    aligned = total(mapped, length_over(ops, "MI=X"))
+    return reads.agg(
+        F.count(F.lit(1)).alias("records"), F.count_if(kept).alias("sequences"), F.count_if(mapped).alias("reads_mapped"), F.count_if(kept & ~mapped).alias("reads_unmapped"), F.count_if(mapped & (F.col("mapq") == 0)).alias("reads_mq0"),
+        F.count_if(F.col("flag").bitwiseAND(256) != 0).alias("non_primary"), F.count_if(F.col("flag").bitwiseAND(2048) != 0).alias("supplementary"), F.count_if(mapped & (F.col("flag").bitwiseAND(16) != 0)).alias("reads_reverse"),
+        total(kept, size).alias("total_length"), total(mapped, size).alias("bases_mapped"), aligned.alias("bases_mapped_cigar"), total(mapped, F.col("nm")).alias("mismatches"),
+        F.round(total(mapped, F.col("nm")) / F.nullif(aligned, F.lit(0)), 6).alias("error_rate"), F.round(total(kept, size) / F.nullif(F.count_if(kept), F.lit(0)), 4).alias("average_length"), F.max(F.when(kept, size)).alias("maximum_length"),
+    )
+
+
+def clipped_sequences(clips: DataFrame, sequences: DataFrame) -> DataFrame:
+    """Hard clips (read, side, len, ...) with the bases that were cut off, from the whole reads (name, seq) (A21, SC18).
+
+    A left clip is the beginning of the read, a right one its end. Clips of reads that aren't there are left out; ``sequences`` has
+    a read once.
+    """
+    s = sequences.select(F.col("name").alias("read"), F.col("seq").alias("__whole"))
+    n = F.col("len").cast("int")
+    return clips.join(s, "read").withColumn("clipped", F.when(F.col("side") == "L", F.left("__whole", n)).otherwise(F.right("__whole", n))).drop("__whole")
+
+
 def clip_groups(clips: DataFrame, d: int = 50) -> DataFrame:
     """Soft clips within ``d`` of each other on a chromosome as one group (A20): per side the longest clip and the distinct reads.
 

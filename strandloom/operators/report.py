@@ -63,6 +63,18 @@ def durations(df: DataFrame, keys: Sequence[str], start: str, order: Sequence[st
     return df.withColumn("stop", F.lead(start).over(line)).withColumn("seconds", F.unix_timestamp("stop") - F.unix_timestamp(start))
 
 
+def run_log(lines: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, category, start) of the steps in the log of a run (line_no, value): each ``rule NAME:`` with the ``[date]`` in the line before (F16).
+
+    Dates are like ``[Wed Oct 18 14:20:11 2023]``. Other lines, and rules without a date, are left out.
+    """
+    w = Window.partitionBy(*keys).orderBy("line_no") if keys else Window.orderBy("line_no")
+    date = F.regexp_extract(F.lag("value").over(w), r"^\[\w+ +(\w+ +\d+ +[\d:]+ +\d+)\]", 1)
+    start = F.try_to_timestamp(F.regexp_replace(date, " +", " "), F.lit("MMM d HH:mm:ss yyyy"))
+    steps = lines.withColumn("start", start).filter("value like 'rule %' and start is not null")
+    return steps.select(*keys, F.regexp_extract("value", r"^rule (\S+?):?\s*$", 1).alias("category"), "start", "line_no")
+
+
 def first_of(base: DataFrame, key: str, sources: Sequence[DataFrame], columns: Sequence[str]) -> DataFrame:
     """The base rows with ``columns`` from the first source that has their key.
 

@@ -50,5 +50,18 @@ def groups(hits: DataFrame, chrom: str | None = None, elements: Sequence[str] =
     return hits.groupBy("qseqid", "sseqid").agg(F.max("bitscore").alias("best"), F.count(F.lit(1)).alias("n_hits"), F.min("line_no").alias("line_no"))
 
 
+def chromosomes(hits: DataFrame) -> DataFrame:
+    """(chrom, n_groups, n_hits) of every chromosome that hits lie on."""
+    g = groups(hits).withColumn("chrom", F.split_part("qseqid", F.lit(":"), F.lit(1)))
+    return g.groupBy("chrom").agg(F.count(F.lit(1)).alias("n_groups"), F.sum("n_hits").alias("n_hits"))
+
+
+def by_position(hits: DataFrame, chrom: str | None = None, elements: Sequence[str] = ()) -> DataFrame:
+    """Hit groups with their place, sorted by it."""
+    part = lambda i: F.split_part("qseqid", F.lit(":"), F.lit(i))
+    g = groups(hits, chrom, elements).withColumn("chrom", part(1)).withColumn("start", part(3).try_cast("bigint"))
+    return g.select("chrom", "start", "qseqid", "sseqid", "best", "n_hits", "line_no").orderBy("chrom", "start", "qseqid", "sseqid")
+
+
 def facts(df: DataFrame, ident: str) -> DataFrame:
     return df.filter(F.col("sv_id") == ident)

@@ -185,11 +185,13 @@ def flag_filter(spark, d):
 
 
 
-@query(sql("reads") + _OPS + """, one AS (SELECT DISTINCT rname, pos, qname, flag, mapq, cigar, seq FROM reads), m AS (SELECT rname, pos, qname, cigar, sum(CASE WHEN op IN ('M', 'D', '=') THEN len ELSE 0 END) AS bases FROM op GROUP BY ALL)
-SELECT count(*) AS n_reads, count(*) FILTER ((flag & 4) = 0) AS mapped, CAST(sum(length(seq)) AS BIGINT) AS bases, max(length(seq)) AS longest, CAST(sum(bases) AS BIGINT) AS reference_bases FROM one JOIN m USING (rname, pos, qname, cigar)""")
+@query(sql("reads") + _OPS + """, m AS (SELECT rname, pos, qname, cigar, CAST(sum(CASE WHEN op IN ('M', 'I', '=', 'X') THEN len ELSE 0 END) AS BIGINT) AS bases FROM op GROUP BY ALL), r AS (SELECT reads.*, bases, pos % 50 AS nm, (flag & 2304) = 0 AS k, (flag & 2308) = 0 AS al FROM reads JOIN m USING (rname, pos, qname, cigar))
+SELECT count(*) AS records, count(*) FILTER (k) AS sequences, count(*) FILTER (al) AS reads_mapped, count(*) FILTER (k AND NOT al) AS reads_unmapped, count(*) FILTER (al AND mapq = 0) AS reads_mq0, count(*) FILTER ((flag & 256) <> 0) AS non_primary, count(*) FILTER ((flag & 2048) <> 0) AS supplementary, count(*) FILTER (al AND (flag & 16) <> 0) AS reads_reverse,
+  CAST(coalesce(sum(length(seq)) FILTER (k), 0) AS BIGINT) AS total_length, CAST(coalesce(sum(length(seq)) FILTER (al), 0) AS BIGINT) AS bases_mapped, CAST(coalesce(sum(bases) FILTER (al), 0) AS BIGINT) AS bases_mapped_cigar, CAST(coalesce(sum(nm) FILTER (al), 0) AS BIGINT) AS mismatches,
+  round(coalesce(sum(nm) FILTER (al), 0) / nullif(sum(bases) FILTER (al), 0), 6) AS error_rate, round(coalesce(sum(length(seq)) FILTER (k), 0) / nullif(count(*) FILTER (k), 0), 4) AS average_length, max(length(seq)) FILTER (k) AS maximum_length FROM r""")
 def a15_mapping_stats(spark, d):
-    r = reads(spark, d)
-    return r.agg(F.count(F.lit(1)).alias("n_reads"), F.count_if(F.col("flag").bitwiseAND(4) == 0).alias("mapped"), F.sum(F.length("seq")).cast("bigint").alias("bases"), F.max(F.length("seq")).cast("bigint").alias("longest"), F.sum(cg.reference_length(F.col("cigar"))).cast("bigint").alias("reference_bases"))
+    """What the alignments of the reads hold."""
+    return ev.mapping_stats(reads(spark, d).withColumn("nm", F.col("pos") % 50))
 
 
 @query(sql("reads", "sites") + _OPS + """, sp AS (SELECT rname, pos, qname, cigar, pos + greatest(CAST(sum(CASE WHEN op IN ('M', 'D', '=') THEN len ELSE 0 END) AS BIGINT), 1) AS stop FROM op GROUP BY rname, pos, qname, cigar)
@@ -289,6 +291,18 @@ def a20_soft_clip_groups(spark, d):
     return ev.clip_groups(c)
 
 
+_HARD = """, x AS (SELECT DISTINCT rname, pos + ref AS at, qname, len, CASE WHEN i = 0 THEN 'L' ELSE 'R' END AS side FROM walked WHERE op = 'H' AND len > 100)
+"""
+
+
+@query(sql("reads") + _OPS + _HARD + ", whole AS (SELECT read_name AS qname, repeat(min(seq), 20) AS seq FROM evidence WHERE seq <> '' GROUP BY read_name)\nSELECT rname, x.at, qname, len, side, CASE side WHEN 'L' THEN left(seq, len) ELSE right(seq, len) END AS clipped FROM x JOIN whole USING (qname)")
+def a21_hard_clip_sequences(spark, d):
+    """Hard clips with the bases that were cut off, from the whole reads (A21, SC18)."""
+    clips = a21_hard_clips(spark, d).withColumnRenamed("qname", "read")
+    whole = evidence(spark, d).filter("seq <> ''").groupBy(F.col("read_name").alias("name")).agg(F.repeat(F.min("seq"), F.lit(20)).alias("seq"))
+    return ev.clipped_sequences(clips, whole).withColumnRenamed("read", "qname")
+
+
 @query(sql("reads") + _OPS + """, x AS (SELECT *, max(i) OVER (PARTITION BY rname, pos, qname, cigar) AS last FROM walked)
 SELECT DISTINCT rname, pos + ref AS at, qname, len, CASE WHEN i = 0 THEN 'L' ELSE 'R' END AS side FROM x WHERE op = 'H' AND len > 100""")
 def a21_hard_clips(spark, d):

@@ -118,6 +118,34 @@ def k3_genome_splice(spark, d):
     return genome.splice_pieces(g, i, "read_name", 10_000)
 
 
+_CANONICAL = evidence_of_sql("b", "chrom", "seq") + """, g AS (SELECT chrom AS name, min(seq) AS seq FROM b WHERE length(seq) > 20 GROUP BY chrom), el AS (SELECT te_name AS te, left(repeat('ACGTRN', 20), (10 + size_bp % 90)::INT) AS seq FROM te_sizes),
+x AS (SELECT DISTINCT chrom, "start", te, ident, strand FROM sites), e AS (SELECT chrom, "start" AS pos, ident, ident || CASE WHEN strand = '+' THEN seq ELSE reverse(translate(seq, 'ACGTRYKMBVDHSWN', 'TGCAYRMKVBHDSWN')) END AS seq FROM x JOIN el USING (te) WHERE NOT regexp_matches(ident, 'SOFT|HARD'))
+"""
+
+
+def _canonical(spark, d):
+    g = evidence_of(spark, d, "chrom", "seq").filter(F.length("seq") > 20).groupBy(F.col("chrom").alias("name")).agg(F.min("seq").alias("seq"))
+    elements = table(spark, d, "te_sizes").select(F.col("te_name").alias("name"), F.expr("left(repeat('ACGTRN', 20), cast(10 + size_bp % 90 as int))").alias("seq"))
+    return g, genome.canonical_inserts(sites(spark, d).select("chrom", "start", "te", "ident", "strand").distinct(), elements)
+
+
+@query(sql("sites") + ", " + _CANONICAL + """, i AS (SELECT g.name, pos // 10000 AS piece, pos AS s, least(pos, length(g.seq)) AS spot, least((pos // 10000 + 1) * 10000, length(g.seq)) AS hi, least(pos // 10000 * 10000, length(g.seq)) AS lo, ident, e.seq AS ins, g.seq AS seq FROM e JOIN g ON chrom = name),
+o AS (SELECT *, lead(spot) OVER w AS nxt, row_number() OVER w AS r FROM i WINDOW w AS (PARTITION BY name, piece ORDER BY s, ident, ins)),
+p AS (SELECT name, piece, string_agg(CASE WHEN r = 1 THEN substr(seq, lo + 1, spot - lo) ELSE '' END || ins || substr(seq, spot + 1, coalesce(nxt, hi) - spot), '' ORDER BY r) AS seq, count(*) AS n FROM o GROUP BY name, piece),
+c AS (SELECT name, k AS piece, substr(seq, k * 10000 + 1, 10000) AS seq FROM g, unnest(range(0, (length(seq) - 1) // 10000 + 1)) AS u(k))
+SELECT coalesce(p.name, c.name) AS name, coalesce(p.piece, c.piece) AS piece, coalesce(p.seq, c.seq) AS seq, coalesce(n, 0) AS n_inserts FROM c FULL JOIN p ON c.name = p.name AND c.piece = p.piece""")
+def k3_canonical_splice(spark, d):
+    """The canonical element of every site, its identifier before it, in pieces of 10,000 bases (K3)."""
+    g, i = _canonical(spark, d)
+    return genome.splice_pieces(g, i, "ident", 10_000)
+
+
+@query(sql("sites") + ", " + _CANONICAL + "SELECT name, length(g.seq) AS before, CAST(length(g.seq) + coalesce(sum(length(e.seq)), 0) AS BIGINT) AS after, count(e.seq) AS n_inserts FROM g LEFT JOIN e ON chrom = name GROUP BY name, g.seq")
+def a12_sizes_after(spark, d):
+    """Size of every sequence before and after the canonical elements are put in."""
+    return genome.sizes_after(*_canonical(spark, d))
+
+
 # -- formats -----------------------------------------------------------------------------------------------------------
 _VCF = """, v AS (SELECT DISTINCT chrom, "start" + 1 AS pos, ident AS id, CASE WHEN sv_type = 'INS' THEN 'N' ELSE repeat('ACGN', CAST(1 + coalesce(sv_size, 0) % 300 AS INT)) END AS ref, CASE WHEN sv_type = 'INS' THEN repeat('ACGT', CAST(1 + coalesce(sv_size, 0) % 400 AS INT)) ELSE '<DEL>' END AS alt,
   'SVTYPE=' || CASE WHEN sv_type = 'INS' THEN 'INS' ELSE 'DEL' END || ';END=' || "end" || ';RE=' || (1 + coalesce(sv_size, 0) % 9) || ';PRECISE;RNAMES=' || te || '_1,' || te || '_2' AS info FROM sites)
@@ -357,6 +385,17 @@ def w9_durations(spark, d):
     return report.durations(e, ["user_id"], "ts", ["event_id"])
 
 
+@query("WITH e AS (SELECT user_id, event_id, date_trunc('second', ts) AS s, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events WHERE ts IS NOT NULL)\nSELECT user_id, 'step' || event_id AS category, s AS \"start\", lead(s) OVER w AS stop, CAST(epoch(lead(s) OVER w) - epoch(s) AS BIGINT) AS seconds FROM e WINDOW w AS (PARTITION BY user_id ORDER BY n)")
+def f16_run_log(spark, d):
+    """Logs of runs, one for each user, as timelines: each step until the next one (F16)."""
+    from pyspark.sql import Window
+
+    e = table(spark, d, "events").filter("ts is not null").withColumn("n", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
+    both = F.array(F.concat(F.lit("["), F.date_format("ts", "E MMM d HH:mm:ss yyyy"), F.lit("]")), F.concat(F.lit("rule step"), F.col("event_id").cast("string"), F.lit(":")), F.lit("    input: x"))
+    lines = e.select("user_id", "n", F.posexplode(both).alias("i", "value")).select("user_id", (F.col("n") * 3 + F.col("i")).alias("line_no"), "value")
+    return report.durations(report.run_log(lines, ["user_id"]), ["user_id"], "start", ["line_no"]).select("user_id", "category", "start", "stop", "seconds")
+
+
 @query(sql("sites") + "SELECT '{\"group\":\"' || te || '\",\"value\":' || count(*) || '}' AS datum FROM sites GROUP BY te")
 def f17_json_rows(spark, d):
     c = sites(spark, d).groupBy(F.col("te").alias("group")).agg(F.count(F.lit(1)).alias("value"))
@@ -369,6 +408,25 @@ def f18_plot_scatter(spark, d):
     return report.plot_data(s, "SCATTER")
 
 
+_DATA = {
+    "SNP": {"chr": "chrom", "pos": "start", "value": "size", "des": "te", "color": "strand"}, "ARC": {"chr": "chrom", "start": "start", "end": "end", "color": "strand", "des": "te"}, "HEATMAP": {"chr": "chrom", "start": "start", "end": "end", "name": "te", "value": "size"},
+    "LINE": {"chr": "chrom", "pos": "start", "value": "size"}, "HISTOGRAM": {"chr": "chrom", "start": "start", "end": "end", "name": "te", "value": "size"}, "CNV": {"chr": "chrom", "start": "start", "end": "end", "value": "size"},
+    "LINK": {"fusion": "ident", "g1chr": "chrom", "g1start": "start", "g1end": "end", "g1name": "te", "g2chr": "chrom", "g2start": "new_pos", "g2end": "new_pos", "g2name": "te"},
+}
+
+
+@query(sql("sites") + """, s AS (SELECT DISTINCT chrom, "start", "end", te, ident, coalesce(strand, '.') AS strand, coalesce(size_te, 0) AS size, coalesce(new_pos, 0) AS new_pos FROM sites)
+""" + "\nUNION ALL ".join(f"SELECT '{layout}' AS layout, '{{' || " + " || ',' || ".join(f"""'"{f}":"' || "{c}" || '"'""" for f, c in fields.items()) + " || '}' AS datum FROM s" for layout, fields in _DATA.items()))
+def f18_plot_layouts(spark, d):
+    """The sites as data of the other layouts of circular plots."""
+    s = sites(spark, d).select("chrom", "start", "end", "te", "ident", F.coalesce("strand", F.lit(".")).alias("strand"), F.coalesce("size_te", F.lit(0)).alias("size"), F.coalesce("new_pos", F.lit(0)).alias("new_pos")).distinct()
+    made = [report.plot_data(s.select(*[F.col(c).alias(f) for f, c in fields.items()]), layout).select(F.lit(layout).alias("layout"), "datum") for layout, fields in _DATA.items()]
+    out = made[0]
+    for m in made[1:]:
+        out = out.unionByName(m)
+    return out
+
+
 @query("SELECT '[\"' || chrom || '\",' || size_bp || ']' AS datum FROM chrom_sizes")
 def f19_genome_layout(spark, d):
     return table(spark, d, "chrom_sizes").select(F.concat(F.lit('["'), "chrom", F.lit('",'), F.col("size_bp").cast("string"), F.lit("]")).alias("datum"))
@@ -397,6 +455,18 @@ def t2_groups_by_score(spark, d):
     return viewer.groups(hits(spark, d)).orderBy(F.col("best").desc(), "qseqid", "sseqid")
 
 
+@query(sql("hits") + "SELECT split_part(qseqid, ':', 1) AS chrom, count(DISTINCT {'q': qseqid, 's': sseqid}) AS n_groups, count(*) AS n_hits FROM hits GROUP BY 1")
+def k5_chromosomes(spark, d):
+    """The chromosomes the viewer offers, with what lies on them (K5)."""
+    return viewer.chromosomes(hits(spark, d))
+
+
+@query(sql("hits") + "SELECT split_part(qseqid, ':', 1) AS chrom, TRY_CAST(split_part(qseqid, ':', 3) AS BIGINT) AS \"start\", qseqid, sseqid, max(bitscore) AS best, count(*) AS n_hits, min(line_no) AS line_no FROM hits GROUP BY qseqid, sseqid")
+def k5_groups_by_position(spark, d):
+    """Hit groups in the order of their places (K5)."""
+    return viewer.by_position(hits(spark, d))
+
+
 _FACTS = ("chrom", "start_pos", "end_pos", "te_id", "strand", "tsd", "pident", "psize_te", "size_te", "new_pos", "freq", "freq_with_clipped", "sv_size", "sv_id", "sv_type")
 _SIGNS = dict.fromkeys(_FACTS, "NONE") | {"strand": "."}
 

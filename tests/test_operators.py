@@ -124,6 +124,18 @@ def test_unique_anchors(spark):
     assert rows(got) == [(1, 10_000, "repetitive"), (2, 10_000, "repetitive"), (3, 25_000, "unique")]
 
 
+@pytest.mark.parametrize("tile", [7, 1 << 16])
+def test_slices_over_tiles(spark, tile):
+    rng = random.Random(tile)
+    text = {"a": "".join(rng.choice("ACGTN") for _ in range(100)), "b": "AC", "c": ""}
+    data = [(rng.choice("abcx"), rng.randrange(-5, 110), rng.randrange(-5, 110), rng.choice("+-")) for _ in range(80)]
+    data += data[:9] + [("a", None, 4, "+"), (None, 1, 2, "+")]
+    got = genome.slices(spark.createDataFrame(data, "name string, s bigint, e bigint, strand string"), spark.createDataFrame(list(text.items()), "name string, seq string"), "name", "s", "e", "strand", tile=tile)
+    turn = lambda x: x[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    cut = lambda k, s, e: text[k][max(s, 0) : max(e, 0)]
+    assert rows(got) == sorted(((k, s, e, d, turn(cut(k, s, e)) if d == "-" else cut(k, s, e)) for k, s, e, d in data if k in text and s is not None), key=str)
+
+
 # -- hits ----------------------------------------------------------------------------------------------------------------
 def hits(spark, *data):
     """(line_no, qseqid, sseqid, bitscore, sstart, send, qstart, qend)"""
@@ -372,6 +384,24 @@ def test_merge_without_one_source(spark, missing):
     assert {r.src for r in merge_calls(df, "src", ["x", "y", "z"]).collect()} == {"x", "y", "z"} - {missing}
 
 
+def test_fact_table_prefers_and_falls_back(spark):
+    make = spark.createDataFrame
+    site = make([("c", 10, 11, "T", "a.INS.1", "+", True), ("c", 20, 21, "T", "a.SOFT.2", "-", None), ("c", 30, 31, "T", "none", "+", None)], "chrom string, start bigint, end bigint, te string, ident string, strand string, cut boolean")
+    match = lambda *r: make(list(r), "ident string, pident double, psize_te double, size_el bigint, kind string, support bigint")
+    freq = lambda *r: make(list(r), "ident string, freq double, freq_with_clipped double")
+    f = report.fact_table(
+        site, [match(("a.INS.1", 99.0, 90.0, 500, "INS", 3)), match(("a.INS.1", 1.0, 1.0, 1, "INS", 9), ("a.SOFT.2", 80.0, 50.0, 70, "SOFT", 1))], make([("a.INS.1", "ACGT", 480, 8)], "ident string, tsd string, size_te bigint, new_pos bigint"),
+        [freq(("a.INS.1", 101.0, 20.0), ("a.SOFT.2", 40.0, 50.0)), freq(("a.INS.1", 90.0, 95.0), ("a.SOFT.2", 1.0, 1.0))], make([("a.INS.1", 400), ("a.INS.1", 510)], "ident string, sv_size bigint"),
+        report.outsider_id(tx.chain_id), F.concat(tx.variant_type(F.col("ident")), F.when(F.col("cut"), "_DEL").otherwise("")),
+    )
+    got = {r.ident: r for r in f.collect()}
+    a, b, c = got["a.INS.1"], got["a.SOFT.2"], got["none"]
+    assert (a.tsd, a.pident, a.size_te, a.new_pos, a.freq, a.freq_with_clipped, a.sv_size, a.sv_type) == ("ACGT", 99.0, 480, 8, 90.0, 95.0, 510, "INS_DEL")
+    assert a.sv_id.startswith("TE_ID_OUTSIDER.") and a.sv_id.endswith(".INS.3") and b.sv_id == "TE_ID_OUTSIDER.a.SOFT.2"
+    assert (b.tsd, b.size_te, b.new_pos, b.freq, b.sv_size, b.sv_type) == (None, 70, 20, 40.0, None, "SOFT")
+    assert (c.pident, c.new_pos, c.freq, c.sv_type) == (None, 30, None, None)
+
+
 def test_first_of(spark):
     base = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
     s1, s2 = spark.createDataFrame([("a", None, 1)], "id string, v int, w int"), spark.createDataFrame([("a", 5, 5), ("b", 6, 6)], "id string, v int, w int")
