@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, fields, is_dataclass
+from dataclasses import dataclass, field, fields, is_dataclass, replace
 
 
 @dataclass
@@ -82,3 +82,16 @@ def option_string(text: str) -> dict[str, str]:
             follows = words[i + 1] if i + 1 < len(words) else "-"
             out[w.lstrip("-")] = "" if follows.startswith("-") and not follows.lstrip("-").replace(".", "", 1).isdigit() else follows
     return out
+
+
+# What a pass-through option is called and which setting it is.
+OPTIONS = {"p": "least_pident", "min-pident": "least_pident", "s": "least_size_percent", "min-size-percent": "least_size_percent", "r": "least_read_support", "min-read-support": "least_read_support", "k": "types", "type-sv-keep": "types", "c": "fold", "combine": "fold"}
+
+
+def with_options(given: Params, text: str) -> Params:
+    """The settings with those of a pass-through string, such as ``--min-size-percent 80 -k 'INS|DEL'``; unknown options raise."""
+    options = option_string(text.replace("'", "").replace('"', ""))
+    if unknown := set(options) - set(OPTIONS):
+        raise ValueError(f"unknown options: {sorted(unknown)}")
+    kinds = {f.name: type(getattr(given.detection, f.name)) for f in fields(given.detection)}
+    return replace(given, detection=replace(given.detection, **{OPTIONS[k]: True if v == "" else kinds[OPTIONS[k]](v) for k, v in options.items()}))

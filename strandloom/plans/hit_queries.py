@@ -10,6 +10,8 @@ from strandloom.operators import assembly
 from strandloom.operators import evidence as ev
 from strandloom.operators import hits as ht
 from strandloom.operators.eager import present
+from strandloom.params import Params, with_options
+from strandloom.plans import configured
 from strandloom.plans.views import HIT_COLUMNS, aligned, evidence, hits, reads, sites, sql, stored_hits
 from strandloom.session import table
 
@@ -131,7 +133,8 @@ def w3_combine_fragments(spark, d):
   WHERE split_part(qseqid, ':', 2) LIKE '%INS%' AND TRY_CAST(split_part(qseqid, ':', 6) AS BIGINT) >= 2 AND round(abs(c.r - c.q) / size_bp * 100, 2) >= 40 AND pident >= 85""")
 def detect_elements(spark, d):
     """The whole detection: dictionary, best hit, fold, floors."""
-    f = ht.detect(stored_hits(spark, d), table(spark, d, "te_sizes"), least_support=2, least_pident=85.0, least_size=40.0)
+    p = with_options(Params(), "--min-size-percent 40 --min-pident 85 --min-read-support 2 -k INS")
+    f = configured.elements(stored_hits(spark, d), table(spark, d, "te_sizes"), p)
     return f.select("locus", "sseqid", "line_no", "strand", "size_el", "size_per")
 
 
@@ -222,7 +225,7 @@ def _one_site(spark, d):
 
 
 def _classes(spark, d):
-    return ev.read_classes(_one_site(spark, d), ev.usable(reads(spark, d)))
+    return configured.classes(_one_site(spark, d), reads(spark, d), Params())
 
 
 @query(sql("reads", "sites") + _OPS + _CODES + 'SELECT ident, "read", code FROM per_read')

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from strandloom.operators import intervals as iv
 
+from strandloom.params import Params
+from strandloom.plans import configured
 from strandloom.plans.views import aligned, evidence, sites, sql
 from strandloom.session import table
 
@@ -38,7 +40,7 @@ def i1_sort_rank(spark, d):
 @query(sql("evidence") + ", e AS (SELECT chrom, pos, pos + 1 AS pos1, read_name, op_len FROM evidence), " + _clusters("e", "chrom", "pos", "pos1", 50) + "SELECT chrom, pos, read_name, op_len, CAST(cl AS BIGINT) AS cluster FROM clustered")
 def i2_cluster_d50(spark, d):
     e = evidence(spark, d).select("chrom", "pos", (F.col("pos") + 1).alias("pos1"), "read_name", "op_len")
-    return iv.cluster(e, ["chrom"], "pos", "pos1", 50).select("chrom", "pos", "read_name", "op_len", "cluster")
+    return configured.read_clusters(e, Params()).select("chrom", "pos", "read_name", "op_len", "cluster")
 
 
 @query(sql("sites") + ", " + _clusters("sites", "chrom", '"start"', '"end"', 100) + """SELECT chrom, min("start") AS "start", max("end") AS "end", count(*) AS n FROM clustered GROUP BY chrom, cl""")

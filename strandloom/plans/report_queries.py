@@ -8,6 +8,8 @@ from strandloom.functions import sequence as sq
 from strandloom.functions import text as tx
 from strandloom.operators import eager, generations, genome, report, tsd, viewer
 from strandloom.operators import intervals as iv
+from strandloom.params import params
+from strandloom.plans import configured
 from strandloom.plans.views import evidence, evidence_of, evidence_of_sql, hits, sites, sql, stored_hits
 from strandloom.session import table
 from strandloom.sources import formats
@@ -352,11 +354,9 @@ m4 AS (SELECT * FROM m3 UNION ALL SELECT * FROM k WHERE src = 'HARD' AND NOT EXI
 @query(sql("sites") + _MERGE + "SELECT chrom, te, s AS \"start\", sv_id, src FROM m4")
 def merge_call_sets(spark, d):
     """Calls of four sources merged by priority: clustered and deduped each, then what lies near no better one of its family."""
-    from strandloom.operators.merge import merge_calls
-
     src = F.when(F.col("sv_id").contains("SOFT"), "SOFT").when(F.col("sv_id").contains("HARD"), "HARD").when(F.split_part("ident", F.lit("."), F.lit(1)) == "snif", "CALLER").otherwise("READS")
     s = sites(spark, d).select("chrom", "te", "start", "end", "sv_id", src.alias("src")).distinct()
-    return merge_calls(s, "src", ["CALLER", "READS", "SOFT", "HARD"], window=100_000).select("chrom", "te", "start", "sv_id", "src")
+    return configured.call_sets(s, "src", ["CALLER", "READS", "SOFT", "HARD"], params({"clusters": {"window": 100_000}})).select("chrom", "te", "start", "sv_id", "src")
 
 
 @query(sql("sites") + "SELECT chrom, te FROM sites GROUP BY chrom, te HAVING count(*) = 2")
@@ -534,4 +534,4 @@ SELECT chrom, min(x) OVER (PARTITION BY chrom, cl) AS x, "group", id, chrom || '
 def generation_positions_merged(spark, d):
     """Points within 200 bases take one position (Q7)."""
     s = _scatter(spark, d)
-    return generations.merge_positions(s, 200).select("chrom", "x", "group", "id", "name")
+    return configured.generation_points(s, params({})).select("chrom", "x", "group", "id", "name")

@@ -133,3 +133,20 @@ def test_params():
         params.params({"colour": 1})
     assert params.merged({"a": {"x": 1}, "DATA": {}}, {"a": {"x": 2, "y": 3}, "b": 4, "DATA": {"k": 1}}) == {"a": {"x": 1, "y": 3}, "b": 4, "DATA": {}}
     assert params.option_string("--min-size 80 -k -x -5") == {"min-size": "80", "k": "", "x": "-5"}
+    p = params.with_options(params.Params(), "--min-size-percent 70 -r 3 -k 'INS|DEL'")
+    assert (p.detection.least_size_percent, p.detection.least_read_support, p.detection.types, p.detection.least_pident) == (70.0, 3, "INS|DEL", 80.0)
+    with pytest.raises(ValueError, match="unknown"):
+        params.with_options(p, "--colour red")
+
+
+def test_settings_act(spark):
+    from strandloom.plans import configured
+
+    hit = spark.createDataFrame([(1, "A1:<INS>:5:6:t.INS.1:2:PRECISE:0", "T", 90.0, 50.0, 1, 80, 1, 80), (2, "B1:<INS>:5:6:t.INS.2:2:PRECISE:0", "T", 90.0, 50.0, 1, 80, 1, 80)], "line_no bigint, qseqid string, sseqid string, pident double, bitscore double, sstart bigint, send bigint, qstart bigint, qend bigint")
+    size = spark.createDataFrame([("T", 100)], "te_name string, size_bp bigint")
+    found = lambda **k: sorted(r.line_no for r in configured.elements(hit, size, params.params(k)).collect())
+    assert found(detection={"least_size_percent": 70.0}) == [1, 2] and found(chrom_keep="A1,X", detection={"least_size_percent": 70.0}) == [1]
+    flanks = spark.createDataFrame([("GGGGACGTACTT", "TTACGTACAAAA")], "fk_l string, fk_r string")
+    near = lambda n: [(r.tsd, r.shift_l, r.shift_r) for r in configured.duplications(flanks, params.params({"sites": {"flank": n}})).collect()]
+    assert near(20) == [("ACGTAC", 2, 2)] and near(4) == []
+    assert found() == [] and found(detection={"least_size_percent": 70.0, "least_read_support": 3}) == []
