@@ -43,8 +43,8 @@ def periods_and_gaps(intervals: DataFrame, keys: Sequence[str], lo: str = "lo",
     last = F.floor((F.col("hi") - 1) / F.lit(width)).cast("bigint")
     there = there.withColumn("first", F.floor(F.col("lo") / F.lit(width)).cast("bigint"))
     there = there.select(*names, "lo", "hi", F.explode(F.when(F.col("first") == last, F.array("first")).otherwise(F.sequence("first", last))).alias("range"))
-    parts = there.select(*names, "range", F.greatest("lo", F.col("range") * width).alias("lo"), F.least("hi", (F.col("range") + 1) * width).alias("hi"))
-    parts = parts.groupBy(*names, "range", "lo").agg(F.max("hi").alias("hi"))
+    parts = there.select(*names, F.greatest("lo", F.col("range") * width).alias("lo"), F.least("hi", (F.col("range") + 1) * width).alias("hi"))
+    parts = parts.groupBy(*names, "lo").agg(F.max("hi").alias("hi")).withColumn("range", F.floor(F.col("lo") / F.lit(width)).cast("bigint"))
     ranked = parts.groupBy(*names, "range").agg(F.sort_array(F.collect_list("lo")).alias("starts"), F.sort_array(F.collect_list("hi")).alias("ends"))
     # starts[i + 1] > ends[i]: a gap. The first start and the last end bound the periods of the range.
     gaps = F.filter(F.zip_with("ends", F.slice("starts", 2, F.greatest(F.size("starts") - 1, F.lit(0))), lambda e, s: F.struct(e.alias("seg_start"), s.alias("seg_end"))), lambda g: g["seg_end"] > g["seg_start"])

@@ -213,12 +213,21 @@ def parse_sam_sizes(lines: DataFrame) -> DataFrame:
 
 
 def read_sam(spark: SparkSession, path, need_nm: bool = False) -> DataFrame:
-    out = parse_sam(spark.read.text(path))
+    return _with_nm(parse_sam(spark.read.text(path)), need_nm)
+
+
+def _with_nm(out: DataFrame, need_nm: bool) -> DataFrame:
     if need_nm:
         out = out.withColumn("nm", F.when(F.col("nm").isNull(), F.raise_error(F.lit("an alignment has no NM tag"))).otherwise(F.col("nm")).cast("bigint"))
     return out
 
 
+def read_bam(spark: SparkSession, path, need_nm: bool = False) -> DataFrame:
+    """Alignments of binary files, with the columns of ``parse_sam`` (SC9); a task reads a file. Regions: ``evidence.in_regions``."""
+    register(spark)
+    return _with_nm(spark.read.format("bam_alignments").load(path), need_nm)
+
+
 def alignment_coords(sam: DataFrame, sizes: DataFrame) -> DataFrame:
     """Coordinates of alignments on reference and query (rstart, rend, qstart, qend, rlen, qlen, rid, qid); reverse ones run down."""
     from strandloom.functions.cigar import length_over, operations
@@ -235,13 +244,23 @@ def alignment_coords(sam: DataFrame, sizes: DataFrame) -> DataFrame:
     return a.select(F.col("pos").alias("rstart"), rend.alias("rend"), F.when(reverse, s + span).otherwise(s).alias("qstart"), F.when(reverse, s).otherwise(s + span).alias("qend"), "rlen", qlen.alias("qlen"), F.col("rname").alias("rid"), F.col("qname").alias("qid"))
 
 
-def read_fastq(spark: SparkSession, path) -> DataFrame:
+def read_fastq(spark: SparkSession, path, four_lines: bool = False) -> DataFrame:
     """(name, seq, qual) of reads; sequences and qualities may run over several lines, files may be gzipped.
 
-    Only whoever read a file from its beginning knows where a read begins, so a task reads a file; split large ones.
+    Only whoever read a file from its beginning knows where a read of any number of lines begins, so a task reads a file, which
+    must be local or on a mount of all executors. With ``four_lines`` every read has four lines, as ``write_fastq`` makes them;
+    then files are read in splits and from any file system, and lines meet by their number. A file cut off within a read raises.
     """
-    register(spark)
-    return spark.read.format("reads_fastq").load(path)
+    if not four_lines:
+        register(spark)
+        return spark.read.format("reads_fastq").load(path)
+    part = F.pmod(F.col("line_no") - 1, F.lit(4))
+    at = lambda i: F.max(F.when(part == i, F.col("value")))
+    lines = read_numbered(spark, path).withColumn("value", F.regexp_replace("value", "\r$", ""))
+    reads = lines.groupBy("path", F.expr("(line_no - 1) div 4").alias("n")).agg(at(0).alias("a"), at(1).alias("b"), at(2).alias("c"), at(3).alias("d"))
+    whole = F.col("a").startswith("@") & F.col("c").startswith("+") & F.col("d").isNotNull() & (F.length("b") == F.length("d"))
+    name = F.when(whole, F.substring("a", 2, 1 << 30)).otherwise(F.raise_error(F.concat(F.lit("no read of four lines: "), F.coalesce("a", F.lit("")))))
+    return reads.select(name.cast("string").alias("name"), F.upper("b").alias("seq"), F.col("d").alias("qual"))
 
 
 def parse_fastq(texts: DataFrame) -> DataFrame:

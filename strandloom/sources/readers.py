@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 import gzip
 import os
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import from_arrow_schema
 
+BAM = "qname string, flag bigint, rname string, pos bigint, mapq bigint, cigar string, seq string, qual string, nm bigint"
 FASTQ = "name string, seq string, qual string"
 DELTA = "rid string, qid string, rlen bigint, qlen bigint, rstart bigint, rend bigint, qstart bigint, qend bigint, errors bigint, offsets array<bigint>"
 
@@ -123,7 +125,79 @@ class _Delta(_Files):
         return _alignments(lines)
 
 
-SOURCES = (Fastq, Delta)
+class Bam(DataSource):
+    @classmethod
+    def name(cls):
+        return "bam_alignments"
+
+    def schema(self):
+        return BAM
+
+    def reader(self, schema):
+        return _Bam(self.options)
+
+
+class _Bam(_Files):
+    def read(self, partition):
+        with gzip.open(partition.path, "rb") as f:
+            yield from bam_records(f)
+
+
+# Fixed values of the binary format: letters of bases and operations, and the sizes of the numbers in tags.
+BASES, OPERATIONS, WIDTHS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X", {"A": 1, "c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
+_PAIRS = [a + b for a in BASES for b in BASES]
+
+
+def bam_records(f) -> Iterator[tuple]:
+    """Alignments of a decompressed stream, as ``parse_sam`` gives them; records without CIGAR are dropped."""
+
+    def take(n: int) -> bytes:
+        data = f.read(n)
+        if len(data) != n:
+            raise ValueError("the file ends within a record")
+        return data
+
+    number = lambda: struct.unpack("<i", take(4))[0]
+    if take(4) != b"BAM\x01":
+        raise ValueError("not a file of binary alignments")
+    take(number())
+    names = []
+    for _ in range(number()):
+        names.append(take(number())[:-1].decode())
+        take(4)
+    while size := f.read(4):
+        data = take(struct.unpack("<i", size)[0])
+        ref, pos, n_name, mapq, _, n_cigar, flag, n_seq = struct.unpack_from("<iiBBHHHi", data)
+        at = 32 + n_name
+        ops = struct.unpack_from(f"<{n_cigar}I", data, at)
+        at += 4 * n_cigar
+        seq = "".join(_PAIRS[b] for b in data[at : at + (n_seq + 1) // 2])[:n_seq]
+        at += (n_seq + 1) // 2
+        qual = data[at : at + n_seq]
+        if n_cigar:
+            yield (
+                data[32 : 31 + n_name].decode(), flag, names[ref] if ref >= 0 else "*", pos, mapq, "".join(f"{o >> 4}{OPERATIONS[o & 15]}" for o in ops),
+                seq or "*", "*" if not qual or qual[0] == 255 else bytes(q + 33 for q in qual).decode(), _mismatches(data, at + n_seq),
+            )
+
+
+def _mismatches(data: bytes, at: int) -> int | None:
+    """The number in the NM tag, if there is one."""
+    while at + 3 <= len(data):
+        tag, kind = data[at : at + 2], chr(data[at + 2])
+        at += 3
+        if tag == b"NM" and kind in "cCsSiI":
+            return int.from_bytes(data[at : at + WIDTHS[kind]], "little", signed=kind.islower())
+        if kind in "ZH":
+            at = data.index(b"\0", at) + 1
+        elif kind == "B":
+            at += 5 + WIDTHS[chr(data[at])] * struct.unpack_from("<i", data, at + 1)[0]
+        else:
+            at += WIDTHS[kind]
+    return None
+
+
+SOURCES = (Fastq, Delta, Bam)
 
 
 def _of_texts(records, schema: pa.Schema, texts: pa.Array) -> pa.Array:

@@ -1,6 +1,8 @@
 """Readers and sinks: small files, round trips, odd input."""
 
 import gzip
+import re
+import struct
 
 import pytest
 from conftest import rows
@@ -39,7 +41,9 @@ def test_fastq(spark, tmp_path, zipped):
 def test_fastq_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("a", "ACGT", "IIII")], "name string, seq string, qual string")
     fm.write_fastq(df, str(tmp_path / "q"))
-    assert rows(fm.read_fastq(spark, str(tmp_path / "q"))) == rows(df)
+    assert rows(fm.read_fastq(spark, str(tmp_path / "q"))) == rows(df) == rows(fm.read_fastq(spark, str(tmp_path / "q"), four_lines=True))
+    with pytest.raises(Exception, match="four lines"):
+        fm.read_fastq(spark, put(tmp_path, "cut.fastq", "@a\nAC\n+\nII\n@b\nA\n"), four_lines=True).collect()
 
 
 def test_hits_keep_their_lines(spark, tmp_path):
@@ -100,6 +104,28 @@ def test_sam(spark, tmp_path):
         fm.read_sam(spark, p, need_nm=True).collect()
 
 
+def binary(lines, names):
+    """Alignment lines in the binary format, in two compressed members as block compression makes them."""
+    out = b"BAM\x01" + struct.pack("<i", 5) + b"@HD\t\n" + struct.pack("<i", len(names)) + b"".join(struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", 100) for n in names)
+    for line in lines:
+        q, flag, r, pos, mapq, cigar, _, _, _, seq, qual, *tags = line.split("\t")
+        ops = [int(n) << 4 | "MIDNSHP=X".index(o) for n, o in re.findall(r"(\d+)(.)", cigar)]
+        codes = ["=ACMGRSVTWYHKDBN".index(c) for c in seq] + [0]
+        body = struct.pack("<iiBBHHHiiii", names.index(r) if r in names else -1, int(pos) - 1, len(q) + 1, int(mapq), 0, len(ops), int(flag), len(seq), -1, -1, 0) + q.encode() + b"\0" + struct.pack(f"<{len(ops)}I", *ops)
+        body += bytes(codes[i] << 4 | codes[i + 1] for i in range(0, len(seq), 2)) + (b"\xff" * len(seq) if qual == "*" else bytes(ord(c) - 33 for c in qual))
+        body += b"XZZabc\0" + b"XBBs" + struct.pack("<ihh", 2, 1, 2) + b"".join(b"NMC" + bytes([int(t[5:])]) for t in tags)
+        out += struct.pack("<i", len(body)) + body
+    return gzip.compress(out[: len(out) // 2]) + gzip.compress(out[len(out) // 2 :])
+
+
+def test_bam(spark, tmp_path):
+    (tmp_path / "a.bam").write_bytes(binary([x for x in SAM.split("\n") if x and x[0] != "@"], ["c"]))
+    assert rows(fm.read_bam(spark, str(tmp_path / "a.bam"))) == rows(fm.read_sam(spark, put(tmp_path, "a.sam", SAM)))
+    (tmp_path / "b.bam").write_bytes(gzip.compress(gzip.decompress((tmp_path / "a.bam").read_bytes())[:-3]))
+    with pytest.raises(Exception, match="within a record"):
+        fm.read_bam(spark, str(tmp_path / "b.bam")).collect()
+
+
 def test_delta(spark, tmp_path):
     p = put(tmp_path, "a.delta", "/ref /qry\nNUCMER\n>c q 100 90\n1 50 1 49 2 2 0\n10\n-3\n0\n60 70 50 60 0 0 0\n0\n")
     got = fm.read_delta(spark, p).orderBy("rstart").collect()
