@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strandloom.plans.views import HIT_COLUMNS, aligned, evidence_of, evidence_of_sql, reads, sites, sql
+from strandloom.plans.views import HIT_COLUMNS, aligned, evidence_of, evidence_of_sql, reads, sites, sql, stored_alignments
 from strandloom.session import table
 from strandloom.sources import formats
 
@@ -109,7 +109,7 @@ def sc10_bed_lines(spark, d):
 SELECT rid, qid, rlen, qlen, rstart, rend, qstart, qend, abs(rend - rstart) % 40 AS errors, CASE WHEN rstart % 2 = 0 THEN 2 ELSE 0 END AS n_offsets, CASE WHEN rstart % 2 = 0 THEN 9 - rend ELSE 0 END AS sum_offsets FROM a""")
 def sc12_delta_alignments(spark, d):
     """Alignments of delta files, one pair of sequences in each, with their offsets (SC12)."""
-    a = aligned(spark, d).filter("rlen is not null and qlen is not null").select("rid", "qid", "rlen", "qlen", "rstart", "rend", "qstart", "qend").distinct()
+    a = stored_alignments(spark, d).filter("rlen is not null and qlen is not null").select("rid", "qid", "rlen", "qlen", "rstart", "rend", "qstart", "qend").distinct()
     text = lambda c: (F.col(c) if isinstance(c, str) else c).cast("string")
     head = F.concat(F.lit("/ref /qry\nNUCMER\n>"), F.concat_ws(" ", "rid", "qid", text("rlen"), text("qlen")), F.lit("\n"))
     errors = text(F.abs(F.col("rend") - F.col("rstart")) % 40)

@@ -12,7 +12,7 @@ from strandloom.operators import hits as ht
 from strandloom.operators.eager import present
 from strandloom.params import Params, with_options
 from strandloom.plans import configured
-from strandloom.plans.views import HIT_COLUMNS, aligned, evidence, hits, reads, sites, sql, stored_hits
+from strandloom.plans.views import HIT_COLUMNS, aligned, evidence, hits, reads, sites, sql, stored_hits, stored_alignments
 from strandloom.session import table
 
 QUERIES, SQL = {}, {}
@@ -322,7 +322,7 @@ y AS (SELECT *, abs(ref_dist - query_dist) AS size, CASE WHEN i.rid <> rid THEN
   WHEN query_dist < ref_dist THEN CASE WHEN ref_dist > -50 AND query_dist > -50 AND query_dist < 50 THEN 'Deletion' WHEN ref_dist < 0 OR query_dist < 0 THEN 'Tandem_contraction' ELSE 'Repeat_contraction' END END AS sv_type FROM x)
 SELECT rid, least(l, r) AS "start", CASE WHEN l = r THEN greatest(l, r) + 1 ELSE greatest(l, r) END AS stop, size, sv_type, ref_dist, query_dist, qid FROM y WHERE sv_type IS NOT NULL AND size BETWEEN 50 AND 20000""")
 def w7_between_alignments(spark, d):
-    a = aligned(spark, d).select("rid", "qid", "rstart", "rend", "qstart", "qend").distinct()
+    a = stored_alignments(spark, d).select("rid", "qid", "rstart", "rend", "qstart", "qend").distinct()
     return assembly.between_alignments(a)
 
 
@@ -336,7 +336,7 @@ def a13_assembly_stats(spark, d):
 @query(sql("aligned") + """, a AS (SELECT qid, rid, least(qstart, qend) AS s, greatest(qstart, qend) AS e FROM aligned), reach AS (SELECT *, max(e) OVER (PARTITION BY qid, rid ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM a),
 cov AS (SELECT qid, rid, CAST(sum(greatest(e - greatest(s, coalesce(reach, s)), 0)) AS BIGINT) AS covered FROM reach GROUP BY qid, rid) SELECT qid, rid, covered FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY covered DESC, rid) AS r FROM cov) WHERE r = 1""")
 def j16_equivalent_reference(spark, d):
-    return assembly.equivalent_reference(aligned(spark, d))
+    return assembly.equivalent_reference(stored_alignments(spark, d))
 
 
 @query(sql("aligned", "sites") + """, g0 AS (SELECT DISTINCT rid AS chrom, least(rstart, rend) AS s, greatest(rstart, rend) AS e FROM aligned), g1 AS (SELECT *, max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM g0),
@@ -345,7 +345,7 @@ x AS (SELECT v.chrom, v.sv_id, v."start", v."end", coalesce(sum(CASE WHEN g.s IS
 def j10_gap_share(spark, d):
     """The share of each site's surroundings that intervals cover, overlaps once."""
     v = sites(spark, d).select("chrom", "sv_id", "start", (F.col("end") + 500).alias("end")).distinct().withColumn("row", F.concat_ws(":", "chrom", "sv_id", "start", "end"))
-    g = aligned(spark, d).select(F.col("rid").alias("chrom"), F.least("rstart", "rend").alias("s"), F.greatest("rstart", "rend").alias("e")).distinct()
+    g = stored_alignments(spark, d).select(F.col("rid").alias("chrom"), F.least("rstart", "rend").alias("s"), F.greatest("rstart", "rend").alias("e")).distinct()
     return assembly.gap_share(v, g, ["chrom"], ("start", "end"), ("s", "e"), "share", "row").select("chrom", "sv_id", "start", F.round("share", 6).alias("share"))
 
 

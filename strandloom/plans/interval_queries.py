@@ -8,7 +8,7 @@ from strandloom.operators import intervals as iv
 
 from strandloom.params import Params
 from strandloom.plans import configured
-from strandloom.plans.views import aligned, evidence, sites, sql
+from strandloom.plans.views import aligned, evidence, sites, sql, stored_alignments
 from strandloom.session import table
 
 QUERIES, SQL = {}, {}
@@ -101,7 +101,7 @@ def j3_same_family_window(spark, d):
 @query(sql("aligned", "sites") + ", a AS (SELECT DISTINCT rid AS chrom, qid, least(rstart, rend) AS lo, greatest(rstart, rend) AS hi FROM aligned), b AS (SELECT chrom, sv_id, \"start\" AS t, \"end\" AS u FROM sites)"
        "SELECT a.chrom, qid, lo, hi, sv_id, greatest(least(hi, u) - greatest(lo, t), 0) AS bases FROM a JOIN b ON a.chrom = b.chrom AND t < hi AND u > lo")
 def j4_intersect_overlap(spark, d):
-    a = aligned(spark, d).select(F.col("rid").alias("chrom"), "qid", F.least("rstart", "rend").alias("lo"), F.greatest("rstart", "rend").alias("hi")).distinct()
+    a = stored_alignments(spark, d).select(F.col("rid").alias("chrom"), "qid", F.least("rstart", "rend").alias("lo"), F.greatest("rstart", "rend").alias("hi")).distinct()
     b = sites(spark, d).select("chrom", "sv_id", F.col("start").alias("t"), F.col("end").alias("u"))
     return iv.window_join(a, b, ["chrom"], ("lo", "hi"), ("t", "u")).withColumn("bases", iv.overlap("lo", "hi", "t", "u")).drop("t", "u")
 
@@ -163,7 +163,7 @@ def i7_gap_pairs(spark, d):
     """Between consecutive alignments of a pair the gap on both axes."""
     from strandloom.operators.assembly import neighbours
 
-    a = aligned(spark, d).select("rid", "qid", F.least("rstart", "rend").alias("rstart"), F.greatest("rstart", "rend").alias("rend"), F.least("qstart", "qend").alias("qstart"), F.greatest("qstart", "qend").alias("qend")).distinct()
+    a = stored_alignments(spark, d).select("rid", "qid", F.least("rstart", "rend").alias("rstart"), F.greatest("rstart", "rend").alias("rend"), F.least("qstart", "qend").alias("qstart"), F.greatest("qstart", "qend").alias("qend")).distinct()
     n = neighbours(a, ["rid", "qid"], "qstart", ["qend", "rstart", "rend"], ["rend", "qend"])
     return n.filter("before.rend is not null").select("rid", "qid", F.least("before.rend", "rstart").alias("r_from"), F.greatest("before.rend", "rstart").alias("r_to"), F.least("before.qend", "qstart").alias("q_from"), F.greatest("before.qend", "qstart").alias("q_to"))
 
@@ -174,6 +174,6 @@ cov AS (SELECT qid, pt, sum(step) OVER (PARTITION BY qid ORDER BY pt) AS cover,
 u AS (SELECT a.rid, a.qid, a.rstart, a.rend, a.qstart, a.qend, coalesce(sum(c.after - c.pt), 0) AS unique_length FROM a LEFT JOIN cov c ON c.qid = a.qid AND cover = 1 AND c.pt >= s AND c.after <= e GROUP BY ALL)
 SELECT * REPLACE (CAST(unique_length AS BIGINT) AS unique_length), CASE WHEN unique_length >= 5000 THEN 'unique' ELSE 'repetitive' END AS tag FROM u""")
 def i8_unique_anchors(spark, d):
-    a = aligned(spark, d).select("rid", "qid", "rstart", "rend", "qstart", "qend").distinct()
+    a = stored_alignments(spark, d).select("rid", "qid", "rstart", "rend", "qstart", "qend").distinct()
     a = a.withColumn("row", F.concat_ws(":", *a.columns))
     return iv.unique_anchors(a, "qid", "qstart", "qend", 5000, "row").drop("row")

@@ -46,9 +46,14 @@ def evidence_of(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return df.distinct()
 
 
+def stored_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignments with all coordinates as stored, copies too; for operators that copies don't matter to."""
+    return table(spark, sf_dir, "alignments").dropna(subset=["rstart", "rend", "qstart", "qend", "rid", "qid"])
+
+
 def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignments with all coordinates, copies once."""
-    return table(spark, sf_dir, "alignments").dropna(subset=["rstart", "rend", "qstart", "qend", "rid", "qid"]).distinct()
+    return stored_alignments(spark, sf_dir).distinct()
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -53,7 +55,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where that is unset and the master is a
-    single local process is a temporary folder used, since there the machine is the whole cluster.
+    single local process is a temporary folder used, since there the machine is the whole cluster; it goes with the process.
     """
     spark = df.sparkSession
     context = spark.sparkContext
@@ -63,6 +65,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
             if not context.master.startswith("local") or context.master.startswith("local-cluster"):
                 raise ValueError("spark.checkpoint.dir is unset: name a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="strandloom-checkpoint-")
+            atexit.register(shutil.rmtree, folder, True)
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
