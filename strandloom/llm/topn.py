@@ -34,8 +34,7 @@ def top_n(df: DataFrame, group: Sequence[str], order: Sequence[tuple[str, bool]]
     salted = df.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
     survivors = best_of_subgroups(salted, group, sort, item, n)
     second = Window.partitionBy(*group).orderBy(*sort)
-    ranked = survivors.drop("__salt").withColumn("place", F.dense_rank().over(second).cast("bigint")).filter(F.col("place") <= n)
-    return ranked.dropDuplicates([*group, "place"])
+    return survivors.drop("__salt").withColumn("place", F.row_number().over(second).cast("bigint")).filter(F.col("place") <= n)
 
 
 def best_of_subgroups(salted: DataFrame, group: Sequence[str], sort: Sequence[Column], item: Sequence[str], n: int) -> DataFrame:
