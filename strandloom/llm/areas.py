@@ -93,21 +93,29 @@ class Speller:
         self.number: dict[str, int] = {}
         self.gaps: dict[str, int] = {}
         self.less: dict[str, int] = {}
+        self.answers: dict[str, int] = {}
         for k, t in enumerate(terms):
-            self.number.setdefault(t, k)
             if len(t) >= least:
+                self.number.setdefault(t, k)
                 for i in range(len(t)):
                     self.gaps.setdefault(f"{t[:i]}_{t[i + 1 :]}", k)
                     self.less.setdefault(t[:i] + t[i + 1 :], k)
 
     def near(self, word: str) -> int:
         cuts = range(len(word))
-        for table, forms in ((self.gaps, (f"{word[:i]}_{word[i + 1 :]}" for i in cuts)), (self.less, (word,)), (self.number, (word[:i] + word[i + 1 :] for i in cuts)), (self.number, (word[:i] + word[i + 1] + word[i] + word[i + 2 :] for i in cuts[:-1]))):
-            found = [k for k in map(table.get, forms) if k is not None and len(self.terms[k].as_py()) >= self.least]
-            if found:
-                return min(found)
+        for table, forms in ((self.gaps, [f"{word[:i]}_{word[i + 1 :]}" for i in cuts]), (self.less, [word]), (self.number, [word[:i] + word[i + 1 :] for i in cuts]), (self.number, [word[:i] + word[i + 1] + word[i] + word[i + 2 :] for i in cuts[:-1]])):
+            if found := table.keys() & forms:
+                return min(table[f] for f in found)
         return -1
 
+    def asked(self, word: str) -> int:
+        """``near``, which a task works out once for a word; a million answers are kept."""
+        if (k := self.answers.get(word)) is None:
+            if len(self.answers) >= 1_000_000:
+                self.answers.clear()
+            k = self.answers[word] = self.near(word)
+        return k
+
     def __call__(self, words: pa.Array) -> np.ndarray:
         """The number of the term of each word, -1 for none."""
         known = pc.fill_null(pc.index_in(words, value_set=self.terms), -1).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -116,7 +124,7 @@ class Speller:
         asked = np.flatnonzero((known < 0) & (size >= self.least - 1) & (size <= (longest or 0) + 1))
         if len(asked):
             known = known.copy()
-            known[asked] = [self.near(w) for w in words.take(pa.array(asked)).to_pylist()]
+            known[asked] = [self.asked(w) for w in words.take(pa.array(asked)).to_pylist()]
         return known
 
 
