@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
@@ -91,35 +88,28 @@ def walk(cigars: pa.Array) -> pa.Array:
     return offsets(cigars)
 
 
-@F.pandas_udf(T.StructType([T.StructField("pos", T.LongType()), *[T.StructField(c, T.StringType()) for c in ("cigar", "seq", "qual")]]))
-def clips_to_insertions(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rewrite a clip that ends inside [site - window, site + window] as an insertion.
+def clips_to_insertions(pos: Column, cigar: Column, seq: Column, qual: Column, site: Column, window: Column) -> Column:
+    """struct<pos, cigar, seq, qual> with a clip that ends inside [site - window, site + window] rewritten as an insertion.
 
-    In: a struct of pos, cigar, seq, qual, site, window. A soft clip becomes I; a hard clip becomes I with its bases as N and
-    lowest quality, so lengths agree. One base next to it is taken as M at the outer end, so the record still begins and
-    ends aligned, and a left clip moves POS by that base. Records without such a clip, or with NULLs, stay as they are.
+    A soft clip becomes I; a hard clip becomes I with its bases as N and lowest quality, so lengths agree. One base next to it is
+    taken as M at the outer end, so the record still begins and ends aligned, and a left clip moves POS by that base. The right end
+    comes first. Records without such a clip, or with NULLs, stay as they are; where qualities don't fit the sequence they become
+    the lowest.
     """
-    import re
-
-    for d in frames:
-        out = []
-        for pos, cigar, seq, qual, site, window in zip(d.pos, d.cigar, d.seq, d.qual, d.site, d.window, strict=True):
-            if any(x is None or x != x for x in (pos, cigar, seq, site, window)) or cigar == "*":
-                out.append((pos, cigar, seq, qual))
-                continue
-            ops = [(int(n), o) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", cigar)]
-            end = pos + sum(n for n, o in ops if o in REFERENCE)
-            pos, qual = int(pos), qual if isinstance(qual, str) and len(qual) == len(seq) else "!" * len(seq)
-            if ops and ops[-1][1] in "SH" and ops[-1][0] > 1 and abs(end - site) <= window:
-                n, o = ops.pop()
-                if o == "H":
-                    seq, qual = seq + "N" * n, qual + "!" * n
-                ops += [(n - 1, "I"), (1, "M")]
-            if ops and ops[0][1] in "SH" and ops[0][0] > 1 and abs(pos - site) <= window:
-                n, o = ops.pop(0)
-                if o == "H":
-                    seq, qual = "N" * n + seq, "!" * n + qual
-                ops[:0] = [(1, "M"), (n - 1, "I")]
-                pos -= 1
-            out.append((pos, "".join(f"{n}{o}" for n, o in ops), seq, qual))
-        yield pd.DataFrame(out, columns=["pos", "cigar", "seq", "qual"])
+    known = pos.isNotNull() & cigar.isNotNull() & seq.isNotNull() & site.isNotNull() & window.isNotNull() & (cigar != "*")
+    number = lambda c, pattern: F.coalesce(F.nullif(F.regexp_extract(c, pattern, 1), F.lit("")).cast("bigint"), F.lit(0))
+    tail, head = r"(\d+)[SH]$", r"^(\d+)[SH]"
+    n = number(cigar, tail)
+    right = (n > 1) & (F.abs(pos + reference_length(cigar) - site) <= window)
+    turned = F.when(right, F.concat(F.regexp_replace(cigar, r"\d+[SH]$", ""), (n - 1).cast("string"), F.lit("I1M"))).otherwise(cigar)
+    m = number(turned, head)
+    left = (m > 1) & (F.abs(pos - site) <= window)
+    more = lambda end, of, size, sign: F.when(end & of.rlike(sign), F.repeat(F.lit("N"), size.cast("int"))).otherwise("")
+    before, after = more(left, turned, m, r"^\d+H"), more(right, cigar, n, r"H$")
+    low = lambda x: F.repeat(F.lit("!"), F.length(x))
+    fits = F.when(F.length(qual) == F.length(seq), qual).otherwise(low(seq))
+    new = F.struct(
+        F.when(left, pos - 1).otherwise(pos).cast("bigint").alias("pos"), F.when(left, F.concat(F.lit("1M"), (m - 1).cast("string"), F.lit("I"), F.regexp_replace(turned, head, ""))).otherwise(turned).alias("cigar"),
+        F.concat(before, seq, after).alias("seq"), F.concat(low(before), fits, low(after)).alias("qual"),
+    )
+    return F.when(known, new).otherwise(F.struct(pos.cast("bigint").alias("pos"), cigar.alias("cigar"), seq.alias("seq"), qual.alias("qual")))

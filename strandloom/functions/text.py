@@ -4,11 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 LOCUS_FIELDS = ("chrom", "sv_type", "start", "end", "id", "support", "precision", "idx", "strand")
 # Characters that tools downstream can't take in a name.
@@ -82,23 +79,18 @@ def si(value: Column) -> Column:
     return F.when(value >= 10**9, scaled(10**9, "Gb")).when(value >= 10**6, scaled(10**6, "Mb")).when(value >= 10**3, scaled(10**3, "Kb")).otherwise(F.concat(value.cast("string"), F.lit(" bp")))
 
 
-@F.pandas_udf(T.DoubleType())
-def chain_id(texts: pd.Series) -> pd.Series:
-    """A number for a string from a float32 recurrence over its characters, c + (7 + i) / (5 - c), as fraction * 1e5 + whole part.
+def chain_id(text: Column) -> Column:
+    """A number for a string from a float32 recurrence over its bytes, c + (7 + i) / (5 - c), as fraction * 1e5 + whole part.
 
-    Single precision and the order of characters are part of the result. NULL gives NULL; a division by zero gives NaN.
+    Single precision and the order of bytes are part of the result. NULL gives NULL; a byte of 5, which divides by zero, NaN.
     """
-    def one(text):
-        if text is None:
-            return None
-        with np.errstate(all="ignore"):
-            total = np.float32(0)
-            for i, c in enumerate(text.encode()):
-                total = np.float32(total + np.float32(np.float32(c) + np.float32(7 + i) / np.float32(5 - c)))
-            whole = np.trunc(total)
-            return float(np.float32(np.float32((total - whole) * np.float32(1e5)) + whole))
-
-    return texts.map(one).astype("float64")
+    single = lambda c: c.cast("float")
+    byte = F.transform(F.filter(F.split(F.hex(F.encode(text, "UTF-8")), r"(?<=\G..)"), lambda x: x != ""), lambda x: F.conv(x, 16, 10).cast("int"))
+    term = F.transform(byte, lambda c, i: single(c) + single(F.call_function("try_divide", single(7 + i), single(5 - c))))
+    total = F.aggregate(F.transform(term, lambda x: x.cast("float")), single(F.lit(0)), lambda a, x: (a + x).cast("float"))
+    whole = single(total.cast("bigint"))
+    number = (((total - whole).cast("float") * single(F.lit(100_000))).cast("float") + whole).cast("float").cast("double")
+    return F.when(text.isNotNull(), F.coalesce(number, F.lit(float("nan"))))
 
 
 def pseudonyms(names: Sequence[str], prefix: str = "ELEMENT") -> dict[str, str]:

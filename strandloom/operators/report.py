@@ -147,6 +147,11 @@ def plot_data(df: DataFrame, layout: str) -> DataFrame:
     return df.select(F.to_json(F.struct(*[F.col(f).cast("string").alias(f) for f in LAYOUTS[layout]])).alias("datum"))
 
 
+def row_index(df: DataFrame, key: str, at: str) -> DataFrame:
+    """(key, n_rows, lowest, highest): where the rows of each key lie, as an index for reading one of them (K6)."""
+    return df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n_rows"), F.min(at).alias("lowest"), F.max(at).alias("highest"))
+
+
 def json_rows(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     return df.select(F.to_json(F.struct(*fields)).alias("datum"))
 

@@ -75,8 +75,12 @@ def f15_embedded_identifiers(spark, d):
     return s.select("seq", F.explode(tx.embedded_pieces(F.col("seq"))).alias("p")).select("seq", "p.id", "p.piece", "p.start")
 
 
-@query(None)
+@query(sql("reads") + """, e AS (SELECT *, pos + coalesce(list_sum(list_transform(list_filter(regexp_extract_all(cigar, '[0-9]+[MIDNSHP=X]'), lambda o: right(o, 1) IN ('M', 'D', '=')), lambda o: CAST(left(o, length(o) - 1) AS BIGINT))), 0) - 300 AS site FROM reads WHERE seq IS NOT NULL),
+r AS (SELECT *, coalesce(TRY_CAST(regexp_extract(cigar, '([0-9]+)[SH]$', 1) AS BIGINT), 0) AS n, site + 300 AS stop FROM e), a AS (SELECT *, n > 1 AND abs(stop - site) <= 300 AS rt FROM r),
+b AS (SELECT *, CASE WHEN rt THEN regexp_replace(cigar, '[0-9]+[SH]$', '') || (n - 1) || 'I1M' ELSE cigar END AS c FROM a), d AS (SELECT *, coalesce(TRY_CAST(regexp_extract(c, '^([0-9]+)[SH]', 1) AS BIGINT), 0) AS m FROM b), x AS (SELECT *, m > 1 AND abs(pos - site) <= 300 AS lf FROM d)
+SELECT rname, qname, CASE WHEN lf THEN pos - 1 ELSE pos END AS pos, CASE WHEN lf THEN '1M' || (m - 1) || 'I' || regexp_replace(c, '^[0-9]+[SH]', '') ELSE c END AS cigar, CASE WHEN lf AND regexp_matches(c, '^[0-9]+H') THEN repeat('N', m::INT) ELSE '' END || seq || CASE WHEN rt AND cigar LIKE '%H' THEN repeat('N', n::INT) ELSE '' END AS seq FROM x""")
 def f14_clips_to_insertions(spark, d):
-    """Clips beside a site rewritten as insertions, for all alignments of reads."""
-    r = reads(spark, d).withColumn("x", cg.clips_to_insertions(F.struct("pos", "cigar", "seq", F.lit(None).cast("string").alias("qual"), F.col("pos").alias("site"), F.lit(20).cast("bigint").alias("window"))))
-    return r.select("rname", "qname", "x.pos", "x.cigar", F.length("x.seq").cast("bigint").alias("size"))
+    """Clips beside a site rewritten as insertions, for all alignments of reads (F14); the site lies 300 before the end."""
+    r = reads(spark, d).filter("seq is not null").withColumn("site", F.col("pos") + cg.reference_length(F.col("cigar")) - 300)
+    x = cg.clips_to_insertions(F.col("pos"), F.col("cigar"), F.col("seq"), F.lit(None).cast("string"), F.col("site"), F.lit(300))
+    return r.withColumn("x", x).select("rname", "qname", "x.pos", "x.cigar", "x.seq")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strandloom.operators import report
 from strandloom.plans.views import HIT_COLUMNS, aligned, evidence_of, evidence_of_sql, reads, sites, sql, stored_alignments
 from strandloom.session import table
 from strandloom.sources import formats
@@ -136,3 +137,24 @@ def sc14_feature_lines(spark, d):
     g = formats.parse_gff(lines)
     at = lambda k: F.element_at("attributes", F.lit(k))
     return g.select("seqid", "start", "end", at("SIDE").alias("side"), at("NAME").alias("name"), at("ID").alias("ident"))
+
+
+@query(sql("sites") + """SELECT DISTINCT chrom || chr(9) || "start" || chr(9) || "end" || chr(9) || te || '|' || ident || chr(9) || coalesce(sv_size::VARCHAR, '') || chr(9) || coalesce(strand, '') AS line FROM sites""")
+def k2_interval_text(spark, d):
+    """Sites as lines of an interval file (K2)."""
+    s = sites(spark, d).select("chrom", "start", "end", F.concat("te", F.lit("|"), "ident").alias("te_id"), "sv_size", "strand").distinct()
+    return formats.tabbed_text(s).withColumnRenamed("value", "line")
+
+
+@query(_READS + "SELECT DISTINCT '>' || read_name || ' ' || pos || chr(10) || seq AS record FROM e")
+def k2_sequence_text(spark, d):
+    """Sequences as records of two lines (K2)."""
+    e = evidence_of(spark, d, "read_name", "pos", "seq")
+    return formats.fasta_text(e.select(F.concat_ws(" ", "read_name", "pos").alias("name"), "seq")).withColumnRenamed("value", "record").distinct()
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS by, {e} AS key, count(*) AS n_rows, min(start_pos) AS lowest, max(start_pos) AS highest FROM te_infos WHERE {e} IS NOT NULL GROUP BY 2" for n, e in (("chrom", "chrom"), ("te", "split_part(te_id, '|', 1)"))))
+def k6_indexes(spark, d):
+    """Where the facts of each chromosome and of each family lie (K6)."""
+    t = table(spark, d, "te_infos").withColumn("te", F.split_part("te_id", F.lit("|"), F.lit(1)))
+    return report.row_index(t, "chrom", "start_pos").withColumn("by", F.lit("chrom")).unionByName(report.row_index(t, "te", "start_pos").withColumn("by", F.lit("te")))

@@ -194,8 +194,10 @@ def pseudonyms_of_names(spark, d):
     return spark.createDataFrame([(n, new.get(n, n)) for n in names], "name string, pseudo string")
 
 
-@query(None)
+@query(_ALL_SEQS + """, t AS (SELECT seq, list_reduce(list_concat([CAST(0 AS FLOAT)], list_transform(range(1, length(seq) + 1), lambda i: CAST(ord(substr(seq, i, 1)) AS FLOAT) + CAST(6 + i AS FLOAT) / CAST(5 - ord(substr(seq, i, 1)) AS FLOAT))), lambda a, b: a + b) AS v FROM seqs)
+SELECT seq, CAST(CAST((v - CAST(trunc(v) AS FLOAT)) * CAST(100000 AS FLOAT) AS FLOAT) + CAST(trunc(v) AS FLOAT) AS DOUBLE) AS chain_id FROM t""")
 def f10_chain_id(spark, d):
+    """The number that identifiers carry, of every sequence."""
     return evidence_of(spark, d, "seq").select("seq", tx.chain_id(F.col("seq")).alias("chain_id"))
 
 

@@ -292,10 +292,20 @@ def register(spark: SparkSession) -> None:
         spark.dataSource.register(source)
 
 
+def tabbed_text(df: DataFrame) -> DataFrame:
+    """The tab-separated line of each row in one value; NULL is an empty field."""
+    return df.select(F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]).alias("value"))
+
+
 # -- sinks -------------------------------------------------------------------------------------------------------------
+def fasta_text(sequences: DataFrame) -> DataFrame:
+    """The two lines of each sequence in one value."""
+    return sequences.select(F.concat(F.lit(">"), "name", F.lit("\n"), "seq").alias("value"))
+
+
 def write_fasta(sequences: DataFrame, path: str) -> None:
     """Two lines for each sequence; part files in a folder."""
-    sequences.select(F.concat(F.lit(">"), "name", F.lit("\n"), "seq").alias("value")).write.mode("overwrite").text(path)
+    fasta_text(sequences).write.mode("overwrite").text(path)
 
 
 def fastq_text(reads: DataFrame) -> DataFrame:

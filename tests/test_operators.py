@@ -320,7 +320,7 @@ def test_cigar(spark):
 
 def test_clips_become_insertions(spark):
     df = spark.createDataFrame([(100, "5S10M", "A" * 15, "I" * 15, 100, 20), (100, "10M3H", "C" * 10, "I" * 10, 110, 20), (100, "5S10M", "A" * 15, "I" * 15, 900, 20), (100, "*", None, None, 1, 1)], "pos bigint, cigar string, seq string, qual string, site bigint, window bigint")
-    got = [tuple(r.x) for r in df.select(cg.clips_to_insertions(F.struct("*")).alias("x")).collect()]
+    got = [tuple(r.x) for r in df.select(cg.clips_to_insertions(*[F.col(c) for c in ("pos", "cigar", "seq", "qual", "site", "window")]).alias("x")).collect()]
     assert got[0][:2] == (99, "1M4I10M") and got[1] == (100, "10M2I1M", "C" * 10 + "NNN", "I" * 10 + "!!!") and got[2][1] == "5S10M" and got[3][1] == "*"
 
 
@@ -337,8 +337,19 @@ def test_keys(spark):
 
 
 def test_chain_id(spark):
-    got = [r[0] for r in spark.createDataFrame([("AC",), ("CA",), (None,), ("",)], "s string").select(tx.chain_id(F.col("s"))).collect()]
-    assert got[0] != got[1] and got[2] is None and got[3] == 0
+    import numpy as np
+
+    def single(text):
+        total = np.float32(0)
+        for i, c in enumerate(text.encode()):
+            total = np.float32(total + np.float32(np.float32(c) + np.float32(7 + i) / np.float32(5 - c)))
+        whole = np.trunc(total)
+        return float(np.float32(np.float32((total - whole) * np.float32(1e5)) + whole))
+
+    texts = ["AC", "CA", "", "2L:12345", "é:7", "ACGTN" * 400, "x y\n"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in [*texts, None, "a\x05b"]], "s string").select(tx.chain_id(F.col("s"))).collect()]
+    assert got[: len(texts)] == [single(t) for t in texts] and got[0] != got[1]
+    assert got[-2] is None and got[-1] != got[-1]
 
 
 # -- assemblies ----------------------------------------------------------------------------------------------------------
