@@ -91,22 +91,41 @@ MATCHED = ("pident", "psize_te", "size_el", "kind", "support")
 FACTS = ("chrom", "start", "end", "te", "ident", "strand", "tsd", "pident", "psize_te", "size_te", "new_pos", "freq", "freq_with_clipped", "sv_size", "sv_id", "sv_type")
 
 
-def fact_table(sites: DataFrame, matches: Sequence[DataFrame], duplications: DataFrame, frequencies: Sequence[DataFrame], sizes: DataFrame, sv_id: Column, sv_type: Column) -> DataFrame:
-    """The wide fact table of one kind of sites (J8): what the first source that knows a site says, all joined by its identifier.
-
-    ``sites``: chrom, start, end, te, ident, strand, and what else ``sv_id`` and ``sv_type`` are made from, which may also use the
-    columns of the matches. ``matches``: sources in order of trust, each ident once, with ``MATCHED``. ``duplications``: ident, tsd,
-    size_te, new_pos; without one the size is that of the match, the place the site's own. ``frequencies``: sources of ident, freq,
-    freq_with_clipped; but for the last one, one counts where both are at most 100. ``sizes``: ident, sv_size, of which the greatest
-    counts. Sites that no source knows stay, with NULLs; rows come as often as ``sites`` has them. Every join is by ident, so the
-    sites are shuffled once.
+def gathered(sources: Mapping[str, tuple[DataFrame, Sequence[str]]], key: str) -> DataFrame:
+    """One row for each key of any source, with a struct of the named columns for each source (name -> source, columns), NULL where it
+    doesn't know the key. Of several rows of a key in one source the greatest counts. All sources share one shuffle by key."""
+    kinds = {n: df.select(F.struct(*columns).alias("s")).schema["s"].dataType for n, (df, columns) in sources.items()}
+    parts = [df.filter(F.col(key).isNotNull()).select(key, *[(F.struct(*columns) if m == n else F.lit(None).cast(k)).alias(m) for m, k in kinds.items()]) for n, (df, columns) in sources.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy(key).agg(*[F.max(n).alias(n) for n in kinds])
+
+
+def first_match(*names: str) -> Column:
+    """The struct of the first source that knows the identifier."""
+    return F.coalesce(*[F.col(n) for n in names])
+
+
+def first_frequency(*names: str) -> Column:
+    """The first struct (freq, freq_with_clipped) in which both are at most 100, and the last one as it is."""
+    return F.coalesce(*[F.when((F.col(n)["freq"] <= 100) & (F.col(n)["freq_with_clipped"] <= 100), F.col(n)) for n in names[:-1]], F.col(names[-1]))
+
+
+def fact_table(sites: DataFrame, known: DataFrame, match: Column, frequency: Column, size: Column, sv_id: Column, sv_type: Column, duplication: str = "duplication") -> DataFrame:
+    """The wide fact table (J8): what the sources say of each site, joined by its identifier.
+
+    ``sites``: chrom, start, end, te, ident, strand, and what else the columns are made from. ``known``: one row for each ident with
+    what the sources know (see ``gathered``), among it a struct ``duplication`` of tsd, size_te, new_pos. ``match`` is a struct with
+    ``MATCHED``, ``frequency`` one of freq and freq_with_clipped, both picked from the sources in order of trust; ``sv_id`` and ``sv_type``
+    may use the columns of the match. Without a duplication the size is that of the match, the place the site's own. Sites that no
+    source knows stay, with NULLs; rows come as often as ``sites`` has them.
     """
-    f = first_of(sites, "ident", matches, MATCHED)
-    d = duplications.select("ident", F.col("tsd").alias("tsd"), F.col("size_te").alias("__size"), F.col("new_pos").alias("__place"))
-    f = f.join(d, "ident", "left").withColumn("size_te", F.when(F.col("tsd").isNotNull(), F.col("__size")).otherwise(F.col("size_el"))).withColumn("new_pos", F.coalesce("__place", "start"))
-    f = first_of(f, "ident", [*[x.filter("freq <= 100 and freq_with_clipped <= 100") for x in frequencies[:-1]], *frequencies[-1:]], ["freq", "freq_with_clipped"])
-    f = f.join(sizes.groupBy("ident").agg(F.max("sv_size").alias("sv_size")), "ident", "left")
-    return f.withColumn("sv_id", sv_id).withColumn("sv_type", sv_type).select(*FACTS)
+    there = sites.join(known, "ident", "left").withColumn("__m", match).withColumn("__f", frequency).withColumn("sv_size", size)
+    d = F.col(duplication)
+    made = there.withColumns({c: F.col("__m")[c] for c in MATCHED}).withColumns({c: F.col("__f")[c] for c in ("freq", "freq_with_clipped")})
+    made = made.withColumn("tsd", d["tsd"]).withColumn("size_te", F.when(d["tsd"].isNotNull(), d["size_te"]).otherwise(F.col("size_el"))).withColumn("new_pos", F.coalesce(d["new_pos"], "start"))
+    return made.withColumn("sv_id", sv_id).withColumn("sv_type", sv_type).select(*FACTS)
 
 
 def outsider_id(number) -> Column:
@@ -121,10 +140,10 @@ def insider_id(number) -> Column:
     return F.concat_ws(".", F.lit("TE_ID_INSIDER"), place, F.coalesce("kind", F.lit("UNKNOWN")))
 
 
-def variant_sizes(variants: DataFrame) -> DataFrame:
-    """(ident, sv_size) of assembly variants (ident, sv_type, size, query_dist): deletions by size, insertions by their length on the query."""
+def variant_size(sv_type: Column, size: Column, query_dist: Column) -> Column:
+    """The size of an assembly variant: deletions by size, insertions by their length on the query, NULL for other kinds."""
     gone, added = ("Deletion", "Repeat_contraction", "Tandem_contraction"), ("Insertion", "Repeat_expansion", "Tandem_expansion")
-    return variants.select("ident", F.when(F.col("sv_type").isin(*gone), F.col("size")).when(F.col("sv_type").isin(*added), F.col("query_dist")).alias("sv_size")).filter("sv_size is not null")
+    return F.when(sv_type.isin(*gone), size).when(sv_type.isin(*added), query_dist)
 
 
 def priority_union(sources: Sequence[DataFrame], key: str) -> DataFrame:

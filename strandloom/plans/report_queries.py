@@ -318,22 +318,26 @@ def j8_fact_table(spark, d):
     sources = {"combined": is_("INS") & (F.col("precision") == "PRECISE"), "INS": is_("INS"), "SOFT": is_("SOFT"), "HARD": is_("HARD"), "DEL": is_("DEL")}
     # The best hit of an identifier in every source, by one aggregate.
     best = found.groupBy("ident").agg(*[F.when(F.count_if(where) > 0, first(where)).alias(n) for n, where in sources.items()])
-    source = lambda n: best.filter(F.col(n).isNotNull()).select("ident", f"{n}.*")
-    matched = lambda n: source(n).select("ident", *report.MATCHED)
-    real = s.filter("tsd <> 'NONE'").groupBy("ident").agg(F.min(F.struct("tsd", "size_te", "new_pos")).alias("d")).select("ident", "d.*")
-    base = s.groupBy("ident").agg(F.min("freq").alias("freq"), F.min("freq_with_clipped").alias("freq_with_clipped"))
-    sharp = base.select("ident", (F.col("freq") + 20).alias("freq"), (F.col("freq_with_clipped") + 20).alias("freq_with_clipped"))
-    depth = base.select("ident", "freq", F.lit(None).cast("double").alias("freq_with_clipped"))
-    places = s.select("chrom", "start", "end", "te", "ident", "strand", F.col("sv_id").startswith("TE_ID_INSIDER").alias("inside")).distinct()
-    crossed = s.filter("sv_type = 'INS_DEL'").select("ident", F.lit(True).alias("cut")).distinct()
-    outside = places.filter("not inside").join(crossed, "ident", "left")
-    sizes = report.variant_sizes(s.select("ident", "sv_type", F.col("sv_size").alias("size"), (F.col("sv_size") + 7).alias("query_dist")))
+    # What the facts say of an identifier, by one aggregate too.
+    twenty = lambda c: F.min(c) + 20
+    pair = lambda a, b: F.struct(a.alias("freq"), b.alias("freq_with_clipped"))
+    about = s.groupBy("ident").agg(
+        F.min(F.when(F.col("tsd") != "NONE", F.struct("tsd", "size_te", "new_pos"))).alias("duplication"), pair(F.min("freq"), F.min("freq_with_clipped")).alias("base"), pair(twenty("freq"), twenty("freq_with_clipped")).alias("sharp"),
+        pair(F.min("freq"), F.lit(None).cast("double")).alias("depth"), F.max("sv_size").alias("size"), F.max(report.variant_size(F.col("sv_type"), F.col("sv_size"), F.col("sv_size") + 7)).alias("grown"),
+        F.max(F.coalesce(F.col("sv_type") == "INS_DEL", F.lit(False))).alias("cut"),
+    )
+    place = ["chrom", "start", "end", "te", "ident", "strand"]
+    places = s.select(*place, F.when(F.col("sv_id").startswith("TE_ID_INSIDER"), "inside").otherwise("outside").alias("part")).distinct()
+    gone = best.filter("DEL is not null").select("ident", "DEL.*").filter("start is not null and end is not null").select(*place, F.lit("deleted").alias("part"))
+    part = lambda outside, inside, deleted: F.when(F.col("part") == "outside", outside).when(F.col("part") == "inside", inside).otherwise(deleted)
+    only = lambda c: F.struct(*[c[x].alias(x) for x in report.MATCHED])
+    match = part(only(report.first_match("combined", "INS", "SOFT", "HARD")), only(F.col("INS")), only(F.col("DEL")))
     text, call = lambda c: c, tx.variant_type(F.col("ident"))
-    kind = F.concat(call, F.when(F.col("cut"), "_DEL").otherwise(""))
-    parts = [report.fact_table(outside, [matched(n) for n in ("combined", "INS", "SOFT", "HARD")], real, [sharp, base], s.select("ident", "sv_size"), report.outsider_id(text), kind)]
-    deletions = source("DEL").select("chrom", "start", "end", "te", "ident", "strand").filter("start is not null and end is not null")
-    parts += [report.fact_table(x, [matched(n)], real, [depth], sizes, report.insider_id(text), F.col("kind")) for x, n in ((places.filter("inside"), "INS"), (deletions, "DEL"))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    kind = part(F.concat(call, F.when(F.col("cut"), "_DEL").otherwise("")), F.col("kind"), F.col("kind"))
+    inner = report.insider_id(text)
+    return report.fact_table(
+        places.unionByName(gone), best.join(about, "ident", "full"), match, part(report.first_frequency("sharp", "base"), F.col("depth"), F.col("depth")), part(F.col("size"), F.col("grown"), F.col("grown")), part(report.outsider_id(text), inner, inner), kind,
+    )
 
 
 @query(sql("sites") + """, s AS (SELECT DISTINCT chrom, te, sv_id, split_part(ident, '.', 1) AS tool FROM sites), k AS (SELECT *, chrom || te AS key FROM s), a AS (SELECT * FROM k WHERE tool = 'snif'), b AS (SELECT * FROM k WHERE tool = 'rdins' AND key NOT IN (SELECT key FROM a)), c AS (SELECT * FROM k WHERE tool NOT IN ('snif', 'rdins') AND key NOT IN (SELECT key FROM a) AND key NOT IN (SELECT key FROM b))

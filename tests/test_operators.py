@@ -400,11 +400,14 @@ def test_fact_table_prefers_and_falls_back(spark):
     site = make([("c", 10, 11, "T", "a.INS.1", "+", True), ("c", 20, 21, "T", "a.SOFT.2", "-", None), ("c", 30, 31, "T", "none", "+", None)], "chrom string, start bigint, end bigint, te string, ident string, strand string, cut boolean")
     match = lambda *r: make(list(r), "ident string, pident double, psize_te double, size_el bigint, kind string, support bigint")
     freq = lambda *r: make(list(r), "ident string, freq double, freq_with_clipped double")
-    f = report.fact_table(
-        site, [match(("a.INS.1", 99.0, 90.0, 500, "INS", 3)), match(("a.INS.1", 1.0, 1.0, 1, "INS", 9), ("a.SOFT.2", 80.0, 50.0, 70, "SOFT", 1))], make([("a.INS.1", "ACGT", 480, 8)], "ident string, tsd string, size_te bigint, new_pos bigint"),
-        [freq(("a.INS.1", 101.0, 20.0), ("a.SOFT.2", 40.0, 50.0)), freq(("a.INS.1", 90.0, 95.0), ("a.SOFT.2", 1.0, 1.0))], make([("a.INS.1", 400), ("a.INS.1", 510)], "ident string, sv_size bigint"),
-        report.outsider_id(tx.chain_id), F.concat(tx.variant_type(F.col("ident")), F.when(F.col("cut"), "_DEL").otherwise("")),
-    )
+    known = report.gathered({
+        "combined": (match(("a.INS.1", 99.0, 90.0, 500, "INS", 3)), report.MATCHED), "clipped": (match(("a.INS.1", 1.0, 1.0, 1, "INS", 9), ("a.SOFT.2", 80.0, 50.0, 70, "SOFT", 1), (None, 1.0, 1.0, 1, "INS", 9)), report.MATCHED),
+        "duplication": (make([("a.INS.1", "ACGT", 480, 8)], "ident string, tsd string, size_te bigint, new_pos bigint"), ["tsd", "size_te", "new_pos"]),
+        "precise": (freq(("a.INS.1", 101.0, 20.0), ("a.SOFT.2", 40.0, 50.0)), ["freq", "freq_with_clipped"]), "base": (freq(("a.INS.1", 90.0, 95.0), ("a.SOFT.2", 1.0, 1.0)), ["freq", "freq_with_clipped"]),
+        "size": (make([("a.INS.1", 400), ("a.INS.1", 510)], "ident string, sv_size bigint"), ["sv_size"]),
+    }, "ident")
+    kind = F.concat(tx.variant_type(F.col("ident")), F.when(F.col("cut"), "_DEL").otherwise(""))
+    f = report.fact_table(site, known, report.first_match("combined", "clipped"), report.first_frequency("precise", "base"), F.col("size.sv_size"), report.outsider_id(tx.chain_id), kind)
     got = {r.ident: r for r in f.collect()}
     a, b, c = got["a.INS.1"], got["a.SOFT.2"], got["none"]
     assert (a.tsd, a.pident, a.size_te, a.new_pos, a.freq, a.freq_with_clipped, a.sv_size, a.sv_type) == ("ACGT", 99.0, 480, 8, 90.0, 95.0, 510, "INS_DEL")
