@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,44 +31,11 @@ def best_hits(hits: DataFrame, locus: Column) -> DataFrame:
     return best.select("locus", "b.*")
 
 
-def _earlier(states: DataFrame, at: str, value: str, kind: str, width: int = 1 << 12) -> DataFrame:
-    """(at, __earlier): the last value, or the greatest, of all rows before; ranges of rows first, then one row for each range."""
-    agg = {"last": lambda c: F.last(c, ignorenulls=True), "max": F.max}[kind]
-    total = {"last": lambda c: F.max_by(c, at), "max": F.max}[kind]
-    wide = states.filter(F.col(value).isNotNull() | (F.lit(kind) == "max")).withColumn("__wide", F.floor(F.col(at) / width))
-    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    inside = wide.withColumn("__in", agg(value).over(before(Window.partitionBy("__wide").orderBy(at))))
-    # One row for each 2^28 lines.
-    totals = wide.groupBy("__wide").agg(total(value).alias("__all")).select("__wide", agg("__all").over(before(Window.orderBy("__wide"))).alias("__over"))
-    joined = inside.join(totals, "__wide", "left")
-    return joined.select(at, (F.coalesce("__in", "__over") if kind == "last" else F.greatest("__in", "__over")).alias("__earlier"))
-
-
-def file_runs(hits: DataFrame, width: int = 1 << 16) -> DataFrame:
-    """Rows of one line once, with ``run``: the line where the run of hits with the same qseqid and sseqid began that the hit is in.
-
-    Hits are compared with the line before in ranges of lines; what one range hands to the next is one row. Only lines that are
-    there count, so a run goes on over lines that were filtered out before. NULL line numbers are left out.
-    """
-    ranged = hits.filter(F.col("line_no").isNotNull()).withColumn("__range", F.floor(F.col("line_no") / F.lit(width)).cast("bigint"))
-    line = Window.partitionBy("__range").orderBy("line_no", "qseqid", "sseqid")
-    pair = F.struct("qseqid", "sseqid")
-    seen = ranged.withColumn("__line", F.lag("line_no").over(line)).withColumn("__pair", F.lag(pair).over(line)).filter(F.col("__line").isNull() | (F.col("__line") != F.col("line_no")))
-    lasts = ranged.groupBy("__range").agg(F.max_by(pair, F.struct("line_no", "qseqid", "sseqid")).alias("__last"))
-    handed = _earlier(lasts, "__range", "__last", "last").withColumnRenamed("__earlier", "__handed")
-    joined = seen.join(handed, "__range", "left").withColumn("__fresh", F.when(F.coalesce("__pair", "__handed").eqNullSafe(pair), F.lit(None).cast("bigint")).otherwise(F.col("line_no")))
-    up_to = Window.partitionBy("__range").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    begun = joined.withColumn("__begun", F.max("__fresh").over(up_to))
-    ends = joined.groupBy("__range").agg(F.max("__fresh").alias("__last_fresh"))
-    before = _earlier(ends, "__range", "__last_fresh", "max").withColumnRenamed("__earlier", "__before")
-    return begun.join(before, "__range", "left").withColumn("run", F.coalesce("__begun", "__before")).select(*hits.columns, "run")
-
-
 FOLDED = ("sstart", "send", "qstart", "qend")
 
 
 def fold_runs(t: pa.Table, begins: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray], np.ndarray]:
-    """(place of the best hit, bounds stretched over the hits after it, hits looked at) of each run that has a best hit.
+    """(place of the best hit, bounds stretched over the hits after it, place behind the run) of each run that has a best hit.
 
     ``t``: hits in file order; ``begins``: where runs begin. The best is that of the greatest bitscore, the first on a tie; NULL is
     none and NaN the least. All runs go one hit on in a step.
@@ -96,7 +63,7 @@ def fold_runs(t: pa.Table, begins: np.ndarray) -> tuple[np.ndarray, dict[str, np
         tail = above & np.where(up, rise, down) & ~head
         for c, moved in (("sstart", head), ("qstart", head), ("send", tail), ("qend", tail)):
             now[c][:k] = np.where(moved, x[c], a[c])
-    return best, now, stop - best
+    return best, now, stop
 
 
 def combine(hits: DataFrame, locus: Column, partitions: int | None = None) -> DataFrame:
@@ -104,8 +71,8 @@ def combine(hits: DataFrame, locus: Column, partitions: int | None = None) -> Da
 
     In file order, a following hit of the same run stretches the bounds at one end only if it lies outside them on query and
     subject alike, towards that end in the direction of the best hit. ``locus`` is a function of qseqid. Columns: locus, qseqid,
-    sseqid, pident, line_no of the best hit, sstart, send, qstart, qend as combined, and n_hits looked at. Rows of one line count
-    once; NULL line numbers, loci and scores are left out, and without coordinates nothing is stretched.
+    sseqid, pident, line_no of the best hit, sstart, send, qstart, qend as combined, n_hits looked at, and
+    last_line, where the run ends. Rows of one line count once; NULL line numbers, loci and scores are left out, and without coordinates nothing is stretched.
 
     The file is sorted once, in ranges of lines. A run is folded where it lies, from its own best hit; the first and last run of
     each range are folded by one task, in file order, as they may be parts of one. A task holds the longest run. Of the runs of
@@ -116,19 +83,19 @@ def combine(hits: DataFrame, locus: Column, partitions: int | None = None) -> Da
     spread = slim.repartitionByRange(partitions, "line_no") if partitions else slim.repartitionByRange("line_no")
     spread = spread.sortWithinPartitions("line_no", "qseqid", "sseqid")
     columns = slim.columns
-    kinds = {c: pa.string() if c in ("qseqid", "sseqid") else pa.float64() if c in numbers else pa.int64() for c in columns} | {"n_hits": pa.int64(), "edge": pa.bool_(), "fresh": pa.bool_()}
+    kinds = {c: pa.string() if c in ("qseqid", "sseqid") else pa.float64() if c in numbers else pa.int64() for c in columns} | {"n_hits": pa.int64(), "last_line": pa.int64(), "edge": pa.bool_(), "fresh": pa.bool_()}
     names = {pa.string(): T.StringType(), pa.float64(): T.DoubleType(), pa.int64(): T.LongType(), pa.bool_(): T.BooleanType()}
     arrow, schema = pa.schema(list(kinds.items())), T.StructType([T.StructField(c, names[k]) for c, k in kinds.items()])
 
-    def batch_of(t: pa.Table, n_hits, edge, fresh) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*[t[c].combine_chunks().cast(kinds[c]) for c in columns], pa.array(n_hits, pa.int64()), pa.array(edge, pa.bool_()), pa.array(fresh, pa.bool_())], schema=arrow)
+    def batch_of(t: pa.Table, n_hits, last, edge, fresh) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*[t[c].combine_chunks().cast(kinds[c]) for c in columns], pa.array(n_hits, pa.int64()), pa.array(last, pa.int64()), pa.array(edge, pa.bool_()), pa.array(fresh, pa.bool_())], schema=arrow)
 
     def folded(t: pa.Table, begins: np.ndarray) -> pa.RecordBatch:
-        best, bounds, n = fold_runs(t, begins)
+        best, bounds, stop = fold_runs(t, begins)
         rows = t.take(pa.array(best))
         for c in FOLDED:
             rows = rows.set_column(rows.schema.get_field_index(c), c, pa.array(bounds[c], pa.float64(), from_pandas=True).cast(pa.int64()))
-        return batch_of(rows, n, np.zeros(len(best), bool), np.zeros(len(best), bool))
+        return batch_of(rows, stop - best, t["line_no"].to_numpy()[stop - 1], np.zeros(len(best), bool), np.zeros(len(best), bool))
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leading = True
@@ -138,7 +105,7 @@ def combine(hits: DataFrame, locus: Column, partitions: int | None = None) -> Da
             for edge in sorted({*([0] if leading else []), *([len(begins) - 1] if final else [])}):
                 rows = t.slice(cuts[edge], cuts[edge + 1] - cuts[edge])
                 n = rows.num_rows
-                yield batch_of(rows, np.ones(n, np.int64), np.ones(n, bool), np.append(not (leading and edge == 0), np.zeros(n - 1, bool)))
+                yield batch_of(rows, np.ones(n, np.int64), rows["line_no"].to_numpy(), np.ones(n, bool), np.append(not (leading and edge == 0), np.zeros(n - 1, bool)))
             if a < z:
                 yield folded(t.slice(cuts[a], cuts[z] - cuts[a]), begins[a:z] - cuts[a])
             leading = False
@@ -161,7 +128,16 @@ def combine(hits: DataFrame, locus: Column, partitions: int | None = None) -> Da
     found = spread.mapInArrow(first_pass, schema)
     part = F.when(F.col("edge"), F.lit(-1).cast("bigint")).otherwise(F.xxhash64("qseqid"))
     whole = found.repartition(part).sortWithinPartitions("line_no").mapInArrow(second_pass, schema)
-    return best_hits(whole.drop("edge", "fresh"), locus).select("locus", "qseqid", "sseqid", "pident", "line_no", *FOLDED, "n_hits")
+    return best_hits(whole.drop("edge", "fresh"), locus).select("locus", "qseqid", "sseqid", "pident", "line_no", *FOLDED, "n_hits", "last_line")
+
+
+def continuing(hits: DataFrame, locus: Column, partitions: int | None = None) -> DataFrame:
+    """(locus, line_no) of the best hit of each locus and the hits that continue it in the file (W2), each line once.
+
+    Between the best hit and the end of its run lie only hits of the same query and element, so those are found by that pair.
+    """
+    best = combine(hits, locus, partitions).select("locus", "qseqid", "sseqid", F.col("line_no").alias("__from"), F.col("last_line").alias("__to"))
+    return hits.select("qseqid", "sseqid", "line_no").join(best, ["qseqid", "sseqid"]).filter("line_no between __from and __to").select("locus", "line_no").distinct()
 
 
 def detect(hits: DataFrame, sizes: DataFrame, fields: int = 7, types: str = "INS", least_support: int = 1, least_pident: float = 94.0, least_size: float = 90.0, fold: bool = True, digits: int = 2) -> DataFrame:
@@ -175,11 +151,11 @@ def detect(hits: DataFrame, sizes: DataFrame, fields: int = 7, types: str = "INS
     if fold:
         found = combine(known, locus)
     else:
-        found = best_hits(known, locus).select("locus", "qseqid", "sseqid", "pident", "line_no", "sstart", "send", "qstart", "qend", F.lit(1).cast("bigint").alias("n_hits"))
+        found = best_hits(known, locus).select("locus", "qseqid", "sseqid", "pident", "line_no", "sstart", "send", "qstart", "qend", F.lit(1).cast("bigint").alias("n_hits"), F.col("line_no").alias("last_line"))
     found = found.filter(field(F.col("qseqid"), 2).rlike(types) & (field(F.col("qseqid"), 6).try_cast("bigint") >= least_support))
     sized = found.join(sizes.select(F.col("te_name").alias("sseqid"), F.col("size_bp").alias("__size")), "sseqid")
     sized = sized.withColumn("strand", strand_of(F.col("sstart"), F.col("send"))).withColumn("size_el", F.abs(F.col("qend") - F.col("qstart"))).withColumn("size_per", size_percent(F.col("qstart"), F.col("qend"), F.col("__size"), digits))
-    return sized.filter((F.col("size_per") >= least_size) & (F.col("pident") >= least_pident)).drop("__size")
+    return sized.filter((F.col("size_per") >= least_size) & (F.col("pident") >= least_pident)).drop("__size", "last_line")
 
 
 def elements_per_variant(hits: DataFrame) -> DataFrame:

@@ -50,10 +50,10 @@ def top_grid(df: DataFrame, x: str, y: str, n: int = 50) -> DataFrame:
     """Counts of the n most frequent x over all y that occur with them, zero where a pair doesn't occur."""
     counts = df.groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count(F.lit(1)).alias("z"))
     top = counts.groupBy("x").agg(F.sum("z").alias("total")).orderBy(F.col("total").desc(), "x").limit(n).select("x")
-    some = counts.join(F.broadcast(top), "x")
-    # The grid is n families by the few values of y.
-    ys = some.groupBy("y").agg(F.lit(1).alias("one"))
-    grid = top.withColumn("one", F.lit(1)).join(ys, "one").drop("one")
+    some = counts.join(F.broadcast(top), "x")  # n rows
+    # n families by the few values of y: one task may hold them.
+    whole = some.withColumn("__ys", F.collect_set("y").over(Window.partitionBy()))
+    grid = whole.groupBy("x").agg(F.max(F.array_sort("__ys")).alias("__ys")).select("x", F.explode("__ys").alias("y"))
     return grid.join(some, ["x", "y"], "left").select("x", "y", F.coalesce("z", F.lit(0)).alias("z"))
 
 

@@ -109,9 +109,7 @@ _RUN = """, n AS (SELECT *, row_number() OVER (ORDER BY line_no) - row_number()
 SELECT b.locus, n.line_no FROM best b JOIN n ON b.qseqid = n.qseqid AND b.sseqid = n.sseqid AND b.run = n.run AND n.line_no >= b.line_no""")
 def w2_contiguous_run(spark, d):
     """The hits that continue the best hit of each locus in the file."""
-    n = ht.file_runs(ht.known_elements(stored_hits(spark, d), table(spark, d, "te_sizes")))
-    best = ht.best_hits(n, tx.first_fields(F.col("qseqid"), 7)).select("locus", "run", F.col("line_no").alias("best_line"))
-    return best.join(n.select("run", "line_no"), "run").filter("line_no >= best_line").select("locus", "line_no")
+    return ht.continuing(ht.known_elements(stored_hits(spark, d), table(spark, d, "te_sizes")), tx.first_fields(F.col("qseqid"), 7))
 
 
 _FOLD = """, best AS (SELECT * FROM (SELECT *, {locus} AS locus, row_number() OVER (PARTITION BY {locus} ORDER BY bitscore DESC, line_no) AS r FROM n) WHERE r = 1),
@@ -268,9 +266,10 @@ def a9_depth_frequency(spark, d):
 
     b = aligned(spark, d).select(F.col("rid").alias("chrom"), F.least("rstart", "rend").alias("s"), F.greatest("rstart", "rend").alias("e"))
     st = sites(spark, d).select("chrom", "start", "end", "sv_id").distinct().withColumn("pl", F.col("start") - 29).withColumn("pr", F.col("end") + 30)
-    left = depth_at(st.withColumnRenamed("pl", "at"), b, ["chrom"], "at", ("s", "e")).select("chrom", F.col("at").alias("pl"), F.col("depth").alias("l"))
-    right = depth_at(st.withColumnRenamed("pr", "at"), b, ["chrom"], "at", ("s", "e")).select("chrom", F.col("at").alias("pr"), F.col("depth").alias("r"))
-    j = st.join(left, ["chrom", "pl"]).join(right, ["chrom", "pr"]).withColumn("without", F.lit(1))
+    both = st.select("chrom", F.col("pl").alias("at")).unionByName(st.select("chrom", F.col("pr").alias("at")))
+    depth = depth_at(both, b, ["chrom"], "at", ("s", "e"))
+    named = lambda at, n: depth.select("chrom", F.col("at").alias(at), F.col("depth").alias(n))
+    j = st.join(named("pl", "l"), ["chrom", "pl"]).join(named("pr", "r"), ["chrom", "pr"]).withColumn("without", F.lit(1))
     return ev.depth_frequency(j, "l", "r", "without").select("chrom", "start", "sv_id", "total_depth", "read_support", "read_support_percent")
 
 

@@ -210,6 +210,9 @@ def test_combining_however_the_file_is_cut(spark, partitions):
     data += data[::5] + [(None, "a:1", "T", 99.0, 1, 2, 3, 4)]
     got = ht.combine(hits(spark, *data), F.substring_index("qseqid", ":", 1), partitions).select("locus", "line_no", "sstart", "send", "qstart", "qend", "n_hits")
     assert rows(got) == brute_combine(data)
+    lines = {h[0] for h in data if h[0] is not None}
+    runs = {r[0]: [n for n in sorted(lines) if n >= r[1]][: r[6]] for r in brute_combine(data)}
+    assert rows(ht.continuing(hits(spark, *data), F.substring_index("qseqid", ":", 1), partitions)) == sorted(((k, n) for k, ns in runs.items() for n in ns), key=str)
     assert rows(ht.combine(hits(spark, *data).limit(0), F.col("qseqid"))) == []
 
 
@@ -446,14 +449,3 @@ def test_viewer(spark):
     assert rows(viewer.complete(names, "te", ["RO"])) == [("Roo",)] and len(rows(viewer.complete(names, "te", []))) == 2
 
 
-@pytest.mark.parametrize("width", [1, 3, 1 << 16])
-def test_file_runs(spark, width):
-    """Runs by ranges of lines are those of a walk through the file, lines that are missing skipped and copies once."""
-    rng = random.Random(9)
-    data = [(n, rng.choice("qp"), rng.choice("TTU"), 1.0, 1, 2, 3, 4) for n in sorted(rng.sample(range(90), 60))]
-    want, last, start = {}, None, None
-    for n, q, s, *_ in data:
-        start = start if last == (q, s) else n
-        want[n], last = start, (q, s)
-    got = ht.file_runs(hits(spark, *data, *data[::4]), width).collect()
-    assert len(got) == len(want) and {r.line_no: r.run for r in got} == want
