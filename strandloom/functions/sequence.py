@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Nucleotide codes and their complements.
 PLAIN, PLAIN_COMPLEMENT = "ACGT", "TGCA"
@@ -38,6 +40,42 @@ def occurrences(text: Column, pattern: Column) -> Column:
     return F.filter(places, lambda i: F.substring(text, i + 1, F.length(pattern)) == pattern)
 
 
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def places(texts: pa.Array, patterns: pa.Array) -> pa.Array:
+    """``occurrences`` in texts of any length, in proportion to them; NULL for NULL."""
+
+    def find(text: str | None, pattern: str | None):
+        if text is None or pattern is None:
+            return None
+        out, at = [], text.find(pattern) if pattern else -1
+        while at >= 0:
+            out.append(at)
+            at = text.find(pattern, at + 1)
+        return out
+
+    return pa.array([find(t, p) for t, p in zip(texts.to_pylist(), patterns.to_pylist(), strict=True)], pa.list_(pa.int64()))
+
+
+def _longest(main: str, other: str, least: int) -> str | None:
+    """The longest common substring, leftmost in ``main``: whether there is one of a length is bisected, since a shorter one is in it."""
+    def at(size: int) -> int:
+        there = {other[i : i + size] for i in range(len(other) - size + 1)}
+        return next((i for i in range(len(main) - size + 1) if main[i : i + size] in there), -1)
+
+    lo, hi = least - 1, min(len(main), len(other))
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        lo, hi = (mid, hi) if at(mid) >= 0 else (lo, mid - 1)
+    return main[(i := at(lo)) : i + lo] if lo >= least else None
+
+
+@F.arrow_udf(T.StringType())
+def longest_common_long(main: pa.Array, other: pa.Array, least: pa.Array) -> pa.Array:
+    """``longest_common`` for long texts."""
+    rows = zip(main.to_pylist(), other.to_pylist(), least.to_pylist(), strict=True)
+    return pa.array([None if m is None or o is None else _longest(m, o, n) for m, o, n in rows], pa.string())
+
+
 def longest_common(main: Column, other: Column, least: int = 4) -> Column:
     """The longest substring of ``main``, leftmost among equals, that also stands in ``other``; NULL below ``least`` letters.
 

@@ -47,7 +47,7 @@ def f1_ambiguous_complement(spark, d):
 
 @query(_ALL_SEQS + ", o AS (SELECT seq, i FROM seqs, unnest(range(0, greatest(length(seq) - 1, 0))) AS u(i) WHERE substr(seq, i + 1, 2) = 'GA')\nSELECT seq, count(*) AS n, min(i) AS first, max(i) AS last FROM o GROUP BY seq")
 def f2_exact_search(spark, d):
-    o = evidence_of(spark, d, "seq").withColumn("o", sq.occurrences(F.col("seq"), F.lit("GA"))).filter("size(o) > 0")
+    o = evidence_of(spark, d, "seq").withColumn("o", sq.places("seq", F.lit("GA"))).filter("size(o) > 0")
     return o.select("seq", F.size("o").cast("bigint").alias("n"), F.array_min("o").cast("bigint").alias("first"), F.array_max("o").cast("bigint").alias("last"))
 
 

@@ -276,6 +276,20 @@ def test_reverse_complement(spark):
     assert value(one(spark, s="ARY"), sq.reverse_complement_ambiguous(F.col("s"))) == "RYT"
 
 
+def test_long_flanks_give_what_short_ones_do(spark):
+    rng = random.Random(11)
+    say = lambda n: "".join(rng.choice("ACG") for _ in range(n))
+    data = [(i, say(rng.randrange(0, 25)), say(rng.randrange(0, 25))) for i in range(150)] + [(900, None, "ACGT"), (901, "ACGT", None)]
+    df = spark.createDataFrame(data, "i int, fk_l string, fk_r string")
+    short, long = (rows(tsd.duplications(df, long=x).select("i", "tsd", "shift_l", "shift_r")) for x in (False, True))
+    assert short == long and len(short) > 30
+    big = say(40_000)
+    assert value(one(spark, m="TT" + big[7:9000] + "T", o=big), sq.longest_common_long(F.col("m"), F.col("o"), F.lit(4))) == big[7:9000]
+    got = value(one(spark, t=big + "TTT", p="TT"), sq.places(F.col("t"), F.col("p")))
+    assert got == [40_000, 40_001]
+    assert value(one(spark, t=big, p="ACG"), sq.places(F.col("t"), F.col("p"))) == [i for i in range(40_000) if big[i : i + 3] == "ACG"]
+
+
 def test_occurrences_overlap(spark):
     assert value(one(spark, t="AAAA", p="AA"), sq.occurrences(F.col("t"), F.col("p"))) == [0, 1, 2]
     assert value(one(spark, t="A", p="AAA"), sq.occurrences(F.col("t"), F.col("p"))) == [] == value(one(spark, t="A", p=""), sq.occurrences(F.col("t"), F.col("p")))
