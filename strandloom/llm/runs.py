@@ -33,8 +33,9 @@ from strandloom.operators.ordered import stretches
 COSTS = ("steps", "spread")
 
 
-def dissimilarity(values: np.ndarray, begins: np.ndarray, cost: str):
-    """D(a, b) of the events a to b - 1 (arrays of places), which lie in one stretch. ``values``: events x fields; ``begins``: where stretches begin."""
+def dissimilarity(values: np.ndarray, weight: np.ndarray, begins: np.ndarray, cost: str):
+    """D(a, b) of the events a to b - 1 (arrays of places), which lie in one stretch. ``values``: events x fields; ``weight``: how often
+    each is there in a row; ``begins``: where stretches begin."""
     if cost == "steps":
         step = np.zeros(len(values), np.int64)
         step[1:] = np.abs(np.diff(values, axis=0)).max(1)
@@ -43,13 +44,30 @@ def dissimilarity(values: np.ndarray, begins: np.ndarray, cost: str):
         return lambda a, b: upto[b - 1] - upto[a]
     size = np.diff(np.append(begins, len(values)))
     near = (values - np.repeat(values[begins], size, axis=0)).astype(np.float64)  # small numbers keep the sums exact
-    one = np.vstack([np.zeros((1, values.shape[1])), np.cumsum(near, axis=0)])
-    two = np.append(0.0, np.cumsum((near * near).sum(1)))
-    return lambda a, b: np.maximum(two[b] - two[a] - ((one[b] - one[a]) ** 2).sum(1) / (b - a), 0.0)
+    count = np.append(0, np.cumsum(weight))
+    one = np.vstack([np.zeros((1, values.shape[1])), np.cumsum(near * weight[:, None], axis=0)])
+    two = np.append(0.0, np.cumsum((near * near).sum(1) * weight))
+    return lambda a, b: np.maximum(two[b] - two[a] - ((one[b] - one[a]) ** 2).sum(1) / (count[b] - count[a]), 0.0)
 
 
 def segment(values: np.ndarray, begins: np.ndarray, penalty: float, cost: str = "steps") -> np.ndarray:
-    """Which events begin a run of the optimal segmentation. ``begins``: the places where stretches of one kind begin, the first one 0."""
+    """Which events begin a run of the optimal segmentation. ``begins``: the places where stretches of one kind begin, the first one 0.
+
+    Equal neighbours are taken as one event of their number: with either cost a boundary between them can move to an end of them
+    without loss.
+    """
+    if len(values) < 2:
+        return np.ones(len(values), bool)
+    other = np.append(True, (values[1:] != values[:-1]).any(1))
+    other[begins] = True
+    place = np.flatnonzero(other)
+    weight = np.diff(np.append(place, len(values)))
+    starts = np.zeros(len(values), bool)
+    starts[place[_segment(values[place], weight, np.searchsorted(place, begins), penalty, cost)]] = True
+    return starts
+
+
+def _segment(values: np.ndarray, weight: np.ndarray, begins: np.ndarray, penalty: float, cost: str) -> np.ndarray:
     n = len(values)
     starts = np.zeros(n, bool)
     starts[begins] = True
@@ -59,7 +77,7 @@ def segment(values: np.ndarray, begins: np.ndarray, penalty: float, cost: str =
         return starts
     longer = longer[np.argsort(-size[longer], kind="stable")]
     at, size = begins[longer], size[longer]  # stretches, the longest first
-    within = dissimilarity(values, begins, cost)
+    within = dissimilarity(values, weight, begins, cost)
     last = np.zeros(n, np.int64)  # for each event where, in its stretch, the last run begins if the stretch ended with it
     best = np.zeros(len(at), np.int64 if cost == "steps" and isinstance(penalty, int) else np.float64)  # F(t)
     lane, start, base = np.zeros(0, np.int64), np.zeros(0, np.int64), best[:0]  # live candidates by stretch: s and F(s) + penalty

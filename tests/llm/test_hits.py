@@ -46,6 +46,14 @@ def test_segmentation_is_optimal(cost):
         assert got == pytest.approx(by_search(v, penalty, cost))
 
 
+def test_long_stretches_of_copies_are_one_event():
+    v = np.repeat(np.array([[0], [3], [50]]), [400_000, 100_000, 300_000], axis=0)
+    assert np.flatnonzero(segment(v, np.zeros(1, np.int64), 10)).tolist() == [0, 500_000]
+    assert np.flatnonzero(segment(v, np.zeros(1, np.int64), 1_000_000, "spread")).tolist() == [0, 500_000]
+    assert np.flatnonzero(segment(v, np.zeros(1, np.int64), 100_000, "spread")).tolist() == [0, 400_000, 500_000]
+    assert segment(v[:0], np.zeros(0, np.int64), 10).tolist() == []
+
+
 def test_costs_are_no_threshold():
     """A drift of small steps stays together with one cost and is cut with the other; one outlier is worth no boundary."""
     drift = np.array([[8 * i] for i in range(20)])
