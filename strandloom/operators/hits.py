@@ -126,7 +126,8 @@ def combine(hits: DataFrame, locus: Column, partitions: int | None = None) -> Da
         yield from done
 
     found = spread.mapInArrow(first_pass, schema)
-    part = F.when(F.col("edge"), F.lit(-1).cast("bigint")).otherwise(F.xxhash64("qseqid"))
+    # What is folded is spread by blocks of lines, not by query, of which one may hold most.
+    part = F.when(F.col("edge"), F.lit(-1).cast("bigint")).otherwise(F.expr("abs(line_no) div 4096"))
     whole = found.repartition(part).sortWithinPartitions("line_no").mapInArrow(second_pass, schema)
     return best_hits(whole.drop("edge", "fresh"), locus).select("locus", "qseqid", "sseqid", "pident", "line_no", *FOLDED, "n_hits", "last_line")
 
