@@ -47,12 +47,25 @@ def sc3_fastq_lines(spark, d):
     return formats.fastq_text(formats.parse_fastq(_fastq_texts(spark, d)).filter("name <> 'last'")).select(F.col("value").alias("record"))
 
 
+def _coded(name: str):
+    """A name that fits a field: % and its bytes in hex where it is empty, begins like a comment or like this, or holds a tab."""
+    c = F.col(name)
+    # One pattern: with four conditions the query's generated method passes the 8000 bytes that Java compiles.
+    return F.when(c.rlike("^([#%]|$)|\t"), F.concat(F.lit("%"), F.hex(c))).otherwise(c)
+
+
+def _decoded(name: str):
+    c = F.col(name)
+    return F.when(c.startswith("%"), F.unhex(F.expr(f"substring({name}, 2)")).cast("string")).when(c != "", c).alias(name)
+
+
 @query("SELECT " + ", ".join(HIT_COLUMNS) + ", coalesce(isnan(bitscore), false) AS bitscore_nan FROM blast_hits WHERE line_no IS NOT NULL")
 def sc4_hit_lines(spark, d):
     """Every line of the hit file, all of its fields (SC4)."""
-    lines = table(spark, d, "blast_hits").filter("line_no is not null").select("line_no", _line(*HIT_COLUMNS[1:]))
+    names = ("qseqid", "sseqid")
+    lines = table(spark, d, "blast_hits").filter("line_no is not null").select("line_no", _line(*[_coded(c) if c in names else c for c in HIT_COLUMNS[1:]]))
     h = formats.parse_hits(lines)
-    return h.select("line_no", *[F.nullif(c, F.lit("")).alias(c) if c in ("qseqid", "sseqid") else c for c in HIT_COLUMNS[1:]], F.coalesce(F.isnan("bitscore"), F.lit(False)).alias("bitscore_nan"))
+    return h.select("line_no", *[_decoded(c) if c in names else c for c in HIT_COLUMNS[1:]], F.coalesce(F.isnan("bitscore"), F.lit(False)).alias("bitscore_nan"))
 
 
 @query("SELECT chrom AS name, size_bp FROM chrom_sizes WHERE chrom IS NOT NULL")

@@ -77,6 +77,14 @@ def test_scan_keeps_nan(spark, write):
     assert rows(Q["sc4_hit_scan"](spark, d).selectExpr("line_no", "isnan(bitscore)", "bitscore is null", "bitscore_nan")) == [(1, True, False, True), (2, False, True, False), (3, False, False, False)]
 
 
+def test_hit_lines_keep_odd_names(spark, write):
+    """Names that are empty, begin like a comment or hold a tab or a code come out of the lines as they went in; NaN stays NaN."""
+    names = ["", "#q", "a\tb", "%", "%%", "%09", "%23", "%2509", "a%", "#%25\t", ".", None]
+    d = write("blast_hits", HITS, *[{"line_no": i, "qseqid": n, "sseqid": n, "evalue": 0.5, "bitscore": float("nan")} for i, n in enumerate(names)])
+    got = Q["sc4_hit_lines"](spark, d).selectExpr("line_no", "qseqid", "sseqid", "evalue", "isnan(bitscore)", "bitscore_nan", "pident").collect()
+    assert sorted(map(tuple, got)) == [(i, n, n, 0.5, True, True, None) for i, n in enumerate(names)]
+
+
 def test_geometry_outside_the_element(spark, write):
     """A reverse hit that ends 30 beyond an element of 100 bases, and a hit that begins 29 before it."""
     write("te_sizes", pa.schema([("te_name", pa.string()), ("size_bp", pa.int64())]), {"te_name": "T", "size_bp": 100})
